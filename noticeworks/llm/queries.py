@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from noticeworks.llm import bpe, license_scan, quality_rules, token_counts, url_filter
+from noticeworks.llm import bpe, license_scan, ngram_join, quality_rules, token_counts, url_filter
 
 
 def queries():
@@ -12,6 +12,7 @@ def queries():
         "op3_token_counts": token_counts.op3_token_counts,
         "op4_bpe_round_trip": bpe.op4_bpe_round_trip,
         "op5_quality_rules": quality_rules.op5_quality_rules,
+        "op10_ngram_jaccard_join": ngram_join.op10_ngram_jaccard_join,
     }
 
 
