@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from noticeworks.llm import bpe, license_scan, ngram_join, quality_rules, token_counts, url_filter
+from noticeworks.llm import bpe, license_scan, ngram_join, quality_rules, sharding, source_mix, token_counts, topk, url_filter
 
 
 def queries():
@@ -12,9 +12,12 @@ def queries():
         "op3_token_counts": token_counts.op3_token_counts,
         "op4_bpe_round_trip": bpe.op4_bpe_round_trip,
         "op5_quality_rules": quality_rules.op5_quality_rules,
+        "op6_exact_topk": topk.op6_exact_topk,
+        "op8_source_mix": source_mix.op8_source_mix,
+        "op9_kd_shards": sharding.op9_kd_shards,
         "op10_ngram_jaccard_join": ngram_join.op10_ngram_jaccard_join,
     }
 
 
 def oracle_sql():
-    return {"op1_url_filter": url_filter.OP1_SQL, "op2_license_scan": license_scan.OP2_SQL}
+    return {"op1_url_filter": url_filter.OP1_SQL, "op2_license_scan": license_scan.OP2_SQL, "op6_exact_topk": topk.OP6_SQL}
