@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from noticeworks.llm import bpe, license_scan, ngram_join, quality_rules, sharding, source_mix, token_counts, topk, url_filter
+from noticeworks.llm import bpe, html_text, license_scan, ngram_join, quality_rules, sharding, source_mix, token_counts, topk, url_filter
 
 
 def queries():
@@ -13,6 +13,7 @@ def queries():
         "op4_bpe_round_trip": bpe.op4_bpe_round_trip,
         "op5_quality_rules": quality_rules.op5_quality_rules,
         "op6_exact_topk": topk.op6_exact_topk,
+        "op7_html_extraction": html_text.op7_html_extraction,
         "op8_source_mix": source_mix.op8_source_mix,
         "op9_kd_shards": sharding.op9_kd_shards,
         "op10_ngram_jaccard_join": ngram_join.op10_ngram_jaccard_join,
