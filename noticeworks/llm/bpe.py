@@ -1,9 +1,10 @@
 """Byte-level BPE encoding and decoding with a hierarchical-bitmap rank queue.
 
-The adjacent pairs of a pre-token wait in buckets, one for each merge rank; a two-level bitmap over
-the ranks finds the lowest one by find-first-set. A bucket holds positions of a linked list of parts,
-leftmost first; an entry whose pair has changed since is skipped. A merge costs a constant number of
-steps, so pre-tokens of megabytes are no slower by the byte than short ones.
+The adjacent pairs of pre-tokens wait in buckets, one for each merge rank; a two-level bitmap over the
+ranks finds the lowest one by find-first-set. A bucket holds positions of a linked list of parts,
+taken leftmost first; an entry whose pair has changed since is skipped. A merge costs a constant
+number of steps, so pre-tokens of megabytes are no slower by the byte than short ones; short ones that
+a worker has not met before share a queue by the thousands.
 
 Texts are encoded where Spark has read them, batch by batch; nothing is shuffled. Each Python worker
 remembers the encodings of up to `CACHE` pre-tokens and starts afresh beyond that. The rank table is
@@ -13,9 +14,9 @@ broadcast: its size is that of the vocabulary, checked against MAX_VOCABULARY_BY
 from __future__ import annotations
 
 import base64
+import itertools
 import struct
 from collections.abc import Callable, Iterator
-from heapq import heappop, heappush
 
 import pyarrow as pa
 import regex
@@ -23,89 +24,161 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Pre-tokens that a worker remembers, and the longest of them in characters.
-CACHE, CACHED_LENGTH = 300_000, 64
+CACHE, CACHED_LENGTH = 450_000, 64
 MAX_VOCABULARY_BYTES = 64 << 20
-#: Ranks in one word of the lower bitmap.
-WIDTH = 256
-
-
-def merge_parts(piece: bytes, rank_of: Callable[[int, int, int], int | None]) -> list[int]:
-    """Starts of the parts of `piece` after all merges; rank_of(i, j, k) is the rank of the pair of parts i:j and j:k, if it merges."""
-    n = len(piece)
-    after, before, rank_at = list(range(1, n + 1)), list(range(-1, n - 1)), [-1] * n
-    buckets: dict[int, list[int]] = {}
-    low: dict[int, int] = {}
-    high = 0
-
-    def wait(at: int, rank: int) -> None:
-        nonlocal high
-        rank_at[at] = rank
-        if rank in buckets:
-            heappush(buckets[rank], at)
-        else:
-            buckets[rank] = [at]
+#: Ranks in one word of the lower bitmap; bytes of pre-tokens that share a queue.
+WIDTH, CHUNK_BYTES = 256, 200_000
+
+
+def merge_pieces(pieces: list[bytes], rank_of: Callable[[bytes, bytes], int | None]) -> list[list[bytes]]:
+    """The parts of each piece after all merges; rank_of(left, right) is the rank of a pair that merges, else None.
+
+    All pieces lie in one linked list, with a barrier between two, and share one queue: the lowest rank
+    over all is also the lowest of each piece that has it."""
+    parts: list[bytes | None] = [None]  # by start; None: a barrier, or merged into the part before
+    for piece in pieces:
+        parts += [piece[i : i + 1] for i in range(len(piece))]
+        parts.append(None)
+    n = len(parts)
+    after, before, rank_at = [*range(1, n + 1)], [*range(-1, n - 1)], [-1] * n
+    buckets: dict[int, list[int]] = {}  # rank -> positions of left parts
+    low: dict[int, int] = {}  # word of the bitmap -> its bits, one for each rank that has a bucket
+    high = 0  # one bit for each word that isn't zero
+    fresh: list[int] = []  # ranks that have got a bucket and no bit yet
+    last = None
+    for i, part in enumerate(parts):
+        if last is not None and part is not None and (rank := rank_of(last, part)) is not None:
+            rank_at[i - 1] = rank
+            if rank in buckets:
+                buckets[rank].append(i - 1)
+            else:
+                buckets[rank] = [i - 1]
+                fresh.append(rank)
+        last = part
+    while True:
+        for rank in fresh:
             word = rank // WIDTH
             low[word] = low.get(word, 0) | 1 << rank % WIDTH
             high |= 1 << word
-
-    for i in range(n - 1):
-        if (rank := rank_of(i, i + 1, i + 2)) is not None:
-            wait(i, rank)
-    while high:
+        fresh.clear()
+        if not high:
+            break
         word = (high & -high).bit_length() - 1
-        rank = word * WIDTH + (low[word] & -low[word]).bit_length() - 1
-        bucket = buckets[rank]
-        at = heappop(bucket)
-        if not bucket:
-            del buckets[rank]
-            low[word] ^= 1 << rank % WIDTH
-            if not low[word]:
-                high ^= 1 << word
-        if rank_at[at] != rank:
-            continue  # stale: the pair has changed
-        gone = after[at]
-        end = after[at] = after[gone]
-        rank_at[gone] = rank_at[at] = -1
-        if end < n:
+        bits = low[word]
+        rank = word * WIDTH + (bits & -bits).bit_length() - 1
+        low[word] = bits = bits & (bits - 1)
+        if not bits:
+            high &= high - 1
+        bucket = buckets.pop(rank)
+        bucket.sort()
+        for done, at in enumerate(bucket, 1):
+            if rank_at[at] != rank:
+                continue  # stale: the pair has changed
+            gone = after[at]
+            end = after[at] = after[gone]
             before[end] = at
-            if (rank := rank_of(at, end, after[end])) is not None:
-                wait(at, rank)
-        if (left := before[at]) >= 0:
-            rank_at[left] = -1
-            if (rank := rank_of(left, at, end)) is not None:
-                wait(left, rank)
-    starts, at = [], 0
-    while at < n:
-        starts.append(at)
-        at = after[at]
-    return starts
-
-
-class Encoder(dict):
-    """Maps a pre-token to its token ids as packed little-endian unsigned 32-bit integers."""
+            whole = parts[at] = parts[at] + parts[gone]
+            parts[gone] = None
+            rank_at[gone] = rank_at[at] = -1
+            lower = False
+            if (right := parts[end]) is not None and (new := rank_of(whole, right)) is not None:
+                rank_at[at] = new
+                lower = new < rank
+                if new in buckets:
+                    buckets[new].append(at)
+                else:
+                    buckets[new] = [at]
+                    fresh.append(new)
+            where = before[at]
+            if (left := parts[where]) is not None:
+                new = rank_of(left, whole)
+                if new is None:
+                    rank_at[where] = -1
+                else:
+                    rank_at[where] = new
+                    lower = lower or new < rank
+                    if new in buckets:
+                        buckets[new].append(where)
+                    else:
+                        buckets[new] = [where]
+                        fresh.append(new)
+            if lower and done < len(bucket):
+                # the lower rank comes first; what is left of this bucket waits
+                buckets[rank] = bucket[done:] + buckets.get(rank, [])
+                fresh.append(rank)
+                break
+    out, at = [], 1
+    for piece in pieces:
+        out.append([p for p in parts[at : at + len(piece)] if p is not None])
+        at += len(piece) + 1
+    return out
+
+
+def chunks(pieces: list[bytes], size: int = CHUNK_BYTES) -> Iterator[list[bytes]]:
+    """The pieces in runs of about `size` bytes."""
+    run, held = [], 0
+    for p in pieces:
+        run.append(p)
+        held += len(p)
+        if held >= size:
+            yield run
+            run, held = [], 0
+    if run:
+        yield run
+
+
+class Encoder:
+    """Encodes texts to token ids, packed as little-endian unsigned 32-bit integers; remembers the ids of up to CACHE pre-tokens."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
-        super().__init__()
-        self.ranks, self.longest, self.split = ranks, max(map(len, ranks), default=0), regex.compile(pattern).findall
-
-    def __missing__(self, token: str) -> bytes:
-        piece = token.encode()
-        whole = self.ranks.get(piece)
-        ids = [whole] if whole is not None else self.merged(piece)
-        packed = struct.pack(f"<{len(ids)}I", *ids)
-        if len(token) <= CACHED_LENGTH:
-            if len(self) >= CACHE:
-                self.clear()
-            self[token] = packed
-        return packed
-
-    def merged(self, piece: bytes) -> list[int]:
-        get, longest = self.ranks.get, self.longest
-        starts = merge_parts(piece, lambda i, j, k: get(piece[i:k]) if k - i <= longest else None)
-        return [self.ranks[piece[i:j]] for i, j in zip(starts, [*starts[1:], len(piece)], strict=True)]
-
-    def encode(self, text: str | None) -> bytes:
-        return b"".join(map(self.__getitem__, self.split(text or "")))
+        self.ranks, self.split = ranks, regex.compile(pattern).findall
+        self.known: dict[str, bytes] = {}
+
+    def learn(self, tokens: list[str]) -> dict[str, bytes]:
+        """The packed ids of those of the tokens that aren't known."""
+        if len(self.known) >= CACHE:
+            self.known = {}
+        new, get, rest = {}, self.ranks.get, []
+        for t in set(tokens).difference(self.known):
+            if (whole := get(t.encode())) is not None:
+                new[t] = struct.pack("<I", whole)
+            else:
+                rest.append(t)
+        done = 0
+        for run in chunks([t.encode() for t in rest]):
+            # parts are tokens, so what is looked up is at most two tokens long
+            for t, parts in zip(rest[done : done + len(run)], merge_pieces(run, lambda a, b: get(a + b)), strict=True):
+                new[t] = struct.pack(f"<{len(parts)}I", *map(self.ranks.__getitem__, parts))
+            done += len(run)
+        self.known.update((t, p) for t, p in new.items() if len(t) <= CACHED_LENGTH)
+        return new
+
+    def batch(self, texts: list[str | None]) -> list[bytes]:
+        """The packed ids of each text; the texts' new pre-tokens are merged together."""
+        out: list[bytes] = []
+        for few in spans(texts):
+            split = [self.split(x or "") for x in few]
+            known = self.known
+            new = self.learn(list(set(itertools.chain.from_iterable(split))))
+            for tokens in split:
+                packed = list(map(known.get, tokens))
+                if None in packed:
+                    packed = [known[t] if t in known else new[t] for t in tokens]
+                out.append(b"".join(packed))
+        return out
+
+
+def spans(texts: list[str | None], size: int = 2_000_000) -> Iterator[list[str | None]]:
+    """The texts in runs of about `size` characters."""
+    run, held = [], 0
+    for x in texts:
+        run.append(x)
+        held += len(x or "")
+        if held >= size:
+            yield run
+            run, held = [], 0
+    if run:
+        yield run
 
 
 def parse_ranks(data: bytes) -> dict[bytes, int]:
@@ -148,7 +221,7 @@ def encode(df: DataFrame, path: str, pattern: str, text_col: str = "text", ids_c
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = once(("encoder", path, pattern), lambda: Encoder(parse_ranks(data.value), pattern))
         for b in it:
-            yield _replace(b, keep, {ids_col: pa.array([encoder.encode(x) for x in b.column(text_col).to_pylist()], pa.binary())})
+            yield _replace(b, keep, {ids_col: pa.array(encoder.batch(b.column(text_col).to_pylist()), pa.binary())})
 
     schema = df.select(*keep).withColumn(ids_col, F.lit(b"")).schema
     return df.select(*keep, text_col).mapInArrow(batches, schema)
