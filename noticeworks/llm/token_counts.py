@@ -17,10 +17,12 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from noticeworks.llm.bpe import CACHE, CACHED_LENGTH, merge_parts, once, read_vocabulary
+from noticeworks.llm.bpe import CACHE, CACHED_LENGTH, merge_pieces, once, read_vocabulary
 
 #: Fixed value: the pattern of the byte-level pre-tokenizer.
 BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Pre-tokens of up to so many bytes are merged by scanning their few ranks; longer ones by the rank queue.
+SHORT, NONE = 48, 1 << 60
 
 
 def byte_of_char() -> dict[str, int]:
@@ -46,11 +48,22 @@ class Merges:
         self.specials = sorted((x["content"] for x in spec["added_tokens"]), key=len, reverse=True)
         special = set(self.specials)
         self.vocabulary = [as_bytes(s) for s in model["vocab"] if s not in special]
-        self.longest = max(map(len, self.vocabulary), default=0)
 
     def count(self, piece: bytes) -> int:
-        get, longest = self.ranks.get, self.longest
-        return len(merge_parts(piece, lambda i, j, k: get((piece[i:j], piece[j:k])) if k - i <= longest else None))
+        get = self.ranks.get
+        if len(piece) > SHORT:
+            return len(merge_pieces([piece], lambda a, b: get((a, b)))[0])
+        parts = [piece[i : i + 1] for i in range(len(piece))]
+        ranks = [get(pair, NONE) for pair in zip(parts, parts[1:])]
+        while ranks and (low := min(ranks)) < NONE:
+            i = ranks.index(low)
+            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+            del ranks[i]
+            if i < len(ranks):
+                ranks[i] = get((parts[i], parts[i + 1]), NONE)
+            if i:
+                ranks[i - 1] = get((parts[i - 1], parts[i]), NONE)
+        return len(parts)
 
     def whole(self) -> list[str]:
         """The vocabulary strings that are text and that the merges encode as one token."""
@@ -65,26 +78,34 @@ class Merges:
         return found
 
 
-class Counter(dict):
-    """Maps a pre-token to its number of tokens."""
+class Counter:
+    """Counts the tokens of texts; remembers the counts of up to CACHE pre-tokens that aren't whole."""
 
     def __init__(self, merges: Merges, whole: list[str]):
-        super().__init__(dict.fromkeys(whole, 1))
         self.merges, self.whole, self.split = merges, whole, regex.compile(BYTE_LEVEL).findall
         self.cut = regex.compile("|".join(map(regex.escape, merges.specials))) if merges.specials else None
-
-    def __missing__(self, token: str) -> int:
-        n = self.merges.count(token.encode())
-        if len(token) <= CACHED_LENGTH:
-            if len(self) >= CACHE + len(self.whole):
-                self.clear()
-                self.update(dict.fromkeys(self.whole, 1))
-            self[token] = n
-        return n
+        self.known: dict[str, int] = dict.fromkeys(whole, 1)
+
+    def learn(self, tokens: list[str]) -> dict[str, int]:
+        """The counts of those of the tokens that aren't known."""
+        if len(self.known) >= CACHE + len(self.whole):
+            self.known = dict.fromkeys(self.whole, 1)
+        new = {t: self.merges.count(t.encode()) for t in set(tokens).difference(self.known)}
+        self.known.update((t, n) for t, n in new.items() if len(t) <= CACHED_LENGTH)
+        return new
+
+    def part(self, text: str) -> int:
+        tokens = self.split(text)
+        counts = list(map(self.known.get, tokens))
+        if None in counts:
+            known = self.known
+            new = self.learn(tokens)
+            counts = [known[t] if t in known else new[t] for t in tokens]
+        return sum(counts)
 
     def text(self, text: str | None) -> int:
         parts = self.cut.split(text or "") if self.cut else [text or ""]
-        return len(parts) - 1 + sum(sum(map(self.__getitem__, self.split(p))) for p in parts)
+        return len(parts) - 1 + sum(map(self.part, parts))
 
 
 def count_tokens(df: DataFrame, path: str, text_col: str = "text", count_col: str = "n_tokens") -> DataFrame:
