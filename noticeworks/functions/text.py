@@ -48,6 +48,11 @@ def _beyond_ascii(c: Column, function, plain) -> Column:
     return F.coalesce(function(F.when(odd, c)), plain(c))
 
 
+def bind(value: Column, f) -> Column:
+    """f(value) with value computed once, where f names it many times and the expression would grow too large."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
 def squish(c: Column | str) -> Column:
     """White space runs become one space; trimmed; null becomes empty."""
     return F.trim(F.regexp_replace(text_of(c), r"(?U)\s+", " "))

@@ -59,11 +59,15 @@ def inline_pairs(lines: Column, labels: list[str]) -> Column:
     """A map from each label to the value of its first `label: value` line."""
     found = []
     for x in labels:
-        hit = F.get(F.filter(lines, lambda s, x=x: (F.trim(F.substring_index(s, ":", 1)) == x) & s.contains(":")), F.lit(0))
+        hit = F.get(F.filter(lines, _labelled(x)), F.lit(0))
         found.append(F.when(hit.isNotNull(), F.struct(F.lit(x).alias("key"), F.trim(F.regexp_replace(hit, r"^[^:]*:", "")).alias("value"))))
     return F.map_from_entries(F.array_compact(F.array(*found)))
 
 
+def _labelled(label: str):
+    return lambda s: (F.trim(F.substring_index(s, ":", 1)) == label) & s.contains(":")
+
+
 def with_inline_fallback(pairs: Column, inline: Column, needed: list[str]) -> Column:
     """pairs, or where one of the needed labels is empty, pairs filled from inline."""
     empty = reduce(lambda a, b: a | b, [F.coalesce(F.element_at(pairs, x), F.lit("")) == "" for x in needed])

@@ -1,11 +1,674 @@
-"""The registered queries over the given tables, with their SQL."""
+"""The registered queries over the given tables, with their SQL.
+
+The driver tables stand in for notices: documents for texts by source (the first line is the title),
+orders for dated and priced notices, events for snapshots and for a log of files, pages for captured
+pages, conversations for lines. Every query runs over its whole tables.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from noticeworks.functions import dates, money, text
+from noticeworks.operators import classify, extract, gold, identity, lexicon, mapping, match, profile, quality, upsert
+from noticeworks.sources import bronze
+
+_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    """Registers the function under its name."""
+
+    def add(f):
+        _QUERIES[f.__name__] = f
+        if sql:
+            _SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return dict(_QUERIES)
+
+
+def oracle_sql() -> dict[str, str]:
+    return dict(_SQL)
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def day(c: Column | str) -> Column:
+    return F.date_format(c, "yyyy-MM-dd")
+
+
+# ---------------------------------------------------------------- gold
+
+
+def _notices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as notices of their customer's nation; some lack a closing date."""
+    o, c, n = (table(spark, sf_dir, t) for t in ("orders", "customer", "nation"))
+    joined = o.join(c, o.o_custkey == c.c_custkey).join(F.broadcast(n), F.col("c_nationkey") == F.col("n_nationkey"))
+    closing = F.when(F.col("o_orderkey") % 11 != 0, F.date_add(F.to_date("o_orderdate"), (F.col("o_custkey") % 60).cast("int")))
+    return joined.select(
+        F.col("o_orderkey").cast("string").alias("tender_id"), F.concat(F.lit("C-"), "o_orderkey").alias("tender_code"), F.col("o_orderpriority").alias("title"), F.to_date("o_orderdate").alias("published_date"),
+        closing.alias("closing_date"), F.col("n_name").alias("country"), F.col("n_name").alias("source"), F.lit("").alias("source_url"),
+        F.when(F.col("o_orderstatus") == "O", "Technology").when(F.col("o_orderstatus") == "P", "Review").otherwise("Non-Tech").alias("classification"),
+    )
+
+
+_NOTICES = """
+with notices as (
+    select o_orderkey, n_name, o_orderstatus, case when o_orderkey % 11 <> 0 then cast(o_orderdate as date) + cast(o_custkey % 60 as integer) end as closing,
+           case o_orderstatus when 'O' then 'Technology' when 'P' then 'Review' else 'Non-Tech' end as cls
+    from orders join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey
+), gold as (
+    select *, case when closing is null then 'Open' when closing >= date '1998-06-30' then 'Open' else 'Closed' end as status from notices
+)
+"""
+
+
+@query(_NOTICES + "select n_name as source_name, status, count(*) as n from gold group by all")
+def gold_status_counts(spark, sf_dir):
+    g = gold.build_gold(_notices(spark, sf_dir), gold.as_of_date(override="1998-06-30"))
+    return g.groupBy("source_name", "status").agg(F.count("*").alias("n"))
+
+
+@query(_NOTICES + """
+select 'source' as kind, n_name as value, count(*) as n, count(*) filter (closing is null and status = 'Open') as open_missing from gold group by n_name
+union all select 'status', status, count(*), null from gold group by status
+union all select 'classification', cls, count(*), null from gold group by cls
+""")
+def gold_summary(spark, sf_dir):
+    return gold.gold_summary(gold.build_gold(_notices(spark, sf_dir), gold.as_of_date(override="1998-06-30")))
+
+
+# ---------------------------------------------------------------- profiling
+
+
+@query("""
+select event_type, count(*) as rows, cast(5 as bigint) as columns, epoch_us(min(ts)) as first_us, epoch_us(max(ts)) as last_us,
+       round((epoch_us(max(ts)) - epoch_us(min(ts))) / 3600000000.0, 2) as span_hours, count(distinct user_id) as files,
+       count(*) filter (trim(coalesce(props, '')) = '') as missing_cells, round(100.0 * count(*) filter (trim(coalesce(props, '')) = '') / (count(*) * 5), 2) as missing_percent,
+       count(*) - count(distinct (event_id, ts, user_id, value, props)) as exact_duplicates, count(*) filter (trim(coalesce(props, '')) = '') as missing_titles
+from events group by event_type
+""")
+def profile_4v(spark, sf_dir):
+    out = profile.profile_4v(table(spark, sf_dir, "events"), "event_type", "ts", "user_id", ["title", "props"])
+    return out.withColumns({"first_us": F.unix_micros("first_extracted"), "last_us": F.unix_micros("last_extracted")}).drop("first_extracted", "last_extracted")
+
+
+@query("select source, count(*) - count(distinct (text, lang)) as exact_duplicates from documents group by source")
+def exact_duplicate_rows(spark, sf_dir):
+    return profile.exact_duplicates(table(spark, sf_dir, "documents"), "source", ["text", "lang"])
+
+
+@query("""
+select o_orderpriority, count(*) filter (o_orderkey % 3 = 0) + count(*) filter (o_orderkey % 5 = 0) as missing_cells,
+       round(100.0 * (count(*) filter (o_orderkey % 3 = 0) + count(*) filter (o_orderkey % 5 = 0)) / (count(*) * 2), 2) as missing_percent
+from orders group by 1
+""")
+def missing_cells(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").select("o_orderpriority", F.when(F.col("o_orderkey") % 3 != 0, F.col("o_custkey")).alias("a"), F.when(F.col("o_orderkey") % 5 == 0, "  ").otherwise("x").alias("b"))
+    return profile.missing_cells(o, "o_orderpriority", ["a", "b"])
+
+
+@query("select event_type, list_sort(list(distinct k)) as columns from (select event_type, unnest(json_keys(props)) as k from events) group by 1")
+def variety(spark, sf_dir):
+    return profile.variety(table(spark, sf_dir, "events").select("event_type", F.try_parse_json("props").alias("rec")), "event_type")
+
+
+# ---------------------------------------------------------------- texts
+
+_TITLES = "titles as (select doc_id, source, lang, split_part(text, chr(10), 1) as title from documents)"
+_KEY = "trim(regexp_replace(replace(lower(title), 'ß', 'ss'), '\\s+', ' ', 'g'))"
+
+
+def _titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id", "source", "lang", F.substring_index("text", "\n", 1).alias("title"))
+
+
+@query(f"with {_TITLES} select doc_id, {_KEY} as norm, regexp_replace({_KEY}, '[^\\p{{L}}\\p{{N}}]', '', 'g') as compact from titles")
+def normalize_keys(spark, sf_dir):
+    return _titles(spark, sf_dir).select("doc_id", text.norm_key("title").alias("norm"), text.compact_key("title").alias("compact"))
+
+
+@query("select p_partkey, regexp_replace(regexp_replace(upper(p_brand || ' / ' || p_name), '[^A-Z0-9]+', '-', 'g'), '^-|-$', '', 'g') as token from part")
+def display_tokens(spark, sf_dir):
+    return table(spark, sf_dir, "part").select("p_partkey", text.display_token(F.concat_ws(" / ", "p_brand", "p_name")).alias("token"))
+
+
+@query(f"""
+with {_TITLES}, odd as (select doc_id, case doc_id % 5 when 0 then ' N/A ' when 1 then '--' when 2 then 'Not   Available' else title end as t from titles)
+select doc_id, case when doc_id % 5 >= 3 and lower(trim(t)) not in ('', '-', '--', '---', 'n/a', 'na', 'none', 'null', 'nan') then trim(regexp_replace(t, '\\s+', ' ', 'g')) end as cleaned from odd
+""")
+def null_like_clean(spark, sf_dir):
+    odd = F.when(F.col("doc_id") % 5 == 0, " N/A ").when(F.col("doc_id") % 5 == 1, "--").when(F.col("doc_id") % 5 == 2, "Not   Available").otherwise(F.col("title"))
+    return _titles(spark, sf_dir).select("doc_id", text.clean_text(odd).alias("cleaned"))
+
+
+_STOP = ", ".join(f"'{w}'" for w in text.STOP_WORDS)
+_TOKENS = f"list_sort(list_distinct(list_filter(regexp_extract_all({_KEY}, '[\\p{{L}}\\p{{M}}\\p{{N}}_]+'), lambda w: length(w) >= 3 and w not in ({_STOP}))))"
+
+
+@query(f"with {_TITLES} select doc_id, array_to_string({_TOKENS}, ' ') as tokens, cast(len({_TOKENS}) as integer) as n from titles")
+def title_tokens(spark, sf_dir):
+    t = text.title_tokens("title")
+    return _titles(spark, sf_dir).select("doc_id", F.array_join(F.array_sort(t), " ").alias("tokens"), F.size(t).alias("n"))
+
+
+@query("""
+select o_orderkey, array_to_string(list_sort(list_distinct(list_filter(regexp_extract_all(t, '[A-Z0-9]+(?:[-/][A-Z0-9]+){2,}'), lambda x: regexp_matches(x, '[0-9]')))), ' ') as refs
+from (select o_orderkey, upper('Renewal of ab/' || o_custkey || '/' || year(o_orderdate) || ' and/or/else, see x-' || o_orderkey || '-y.') as t from orders)
+""")
+def external_refs(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    t = F.concat(F.lit("Renewal of ab/"), "o_custkey", F.lit("/"), F.year("o_orderdate"), F.lit(" and/or/else, see x-"), "o_orderkey", F.lit("-y."))
+    return o.select("o_orderkey", F.array_join(F.array_sort(text.external_refs(t)), " ").alias("refs"))
+
+
+@query("select p_partkey, case when p_size % 3 = 0 then p_name end as found, case when p_size % 2 = 0 then 'https://x.example/' || replace(p_name, ' ', '%20') else 'https://own.example' end as url from part")
+def pipe_fields_and_urls(spark, sf_dir):
+    p = table(spark, sf_dir, "part")
+    raw = F.when(F.col("p_size") % 3 == 0, F.concat(F.lit("Code | 7 | Name | "), "p_name", F.lit(" | End"))).otherwise("Code | 7")
+    link = F.when(F.col("p_size") % 2 != 0, F.lit("https://own.example"))
+    return p.select("p_partkey", text.pipe_field(raw, "name").alias("found"), text.build_url("https://x.example/", F.col("p_name"), link).alias("url"))
+
+
+# ---------------------------------------------------------------- money and dates
+
+
+@query("""
+select l_orderkey, l_linenumber, l_partkey, cast(case when l_linenumber = 1 then -1 else 1 end * cast(round(l_extendedprice * 100) as bigint) / 100.0 as double) as amount from lineitem
+""")
+def parse_money_rows(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem")
+    cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
+    shown = F.concat(F.format_number(F.expr("cents div 100"), 0), F.lit("."), F.lpad((F.col("cents") % 100).cast("string"), 2, "0"), F.lit(" د.ك"))
+    shown = F.when(F.col("l_linenumber") == 1, F.concat(F.lit("("), shown, F.lit(")"))).otherwise(shown)
+    return li.withColumn("cents", cents).select("l_orderkey", "l_linenumber", "l_partkey", money.parse_money(shown).cast("double").alias("amount"))
+
+
+@query("""
+with cur as (select o_orderkey, o_totalprice, case c_nationkey % 7 when 0 then 'KWD' when 1 then 'QAR' when 2 then 'AED' when 3 then 'SAR' when 4 then 'OMR' when 5 then 'BHD' end as code from orders join customer on o_custkey = c_custkey),
+rates(code, rate) as (values ('SAR', 1.00000), ('AED', 1.02916), ('QAR', 1.03020), ('BHD', 9.97231), ('OMR', 9.76628), ('KWD', 12.25170))
+select o_orderkey, cur.code as currency_original, cast(round(cast(o_totalprice as decimal(20,6)) * cast(rate as decimal(10,5)), 2) as double) as amount_sar,
+       case when rate is not null then 'SAR' end as currency
+from cur left join rates on cur.code = rates.code
+""")
+def fx_to_base(spark, sf_dir):
+    o, c = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
+    names = F.create_map(*[F.lit(x) for kv in enumerate(["Kuwaiti Dinar", "qatar riyal", "aed", "SAR", "omr", "دينار بحريني"]) for x in kv])
+    j = o.join(c, o.o_custkey == c.c_custkey).withColumn("code", money.normalize_currency(F.element_at(names, (F.col("c_nationkey") % 7).cast("int")), F.lit(None).cast("string")))
+    amount = F.col("o_totalprice").cast("decimal(20,6)")
+    return j.select("o_orderkey", F.col("code").alias("currency_original"), money.to_base_currency(amount, F.col("code")).cast("double").alias("amount_sar"), money.standard_currency(amount.isNotNull(), money.rate_of(F.col("code"))).alias("currency"))
+
+
+@query("""
+with cur as (select o_totalprice, case c_nationkey % 2 when 0 then 12.25170 else 1.02916 end as rate from orders join customer on o_custkey = c_custkey)
+select cast(count(*) filter (abs(o_totalprice * rate - round(cast(o_totalprice as decimal(20,6)) * cast(rate as decimal(10,5)), 2)) > 0.0100001) as bigint) as sar_off from cur
+""")
+def conversion_check(spark, sf_dir):
+    o, c = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
+    code = F.when(F.col("c_nationkey") % 2 == 0, "KWD").otherwise("AED")
+    j = o.join(c, o.o_custkey == c.c_custkey).select("o_totalprice", money.rate_of(code).cast("double").alias("fx_rate_to_sar"), money.to_base_currency(F.col("o_totalprice"), code).cast("double").alias("sar"))
+    return mapping.check_conversion(j, [("o_totalprice", "sar")])
+
+
+@query("select o_orderkey, strftime(o_orderdate, '%Y-%m-%d') as day from orders")
+def date_multi_format(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").withColumn("source", F.element_at(F.array(*[F.lit(s) for s in dates.SOURCE_FORMATS]), (F.col("o_orderkey") % len(dates.SOURCE_FORMATS)).cast("int") + 1))
+    shown = None
+    for name, formats in dates.SOURCE_FORMATS.items():
+        x = F.date_format("o_orderdate", formats[0])
+        shown = F.when(F.col("source") == name, x) if shown is None else shown.when(F.col("source") == name, x)
+    return o.select("o_orderkey", day(dates.parse_source_date(F.col("source"), shown)).alias("day"))
+
+
+@query("select event_id, strftime(ts, '%Y-%m-%d') as day, strftime(ts + interval 3 hour, '%Y-%m-%d') as local_day from events")
+def dotnet_and_free_dates(spark, sf_dir):
+    e = table(spark, sf_dir, "events")
+    free = F.concat(F.lit("Published: "), F.date_format("ts", "d, MMM,yyyy"))
+    ms = F.concat(F.lit("/Date("), F.unix_millis(F.col("ts").cast("timestamp")), F.lit(")/"))
+    return e.select("event_id", day(dates.parse_any_date(free)).alias("day"), day(dates.dotnet_date(ms)).alias("local_day"))
+
+
+# ---------------------------------------------------------------- quality and gates
+
+
+@query("""
+with m as (select l_shipdate < o_orderdate + interval 30 day as early, l_discount > 0.08 as cheap, l_tax = 0 as untaxed, l_quantity > 45 as bulk, o_orderpriority
+           from lineitem join orders on l_orderkey = o_orderkey),
+f as (select o_orderpriority, nullif(concat_ws('|', case when cheap then 'cheap' end, case when untaxed then 'untaxed' end), '') as crit,
+             nullif(concat_ws('|', case when early then 'early' end, case when bulk then 'bulk' end), '') as warn from m)
+select o_orderpriority, crit as critical_quality_flags, warn as warning_quality_flags, case when crit is null then 'PASS' else 'REJECT' end as quality_status, count(*) as n from f group by all
+""")
+def quality_flags(spark, sf_dir):
+    li, o = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
+    j = li.join(o, li.l_orderkey == o.o_orderkey)
+    masks = {"early": F.col("l_shipdate") < F.col("o_orderdate") + F.expr("interval 30 days"), "cheap": F.col("l_discount") > 0.08, "untaxed": F.col("l_tax") == 0, "bulk": F.col("l_quantity") > 45}
+    out = quality.with_quality(j, masks, ["cheap", "untaxed"], ["early", "bulk"])
+    return out.groupBy("o_orderpriority", "critical_quality_flags", "warning_quality_flags", "quality_status").agg(F.count("*").alias("n"))
+
+
+@query("""
+select 'not_null:o_orderdate' as gate, count(*) filter (o_orderdate is null) as offences from orders
+union all select 'unique:o_orderkey', count(*) - count(distinct o_orderkey) from orders
+union all select 'unique:o_custkey', count(*) - count(distinct o_custkey) from orders
+union all select 'allowed:o_orderstatus', count(*) filter (o_orderstatus not in ('O', 'F')) from orders
+union all select 'non_blank:o_orderpriority', count(*) filter (trim(o_orderpriority) = '') from orders
+union all select 'implies:urgent_is_dear', count(*) filter (o_orderpriority = '1-URGENT' and o_totalprice <= 100000) from orders
+""")
+def gates_report(spark, sf_dir):
+    g = quality
+    gates = [g.not_null("o_orderdate"), g.unique("o_orderkey"), g.unique("o_custkey"), g.allowed("o_orderstatus", ["O", "F"]), g.non_blank("o_orderpriority"), g.implies("urgent_is_dear", F.col("o_orderpriority") == "1-URGENT", F.col("o_totalprice") > 100000)]
+    return g.gates_report(table(spark, sf_dir, "orders"), gates)
+
+
+# ---------------------------------------------------------------- classification
+
+#: A small lexicon of words that the tables have.
+_LEXICON = {"tech": ["the and", "of the", "software", "database", "website development"], "nontech": ["in the", "brochure", "ring"], "override": ["that the", "cctv"], "weak": ["with", "für", "dans", "network"]}
+
+
+def _phrase_sql(name: str, col: str = "padded") -> str:
+    ordered = sorted(_LEXICON[name], key=len, reverse=True)
+    return "case " + " ".join(f"when contains({col}, ' {p.replace('ü', 'u')} ') then '{p}'" for p in ordered) + " end"
+
+
+_NORMED = f"""
+with {_TITLES}, worded as (
+    select doc_id, source, lang, case doc_id % 9 when 0 then 'Develop a new website' when 1 then title || ' software' when 2 then 'ab' when 3 then 'Oracle support ' || title else title end as title from titles
+), normed as (
+    select *, trim(regexp_replace(regexp_replace(strip_accents(replace(lower(title), 'ß', 'ss')), '[-_/\\\\|(),:;.&+]+', ' ', 'g'), '\\s+', ' ', 'g')) as norm from worded
+), spaced as (select *, ' ' || regexp_replace(norm, '[^\\p{{L}}\\p{{N}}_]+', ' ', 'g') || ' ' as padded from normed),
+phrases as (select *, {_phrase_sql("override")} as override, {_phrase_sql("tech")} as tech, {_phrase_sql("nontech")} as nontech, {_phrase_sql("weak")} as weak,
+    case when regexp_matches(norm, '\\b(?:develop(?:ment|ing)?|design|maintenan\\w*|launch)\\b.{{0,60}}\\bwebsite\\b') then 'website_development'
+         when regexp_matches(norm, '\\boracle\\b.{{0,80}}\\b(?:licen[cs]\\w*|subscription|renewal|support)\\b') then 'vendor_license_support'
+         when regexp_matches(norm, '\\bsoftware\\b.{{0,60}}\\b(?:support|maintenance|upgrade|subscription|license|licenses)\\b') then 'software_support' end as rule from spaced),
+judged as (select doc_id, source, lang, case when length(norm) <= 2 then ['Review', 'bad_title', 'Missing or unusably short title']
+    when override is not null then ['Non-Tech', 'nontech_override', override]
+    when coalesce(tech, rule) is not null and nontech is not null and (coalesce(tech in ('software', 'website development'), false) or rule is not null) then ['Technology', 'tech_dominant', coalesce(tech, rule)]
+    when coalesce(tech, rule) is not null and nontech is not null then ['Review', 'title_conflict', 'TECH=' || coalesce(tech, rule) || ' | NONTECH=' || nontech]
+    when nontech is not null then ['Non-Tech', 'nontech_title_rule', nontech]
+    when tech is not null then ['Technology', 'tech_title_rule', tech]
+    when rule is not null then ['Technology', 'tech_title_regex', rule]
+    when doc_id % 4 = 0 then ['Review', 'tech_context_review', 'Technology evidence exists only in context: database']
+    when weak is not null then ['Review', 'weak_tech_title_review', 'Possible Technology signal: ' || weak]
+    else ['Non-Tech', 'no_tech_evidence', 'No Technology evidence detected'] end as j from phrases)
+"""
+
+
+def _classified(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("doc_id") % 9
+    title = F.when(k == 0, "Develop a new website").when(k == 1, F.concat("title", F.lit(" software"))).when(k == 2, "ab").when(k == 3, F.concat(F.lit("Oracle support "), "title")).otherwise(F.col("title"))
+    t = _titles(spark, sf_dir).withColumns({"title": title, "context": F.when(F.col("doc_id") % 4 == 0, "Supplies | Database").otherwise("Supplies")})
+    return classify.classify(spark, t, "source", "title", "context", lexicon=_LEXICON)
+
+
+@query(_NORMED + "select doc_id, override, tech, nontech, weak from phrases where coalesce(override, tech, nontech, weak) is not null")
+def lexicon_first_match(spark, sf_dir):
+    k = F.col("doc_id") % 9
+    title = F.when(k == 0, "Develop a new website").when(k == 1, F.concat("title", F.lit(" software"))).when(k == 2, "ab").when(k == 3, F.concat(F.lit("Oracle support "), "title")).otherwise(F.col("title"))
+    t = _titles(spark, sf_dir).select("doc_id", text.norm_match(title).alias("norm"))
+    return lexicon.first_phrases(t, "doc_id", "norm", lexicon.compile_phrases(spark, _LEXICON), ["override", "tech", "nontech", "weak"])
+
+
+@query(_NORMED + "select doc_id, j[1] as classification, j[2] as method, j[3] as reason from judged")
+def classify_cascade(spark, sf_dir):
+    return _classified(spark, sf_dir).select("doc_id", "classification", "method", "reason")
+
+
+@query(_NORMED + """select source, count(*) as total, count(*) filter (j[1] = 'Technology') as technology, count(*) filter (j[1] = 'Review') as review,
+       count(*) filter (j[1] = 'Non-Tech') as non_tech, true as reconciled from judged group by source""")
+def class_summary(spark, sf_dir):
+    return classify.class_summary(_classified(spark, sf_dir), "source")
+
+
+@query(_NORMED + "select source, j[2] as method, count(*) as n from judged group by all")
+def class_methods(spark, sf_dir):
+    return classify.method_summary(_classified(spark, sf_dir), "source")
+
+
+@query(_NORMED + """, ranked as (select source, doc_id, j[1] as classification, row_number() over (partition by source, j[1] order by doc_id) as sample_no from judged)
+select * from ranked where sample_no <= case classification when 'Non-Tech' then 8 else 12 end""")
+def qa_sample(spark, sf_dir):
+    return classify.qa_sample(_classified(spark, sf_dir), "source", ["doc_id"]).select("source", "doc_id", "classification", F.col("sample_no").cast("bigint").alias("sample_no"))
+
+
+@query(_NORMED + """select round(100.0 * count(*) filter (j[1] = 'Technology') / count(*), 2) as technology, round(100.0 * count(*) filter (j[1] = 'Review') / count(*), 2) as review,
+       round(100.0 * count(*) filter (j[1] = 'Non-Tech') / count(*), 2) as non_tech from judged""")
+def class_rates(spark, sf_dir):
+    return classify.class_rates(_classified(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- identity
+
+_KEYED = """
+with k as (
+    select o_orderkey, 'src' || left(o_orderpriority, 1) as src, case when o_orderkey % 10 <> 0 then 'id' || (o_orderkey // 2) else '' end as id,
+           case when o_orderkey % 7 <> 0 then strftime(o_orderdate, '%Y-%m-%d') else '' end as pub, case when o_orderkey % 14 <> 0 then 'http://x/' || o_custkey else '' end as url, lower(o_orderstatus) as title
+    from orders
+), keyed as (
+    select o_orderkey, case when id <> '' then src || '|source_id=' || id || case when pub <> '' then '|published=' || pub when url <> '' then '|url=' || url else '|title=' || title end
+                            else src || '|title=' || title || '|published=' || pub || '|closing=|url=' || url end as business_key, src, id from k
+)
+"""
+
+
+def _keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("o_orderkey")
+    o = table(spark, sf_dir, "orders").select(
+        k, F.concat(F.lit("src_"), F.substring("o_orderpriority", 1, 1)).alias("source"), F.when(k % 10 != 0, F.concat(F.lit("ID/"), F.expr("o_orderkey div 2"))).alias("source_tender_id"),
+        F.when(k % 7 != 0, F.to_date("o_orderdate")).alias("published_date"), F.lit(None).cast("date").alias("closing_date"), F.when(k % 14 != 0, F.concat(F.lit("http://x/"), "o_custkey")).alias("source_url"), F.col("o_orderstatus").alias("title"),
+    )
+    return identity.with_identity(o)
+
+
+@query(_KEYED + "select o_orderkey, business_key, left(sha256(business_key), 24) as tender_id, 'TND-' || case when id <> '' then 'ID-' || substr(id, 3) || '-' else '' end || upper(left(sha256(business_key), 8)) as tender_code from keyed")
+def business_key_ids(spark, sf_dir):
+    return _keyed(spark, sf_dir).select("o_orderkey", "business_key", "tender_id", "tender_code")
+
+
+@query(_KEYED + "select o_orderkey, case when id = '' then 1 else count(*) over (partition by src, id) end as source_id_group_size, case when id = '' then false else count(*) over (partition by src, id) > 1 end as source_id_reused from keyed")
+def id_group_size(spark, sf_dir):
+    return identity.id_group_size(_keyed(spark, sf_dir)).select("o_orderkey", "source_id_group_size", "source_id_reused")
+
+
+@query("select o_custkey, count(distinct o_orderpriority) as keys from orders group by 1 having keys > 1")
+def collision_report(spark, sf_dir):
+    return identity.id_collisions(table(spark, sf_dir, "orders"), "o_custkey", "o_orderpriority")
+
+
+@query(f"select doc_id, row_number() over (partition by {_KEY.replace('title', 'text')}, lang order by n_chars desc nulls last, doc_id) as duplicate_rank from documents")
+def exact_dedup(spark, sf_dir):
+    d = table(spark, sf_dir, "documents")
+    d = d.withColumn("fp", identity.record_fingerprint(d, ["text", "lang"]))
+    return identity.rank_exact_duplicates(d, "fp", "n_chars", ["doc_id"]).select("doc_id", F.col("duplicate_rank").cast("bigint").alias("duplicate_rank"))
+
+
+_DISPOSED = """
+with f as (select *, value < 2 as bad, row_number() over (partition by user_id, event_type, floor(value / 50) order by ts desc, event_id) as dup from events),
+s as (select *, row_number() over (partition by user_id, (not bad and dup = 1) order by ts desc, event_id) as rn from f),
+d as (select event_id, event_type, case when bad then 'rejected' when dup > 1 then 'duplicate' when rn > 1 then 'superseded' else 'accepted' end as disposition from s)
+"""
+
+
+def _disposed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "events").withColumns({"bucket": F.floor(F.col("value") / 50), "quality_status": F.when(F.col("value") < 2, "REJECT").otherwise("PASS")})
+    e = e.withColumn("fp", identity.record_fingerprint(e, ["user_id", "event_type", "bucket"]))
+    ranked = identity.rank_exact_duplicates(e, "fp", "ts", ["event_id"])
+    return identity.disposition(identity.collapse_snapshots(ranked, "user_id", "ts", (), ["event_id"]))
+
+
+@query(_DISPOSED + "select event_id, disposition from d")
+def snapshot_collapse(spark, sf_dir):
+    return _disposed(spark, sf_dir).select("event_id", "disposition")
+
+
+@query(_DISPOSED + """select count(*) as input, count(*) filter (disposition = 'rejected') as rejected, count(*) filter (disposition = 'duplicate') as duplicate,
+       count(*) filter (disposition = 'superseded') as superseded, count(*) filter (disposition = 'accepted') as accepted, true as reconciled from d""")
+def disposition_recon(spark, sf_dir):
+    return identity.reconcile(_disposed(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- look-alikes
+
+
+@query("""
+with r as (select o_orderkey, o_orderpriority as s, 'CT/' || (o_custkey % 400) || '/' || year(o_orderdate) as ref from orders),
+shared as (select ref from r group by ref having count(distinct s) > 1)
+select o_orderkey, ref from r where ref in (select ref from shared)
+""")
+def shared_reference(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    t = F.concat(F.lit("Renewal of contract ct/"), F.col("o_custkey") % 400, F.lit("/"), F.year("o_orderdate"))
+    return match.shared_reference_flags(o.select("o_orderkey", "o_orderpriority", text.external_refs(t).alias("refs")), "o_orderkey", "o_orderpriority", "refs")
+
+
+_PAIRS = f"""
+with {_TITLES}, tok as (select doc_id, source, lang, date '2026-01-01' + cast(doc_id % 20 as integer) as closing, {_TOKENS} as tokens from titles),
+posts as (select lang, doc_id, source, unnest(tokens) as t from tok), rare as (select lang, t from posts group by all having count(*) between 2 and 400),
+kept as (select posts.* from posts join rare using (lang, t)),
+cand as (select distinct a.doc_id as a, b.doc_id as b from kept a join kept b on a.lang = b.lang and a.t = b.t and a.doc_id < b.doc_id and a.source <> b.source),
+pairs as (select cand.a, cand.b, cast(len(list_intersect(x.tokens, y.tokens)) as bigint) as shared, cast(len(x.tokens) + len(y.tokens) - len(list_intersect(x.tokens, y.tokens)) as bigint) as total, x.closing as ca, y.closing as cb
+          from cand join tok x on cand.a = x.doc_id join tok y on cand.b = y.doc_id),
+alike as (select a, b, shared, total, shared * 1.0 / total as similarity from pairs where shared * 1.0 / total >= 0.82 and abs(date_diff('day', ca, cb)) <= 7)
+"""
+
+
+def _similar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = _titles(spark, sf_dir).withColumns({"tokens": text.title_tokens("title"), "closing": F.date_add(F.lit("2026-01-01").cast("date"), (F.col("doc_id") % 20).cast("int"))})
+    return match.similar_pairs(t, "doc_id", "source", "lang", "tokens", "closing")
+
+
+@query(_PAIRS + "select a, b, shared, total from alike")
+def title_similarity_pairs(spark, sf_dir):
+    return _similar(spark, sf_dir).select("a", "b", "shared", "total")
+
+
+@query(_PAIRS + "select doc_id, doc_id in (select a from alike union all select b from alike) as possible_cross_source_duplicate from titles")
+def similarity_flags(spark, sf_dir):
+    none = _titles(spark, sf_dir).select("doc_id", F.lit("").alias("ref")).where("false")
+    return match.spread_reasons(_titles(spark, sf_dir), "doc_id", none, _similar(spark, sf_dir)).select("doc_id", "possible_cross_source_duplicate")
+
+
+# ---------------------------------------------------------------- publishing
+
+_HALVES = "with e as (select *, strftime(ts, '%Y-%m-%d') as d from events), old as (select * from e where event_id % 3 <> 0), new as (select * from e where event_id % 3 = 0)"
+
+
+def _halves(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    e = table(spark, sf_dir, "events").withColumn("d", day("ts"))
+    return e.where("event_id % 3 <> 0"), e.where("event_id % 3 = 0")
+
+
+@query(_HALVES + ", r as (select user_id, event_id, row_number() over (partition by user_id order by ts desc, d desc, (event_id % 3 = 0) desc) as n from e) select user_id, event_id from r where n = 1")
+def upsert_newest_wins(spark, sf_dir):
+    old, new = _halves(spark, sf_dir)
+    return upsert.upsert(old, new, "user_id", "ts", "d").select("user_id", "event_id")
+
+
+@query(_HALVES + """, o as (select user_id, max(ts) as t from old group by 1), n as (select user_id, max(ts) as t from new group by 1)
+select count(*) filter (o.t is null) as inserted, count(*) filter (o.t is not null and n.t is not null) as matched, count(*) filter (n.t >= o.t) as updated, count(*) filter (n.t < o.t) as kept_existing_newer
+from o full join n on o.user_id = n.user_id""")
+def upsert_stats(spark, sf_dir):
+    old, new = _halves(spark, sf_dir)
+    return upsert.upsert_stats(old, new, "user_id", "ts", "d")
+
+
+@query("""
+select case event_type when 'view' then 'active' when 'click' then 'closed' when 'error' then 'unknown' when 'signup' then 'draft' else 'amended' end as source_status,
+       case event_type when 'view' then ' Open' when 'click' then 'CLOSED' when 'error' then '(blanks)' when 'signup' then 'Draft' else 'Amended' end as raw_source_status, count(*) as n from events group by all
+""")
+def status_normalise(spark, sf_dir):
+    t = F.col("event_type")
+    raw = F.when(t == "view", " Open").when(t == "click", "CLOSED").when(t == "error", "(blanks)").when(t == "signup", "Draft").otherwise("Amended")
+    return upsert.with_source_status(table(spark, sf_dir, "events").select(raw.alias("source_status"))).groupBy("source_status", "raw_source_status").agg(F.count("*").alias("n"))
+
+
+@query("select p_partkey, case when p_size % 5 = 0 or p_type = 'PROMO' then 'عالمية (International)' else 'محلية (Local)' end as scope from part")
+def scope_keyword(spark, sf_dir):
+    p = table(spark, sf_dir, "part")
+    kind = F.when(F.col("p_size") % 5 == 0, "Open INTERNATIONAL").otherwise(F.col("p_name"))
+    return p.select("p_partkey", upsert.tender_scope(kind, F.when(F.col("p_type") == "PROMO", "External bid"), F.lit(None)).alias("scope"))
+
+
+# ---------------------------------------------------------------- pages and records
+
+
+@query("select page_id, regexp_extract(html, '<title>([^<]*)</title>', 1) as title, len(regexp_extract_all(html, '<a href=')) as links from pages")
+def page_titles_and_links(spark, sf_dir):
+    p = table(spark, sf_dir, "pages")
+    return p.select("page_id", F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("title"), F.size(F.regexp_extract_all("html", F.lit("(<a href=)"), F.lit(1))).cast("bigint").alias("links"))
+
+
+@query("select page_id, case when contains(lower(html), 'forbidden') then 'forbidden' when contains(lower(html), 'ition') then 'ition' end as marker from pages")
+def block_pages(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", extract.block_page_marker("html", ["forbidden", "ition"]).alias("marker"))
+
+
+@query("""
+with navs as (select page_id, regexp_extract(html, '<ul>(.*?)</ul>', 1) as ul from pages),
+links as (select page_id, regexp_extract_all(ul, '<a[^>]*>(.*?)</a>', 1) as l from navs)
+select page_id, cast(0 as integer) as row, trim(l[1]) as first, trim(l[2]) as second, trim(l[3]) as third from links where len(l) >= 3 and (trim(l[1]) <> '' or trim(l[3]) <> '')
+""")
+def html_rows(spark, sf_dir):
+    return extract.table_rows(table(spark, sf_dir, "pages").select("page_id", "html"), "html", ["first", "second", "third"], "a", "ul")
+
+
+@query("""
+select page_id, array_to_string(list_transform(regexp_extract_all(html, '<a[^>]*>(.*?)</a>', 1), lambda x: trim(x)), '|') as links from pages
+""")
+def page_link_texts(spark, sf_dir):
+    found = F.regexp_extract_all("html", F.lit("<a[^>]*>(.*?)</a>"), F.lit(1))
+    return table(spark, sf_dir, "pages").select("page_id", F.array_join(F.transform(found, extract.plain_text), "|").alias("links"))
+
+
+@query(r"""
+with hits as (select conv_id, turn, unnest(regexp_extract_all(trim(regexp_replace(text, '\s+', ' ', 'g')), '[a-z]{6,} [a-z]{2,4} (?:the|and|de)')) as hit,
+              generate_subscripts(regexp_extract_all(trim(regexp_replace(text, '\s+', ' ', 'g')), '[a-z]{6,} [a-z]{2,4} (?:the|and|de)'), 1) - 1 as pos from conversations)
+select conv_id, turn, cast(pos as integer) as pos, split_part(hit, ' ', 1) as a, split_part(hit, ' ', 2) as b, split_part(hit, ' ', 3) as c from hits
+""")
+def records_from_text(spark, sf_dir):
+    c = table(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
+    return extract.records_from_text(c, "text", "([a-z]{6,}) ([a-z]{2,4}) (the|and|de)", ["a", "b", "c"])
+
+
+@query("""
+with l as (select conv_id, role, row_number() over (partition by conv_id order by turn) as i from conversations),
+firsts as (select conv_id, role, min(i) as i from l where role in ('user', 'assistant') group by all),
+v as (select f.conv_id, f.role, case when n.role is null or n.role in ('user', 'assistant') then '' else n.role end as v from firsts f left join l n on n.conv_id = f.conv_id and n.i = f.i + 1)
+select conv_id, max(v) filter (role = 'user') as after_user, max(v) filter (role = 'assistant') as after_assistant from v group by conv_id
+union all select conv_id, null, null from conversations group by conv_id having count(*) filter (role in ('user', 'assistant')) = 0
+""")
+def label_value(spark, sf_dir):
+    lines = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role"))).alias("l")).select("conv_id", F.transform("l", lambda x: x.role).alias("lines"))
+    pairs = extract.label_value_pairs(F.col("lines"), ["user", "assistant"])
+    return lines.withColumn("p", pairs).select("conv_id", F.element_at("p", F.lit("user")).alias("after_user"), F.element_at("p", F.lit("assistant")).alias("after_assistant"))
+
+
+@query("select o_orderkey, strftime(o_orderdate + cast(o_custkey % 9 as integer) * interval 1 day, '%Y-%m-%d') as second_date, strftime(o_orderdate, '%d-%m-%Y') as close from orders")
+def nth_date(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    later = F.date_add(F.to_date("o_orderdate"), (F.col("o_custkey") % 9).cast("int"))
+    t = F.concat(F.lit("from "), F.date_format("o_orderdate", "d/M/yyyy"), F.lit(" to "), F.date_format(later, "yyyy-MM-dd"), F.lit(" end"))
+    labelled = F.concat(F.lit("Sales end: 1-2-2020; Bid close: "), F.date_format("o_orderdate", "yyyy/M/d"))
+    return o.select("o_orderkey", extract.nth_date(t, 1).alias("second_date"), extract.labelled_dates(labelled, "sales end", "bid close")["close"].alias("close"))
+
+
+@query("select page_id, nullif(regexp_extract(url, 'https?://[^/]*/[a-z]*/([0-9]+)', 1), '') as id from pages")
+def id_from_url(spark, sf_dir):
+    number = F.regexp_extract("url", "https?://[^/]*/[a-z]*/([0-9]+)", 1)
+    made = F.concat(F.lit("https://x.example/t?a=1&id=Tender%20%28"), number, F.lit("%29"))
+    return table(spark, sf_dir, "pages").select("page_id", extract.id_from_url(made).alias("id"))
+
+
+@query("""
+with e as (select event_type as source, event_id // 40 as page, event_id as pos, user_id % 25 as k, user_id from events),
+r as (select *, row_number() over (partition by source, page order by pos) as n from e),
+p as (select source, page, string_agg(k || ':' || (k + 1), ',' order by n) as fp from r where n <= 1 group by all)
+select source, page, row_number() over (partition by source, fp order by page) > 1 as repeated from p
+""")
+def repeated_pages(spark, sf_dir):
+    e = table(spark, sf_dir, "events").select(F.col("event_type").alias("source"), F.expr("event_id div 40").alias("page"), F.col("event_id").alias("pos"), (F.col("user_id") % 25).alias("k"))
+    return extract.repeated_pages(e, "source", "page", "pos", F.col("k"), F.col("k") + 1, 1).select("source", "page", "repeated")
+
+
+@query("""
+with e as (select event_type as source, event_id // 100 as page, event_id as pos, user_id from events), r as (select *, row_number() over (partition by source, user_id order by page, pos) as n from e)
+select source, page, count(*) as rows, count(*) filter (n = 1) as new_keys, count(*) filter (n > 1) as duplicate_keys from r group by source, page
+""")
+def page_novelty(spark, sf_dir):
+    e = table(spark, sf_dir, "events").select(F.col("event_type").alias("source"), F.expr("event_id div 100").alias("page"), F.col("event_id").alias("pos"), "user_id")
+    return extract.page_novelty(e, "source", "page", "pos", F.col("user_id"))
+
+
+@query("select o_custkey, bool_and(coalesce(case when o_orderkey % 50 <> 0 then cast(o_orderdate as date) end < date '2000-06-01', false)) as stale from orders group by 1")
+def stale_pages(spark, sf_dir):
+    date = F.when(F.col("o_orderkey") % 50 != 0, F.to_date("o_orderdate"))
+    return extract.page_is_stale(table(spark, sf_dir, "orders"), "o_custkey", date, F.lit("2000-06-01").cast("date"))
+
+
+@query("""
+with c as (select n_nationkey as page, 0 as row, 0 as col, 'Name' as text from nation union all select n_nationkey, 0, 1, n_name from nation
+           union all select n_nationkey, 1, 0, 'Region: ' || n_regionkey from nation)
+select page, 'Name' as label, text as value from c where row = 0 and col = 1 union all select page, 'Region', substr(text, 9) from c where row = 1
+""")
+def cell_values(spark, sf_dir):
+    n = table(spark, sf_dir, "nation").withColumnRenamed("n_nationkey", "page")
+    cell = lambda r, c, t: n.select("page", F.lit(r).alias("row"), F.lit(c).alias("col"), t.alias("text"))
+    cells = cell(0, 0, F.lit("Name")).unionByName(cell(0, 1, F.col("n_name"))).unionByName(cell(1, 0, F.concat(F.lit("Region: "), "n_regionkey")))
+    return extract.cell_label_values(cells, ["Name", "Region"])
+
+
+@query("select event_id, cast(json_extract_string(props, '$.k') as varchar) as id, event_type as title, 'https://example.invalid/tenders/' || json_extract_string(props, '$.k') as url from events")
+def json_props(spark, sf_dir):
+    e = table(spark, sf_dir, "events")
+    rec = F.try_parse_json(F.concat(F.lit('{"id":'), F.get_json_object("props", "$.k"), F.lit(',"title":"'), "event_type", F.lit('"}')))
+    return extract.flatten_payload(e.select("event_id", rec.alias("rec")), "rec").select("event_id", "id", "title", "url")
+
+
+# ---------------------------------------------------------------- files
+
+
+def _files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "events")
+    return bronze.object_columns(e.select(F.concat_ws("/", "event_type", day("ts"), F.concat("event_id", F.when(F.col("event_id") % 50 == 0, "/x").otherwise(".json"))).alias("object_name"), "event_id", "user_id"))
+
+
+_FILES = "with f as (select event_id, user_id, event_type as source, strftime(ts, '%Y-%m-%d') as d, event_type || '/' || strftime(ts, '%Y-%m-%d') || '/' || event_id || case when event_id % 50 = 0 then '/x' else '.json' end as object_name from events)"
+
+
+@query(_FILES + " select object_name from f where event_id % 50 = 0")
+def unexpected_objects(spark, sf_dir):
+    return bronze.unexpected_objects(_files(spark, sf_dir))
+
+
+@query(_FILES + " select object_name from f where event_id % 50 <> 0 and user_id % 2 = 1")
+def incremental_select(spark, sf_dir):
+    files = _files(spark, sf_dir).where("parts = 3")
+    return bronze.select_incremental(files, files.where("user_id % 2 = 0")).select("object_name")
+
+
+@query(_FILES + " select source, max(object_name) as object_name from f where event_id % 50 <> 0 group by source")
+def latest_object(spark, sf_dir):
+    return bronze.latest_object_per_source(_files(spark, sf_dir).where("parts = 3"))
+
+
+@query("select distinct 'src' || n_nationkey % 30 as source from nation where 'src' || n_nationkey % 30 not in (select source from documents)")
+def missing_sources(spark, sf_dir):
+    expected = table(spark, sf_dir, "nation").select(F.concat(F.lit("src"), F.col("n_nationkey") % 30).alias("source"))
+    return bronze.missing_sources(table(spark, sf_dir, "documents"), expected)
+
+
+@query("select event_type as source, cast(user_id as varchar) as run_id, count(*) as paths, min(cast(event_id as varchar)) as first_object from events group by all having count(*) > 1")
+def duplicate_runs(spark, sf_dir):
+    e = table(spark, sf_dir, "events").select(F.col("event_type").alias("source"), F.col("user_id").cast("string").alias("run_id"), F.col("event_id").cast("string").alias("object_name"))
+    return bronze.duplicate_runs(e)
+
+
+@query("select event_type as source, count(*) as rows, cast(sum(user_id) as bigint) as keys from events where event_type in ('click', 'view') group by 1")
+def changed_since_latest(spark, sf_dir):
+    e = table(spark, sf_dir, "events")
+    new = e.select(F.col("event_type").alias("source"), F.col("event_id").alias("pos"), "user_id", F.try_parse_json("props").alias("rec"))
+    changed = F.when((F.col("source").isin("click", "view")) & (F.col("pos") % 100 < 50), F.try_parse_json(F.lit('{"k": -1}'))).otherwise(F.col("rec"))
+    out = bronze.changed_since_latest(new.withColumn("rec", changed), new)
+    return out.groupBy("source").agg(F.count("*").alias("rows"), F.sum("user_id").alias("keys"))
+
 
-def queries():
-    return {}
+@query("""select o_orderpriority, count(*) as n from orders where o_orderkey % 4 <> 0 group by 1""")
+def valid_records(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").withColumns({"number": F.when(F.col("o_orderkey") % 4 == 0, "x").otherwise(F.concat(F.lit("N-"), "o_orderkey")), "title": F.col("o_orderpriority")})
+    return extract.valid_record(o, "number", "title", r"N-\d+").groupBy("o_orderpriority").agg(F.count("*").alias("n"))
 
 
-def oracle_sql():
-    return {}
+@query("select o_custkey, o_orderstatus, min(o_orderkey) as o_orderkey from orders group by all")
+def first_per_key(spark, sf_dir):
+    return extract.first_per_page_key(table(spark, sf_dir, "orders"), "o_custkey", "o_orderstatus", "o_orderkey").select("o_custkey", "o_orderstatus", "o_orderkey")
