@@ -11,6 +11,6 @@ def spark():
     from noticeworks.session import local_session
 
     session = local_session(4, "4g")
-    session.sparkContext.setLogLevel("ERROR")
+    session.sparkContext.setLogLevel("OFF")
     yield session
     session.stop()

@@ -1,0 +1,106 @@
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from noticeworks.operators import quality, upsert
+from noticeworks.plans import medallion
+from noticeworks.sources import bronze, sinks
+from noticeworks.streaming.incremental import VersionedTable, stream_bronze, stream_upsert
+
+RUN = medallion.Run("r1", "2026-09-24")
+
+
+def put(root, source, date, run, records):
+    path = root / source / date
+    path.mkdir(parents=True, exist_ok=True)
+    (path / f"{run}.json").write_text(records if isinstance(records, str) else json.dumps(records, ensure_ascii=False))
+
+
+def notice(i, at, **more):
+    return {"Item ID": f"T-{i}", "Title": f"Supply of item {i}", "Published Date": "01 Sep 2026", "Closing Date": "20 Sep 2026", "Detail URL": f"http://x/{i}", "_page": 1, "_extracted_at": at, **more}
+
+
+@pytest.fixture
+def tree(tmp_path):
+    root = tmp_path / "bronze"
+    put(root, "qa_source_03", "2026-09-01", "run1", [notice(1, "2026-09-01T00:00:00+00:00"), notice(2, "2026-09-01T00:00:00+00:00"), {**notice(3, "2026-09-01T00:00:00+00:00"), "Published Date": "gibberish"}])
+    put(root, "qa_source_03", "2026-09-02", "run2", [notice(1, "2026-09-02T00:00:00+00:00"), notice(2, "2026-09-02T00:00:00+00:00", Title="Supply of software 2")])
+    put(root, "qa_source_01", "2026-09-02", "run2", [{"رقم المناقصة": "9/2026", "موضوع المناقصة": "توريد برمجيات", "تاريخ الطرح": "1/9/2026", "تاريخ الإغلاق": "20/9/2026", "قيمة الوثائق (رق)": "1,000.50", "_currency": "QAR", "_extracted_at": "2026-09-02T00:00:00Z"}])
+    put(root, "ae_source_02", "2026-09-02", "run2", notice(7, "2026-09-02T00:00:00Z"))
+    put(root, "ae_source_02", "2026-09-03", "run3", ["loose", 5])
+    put(root, "ae_source_01", "2026-09-03", "run3", "{not json")
+    put(root, "sa_source_02", "2026-09-03", "run3", [])
+    put(root, "sa_source_02/extra", "2026-09-03", "run3", [notice(8, "x")])
+    return root
+
+
+def test_bronze_reader(spark, tree):
+    rows = bronze.read_bronze(spark, str(tree))
+    counts = {tuple(r) for r in rows.groupBy("source", "run_id", "malformed").count().collect()}
+    assert counts == {("qa_source_03", "run1", False, 3), ("qa_source_03", "run2", False, 2), ("qa_source_01", "run2", False, 1), ("ae_source_02", "run2", False, 1), ("ae_source_02", "run3", False, 2), ("ae_source_01", "run3", True, 1)}
+    loose = rows.where("source = 'ae_source_02' and run_id = 'run3'").select(F.to_json("rec")).collect()
+    assert sorted(r[0] for r in loose) == ['{"value":"loose"}', '{"value":5}']
+    files = bronze.list_objects(spark, str(tree))
+    assert {r["object_name"] for r in bronze.unexpected_objects(files).collect()} == {"sa_source_02/extra/2026-09-03/run3.json"}
+    manifest = {(r["source"], r["run_id"]): r["rows"] for r in bronze.bronze_manifest(rows, files).collect()}
+    assert manifest[("sa_source_02", "run3")] == 0 and manifest[("qa_source_03", "run1")] == 3
+    done = files.where("run_id = 'run1'")
+    assert {r["run_id"] for r in bronze.select_incremental(files.where("parts = 3"), done).collect()} == {"run2", "run3"}
+    expected = spark.createDataFrame([("qa_source_03",), ("ae_source_02",)], "source string")
+    assert bronze.select_explicit_run(files.where("parts = 3"), "run2", expected).count() == 3
+    with pytest.raises(ValueError):
+        bronze.select_explicit_run(files.where("parts = 3"), "run1", expected)
+
+
+def test_silver_and_gold(spark, tree, tmp_path):
+    rows = medallion.silver_rows(spark, bronze.read_bronze(spark, str(tree)), RUN).cache()
+    kinds = {r["disposition"]: r["count"] for r in rows.groupBy("disposition").count().collect()}
+    # notice 3 has no date and the loose values no title; notice 1 was scraped twice; notice 2 changed
+    assert kinds == {"rejected": 3, "duplicate": 1, "superseded": 1, "accepted": 4}
+    silver = medallion.accepted(rows)
+    quality.run_gates(silver, medallion.silver_gates())
+    by_id = {r["source_tender_id"]: r for r in silver.collect()}
+    assert by_id["T-2"]["title"] == "Supply of software 2" and by_id["T-2"]["classification"] == "Technology"
+    assert by_id["9/2026"]["document_fee"] == 1030.72 and by_id["9/2026"]["currency"] == "SAR" and by_id["9/2026"]["tender_code"].startswith("QA1-9-2026-")
+    gold = medallion.build_gold(silver, "2026-09-10")
+    assert {r["status"] for r in gold.collect()} == {"Open"}
+    version = sinks.write_table_overwrite(silver, str(tmp_path / "silver"), "tender_id")
+    assert bronze.read_silver(spark, version).count() == 4
+    assert sinks.write_csv_copy(gold, str(tmp_path / "gold.csv")) == 4
+    assert bronze.read_silver(spark, str(tmp_path / "none"), str(tmp_path / "gold.csv")).count() == 4
+
+
+def test_gates_name_what_failed(spark):
+    df = spark.createDataFrame([(1, "a"), (1, None)], "k int, v string")
+    with pytest.raises(ValueError, match=r"not_null:v \(1\), unique:k \(1\)"):
+        quality.run_gates(df, [quality.not_null("v"), quality.unique("k"), quality.row_count(2)])
+
+
+def test_stream_equals_batch(spark, tree, tmp_path):
+    target = VersionedTable(spark, str(tmp_path / "table"))
+
+    def shape(batch):
+        return medallion.accepted(medallion.silver_rows(spark, batch, RUN))
+
+    def go():
+        stream_upsert(stream_bronze(spark, str(tree)), target, str(tmp_path / "checkpoint"), shape)
+
+    go()
+    once = target.current()
+    go()
+    assert target.current() == once  # no new files, no new version
+    put(tree, "qa_source_03", "2026-09-05", "run5", [notice(1, "2026-08-01T00:00:00Z", Title="late and old"), notice(4, "2026-09-05T00:00:00Z")])
+    go()
+    batch = upsert.rebuild(shape(bronze.read_bronze(spark, str(tree))))
+    cols = ["tender_id", "title", "scraped_at"]
+    assert sorted(map(tuple, target.read().select(*cols).collect())) == sorted(map(tuple, batch.select(*cols).collect()))
+
+
+def test_upsert_twice_is_once(spark):
+    old = spark.createDataFrame([("a", "2026-01-02", "d", 1), ("b", "2026-01-01", "d", 1)], "tender_id string, scraped_at string, bronze_run_date string, v int")
+    new = spark.createDataFrame([("a", "2026-01-01", "d", 2, "x"), ("b", "2026-01-01", "d", 2, "x"), ("c", None, "d", 2, "x")], "tender_id string, scraped_at string, bronze_run_date string, v int, extra string")
+    once = upsert.upsert(old, new)
+    assert sorted((r["tender_id"], r["v"], r["extra"]) for r in once.collect()) == [("a", 1, None), ("b", 2, "x"), ("c", 2, "x")]
+    assert sorted(map(tuple, upsert.upsert(once, new).collect())) == sorted(map(tuple, once.collect()))
+    assert upsert.upsert_stats(old, new).first().asDict() == {"inserted": 1, "matched": 2, "updated": 1, "kept_existing_newer": 1}
