@@ -76,7 +76,8 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = 10, id_col: str =
 
     Rows with null ids, and vectors that are null or hold null or non-finite components, take no part.
     Vectors may differ in length: missing dimensions are 0. A query row is known among the candidates by its
-    id and vector; repeated rows of one id are one another's self. Scores beyond a long are held at its ends.
+    id and vector; repeated rows of one id are one another's self. Components and scores beyond a long are held
+    at its ends, and scores held there tie.
     """
     slim = lambda df: df.select(F.col(id_col).cast("long").alias("id"), quantised(F.col(vector_col), scale).alias("v")).where("id is not null and v is not null").withColumn("row", F.col("id"))
     qs, cs = slim(queries), slim(candidates)
