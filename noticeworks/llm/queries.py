@@ -21,4 +21,4 @@ def queries():
 
 
 def oracle_sql():
-    return {"op1_url_filter": url_filter.OP1_SQL, "op2_license_scan": license_scan.OP2_SQL, "op6_exact_topk": topk.OP6_SQL}
+    return {"op1_url_filter": url_filter.OP1_SQL, "op2_license_scan": license_scan.OP2_SQL, "op6_exact_topk": topk.OP6_SQL, "op10_ngram_jaccard_join": ngram_join.OP10_SQL}

@@ -8,7 +8,8 @@ SF = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="module")
 def stages(spark):
-    pipeline = pytest.importorskip("corpus_pipeline")
+    import corpus_pipeline as pipeline
+
     from noticeworks.llm.shared import written
 
     docs = spark.read.parquet(f"{SF}/documents.parquet")
@@ -53,7 +54,8 @@ def test_each_stage_on_what_the_one_before_kept(spark, stages):
 
 
 def test_near_duplicate_stage_with_repeated_and_null_ids(spark):
-    pipeline = pytest.importorskip("corpus_pipeline")
+    import corpus_pipeline as pipeline
+
     a, b = " ".join(f"a{i}" for i in range(60)), " ".join(f"b{i}" for i in range(60))
     rows = [(1, a), (1, a), (1, b), (2, a), (2, b), (None, ""), (None, None), (3, a + " end"), (4, "one two"), (5, "One two")]
     df = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
@@ -62,6 +64,7 @@ def test_near_duplicate_stage_with_repeated_and_null_ids(spark):
 
 
 def test_run_gives_the_last_stage(spark, stages):
-    pipeline = pytest.importorskip("corpus_pipeline")
+    import corpus_pipeline as pipeline
+
     out = pipeline.run(spark, SF)
     assert out.count() == len(stages[-1]) and out.where(~F.col("round_trip")).count() == 0
