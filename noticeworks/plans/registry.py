@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from noticeworks.functions import dates, money, text
 from noticeworks.operators import classify, extract, gold, identity, lexicon, mapping, match, profile, quality, upsert
+from noticeworks.plans import medallion
 from noticeworks.sources import bronze
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -672,3 +673,37 @@ def valid_records(spark, sf_dir):
 @query("select o_custkey, o_orderstatus, min(o_orderkey) as o_orderkey from orders group by all")
 def first_per_key(spark, sf_dir):
     return extract.first_per_page_key(table(spark, sf_dir, "orders"), "o_custkey", "o_orderstatus", "o_orderkey").select("o_custkey", "o_orderstatus", "o_orderkey")
+
+
+# ---------------------------------------------------------------- the whole chain
+
+
+def _as_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as scraped notices of two sources: each in a first run, a third of them unchanged and a third amended in a second run."""
+    o = table(spark, sf_dir, "orders")
+    third, run = F.col("o_custkey") % 3, F.col("run")
+    runs = F.when(third == 2, F.array(F.lit(1))).otherwise(F.array(F.lit(1), F.lit(2)))
+    rows = o.withColumn("run", F.explode(runs))
+    title = F.concat(F.lit("Supply of item "), "o_orderkey", F.when((run == 2) & (third == 1), F.lit(" amended")).otherwise(""))
+    published = F.when(F.col("o_orderkey") % 13 == 0, F.lit("no date")).otherwise(F.date_format("o_orderdate", "d MMM yyyy"))
+    rec = F.struct(
+        F.concat(F.lit("T-"), "o_orderkey").alias("Item ID"), title.alias("Title"), published.alias("Published Date"),
+        F.date_format(F.date_add(F.to_date("o_orderdate"), 20), "d MMM yyyy").alias("Closing Date"), F.concat(F.lit("http://x/"), "o_orderkey").alias("Detail URL"),
+        F.concat(F.lit("2026-09-0"), run.cast("string"), F.lit("T00:00:00Z")).alias("_extracted_at"),
+    )
+    source = F.when(F.col("o_orderkey") % 2 == 0, "qa_source_03").otherwise("ae_source_02")
+    name = F.concat(source, F.lit("/2026-09-0"), run.cast("string"), F.lit("/run"), run.cast("string"), F.lit(".json"))
+    return rows.select(
+        source.alias("source"), F.concat(F.lit("2026-09-0"), run.cast("string")).alias("run_date"), F.concat(F.lit("run"), run.cast("string")).alias("run_id"), name.alias("object_name"), name.alias("file_path"),
+        F.col("o_orderkey").alias("pos"), F.lit(False).alias("malformed"), F.parse_json(F.to_json(rec)).alias("rec"),
+    )
+
+
+@query("""
+with r as (select o_orderkey, o_custkey % 3 as third, o_orderkey % 13 = 0 as bad, case when o_orderkey % 2 = 0 then 'qa_source_03' else 'ae_source_02' end as source, unnest(case when o_custkey % 3 = 2 then [1] else [1, 2] end) as run from orders)
+select source, case when bad then 'rejected' when third = 0 and run = 1 then 'duplicate' when third = 1 and run = 1 then 'superseded' else 'accepted' end as disposition, 'Non-Tech' as classification, count(*) as n
+from r group by all
+""")
+def medallion_dispositions(spark, sf_dir):
+    rows = medallion.silver_rows(spark, _as_bronze(spark, sf_dir), medallion.Run("r1", "2026-09-24"))
+    return rows.groupBy("source", "disposition", "classification").agg(F.count("*").alias("n"))
