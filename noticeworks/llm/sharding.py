@@ -43,33 +43,33 @@ def _shift(value: Column, bits: int) -> Column:
 def _by_node(nodes: dict[int, object], default: object, node: Column | None = None) -> Column:
     """A literal table from node number to value."""
     table = F.create_map(*[F.lit(x) for pair in nodes.items() for x in pair])
-    return F.coalesce(F.element_at(table, F.col("node") if node is None else node), F.lit(default))
+    return F.coalesce(F.element_at(table, F.col("_node") if node is None else node), F.lit(default))
 
 
 def _key(dim: Column) -> Column:
-    return _shift(F.get(F.col("dims"), dim), CRC_BITS + ID_BITS).bitwiseOR(_shift(F.col("crc"), ID_BITS)).bitwiseOR(F.col("idh"))
+    return _shift(F.get(F.col("_dims"), dim), CRC_BITS + ID_BITS).bitwiseOR(_shift(F.col("_crc"), ID_BITS)).bitwiseOR(F.col("_idh"))
 
 
 def _cuts(rows: DataFrame, nodes: list[Node], open_: list[int], dims: int, tolerance: float) -> None:
     """Sets dim and cut of the open nodes."""
-    extents = rows.where(F.col("node").isin(open_)).groupBy("node").agg(F.sum("size").alias("all"), *[(F.max(F.get("dims", F.lit(d))) - F.min(F.get("dims", F.lit(d)))).alias(f"w{d}") for d in range(dims)]).collect()
-    total = {r["node"]: r["all"] for r in extents}
+    extents = rows.where(F.col("_node").isin(open_)).groupBy("_node").agg(F.sum("size").alias("all"), *[(F.max(F.get("_dims", F.lit(d))) - F.min(F.get("_dims", F.lit(d)))).alias(f"w{d}") for d in range(dims)]).collect()
+    total = {r["_node"]: r["all"] for r in extents}
     for r in extents:
         widths = [r[f"w{d}"] for d in range(dims)]
-        nodes[r["node"]].dim = widths.index(max(widths))
+        nodes[r["_node"]].dim = widths.index(max(widths))
     seek = {n: (0, 0, KEY_BITS) for n in total}  # key prefix, bytes before it, bits below it
     while seek:
         below = next(iter(seek.values()))[2]
         step = min(STEP_BITS, below)
-        keyed = rows.where(F.col("node").isin(list(seek))).select("node", "size", _key(_by_node({n: nodes[n].dim for n in seek}, 0)).alias("key"))
+        keyed = rows.where(F.col("_node").isin(list(seek))).select("_node", "size", _key(_by_node({n: nodes[n].dim for n in seek}, 0)).alias("key"))
         inside = keyed.where(F.shiftright("key", below) == _by_node({n: p for n, (p, _, _) in seek.items()}, 0).cast("long"))
-        bins = inside.groupBy("node", F.shiftright("key", below - step).alias("bin")).agg(F.sum("size").alias("w"))
-        cum = bins.withColumn("upto", F.sum("w").over(Window.partitionBy("node").orderBy("bin")) + _by_node({n: b for n, (_, b, _) in seek.items()}, 0))
+        bins = inside.groupBy("_node", F.shiftright("key", below - step).alias("bin")).agg(F.sum("size").alias("w"))
+        cum = bins.withColumn("upto", F.sum("w").over(Window.partitionBy("_node").orderBy("bin")) + _by_node({n: b for n, (_, b, _) in seek.items()}, 0))
         target = _by_node({n: total[n] * nodes[n].left / nodes[n].shards for n in seek}, 0.0)
-        cross = cum.where(F.col("upto") >= target).groupBy("node").agg(F.min(F.struct("bin", "w", "upto")).alias("c")).select("node", "c.*").collect()
+        cross = cum.where(F.col("upto") >= target).groupBy("_node").agg(F.min(F.struct("bin", "w", "upto")).alias("c")).select("_node", "c.*").collect()
         after = {}
         for r in cross:
-            n, low = r["node"], below - step
+            n, low = r["_node"], below - step
             goal = total[n] * nodes[n].left / nodes[n].shards
             if low and r["w"] > tolerance * total[n]:
                 after[n] = (r["bin"], r["upto"] - r["w"], low)
@@ -97,13 +97,13 @@ def shard_by_kd_tree(docs: DataFrame, shards: int = 24, id_col: str = "doc_id",
     sized = sized.select(*own, "size", "text_crc32")
     if not keep_text:
         sized = written(sized, "sizes")
-    meta = sized.withColumns({"dims": F.array(log, *[name(c) for c in dim_cols]), "crc": F.col("text_crc32"), "idh": F.pmod(F.xxhash64(F.col(id_col)), F.lit(1 << ID_BITS))})
-    slim = meta.select("size", "dims", "crc", "idh") if not keep_text else written(meta.select("size", "dims", "crc", "idh"), "metadata")
+    meta = sized.withColumns({"_dims": F.array(log, *[name(c) for c in dim_cols]), "_crc": F.col("text_crc32"), "_idh": F.pmod(F.xxhash64(F.col(id_col)), F.lit(1 << ID_BITS))})
+    slim = meta.select("size", "_dims", "_crc", "_idh") if not keep_text else written(meta.select("size", "_dims", "_crc", "_idh"), "metadata")
 
     nodes, open_ = [Node(shards, 0)], [0]
     if shards < 2:
         open_ = []
-    routed = slim.withColumn("node", F.lit(0))
+    routed = slim.withColumn("_node", F.lit(0))
     rounds: list[list[int]] = []
     while open_:
         for n in open_:
@@ -140,7 +140,7 @@ def _route(meta: DataFrame, nodes: list[Node], rounds: list[list[int]]) -> DataF
             return F.when(by(lambda x: x.left, -1) < 0, node).when(low, by(lambda x: x.left, -1)).otherwise(by(lambda x: x.right, -1))
 
         at = F.get(F.transform(F.array(at), go), F.lit(0))
-    return meta.withColumn("node", at)
+    return meta.withColumn("_node", at)
 
 
 def _with_slots(sharded: DataFrame, shards: int, id_col: str, bucket_rows: int) -> DataFrame:

@@ -132,13 +132,14 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         sized = written(sized.drop(text_col), "sizes")
     units = written(sized.groupBy(F.col(source_col).alias("s"), "_h", "_h2").agg(F.sum("size").alias("size")), "units")
     plan = F.broadcast(plan_sources(units, weights, most, share))
-    part = F.col("ratio") - F.floor("ratio")
+    part = F.col("_ratio") - F.floor("_ratio")
     planned = units.where("size > 0").join(plan, units["s"].eqNullSafe(plan["_source"])).withColumn("pi", part)
-    settled = cube_sample(planned.where(part > EDGE).select("source_no", F.col("_h").alias("h"), F.col("_h2").alias("h2"), F.col("size").cast("double").alias("size"), "pi"), seed, block_rows)
-    extra = settled.where("pi > 0.5").select("source_no", F.col("h").alias("_h"), F.col("h2").alias("_h2"), F.lit(1).alias("_extra"))
-    placed = sized.join(plan, sized[source_col].eqNullSafe(plan["_source"]))
-    times = F.when(F.col("size") > 0, F.floor("ratio") + F.coalesce("_extra", F.lit(0))).otherwise(0).cast("long")
-    return placed.join(extra, ["source_no", "_h", "_h2"], "left").withColumn("times", times).select(*own, "size", "source_size", "target", "times")
+    open_ = planned.where(part > EDGE).select(F.col("_no").alias("source_no"), F.col("_h").alias("h"), F.col("_h2").alias("h2"), F.col("size").cast("double").alias("size"), "pi")
+    settled = cube_sample(open_, seed, block_rows)
+    extra = settled.where("pi > 0.5").select(F.col("source_no").alias("_no"), F.col("h").alias("_h"), F.col("h2").alias("_h2"), F.lit(1).alias("_extra"))
+    placed = sized.join(plan, sized[source_col].eqNullSafe(plan["_source"])).join(extra, ["_no", "_h", "_h2"], "left")
+    times = F.when(F.col("size") > 0, F.floor("_ratio") + F.coalesce("_extra", F.lit(0))).otherwise(0).cast("long")
+    return placed.withColumns({"source_size": F.col("_size"), "target": F.col("_target"), "times": times}).select(*own, "size", "source_size", "target", "times")
 
 
 #: One row of about 100 bytes for each source is planned on the driver and broadcast.
@@ -146,7 +147,7 @@ MAX_SOURCES = 100_000
 
 
 def plan_sources(units: DataFrame, weights: tuple, most: int, share: float) -> DataFrame:
-    """_source, source_no, source_size, target and ratio (target / size); one row for each source."""
+    """_source, _no, _size, _target and _ratio (target / size); one row for each source."""
     per = units.groupBy("s").agg(F.sum("size").alias("n")).limit(MAX_SOURCES + 1).collect()
     if len(per) > MAX_SOURCES:
         raise ValueError(f"more than {MAX_SOURCES} sources")
@@ -154,7 +155,7 @@ def plan_sources(units: DataFrame, weights: tuple, most: int, share: float) -> D
     sizes = [r["n"] for r in per]
     targets = water_fill(sizes, [weights[i % len(weights)] for i in range(len(per))], Fraction(share) * sum(sizes), most)
     rows = [(r["s"], i, r["n"], float(t), float(t / r["n"]) if r["n"] else 0.0) for i, (r, t) in enumerate(zip(per, targets, strict=True))]
-    return units.sparkSession.createDataFrame(rows, f"_source {units.schema['s'].dataType.simpleString()}, source_no int, source_size long, target double, ratio double")
+    return units.sparkSession.createDataFrame(rows, f"_source {units.schema['s'].dataType.simpleString()}, _no int, _size long, _target double, _ratio double")
 
 
 def op8_source_mix(spark, sf_dir):

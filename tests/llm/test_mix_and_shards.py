@@ -39,7 +39,9 @@ def test_mix_in_several_rounds_stays_balanced(spark):
 
 def test_mix_edges(spark):
     rows = [(1, None, "en", None, "x"), (1, None, "en", None, "x"), (2, "", "en", "", "x"), (3, "a b c", "en", "s", "x"), (3, "a b c", "en", "s", "x"), (None, "d e", None, "s", "x"), (4, "w " * 20000, "en", "t", "x")]
-    out = source_mix.mix_sources(spark.createDataFrame(rows, SCHEMA)).collect()
+    df = spark.createDataFrame(rows, SCHEMA).withColumns({"ratio": F.lit("r"), "source_no": F.lit("n"), "pi": F.lit("p"), "target": F.lit("t")})
+    out = source_mix.mix_sources(df).collect()
+    assert all((r["ratio"], r["source_no"], r["pi"]) == ("r", "n", "p") and isinstance(r["target"], float) for r in out)
     assert len(out) == len(rows) and all(r["times"] == 0 for r in out if r["size"] == 0)
     same = {r["times"] for r in out if r["doc_id"] == 3}
     assert len(same) == 1
@@ -87,7 +89,9 @@ def test_shards_split_a_group_only_if_it_is_heavy(spark):
 
 def test_shard_edges(spark):
     rows = [(None, None, None, None, "x"), (None, None, None, None, "x"), (1, "", "en", "s", "x"), (2, "y" * 100000, "en", "s", "x")]
-    out = sharding.shard_by_kd_tree(spark.createDataFrame(rows, SCHEMA), 4).collect()
+    df = spark.createDataFrame(rows, SCHEMA).withColumns({"node": F.lit("n"), "dims": F.lit("d"), "crc": F.lit("c"), "shard": F.lit("s")})
+    out = sharding.shard_by_kd_tree(df, 4).collect()
+    assert all((r["node"], r["dims"], r["crc"]) == ("n", "d", "c") and isinstance(r["shard"], int) for r in out)
     check_shards(rows, out, 4)
     assert sorted(r["size"] for r in out) == [8, 8, 8, 100008]
     assert sharding.shard_by_kd_tree(spark.createDataFrame([], SCHEMA), 4).collect() == []
