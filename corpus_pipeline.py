@@ -41,8 +41,8 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token ids of each document (packed, little-endian unsigned 32-bit) and whether they decode to its text."""
     import public_tokenizers
 
-    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    both = bpe.decode(bpe.encode(docs.select("doc_id", "source", "text", F.sha2(F.coalesce("text", F.lit("")), 256).alias("_sha")), path, public_tokenizers.PATTERN), path)
+    ready = docs.select("doc_id", "source", "text", F.sha2(F.coalesce("text", F.lit("")), 256).alias("_sha"))
+    both = bpe.round_trip(ready, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     return both.select("doc_id", "source", (F.length("ids") / 4).cast("long").alias("n_tokens"), "ids", (F.sha2("decoded", 256) == F.col("_sha")).alias("round_trip"))
 
 

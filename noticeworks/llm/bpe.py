@@ -4,9 +4,9 @@ The adjacent pairs of pre-tokens wait in buckets, one for each merge rank; a two
 ranks finds the lowest one by find-first-set. A bucket holds positions of a linked list of parts,
 taken leftmost first; an entry whose pair has changed since is skipped. A merge costs a constant
 number of steps, so pre-tokens of megabytes are no slower by the byte than short ones; short ones that
-a worker has not met before share a queue by the thousands.
+a task has not met before share a queue by the thousands.
 
-Texts are encoded where Spark has read them, batch by batch; nothing is shuffled. Each Python worker
+Texts are encoded where Spark has read them, batch by batch; nothing is shuffled. Each task
 remembers the encodings of up to `CACHE` pre-tokens and starts afresh beyond that. The rank table is
 broadcast: its size is that of the vocabulary, checked against MAX_VOCABULARY_BYTES.
 """
@@ -19,15 +19,17 @@ import struct
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Pre-tokens that a worker remembers, and the longest of them in characters.
-CACHE, CACHED_LENGTH = 450_000, 64
+#: Pre-tokens that a task remembers, and the longest of them in characters. Common ones come back at once after
+#: a fresh start, and most of the others are met only once, so more would save little.
+CACHE, CACHED_LENGTH = 100_000, 64
 MAX_VOCABULARY_BYTES = 64 << 20
-#: Ranks in one word of the lower bitmap; bytes of pre-tokens that share a queue.
-WIDTH, CHUNK_BYTES = 256, 200_000
+#: Ranks in one word of the lower bitmap; bytes of pre-tokens that share a queue, and of texts that are split together.
+WIDTH, CHUNK_BYTES, SPAN_BYTES = 256, 200_000, 1_000_000
 
 
 def merge_pieces(pieces: list[bytes], rank_of: Callable[[bytes, bytes], int | None]) -> list[list[bytes]]:
@@ -155,30 +157,36 @@ class Encoder:
 
     def batch(self, texts: list[str | None]) -> list[bytes]:
         """The packed ids of each text; the texts' new pre-tokens are merged together."""
+        split = [self.split(x or "") for x in texts]
+        known = self.known
+        new = self.learn(list(set(itertools.chain.from_iterable(split))))
         out: list[bytes] = []
-        for few in spans(texts):
-            split = [self.split(x or "") for x in few]
-            known = self.known
-            new = self.learn(list(set(itertools.chain.from_iterable(split))))
-            for tokens in split:
-                packed = list(map(known.get, tokens))
-                if None in packed:
-                    packed = [known[t] if t in known else new[t] for t in tokens]
-                out.append(b"".join(packed))
+        for tokens in split:
+            packed = list(map(known.get, tokens))
+            if None in packed:
+                packed = [known[t] if t in known else new[t] for t in tokens]
+            out.append(b"".join(packed))
         return out
 
 
-def spans(texts: list[str | None], size: int = 2_000_000) -> Iterator[list[str | None]]:
-    """The texts in runs of about `size` characters."""
-    run, held = [], 0
-    for x in texts:
-        run.append(x)
-        held += len(x or "")
-        if held >= size:
-            yield run
-            run, held = [], 0
-    if run:
-        yield run
+class Decoder:
+    def __init__(self, ranks: dict[bytes, int]):
+        self.bytes_of = {v: k for k, v in ranks.items()}
+
+    def decode(self, ids: bytes | None) -> bytes:
+        return b"".join(map(self.bytes_of.__getitem__, unpack(ids or b"")))
+
+
+def spans(batch: pa.RecordBatch, text_col: str, size: int = SPAN_BYTES) -> Iterator[tuple[pa.RecordBatch, list[str | None]]]:
+    """The batch in slices of about `size` bytes of text, with their texts."""
+    lengths = pc.fill_null(pc.binary_length(batch.column(text_col)), 0).to_pylist()
+    start = held = 0
+    for i, n in enumerate(lengths, 1):
+        held += n
+        if held >= size or i == len(lengths):
+            part = batch.slice(start, i - start)
+            yield part, part.column(text_col).to_pylist()
+            start, held = i, 0
 
 
 def parse_ranks(data: bytes) -> dict[bytes, int]:
@@ -197,54 +205,67 @@ def read_vocabulary(path: str) -> bytes:
     return data
 
 
-_made: dict[tuple, object] = {}
-
-
-def once(key: tuple, make: Callable[[], object]) -> object:
-    """One object of a kind for each Python worker."""
-    if key not in _made:
-        _made.clear()
-        _made[key] = make()
-    return _made[key]
+def _mapped(df: DataFrame, keep: list[str], read: str, made: list[str], begin: Callable[[], Callable[[list], list[list[bytes]]]]) -> DataFrame:
+    """df's columns `keep` and the binary columns `made`, which the function that begin() gives each task makes from the values of column `read`."""
 
+    def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        work = begin()  # a task's own: a worker that waits for the next task holds no memory
+        for b in it:
+            for part, values in spans(b, read):
+                arrays = [pa.array(x, pa.binary()) for x in work(values)]
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), *arrays], names=[*keep, *made])
 
-def _replace(batch: pa.RecordBatch, keep: list[str], more: dict[str, pa.Array]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), *more.values()], names=[*keep, *more])
+    schema = df.select(*keep).withColumns({c: F.lit(b"") for c in made}).schema
+    return df.select(*dict.fromkeys([*keep, read])).mapInArrow(batches, schema)
 
 
 def encode(df: DataFrame, path: str, pattern: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
     """All columns of df but text_col, with the token ids of the text as packed little-endian unsigned
     32-bit integers in ids_col (a column of that name is replaced). Null and empty texts have no ids."""
-    keep = [c for c in df.columns if c not in (text_col, ids_col)]
     data = df.sparkSession.sparkContext.broadcast(read_vocabulary(path))
+    keep = [c for c in df.columns if c not in (text_col, ids_col)]
 
-    def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = once(("encoder", path, pattern), lambda: Encoder(parse_ranks(data.value), pattern))
-        for b in it:
-            yield _replace(b, keep, {ids_col: pa.array(encoder.batch(b.column(text_col).to_pylist()), pa.binary())})
+    def begin():
+        encoder = Encoder(parse_ranks(data.value), pattern)
+        return lambda texts: [encoder.batch(texts)]
 
-    schema = df.select(*keep).withColumn(ids_col, F.lit(b"")).schema
-    return df.select(*keep, text_col).mapInArrow(batches, schema)
+    return _mapped(df, keep, text_col, [ids_col], begin)
 
 
 def decode(df: DataFrame, path: str, ids_col: str = "ids", decoded_col: str = "decoded") -> DataFrame:
     """All columns of df, with the bytes of the packed ids in decoded_col (replaced if it is there).
     Null ids decode to no bytes; an id that the vocabulary lacks is an error."""
+    data = df.sparkSession.sparkContext.broadcast(read_vocabulary(path))
     keep = [c for c in df.columns if c != decoded_col]
+
+    def begin():
+        decoder = Decoder(parse_ranks(data.value))
+        return lambda ids: [list(map(decoder.decode, ids))]
+
+    return _mapped(df, keep, ids_col, [decoded_col], begin)
+
+
+def round_trip(df: DataFrame, path: str, pattern: str, text_col: str = "text", ids_col: str = "ids", decoded_col: str = "decoded") -> DataFrame:
+    """encode() and then decode() of what it gave, in one pass over the texts."""
     data = df.sparkSession.sparkContext.broadcast(read_vocabulary(path))
+    keep = [c for c in df.columns if c not in (text_col, ids_col, decoded_col)]
 
-    def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = once(("decoder", path), lambda: {v: k for k, v in parse_ranks(data.value).items()})
-        for b in it:
-            yield _replace(b, keep, {decoded_col: pa.array([b"".join(map(table.__getitem__, unpack(x or b""))) for x in b.column(ids_col).to_pylist()], pa.binary())})
+    def begin():
+        ranks = parse_ranks(data.value)
+        encoder, decoder = Encoder(ranks, pattern), Decoder(ranks)
+
+        def work(texts: list[str | None]) -> list[list[bytes]]:
+            ids = encoder.batch(texts)
+            return [ids, list(map(decoder.decode, ids))]
+
+        return work
 
-    return df.select(*keep).mapInArrow(batches, df.select(*keep).withColumn(decoded_col, F.lit(b"")).schema)
+    return _mapped(df, keep, text_col, [ids_col, decoded_col], begin)
 
 
 def op4_bpe_round_trip(spark, sf_dir):
     import public_tokenizers
 
-    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    both = decode(encode(docs, path, public_tokenizers.PATTERN), path)
+    both = round_trip(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     return both.select("doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))

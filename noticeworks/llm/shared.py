@@ -2,32 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from noticeworks.staging import staged as written  # noqa: F401  a table in the shared folder
+
 #: Fixed value: the white space of the word rule `[^\x20\x09-\x0D]+`.
 SPACES = " \t\n\x0b\x0c\r"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; one of our own only where none is set (local tests)."""
-    where = spark.conf.get("spark.checkpoint.dir", None)
-    if not where:
-        where = "file://" + tempfile.mkdtemp(prefix="noticeworks-")
-        spark.conf.set("spark.checkpoint.dir", where)
-    return where.rstrip("/")
-
-
-def written(df: DataFrame, label: str) -> DataFrame:
-    """df as a Parquet table in the shared folder: it cuts the lineage and survives the loss of executors."""
-    path = f"{shared_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def words(text: Column) -> Column:
     """The words `[^\\x20\\x09-\\x0D]+` of a text; null text has none."""
     spaced = F.translate(F.coalesce(text, F.lit("")), SPACES, " " * len(SPACES))

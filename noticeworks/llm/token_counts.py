@@ -2,7 +2,7 @@
 
 Offline, the merges are run over every vocabulary string; those that come out as one token are proven
 whole. While counting, a pre-token that is a proven string counts as one without any merge; only the
-rest is merged, and remembered by each Python worker up to a bound. Texts are counted where Spark has
+rest is merged, and remembered by each task up to a bound. Texts are counted where Spark has
 read them; nothing is shuffled. The vocabulary and the proven strings are broadcast; their size is
 that of the vocabulary file, checked in read_vocabulary().
 """
@@ -17,7 +17,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from noticeworks.llm.bpe import CACHE, CACHED_LENGTH, merge_pieces, once, read_vocabulary
+from noticeworks.llm.bpe import CACHE, CACHED_LENGTH, merge_pieces, read_vocabulary
 
 #: Fixed value: the pattern of the byte-level pre-tokenizer.
 BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -117,7 +117,7 @@ def count_tokens(df: DataFrame, path: str, text_col: str = "text", count_col: st
     table = context.broadcast((data, Merges(data).whole()))
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = once(("counter", path), lambda: Counter(Merges(table.value[0]), table.value[1]))
+        counter = Counter(Merges(table.value[0]), table.value[1])
         for b in it:
             counts = pa.array([counter.text(x) for x in b.column(text_col).to_pylist()], pa.int64())
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), counts], names=[*keep, count_col])
