@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 #: Pre-tokens that a task remembers, and the longest of them in characters. Common ones come back at once after
 #: a fresh start, and most of the others are met only once, so more would save little.
-CACHE, CACHED_LENGTH = 100_000, 64
+CACHE, CACHED_LENGTH = 200_000, 64
 MAX_VOCABULARY_BYTES = 64 << 20
 #: Ranks in one word of the lower bitmap; bytes of pre-tokens that share a queue, and of texts that are split together.
 WIDTH, CHUNK_BYTES, SPAN_BYTES = 256, 200_000, 1_000_000
