@@ -6,7 +6,7 @@ an article (or else a main element) bounds the text where there is one. Site tem
 counting: each subtree's hash goes to Spark with its host, which counts the different page contents that
 the subtree stands beside. Subtrees that stand beside many are templates of that host and are deleted.
 A page's content is named by its longest block, so copies of one article count once and are no template.
-Inside an article or main element only containers can be templates, never paragraphs or headings.
+Only containers can be templates, never inline elements, paragraphs, headings, items or cells.
 
 Counts come from partial aggregation on (host, subtree, content); a host that holds a third of all pages
 is many keys. The templates of a host come back as one array, broadcast while the table is small.
@@ -171,16 +171,8 @@ class Page:
         return [bool(x) for x in out]
 
     def candidates(self) -> list[int]:
-        """Elements that may be templates: inside an article or main element, containers only."""
-        bounds = self.bounds()
-        inside: list[bool] = []
-        found = []
-        for i, tag in enumerate(self.tags):
-            within = bounds is not None and (i in bounds or (i > 0 and inside[self.parents[i]]))
-            inside.append(within)
-            if i and tag not in ("html", "body", "head") and not self.left_out[i] and not (bounds and i in bounds) and (tag in CONTAINERS if within else tag not in ("br", "hr", "img")):
-                found.append(i)
-        return found
+        """Elements that may be templates: the containers."""
+        return [i for i, tag in enumerate(self.tags) if tag in CONTAINERS and not self.left_out[i]]
 
     def blocks(self, templates: frozenset[int] | set[int] = frozenset()) -> list[str]:
         """The blocks of main text: character references decoded, white space runs one space."""
@@ -198,14 +190,14 @@ class Page:
 
 
 def subtrees(pages: DataFrame, html_col: str, host: Column) -> DataFrame:
-    """(host, subtree, content) once for each page."""
+    """(host, subtree, content) once for each page, and (host, null, content)."""
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in it:
             hosts, hashes, contents = [], [], []
             for h, source in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 page = Page(source or "")
-                found = {page.hashes[i] for i in page.candidates()}
+                found = [None, *{page.hashes[i] for i in page.candidates()}]
                 content = xxhash.xxh3_64_intdigest(max(page.blocks(), key=len, default="").encode()) >> 1
                 hosts += [h] * len(found)
                 hashes += found
@@ -219,16 +211,20 @@ def subtrees(pages: DataFrame, html_col: str, host: Column) -> DataFrame:
 BROADCAST_TEMPLATES = 500_000
 
 
-def extract_text(pages: DataFrame, html_col: str = "html", url_col: str = "url", min_contents: int = 10, text_col: str = "text") -> DataFrame:
+def extract_text(pages: DataFrame, html_col: str = "html", url_col: str = "url", min_contents: int = 10, text_col: str = "text", min_share: float = 0.1) -> DataFrame:
     """pages without html_col, with the main text (blocks joined by one space; empty if none) in text_col.
 
-    A subtree is a template of its host if it stands beside at least `min_contents` different contents.
+    A subtree is a template of its host if it stands beside at least `min_contents` different contents and
+    beside at least `min_share` of the host's different contents.
     Null html is an empty page; a null url is a host of its own; repeated rows are extracted alike. Nothing
     is cut from long pages. An empty table gives no rows.
     """
     host = ascii_lower(F.regexp_extract(F.coalesce(F.col(url_col), F.lit("")), r"^[^:/?#]*://([^/?#]*)", 1))
-    seen = subtrees(pages, html_col, host).distinct()
-    templates = written(seen.groupBy("host", "subtree").agg(F.count("*").alias("contents")).where(F.col("contents") >= min_contents).select("host", "subtree"), "templates")
+    seen = written(subtrees(pages, html_col, host).distinct(), "subtrees")
+    counted = seen.groupBy("host", "subtree").agg(F.count("*").alias("contents")).where(F.col("contents") >= min_contents)
+    # a row without a subtree for each content
+    of_hosts = seen.where("subtree is null").groupBy(F.col("host").alias("_host")).agg(F.count("*").alias("_all"))
+    templates = written(counted.where("subtree is not null").join(of_hosts, F.col("host") == F.col("_host")).where(F.col("contents") >= min_share * F.col("_all")).select("host", "subtree"), "templates")
     of_host = templates.groupBy(F.col("host").alias("_host")).agg(F.collect_list("subtree").alias("_templates"))
     if templates.count() <= BROADCAST_TEMPLATES:
         of_host = F.broadcast(of_host)

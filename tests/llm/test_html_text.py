@@ -51,3 +51,15 @@ def test_query_takes_the_article_and_nothing_else(spark):
 
         want = " ".join(h.unescape(re.sub(r"<(?:p|/p|h1|/h1|br)>", " ", inner).replace("<b>", "")).split())
         assert r["text"] == want and r["n_chars"] == len(want)
+
+
+def test_flowing_text_of_pages_without_article_stays(spark):
+    def body(i):
+        return f"<h2>Introduction</h2><p>In <a>Paris</a> they did <b>not</b> see number {i} of these</p><p>Shared passage</p><ul><li>item {i}<li>shared item</ul><table><tr><td>shared cell<td>{i}</table><div>Share this</div>"
+
+    rows = [(i, f"http://a.org/{i}", page(body(i))) for i in range(20)]
+    # beside 12 of 400 contents: too few of the host for a template
+    rows += [(1000 + i, f"http://b.org/{i}", page(("<div>Errata of some</div>" if i < 12 else "") + f"<p>Story number {i} of many</p>")) for i in range(400)]
+    got = {r["page_id"]: r["text"] for r in H.extract_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[i] == f"Introduction In Paris they did not see number {i} of these Shared passage item {i} shared item shared cell {i}" for i in range(20))
+    assert got[1000] == "Errata of some Story number 0 of many" and got[1399] == "Story number 399 of many"
