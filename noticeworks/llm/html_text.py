@@ -5,7 +5,9 @@ sidebars, notices, adverts, forms, scripts or reader comments by their tag, role
 an article (or else a main element) bounds the text where there is one. Site templates are found by
 counting: each subtree's hash goes to Spark with its host, which counts the different page contents that
 the subtree stands beside. Subtrees that stand beside many are templates of that host and are deleted.
-A page's content is named by its longest block, so copies of one article count once and are no template.
+A page's content is named by its longest block that isn't frequent on its host, by counts of the different
+page texts that hold each block: copies of one article count once and are no template, and boilerplate that
+is longer than the pages' own blocks names no content.
 Only containers can be templates, never inline elements, paragraphs, headings, items or cells.
 
 Counts come from partial aggregation on (host, subtree, content); a host that holds a third of all pages
@@ -189,22 +191,41 @@ class Page:
         return out
 
 
-def subtrees(pages: DataFrame, html_col: str, host: Column) -> DataFrame:
-    """(host, subtree, content) once for each page, and (host, null, content)."""
+def signatures(pages: DataFrame, html_col: str, host: Column) -> DataFrame:
+    """For each page its host, the hashes of its text, of its blocks (longest first) and of the subtrees that may be templates."""
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        digest = lambda text: xxhash.xxh3_64_intdigest(text.encode()) >> 1
         for b in it:
-            hosts, hashes, contents = [], [], []
-            for h, source in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+            texts, blocks, found = [], [], []
+            for source in b.column(1).to_pylist():
                 page = Page(source or "")
-                found = [None, *{page.hashes[i] for i in page.candidates()}]
-                content = xxhash.xxh3_64_intdigest(max(page.blocks(), key=len, default="").encode()) >> 1
-                hosts += [h] * len(found)
-                hashes += found
-                contents += [content] * len(found)
-            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(hashes, pa.int64()), pa.array(contents, pa.int64())], names=["host", "subtree", "content"])
-
-    return pages.select(host.alias("host"), F.col(html_col)).mapInArrow(run, "host string, subtree long, content long")
+                own = page.blocks()
+                texts.append(digest("\n".join(own)))
+                blocks.append([digest(x) for x in dict.fromkeys(sorted(own, key=len, reverse=True))])
+                found.append(sorted({page.hashes[i] for i in page.candidates()}))
+            longs = pa.list_(pa.int64())
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.int64()), pa.array(blocks, longs), pa.array(found, longs)], names=["host", "page", "blocks", "subtrees"])
+
+    return pages.select(host.alias("host"), F.col(html_col)).mapInArrow(run, "host string, page long, blocks array<long>, subtrees array<long>")
+
+
+def _frequent(rows: DataFrame, item: str, beside: str, least: int, share: float) -> DataFrame:
+    """(host, item) of the items that stand beside at least `least` and at least `share` of the host's different values
+    of `beside`. rows: host, `beside` and an array `items`; the values of a host are counted by rows with a null item."""
+    pairs = rows.select("host", beside, F.explode(F.concat(F.array(F.lit(None).cast("long")), "items")).alias(item)).distinct()
+    counts = written(pairs.groupBy("host", item).agg(F.count("*").alias("n")).where((F.col("n") >= least) | F.col(item).isNull()), f"{item}s")
+    all_ = counts.where(F.col(item).isNull()).select(F.col("host").alias("_host"), F.col("n").alias("_all"))
+    often = counts.where(F.col(item).isNotNull()).join(all_, F.col("host") == F.col("_host")).where(F.col("n") >= share * F.col("_all"))
+    return written(often.select("host", item), f"frequent-{item}s")
+
+
+def _with_host_array(rows: DataFrame, key: str, items: DataFrame, item: str, name: str) -> DataFrame:
+    """rows with the items of their host as an array column; null where it has none."""
+    of_host = items.groupBy(F.col("host").alias("_of")).agg(F.collect_list(item).alias(name))
+    if items.count() <= BROADCAST_TEMPLATES:
+        of_host = F.broadcast(of_host)
+    return rows.join(of_host, F.col(key) == F.col("_of"), "left").drop("_of")
 
 
 #: Rows of templates (about 24 bytes each) that are broadcast; more are joined by shuffle.
@@ -220,16 +241,14 @@ def extract_text(pages: DataFrame, html_col: str = "html", url_col: str = "url",
     is cut from long pages. An empty table gives no rows.
     """
     host = ascii_lower(F.regexp_extract(F.coalesce(F.col(url_col), F.lit("")), r"^[^:/?#]*://([^/?#]*)", 1))
-    seen = written(subtrees(pages, html_col, host).distinct(), "subtrees")
-    counted = seen.groupBy("host", "subtree").agg(F.count("*").alias("contents")).where(F.col("contents") >= min_contents)
-    # a row without a subtree for each content
-    of_hosts = seen.where("subtree is null").groupBy(F.col("host").alias("_host")).agg(F.count("*").alias("_all"))
-    templates = written(counted.where("subtree is not null").join(of_hosts, F.col("host") == F.col("_host")).where(F.col("contents") >= min_share * F.col("_all")).select("host", "subtree"), "templates")
-    of_host = templates.groupBy(F.col("host").alias("_host")).agg(F.collect_list("subtree").alias("_templates"))
-    if templates.count() <= BROADCAST_TEMPLATES:
-        of_host = F.broadcast(of_host)
+    seen = written(signatures(pages, html_col, host), "signatures")
+    shared = _frequent(seen.select("host", "page", F.col("blocks").alias("items")), "block", "page", min_contents, min_share)
+    own = _with_host_array(seen, "host", shared, "block", "_shared")
+    # the longest block that isn't frequent; pages of frequent blocks only have one content together
+    content = F.coalesce(F.get(F.array_except("blocks", F.coalesce("_shared", F.array().cast("array<long>"))), F.lit(0)), F.lit(-1))
+    templates = _frequent(own.select("host", content.alias("content"), F.col("subtrees").alias("items")), "subtree", "content", min_contents, min_share)
     keep = [c for c in pages.columns if c not in (html_col, text_col)]
-    ready = pages.select(*keep, F.col(html_col).alias("_html"), host.alias("_host")).join(of_host, "_host", "left").select(*keep, "_html", "_templates")
+    ready = _with_host_array(pages.select(*keep, F.col(html_col).alias("_html"), host.alias("_host")), "_host", templates, "subtree", "_templates").select(*keep, "_html", "_templates")
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in it:

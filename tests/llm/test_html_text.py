@@ -63,3 +63,13 @@ def test_flowing_text_of_pages_without_article_stays(spark):
     got = {r["page_id"]: r["text"] for r in H.extract_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert all(got[i] == f"Introduction In Paris they did not see number {i} of these Shared passage item {i} shared item shared cell {i}" for i in range(20))
     assert got[1000] == "Errata of some Story number 0 of many" and got[1399] == "Story number 399 of many"
+
+
+def test_boilerplate_longer_than_the_pages_own_blocks_goes(spark):
+    legal = "<div>" + "All texts of this site are given without any warranty. " * 5 + "</div>"
+    rows = [(i, f"http://a.org/{i}", page(f"<div>Follow us</div><p>Note {i}</p>{legal}")) for i in range(20)]
+    # copies of one story among others, each with a line of its own, are no template
+    rows += [(100 + i, f"http://b.org/{i}", page(f"<div>One story copied often</div><p>No {i}</p>" if i < 12 else f"<div>Own story {i} of this host</div>")) for i in range(200)]
+    got = {r["page_id"]: r["text"] for r in H.extract_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[i] == f"Note {i}" for i in range(20))
+    assert got[100] == "One story copied often No 0" and got[299] == "Own story 199 of this host"
