@@ -1,7 +1,8 @@
 """HTML extraction: the main text of pages, without site templates.
 
 A page is parsed to elements where Spark has read it. Elements that are navigation, headers, footers,
-sidebars, notices, adverts, forms, scripts or reader comments by their tag, role or class are left out;
+sidebars, notices, adverts, forms, scripts or reader comments by their tag, role or class are left out,
+but no element that holds a page's article or main element or, without those, the bulk of its text;
 an article (or else a main element) bounds the text where there is one. Site templates are found by
 counting: each subtree's hash goes to Spark with its host, which counts the different page contents that
 the subtree stands beside. Subtrees that stand beside many are templates of that host and are deleted.
@@ -19,6 +20,7 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 import xxhash
@@ -36,12 +38,19 @@ BLOCKS = frozenset(
     "address article aside blockquote body br center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "head header hr html legend li main menu nav ol optgroup option p pre section summary table tbody td tfoot th thead tr ul".split()
 )
+#: Those of them that may be a wrapper of the whole page.
+WRAPPERS = frozenset("nav footer aside form header menu fieldset dialog object canvas label".split())
 #: Words of a class, id or role that mark what isn't main text.
 MARKS = frozenset(
     "ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion menu nav navbar navigation breadcrumb breadcrumbs "
     "sidebar side aside widget footer header masthead cookie cookies consent notice alert popup modal newsletter subscribe signup login share sharing "
     "social comment comments commentlist respond discussion disqus reply replies related recommended complementary contentinfo search pagination pager".split()
 )
+#: Words that leave a compound name such as `site-header` a mark; others (`has-sidebar`, `article-header`) end it.
+FRAMES = frozenset(
+    "site page top bottom left right primary secondary global inner outer wrapper wrap container box bar block section area slot unit list item items link links button buttons icon icons form "
+    "panel region row col column group main sub mini mobile desktop sticky fixed body author meta less".split()
+)
 #: An open element on the left ends where one of those on the right starts.
 ENDS = {
     "p": frozenset("address article aside blockquote center details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split()),
@@ -59,17 +68,59 @@ _NAMES = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'
 _WORD = re.compile(r"[a-z]+")
 
 
+@lru_cache(100_000)
+def is_mark(token: str) -> bool:
+    """Whether a name of a class, id or role marks what isn't main text: each word of it is a mark or a frame, at least one a mark."""
+    found = _WORD.findall(token)
+    return not MARKS.isdisjoint(found) and all(w in MARKS or w in FRAMES for w in found)
+
+
 class Page:
     """The elements of a page. Element i has a parent, a subtree hash and flags; runs hold the text in page order."""
 
     def __init__(self, source: str):
         self.tags, self.parents, self.hashes, self.left_out = ["#root"], [-1], [0], [False]
+        self._marks = [""]  # why an element is left out by itself: its "tag", its "class", or not at all
         self.runs: list[tuple[int, str | None]] = []  # (element, text), or (element, None) where a block starts or ends
         self._digests = [xxhash.xxh3_64()]
         self._open = [0]
         self._parse(source)
         while self._open:
             self._close()
+        self._leave_out()
+
+    def _leave_out(self) -> None:
+        """Sets left_out. An element that may be a wrapper stays if it holds a main element, at least half of
+        the text of the page's articles or, where a page has neither, three quarters of its text."""
+        n = len(self.tags)
+        hidden = [False] * n
+        for i in range(1, n):
+            hidden[i] = hidden[self.parents[i]] or (self._marks[i] == "tag" and self.tags[i] not in WRAPPERS)
+        all_, plain, articles, mains = [0] * n, [0] * n, [0] * n, [False] * n
+        for element, text in self.runs:
+            if text is not None and not hidden[element]:
+                size = len(text.strip())
+                all_[element] += size
+                plain[element] += size
+        # children have higher numbers than their parents
+        for i in range(n - 1, 0, -1):
+            up, tag, mark = self.parents[i], self.tags[i], self._marks[i]
+            if hidden[i]:
+                continue
+            all_[up] += all_[i]
+            # navigation and the like by its tag is no part of the text; forms may be
+            plain[up] += 0 if mark == "tag" and tag not in ("form", "fieldset") else plain[i]
+            articles[up] += all_[i] if tag == "article" and not mark else articles[i]
+            mains[up] |= mains[i] or tag == "main"
+        for i in range(1, n):
+            mark = self._marks[i]
+            out = bool(mark)
+            if mark and not hidden[i]:
+                if mains[0] or articles[0]:
+                    out = not (mains[i] or (articles[i] and 2 * articles[i] >= articles[0]))
+                elif mark == "class" or self.tags[i] in ("form", "fieldset"):
+                    out = not (plain[i] and 4 * plain[i] >= 3 * plain[0])
+            self.left_out[i] = self.left_out[self.parents[i]] or out
 
     def _parse(self, source: str) -> None:
         at, end = 0, len(source)
@@ -109,14 +160,16 @@ class Page:
                 self._close()
         parent = self._open[-1]
         inside = self.article(parent)
-        marked = name in LEFT_OUT or (name == "header" and not inside)
-        if not marked and attributes and name not in ("html", "body", "main"):
+        mark = "tag" if name in LEFT_OUT or (name == "header" and not inside) else ""
+        if not mark and attributes and name not in ("html", "body", "main"):
             names = " ".join(a or b or c for a, b, c in _NAMES.findall(attributes)).lower()
-            marked = bool(names) and not MARKS.isdisjoint(_WORD.findall(names)) and not (name == "article" and "comment" not in names)
+            if names and not (name == "article" and "comment" not in names) and any(map(is_mark, names.split())):
+                mark = "class"
         self.tags.append(name)
         self.parents.append(parent)
         self.hashes.append(0)
-        self.left_out.append(self.left_out[parent] or marked)
+        self.left_out.append(False)
+        self._marks.append(mark)
         digest = xxhash.xxh3_64(name.encode())
         self._digests.append(digest)
         self._open.append(len(self.tags) - 1)

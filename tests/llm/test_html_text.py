@@ -73,3 +73,16 @@ def test_boilerplate_longer_than_the_pages_own_blocks_goes(spark):
     got = {r["page_id"]: r["text"] for r in H.extract_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert all(got[i] == f"Note {i}" for i in range(20))
     assert got[100] == "One story copied often No 0" and got[299] == "Own story 199 of this host"
+
+
+def test_wrappers_and_compound_names_stay():
+    for name in ("layout has-sidebar", "no-comments", "with-header", "article-header", "search-results", "related-work"):
+        assert blocks(f"<div class='ad-box'>ad</div><div class='{name}'><p>kept</p></div><p>A longer text of this page</p>") == ["kept", "A longer text of this page"]
+    # an element that holds the article, the main element or the bulk of the text
+    assert blocks("<nav>n</nav><div class='page sidebar'><article><p>a</p><div class=share>s</div></article></div>") == ["a"]
+    assert blocks("<form><main><p>m</p></main></form>") == ["m"]
+    assert blocks("<div class=sidebar><p>The text of the page</p><div class=comments>c</div></div><p>end</p>") == ["The text of the page", "end"]
+    # teasers and comments in articles of their own
+    assert blocks("<article><p>The story</p></article><aside><article>tease</article></aside><div class=comments><article class=comment-body>A long comment on it</article></div>") == ["The story"]
+    for name in ("site-header", "comments-area", "cookie_banner", "main-nav"):
+        assert blocks(f"<p>The text</p><div class='{name}'>x</div>") == ["The text"]
