@@ -4,9 +4,11 @@ Each text's statistics become a vector of four transformed values: log of the me
 the square roots of the shares of symbols, of repeated lines and of words in repeated 3-word windows.
 For each language and source a minimum-covariance-determinant estimate is made: start from the
 coordinates' medians and spreads, then repeat concentration steps (mean and covariance of the
-`share` of rows nearest by Mahalanobis distance). A text whose squared distance from its group's
-estimate is above `cutoff` is rejected. Groups with under `min_group` rows use their language's
-estimate, and languages with under that the estimate of all rows.
+`share` of rows nearest by Mahalanobis distance). The share is a half, and each distinct text of a group
+counts once, so that junk of up to nearly half of a group's texts, or one text copied however often, has no
+part in the estimate. A text whose squared distance from its group's estimate is above `cutoff` is rejected.
+Groups with under `min_group` distinct texts use their language's estimate, and languages with under that
+the estimate of all texts.
 
 All of it is built-in functions. The statistics are row-wise, without a shuffle. The estimates come
 from groupBy sums with partial aggregation, so a group that holds a third of all rows costs no more
@@ -31,8 +33,8 @@ FLOOR = {"word_length": 0.12, "symbols": 0.05, "repeated_lines": 0.25, "repeated
 CUTOFF = 23.51
 #: Steps to a unit in the fixed-point vectors, and the largest value kept (transformed values lie under 32).
 SCALE, TOP = 256, 32 * 256
-#: Makes the covariance of the nearest 3/4 of normal rows that of all, for 4 dimensions.
-CONSISTENCY = 1.486
+#: Makes the covariance of the nearest share of normal rows that of all, for 4 dimensions.
+CONSISTENCY = {0.5: 2.109, 0.75: 1.486, 1.0: 1.0}
 #: Tables of up to so many groups (about 150 bytes each) are broadcast.
 BROADCAST_GROUPS = 100_000
 
@@ -149,15 +151,15 @@ def _step(rows: DataFrame, stats: DataFrame, share: float, consistency: float) -
     return _with_factor(mean, cov)
 
 
-def robust_estimates(rows: DataFrame, share: float = 0.75, steps: int = 3) -> DataFrame:
-    """One row for each group g: m_* and the factor l_*_* of the regularised estimate. rows: g and z_*."""
+def robust_estimates(rows: DataFrame, share: float = 0.5, steps: int = 3) -> DataFrame:
+    """One row for each group g (share: a key of CONSISTENCY): m_* and the factor l_*_* of the regularised estimate. rows: g and z_*."""
     stats = _small(_start(rows), "mcd")
     for _ in range(steps):
-        stats = _small(_step(rows, stats, share, CONSISTENCY if share < 1 else 1.0), "mcd")
+        stats = _small(_step(rows, stats, share, CONSISTENCY[share]), "mcd")
     return stats
 
 
-def quality_rules(df: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source", min_group: int = 200, share: float = 0.75, steps: int = 3, cutoff: float = CUTOFF, keep_text: bool = True) -> DataFrame:
+def quality_rules(df: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source", min_group: int = 200, share: float = 0.5, steps: int = 3, cutoff: float = CUTOFF, keep_text: bool = True) -> DataFrame:
     """df with the statistics, base_failed, distance (squared) and kept; columns of these names are
     replaced. keep_text=False leaves the text out.
 
@@ -165,7 +167,7 @@ def quality_rules(df: DataFrame, text_col: str = "text", lang_col: str = "lang",
     of at most `cutoff`. Rows that failed the base don't enter the estimates. Null languages and sources
     are groups of their own. Empty tables give no rows; equal rows get equal verdicts.
     """
-    stats = text_statistics(df, text_col)
+    stats = text_statistics(df, text_col).withColumn("_text", F.xxhash64(text_col))
     if not keep_text:
         stats = stats.drop(text_col)
     stats = stats.withColumn("base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))).withColumns(_vector())
@@ -173,10 +175,11 @@ def quality_rules(df: DataFrame, text_col: str = "text", lang_col: str = "lang",
     # the statistics are the costly part: they are computed once
     stats = written(stats.withColumns({"_lang": name(lang_col), "_pair": name(lang_col, source_col)}), "quality")
     zs = [f"z_{a}" for a in DIMS]
-    levels = stats.where(~F.col("base_failed")).select(F.explode(F.array(F.concat(F.lit("pair "), "_pair"), F.concat(F.lit("lang "), "_lang"), F.lit("all"))).alias("g"), *zs)
+    levels = stats.where(~F.col("base_failed")).select(F.explode(F.array(F.concat(F.lit("pair "), "_pair"), F.concat(F.lit("lang "), "_lang"), F.lit("all"))).alias("g"), "_text", *zs)
+    levels = written(levels.distinct().drop("_text"), "levels")
     enough = _small(levels.groupBy("g").agg(F.count("*").alias("rows")).where((F.col("rows") >= min_group) | (F.col("g") == "all")).select("g"), "groups")
     est = robust_estimates(levels.join(enough, "g"), share, steps)
-    return _judged(stats, est, cutoff).drop("_pair", "_lang", *zs)
+    return _judged(stats, est, cutoff).drop("_pair", "_lang", "_text", *zs)
 
 
 def _judged(stats: DataFrame, est: DataFrame, cutoff: float) -> DataFrame:

@@ -60,3 +60,21 @@ def test_edges(spark):
     assert [(r["n_words"], r["base_failed"], r["kept"]) for r in Q.quality_rules(df).collect()] == [(0, True, False)] * 2
     assert Q.quality_rules(df.limit(0)).collect() == []
     assert "text" not in Q.quality_rules(df, keep_text=False).columns
+
+
+def words_of(rng, n):
+    return ["".join(rng.choice("abcdefghij") for _ in range(rng.randrange(2, 9))) for _ in range(n)]
+
+
+def verdicts(spark, texts):
+    df = spark.createDataFrame([(i, t, "en", "a") for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string")
+    return [r["kept"] for r in Q.quality_rules(df).orderBy("doc_id").collect()]
+
+
+def test_junk_of_over_a_third_of_a_group_is_rejected(spark):
+    rng = random.Random(2)
+    plain = [" ".join(words_of(rng, 100)) for _ in range(300)]
+    near = " ".join(w + "###" for w in words_of(rng, 100))
+    for junk in ([f"{near} {i}" for i in range(160)], [near] * 400):
+        kept = verdicts(spark, plain + junk)
+        assert all(kept[:300]) and not any(kept[300:])
