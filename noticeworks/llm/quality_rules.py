@@ -1,7 +1,8 @@
 """Quality rules: robust multivariate outliers.
 
-Each text's statistics become a vector of four transformed values: log of the mean word length, and
-the square roots of the shares of symbols, of repeated lines and of words in repeated 3-word windows.
+Each text's statistics become a vector of four transformed values: log of the mean word length, the
+square root of the share of symbols, and -log(1 - x) of the share of repeated lines and of the share of
+words in repeated 3-word windows over the base limit of that share, so that both grow without bound.
 For each language and source a minimum-covariance-determinant estimate is made: start from the
 coordinates' medians and spreads, then repeat concentration steps (mean and covariance of the
 `share` of rows nearest by Mahalanobis distance). The share is a half, and each distinct text of a group
@@ -28,7 +29,9 @@ from noticeworks.llm.shared import SPACES, words, written
 SYMBOLS = "#*$%&|<>"
 DIMS = ("word_length", "symbols", "repeated_lines", "repeated_words")
 #: Standard deviations are at least these, so that a statistic that is 0 nearly everywhere rejects no small value.
-FLOOR = {"word_length": 0.12, "symbols": 0.05, "repeated_lines": 0.25, "repeated_words": 0.25}
+FLOOR = {"word_length": 0.12, "symbols": 0.05, "repeated_lines": 0.2, "repeated_words": 0.3}
+#: The base rule: more repeated words than this share fail.
+MOST_REPEATED = 0.5
 #: 0.9999 quantile of chi-squared with 4 degrees of freedom.
 CUTOFF = 23.51
 #: Steps to a unit in the fixed-point vectors, and the largest value kept (transformed values lie under 32).
@@ -81,12 +84,13 @@ def text_statistics(df: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def _vector() -> dict[str, Column]:
-    share = lambda a, b: F.sqrt(F.when(F.col(b) > 0, F.col(a) / F.col(b)).otherwise(0.0))
+    share = lambda a, b: F.when(F.col(b) > 0, F.col(a) / F.col(b)).otherwise(0.0)
+    unbounded = lambda x: -F.log(F.greatest(F.lit(1.0) - x, F.lit(1e-6)))
     raw = {
         "word_length": F.log1p(F.when(F.col("n_words") > 0, F.col("word_chars") / F.col("n_words")).otherwise(0.0)),
-        "symbols": share("n_symbols", "word_chars"),
-        "repeated_lines": share("n_dup_lines", "n_lines"),
-        "repeated_words": share("n_repeat_words", "n_words"),
+        "symbols": F.sqrt(share("n_symbols", "word_chars")),
+        "repeated_lines": unbounded(share("n_dup_lines", "n_lines")),
+        "repeated_words": unbounded(share("n_repeat_words", "n_words") / MOST_REPEATED),
     }
     return {f"z_{k}": F.least(F.round(v * SCALE), F.lit(TOP)).cast("long") for k, v in raw.items()}
 

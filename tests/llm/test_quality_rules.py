@@ -78,3 +78,14 @@ def test_junk_of_over_a_third_of_a_group_is_rejected(spark):
     for junk in ([f"{near} {i}" for i in range(160)], [near] * 400):
         kept = verdicts(spark, plain + junk)
         assert all(kept[:300]) and not any(kept[300:])
+
+
+def test_repetition_alone_rejects_and_a_little_stays(spark):
+    rng = random.Random(4)
+    plain = ["\n".join([" ".join(words_of(rng, 100)), *words_of(rng, 6), *["end"] * (4 if i % 50 == 0 else 0)]) for i in range(300)]
+    lines = " ".join(words_of(rng, 200)) + "\n" + "\n".join(rng.choice(["one", "two", "three"]) for _ in range(60))
+    phrase = words_of(rng, 24)
+    repeats = " ".join([*phrase, *words_of(rng, 52), *phrase])
+    assert brute(lines)[3] / 61 > 0.9 and brute(lines)[4] / 260 < 0.4 and 0.45 < brute(repeats)[4] / 100 <= 0.5
+    kept = verdicts(spark, [*plain, lines, repeats])
+    assert all(kept[:300]) and kept[300:] == [False, False]
