@@ -13,11 +13,14 @@ broadcast: its size is that of the vocabulary, checked against MAX_VOCABULARY_BY
 
 from __future__ import annotations
 
+import array
 import base64
 import itertools
 import struct
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
@@ -29,99 +32,185 @@ from pyspark.sql import functions as F
 CACHE, CACHED_LENGTH = 200_000, 64
 MAX_VOCABULARY_BYTES = 64 << 20
 #: Ranks in one word of the lower bitmap; bytes of pre-tokens that share a queue, and of texts that are split together.
-WIDTH, CHUNK_BYTES, SPAN_BYTES = 256, 200_000, 1_000_000
-
-
-def merge_pieces(pieces: list[bytes], rank_of: Callable[[bytes, bytes], int | None]) -> list[list[bytes]]:
-    """The parts of each piece after all merges; rank_of(left, right) is the rank of a pair that merges, else None.
-
-    All pieces lie in one linked list, with a barrier between two, and share one queue: the lowest rank
-    over all is also the lowest of each piece that has it."""
-    parts: list[bytes | None] = [None]  # by start; None: a barrier, or merged into the part before
-    for piece in pieces:
-        parts += [piece[i : i + 1] for i in range(len(piece))]
-        parts.append(None)
-    n = len(parts)
-    after, before, rank_at = [*range(1, n + 1)], [*range(-1, n - 1)], [-1] * n
-    buckets: dict[int, list[int]] = {}  # rank -> positions of left parts
-    low: dict[int, int] = {}  # word of the bitmap -> its bits, one for each rank that has a bucket
-    high = 0  # one bit for each word that isn't zero
-    fresh: list[int] = []  # ranks that have got a bucket and no bit yet
-    last = None
-    for i, part in enumerate(parts):
-        if last is not None and part is not None and (rank := rank_of(last, part)) is not None:
-            rank_at[i - 1] = rank
-            if rank in buckets:
-                buckets[rank].append(i - 1)
-            else:
-                buckets[rank] = [i - 1]
-                fresh.append(rank)
-        last = part
-    while True:
-        for rank in fresh:
-            word = rank // WIDTH
-            low[word] = low.get(word, 0) | 1 << rank % WIDTH
-            high |= 1 << word
-        fresh.clear()
-        if not high:
-            break
-        word = (high & -high).bit_length() - 1
-        bits = low[word]
-        rank = word * WIDTH + (bits & -bits).bit_length() - 1
-        low[word] = bits = bits & (bits - 1)
-        if not bits:
-            high &= high - 1
-        bucket = buckets.pop(rank)
-        bucket.sort()
-        for done, at in enumerate(bucket, 1):
-            if rank_at[at] != rank:
-                continue  # stale: the pair has changed
-            gone = after[at]
-            end = after[at] = after[gone]
-            before[end] = at
-            whole = parts[at] = parts[at] + parts[gone]
-            parts[gone] = None
-            rank_at[gone] = rank_at[at] = -1
-            lower = False
-            if (right := parts[end]) is not None and (new := rank_of(whole, right)) is not None:
-                rank_at[at] = new
-                lower = new < rank
-                if new in buckets:
-                    buckets[new].append(at)
-                else:
-                    buckets[new] = [at]
-                    fresh.append(new)
-            where = before[at]
-            if (left := parts[where]) is not None:
-                new = rank_of(left, whole)
-                if new is None:
-                    rank_at[where] = -1
-                else:
-                    rank_at[where] = new
-                    lower = lower or new < rank
-                    if new in buckets:
-                        buckets[new].append(where)
+WIDTH, CHUNK_BYTES, SPAN_BYTES = 256, 1_000_000, 4_000_000
+#: Bits of an id in a pair's key; entries from which on a bucket is merged in vectors.
+SHIFT, LARGE = 24, 24
+
+
+class Pairs:
+    """The pairs of token ids that merge, sorted by (left, right) and by (right, left); what one token may merge with is a slice of either."""
+
+    def __init__(self, left: np.ndarray, right: np.ndarray, ranks: np.ndarray, size: int):
+        self.size, self.sides = size, []
+        for mine, other in ((left, right), (right, left)):
+            order = np.lexsort((other, mine))
+            starts = np.searchsorted(mine[order], np.arange(size + 1))
+            self.sides.append((starts, other[order].astype(np.int32), ranks[order].astype(np.int32)))
+
+    def ranks(self, side: int, token: int, others: np.ndarray) -> np.ndarray:
+        """The rank of the token (side 0: as the left part, side 1: as the right one) with each of the others; -1 where they don't merge."""
+        starts, names, ranks = self.sides[side]
+        lo, hi = starts[token], starts[token + 1]
+        if lo == hi:
+            return np.full(len(others), -1, np.int32)
+        names, at = names[lo:hi], np.searchsorted(names[lo:hi], others)
+        at[at == hi - lo] = 0
+        return np.where(names[at] == others, ranks[lo:hi][at], -1)
+
+    def table(self) -> dict[int, int]:
+        """Rank by key: left id << SHIFT | right id."""
+        starts, names, ranks = self.sides[0]
+        keys = np.repeat(np.arange(self.size, dtype=np.int64), np.diff(starts)) << SHIFT | names
+        return dict(zip(keys.tolist(), ranks.tolist(), strict=True))
+
+
+class Merger:
+    """Merges pieces of bytes to token ids. Everything in its loop is a small integer: the ids of adjacent
+    parts, packed to one number, look up the rank of their merge, and a rank the id that it makes."""
+
+    def __init__(self, byte_ids: list[int], pairs: Pairs, made: Sequence[int]):
+        """byte_ids: the id of each byte; made: the id that the merge of each rank makes."""
+        self.byte_ids, self.pairs, self.made = np.array(byte_ids, np.int32), pairs, made
+        self.rank_of = pairs.table().get
+        self.first = np.array([self.rank_of(a << SHIFT | b, -1) for a in byte_ids for b in byte_ids], np.int32)  # the ranks of pairs of bytes
+
+    def merge(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all pieces one after another, and where each piece's end.
+
+        All pieces lie in one linked list, with a barrier between two, and share one queue: the lowest rank
+        over all is also the lowest of each piece that has it. The entries of a large bucket that are their
+        pieces' only ones in it don't touch each other and are merged together."""
+        lengths = np.array([len(p) + 1 for p in pieces])
+        barriers = np.cumsum(np.concatenate([[0], lengths]))
+        data = np.frombuffer(b"\0" + b"\0".join(pieces) + b"\0", np.uint8)
+        n = len(data)
+        piece_of = np.repeat(np.arange(len(pieces) + 1, dtype=np.int32), [1, *lengths])
+        # lists of machine integers, each with a view of it as a vector
+        make = lambda values: array.array("i", values.astype(np.int32).tobytes())
+        view = lambda values: np.frombuffer(values, np.int32)
+        ids, rank_at = make(self.byte_ids[data]), make(np.append(self.first[data[:-1].astype(np.int64) << 8 | data[1:]], -1))
+        after, before = make(np.arange(1, n + 1)), make(np.arange(-1, n - 1))
+        v_ids, v_rank_at, v_after, v_before = map(view, (ids, rank_at, after, before))
+        v_ids[barriers] = -1  # makes a key negative, which none is
+        v_rank_at[barriers] = v_rank_at[barriers[1:] - 1] = -1
+        # the first entries, by rank and position
+        places = np.flatnonzero(v_rank_at >= 0)
+        places = places[np.argsort(v_rank_at[places], kind="stable")]
+        distinct, starts = np.unique(v_rank_at[places], return_index=True)
+        entries = dict(zip(distinct.tolist(), np.split(places, starts[1:]), strict=True)) if len(places) else {}
+        buckets: dict[int, list[int]] = {}  # rank -> positions of left parts that came up later
+        low: dict[int, int] = {}  # word of the bitmap -> its bits, one for each rank that waits
+        high = 0  # one bit for each word that isn't zero
+        fresh: list[int] = distinct.tolist()  # ranks that wait and have no bit yet
+        rank_of, made = self.rank_of, self.made
+
+        def together(at: np.ndarray, whole: int) -> None:
+            """Merges the pairs at these positions, which are in different pieces."""
+            gone = v_after[at]
+            end, where = v_after[gone], v_before[at]
+            v_after[at], v_before[end] = end, at
+            v_ids[at], v_ids[gone], v_rank_at[gone] = whole, -1, -1
+            for side, place, other in ((0, at, end), (1, where, where)):
+                ranks = self.pairs.ranks(side, whole, v_ids[other])
+                v_rank_at[place] = ranks
+                new = np.flatnonzero(ranks >= 0)
+                for r, p in zip(ranks[new].tolist(), place[new].tolist(), strict=True):
+                    if r in buckets:
+                        buckets[r].append(p)
                     else:
-                        buckets[new] = [where]
-                        fresh.append(new)
-            if lower and done < len(bucket):
-                # the lower rank comes first; what is left of this bucket waits
-                buckets[rank] = bucket[done:] + buckets.get(rank, [])
-                fresh.append(rank)
+                        buckets[r] = [p]
+                        fresh.append(r)
+
+        while True:
+            for rank in fresh:
+                word = rank // WIDTH
+                low[word] = low.get(word, 0) | 1 << rank % WIDTH
+                high |= 1 << word
+            fresh.clear()
+            if not high:
                 break
-    out, at = [], 1
-    for piece in pieces:
-        out.append([p for p in parts[at : at + len(piece)] if p is not None])
-        at += len(piece) + 1
-    return out
-
-
-def chunks(pieces: list[bytes], size: int = CHUNK_BYTES) -> Iterator[list[bytes]]:
-    """The pieces in runs of about `size` bytes."""
+            word = (high & -high).bit_length() - 1
+            bits = low[word]
+            rank = word * WIDTH + (bits & -bits).bit_length() - 1
+            low[word] = bits = bits & (bits - 1)
+            if not bits:
+                high &= high - 1
+            whole = made[rank]
+            bucket = buckets.pop(rank, [])
+            begun = entries.pop(rank, None)
+            if len(bucket) + (0 if begun is None else len(begun)) >= LARGE:
+                at = np.array(bucket, np.int64) if begun is None else np.concatenate([begun, np.array(bucket, np.int64)])
+                at = at[v_rank_at[at] == rank]
+                at.sort()
+                same = np.diff(piece_of[at], prepend=-1) == 0
+                same[:-1] |= same[1:]
+                together(at[~same], whole)
+                bucket = at[same].tolist()
+            else:
+                if begun is not None:
+                    bucket += begun.tolist()
+                bucket.sort()
+            for done, at in enumerate(bucket, 1):
+                if rank_at[at] != rank:
+                    continue  # stale: the pair has changed
+                gone = after[at]
+                end = after[at] = after[gone]
+                before[end] = at
+                ids[at] = whole
+                ids[gone] = rank_at[gone] = -1
+                rank_at[at] = right = rank_of(whole << SHIFT | ids[end], -1)
+                if right >= 0:
+                    if right in buckets:
+                        buckets[right].append(at)
+                    else:
+                        buckets[right] = [at]
+                        fresh.append(right)
+                where = before[at]
+                rank_at[where] = left = rank_of(ids[where] << SHIFT | whole, -1)
+                if left >= 0:
+                    if left in buckets:
+                        buckets[left].append(where)
+                    else:
+                        buckets[left] = [where]
+                        fresh.append(left)
+                if (-1 < right < rank or -1 < left < rank) and done < len(bucket):
+                    # the lower rank comes first; what is left of this bucket waits
+                    buckets[rank] = bucket[done:] + buckets.get(rank, [])
+                    fresh.append(rank)
+                    break
+        alive = v_ids >= 0
+        return v_ids[alive].astype("<u4"), np.cumsum(alive)[barriers[1:]]
+
+
+@dataclass
+class Tables:
+    """What the tasks of an encoder need, made once: bounded by the size of the vocabulary."""
+
+    ranks: dict[bytes, int]
+    pairs: Pairs
+
+    @classmethod
+    def of(cls, ranks: dict[bytes, int]) -> Tables:
+        """Every way to make a token from two others."""
+        get, ways = ranks.get, []
+        for token, rank in ranks.items():
+            for i in range(1, len(token)):
+                if (a := get(token[:i])) is not None and (b := get(token[i:])) is not None:
+                    ways.append((a, b, rank))
+        left, right, rank = np.array(ways, np.int64).reshape(-1, 3).T
+        return cls(ranks, Pairs(left, right, rank, max(ranks.values()) + 1))
+
+    def merger(self) -> Merger:
+        # the rank of a merge is the id of the token
+        return Merger([self.ranks[bytes([b])] for b in range(256)], self.pairs, range(self.pairs.size))
+
+
+def chunks(pieces: list[tuple[str, bytes]], size: int = CHUNK_BYTES) -> Iterator[list[tuple[str, bytes]]]:
+    """The pre-tokens, with their bytes, in runs of about `size` bytes."""
     run, held = [], 0
     for p in pieces:
         run.append(p)
-        held += len(p)
+        held += len(p[1])
         if held >= size:
             yield run
             run, held = [], 0
@@ -132,34 +221,35 @@ def chunks(pieces: list[bytes], size: int = CHUNK_BYTES) -> Iterator[list[bytes]
 class Encoder:
     """Encodes texts to token ids, packed as little-endian unsigned 32-bit integers; remembers the ids of up to CACHE pre-tokens."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
-        self.ranks, self.split = ranks, regex.compile(pattern).findall
+    def __init__(self, tables: Tables, pattern: str):
+        self.ranks, self.merger, self.split = tables.ranks, tables.merger(), regex.compile(pattern).findall
         self.known: dict[str, bytes] = {}
 
-    def learn(self, tokens: list[str]) -> dict[str, bytes]:
+    def learn(self, tokens: set[str]) -> dict[str, bytes]:
         """The packed ids of those of the tokens that aren't known."""
         if len(self.known) >= CACHE:
             self.known = {}
         new, get, rest = {}, self.ranks.get, []
-        for t in set(tokens).difference(self.known):
-            if (whole := get(t.encode())) is not None:
+        for t in tokens.difference(self.known):
+            piece = t.encode()
+            if (whole := get(piece)) is not None:
                 new[t] = struct.pack("<I", whole)
             else:
-                rest.append(t)
-        done = 0
-        for run in chunks([t.encode() for t in rest]):
-            # parts are tokens, so what is looked up is at most two tokens long
-            for t, parts in zip(rest[done : done + len(run)], merge_pieces(run, lambda a, b: get(a + b)), strict=True):
-                new[t] = struct.pack(f"<{len(parts)}I", *map(self.ranks.__getitem__, parts))
-            done += len(run)
+                rest.append((t, piece))
+        for run in chunks(rest):
+            ids, ends = self.merger.merge([piece for _, piece in run])
+            packed, start = ids.tobytes(), 0
+            for (t, _), end in zip(run, (4 * ends).tolist(), strict=True):
+                new[t] = packed[start:end]
+                start = end
         self.known.update((t, p) for t, p in new.items() if len(t) <= CACHED_LENGTH)
         return new
 
     def batch(self, texts: list[str | None]) -> list[bytes]:
         """The packed ids of each text; the texts' new pre-tokens are merged together."""
         split = [self.split(x or "") for x in texts]
+        new = self.learn(set(itertools.chain.from_iterable(split)))
         known = self.known
-        new = self.learn(list(set(itertools.chain.from_iterable(split))))
         out: list[bytes] = []
         for tokens in split:
             packed = list(map(known.get, tokens))
@@ -222,11 +312,11 @@ def _mapped(df: DataFrame, keep: list[str], read: str, made: list[str], begin: C
 def encode(df: DataFrame, path: str, pattern: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
     """All columns of df but text_col, with the token ids of the text as packed little-endian unsigned
     32-bit integers in ids_col (a column of that name is replaced). Null and empty texts have no ids."""
-    data = df.sparkSession.sparkContext.broadcast(read_vocabulary(path))
+    tables = df.sparkSession.sparkContext.broadcast(Tables.of(parse_ranks(read_vocabulary(path))))
     keep = [c for c in df.columns if c not in (text_col, ids_col)]
 
     def begin():
-        encoder = Encoder(parse_ranks(data.value), pattern)
+        encoder = Encoder(tables.value, pattern)
         return lambda texts: [encoder.batch(texts)]
 
     return _mapped(df, keep, text_col, [ids_col], begin)
@@ -247,12 +337,11 @@ def decode(df: DataFrame, path: str, ids_col: str = "ids", decoded_col: str = "d
 
 def round_trip(df: DataFrame, path: str, pattern: str, text_col: str = "text", ids_col: str = "ids", decoded_col: str = "decoded") -> DataFrame:
     """encode() and then decode() of what it gave, in one pass over the texts."""
-    data = df.sparkSession.sparkContext.broadcast(read_vocabulary(path))
+    tables = df.sparkSession.sparkContext.broadcast(Tables.of(parse_ranks(read_vocabulary(path))))
     keep = [c for c in df.columns if c not in (text_col, ids_col, decoded_col)]
 
     def begin():
-        ranks = parse_ranks(data.value)
-        encoder, decoder = Encoder(ranks, pattern), Decoder(ranks)
+        encoder, decoder = Encoder(tables.value, pattern), Decoder(tables.value.ranks)
 
         def work(texts: list[str | None]) -> list[list[bytes]]:
             ids = encoder.batch(texts)

@@ -2,27 +2,28 @@
 
 Offline, the merges are run over every vocabulary string; those that come out as one token are proven
 whole. While counting, a pre-token that is a proven string counts as one without any merge; only the
-rest is merged, and remembered by each task up to a bound. Texts are counted where Spark has
+rest is merged (the new pre-tokens of some megabytes of text in one rank queue), and remembered by each
+task up to a bound. Texts are counted where Spark has
 read them; nothing is shuffled. The vocabulary and the proven strings are broadcast; their size is
 that of the vocabulary file, checked in read_vocabulary().
 """
 
 from __future__ import annotations
 
+import itertools
 import json
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from noticeworks.llm.bpe import CACHE, CACHED_LENGTH, merge_pieces, read_vocabulary
+from noticeworks.llm.bpe import CACHE, CACHED_LENGTH, Merger, Pairs, chunks, read_vocabulary, spans
 
 #: Fixed value: the pattern of the byte-level pre-tokenizer.
 BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Pre-tokens of up to so many bytes are merged by scanning their few ranks; longer ones by the rank queue.
-SHORT, NONE = 48, 1 << 60
 
 
 def byte_of_char() -> dict[str, int]:
@@ -41,86 +42,80 @@ class Merges:
         model, before = spec["model"], spec["pre_tokenizer"]
         if model["type"] != "BPE" or before["type"] != "ByteLevel" or before["add_prefix_space"] or spec["normalizer"]:
             raise ValueError("only byte-level BPE without a prefix space or normalizer is counted")
-        table = byte_of_char()
-        as_bytes = lambda s: bytes(map(table.__getitem__, s))
-        pairs = (m if isinstance(m, list) else m.split(" ") for m in model["merges"])
-        self.ranks = {(as_bytes(a), as_bytes(b)): r for r, (a, b) in enumerate(pairs)}
+        table, vocab = byte_of_char(), model["vocab"]
+        pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
+        left, right = (np.array([vocab[m[k]] for m in pairs], np.int64) for k in (0, 1))
+        self.pairs = Pairs(left, right, np.arange(len(pairs)), max(vocab.values()) + 1)
+        self.made = [vocab[a + b] for a, b in pairs]
+        char_of = {b: c for c, b in table.items()}
+        self.byte_ids = [vocab[char_of[b]] for b in range(256)]
         self.specials = sorted((x["content"] for x in spec["added_tokens"]), key=len, reverse=True)
         special = set(self.specials)
-        self.vocabulary = [as_bytes(s) for s in model["vocab"] if s not in special]
-
-    def count(self, piece: bytes) -> int:
-        get = self.ranks.get
-        if len(piece) > SHORT:
-            return len(merge_pieces([piece], lambda a, b: get((a, b)))[0])
-        parts = [piece[i : i + 1] for i in range(len(piece))]
-        ranks = [get(pair, NONE) for pair in zip(parts, parts[1:])]
-        while ranks and (low := min(ranks)) < NONE:
-            i = ranks.index(low)
-            parts[i : i + 2] = [parts[i] + parts[i + 1]]
-            del ranks[i]
-            if i < len(ranks):
-                ranks[i] = get((parts[i], parts[i + 1]), NONE)
-            if i:
-                ranks[i - 1] = get((parts[i - 1], parts[i]), NONE)
-        return len(parts)
+        self.vocabulary = [bytes(map(table.__getitem__, s)) for s in vocab if s not in special]
+
+    def merger(self) -> Merger:
+        return Merger(self.byte_ids, self.pairs, self.made)
 
     def whole(self) -> list[str]:
         """The vocabulary strings that are text and that the merges encode as one token."""
-        found = []
-        for piece in self.vocabulary:
-            try:
-                text = piece.decode()
-            except UnicodeDecodeError:
-                continue
-            if self.count(piece) == 1:
-                found.append(text)
+        merger, found = self.merger(), []
+        for run in chunks([("", piece) for piece in self.vocabulary]):
+            pieces = [piece for _, piece in run]
+            counts = np.diff(merger.merge(pieces)[1], prepend=0)
+            for piece in itertools.compress(pieces, (counts == 1).tolist()):
+                try:
+                    found.append(piece.decode())
+                except UnicodeDecodeError:
+                    continue  # part of a character
         return found
 
 
 class Counter:
     """Counts the tokens of texts; remembers the counts of up to CACHE pre-tokens that aren't whole."""
 
-    def __init__(self, merges: Merges, whole: list[str]):
-        self.merges, self.whole, self.split = merges, whole, regex.compile(BYTE_LEVEL).findall
-        self.cut = regex.compile("|".join(map(regex.escape, merges.specials))) if merges.specials else None
+    def __init__(self, merger: Merger, specials: list[str], whole: list[str]):
+        self.merger, self.whole, self.split = merger, whole, regex.compile(BYTE_LEVEL).findall
+        self.cut = regex.compile("|".join(map(regex.escape, specials))) if specials else None
         self.known: dict[str, int] = dict.fromkeys(whole, 1)
 
-    def learn(self, tokens: list[str]) -> dict[str, int]:
+    def learn(self, tokens: set[str]) -> dict[str, int]:
         """The counts of those of the tokens that aren't known."""
         if len(self.known) >= CACHE + len(self.whole):
             self.known = dict.fromkeys(self.whole, 1)
-        new = {t: self.merges.count(t.encode()) for t in set(tokens).difference(self.known)}
+        new: dict[str, int] = {}
+        for run in chunks([(t, t.encode()) for t in tokens.difference(self.known)]):
+            ends = self.merger.merge([piece for _, piece in run])[1]
+            new.update(zip((t for t, _ in run), np.diff(ends, prepend=0).tolist(), strict=True))
         self.known.update((t, n) for t, n in new.items() if len(t) <= CACHED_LENGTH)
         return new
 
-    def part(self, text: str) -> int:
-        tokens = self.split(text)
-        counts = list(map(self.known.get, tokens))
-        if None in counts:
-            known = self.known
-            new = self.learn(tokens)
-            counts = [known[t] if t in known else new[t] for t in tokens]
-        return sum(counts)
-
-    def text(self, text: str | None) -> int:
-        parts = self.cut.split(text or "") if self.cut else [text or ""]
-        return len(parts) - 1 + sum(map(self.part, parts))
+    def batch(self, texts: list[str | None]) -> list[int]:
+        """The number of tokens of each text; the texts' new pre-tokens are merged together."""
+        parts = [self.cut.split(x or "") if self.cut else [x or ""] for x in texts]
+        split = [[*itertools.chain.from_iterable(map(self.split, p))] for p in parts]
+        new = self.learn(set(itertools.chain.from_iterable(split)))
+        known, out = self.known, []
+        for p, tokens in zip(parts, split, strict=True):
+            counts = list(map(known.get, tokens))
+            if None in counts:
+                counts = [known[t] if t in known else new[t] for t in tokens]
+            out.append(len(p) - 1 + sum(counts))
+        return out
 
 
 def count_tokens(df: DataFrame, path: str, text_col: str = "text", count_col: str = "n_tokens") -> DataFrame:
     """df with the number of tokens of each text in count_col (a column of that name is replaced).
     Null and empty texts have none. Special strings inside texts count as one token each."""
     keep = [c for c in df.columns if c != count_col]
-    data = read_vocabulary(path)
-    context = df.sparkSession.sparkContext
-    table = context.broadcast((data, Merges(data).whole()))
+    merges = Merges(read_vocabulary(path))
+    tables = df.sparkSession.sparkContext.broadcast((merges.byte_ids, merges.pairs, merges.made, merges.specials, merges.whole()))
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = Counter(Merges(table.value[0]), table.value[1])
+        *three, specials, whole = tables.value
+        counter = Counter(Merger(*three), specials, whole)
         for b in it:
-            counts = pa.array([counter.text(x) for x in b.column(text_col).to_pylist()], pa.int64())
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), counts], names=[*keep, count_col])
+            for part, texts in spans(b, text_col):
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), pa.array(counter.batch(texts), pa.int64())], names=[*keep, count_col])
 
     return df.select(*keep).mapInArrow(batches, df.select(*keep).withColumn(count_col, F.lit(0).cast("long")).schema)
 

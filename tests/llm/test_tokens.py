@@ -36,8 +36,8 @@ def test_encoding_is_the_library_s(spark):
 
 def test_merges_that_go_down_in_rank():
     # the merge of a and b makes a pair of lower rank, which comes before the other pairs of that rank
-    ranks = {b"aba": 0, b"ab": 1, b"ba": 2, b"abab": 3, b"a": 10, b"b": 11}
-    rng = random.Random(2)
+    ranks = {b"aba": 0, b"ab": 1, b"ba": 2, b"abab": 3} | {bytes([b]): 10 + b for b in range(256)}
+    name, merger, rng, pieces, want = {v: k for k, v in ranks.items()}, bpe.Tables.of(ranks).merger(), random.Random(2), [], []
     for _ in range(300):
         piece = bytes(rng.choice(b"ab") for _ in range(rng.randrange(1, 14)))
         parts = [piece[i : i + 1] for i in range(len(piece))]
@@ -47,7 +47,21 @@ def test_merges_that_go_down_in_rank():
                 break
             i = min(found)[1]
             parts[i : i + 2] = [parts[i] + parts[i + 1]]
-        assert bpe.merge_pieces([piece, piece], lambda a, b: ranks.get(a + b)) == [parts, parts]
+        pieces.append(piece)
+        want.append(parts)
+
+    def merged(run):
+        ids, ends = merger.merge(run)
+        return [[name[i] for i in ids[a:b].tolist()] for a, b in zip([0, *ends], ends)]
+
+    # by themselves, and as large buckets of many pieces
+    assert [merged([p])[0] for p in pieces] == want and merged(pieces) == want
+
+
+def test_very_long_pre_tokens():
+    encoder = bpe.Encoder(bpe.Tables.of(RANKS), P.PATTERN)
+    for text in ("a" * 300_000, "the" * 100_000, "=-" * 150_000, "é" * 100_000, " " * 300_000):
+        assert encoder.batch([text]) == [struct.pack(f"<{len(ids := LIBRARY.encode_ordinary(text))}I", *ids)]
 
 
 def test_counts_are_the_library_s(spark):
