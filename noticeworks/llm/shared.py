@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from noticeworks.staging import staged as written  # noqa: F401  a table in the shared folder
@@ -19,3 +19,11 @@ def words(text: Column) -> Column:
 
 def ascii_lower(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """A name for a working column that df doesn't have (Spark's names know no case)."""
+    taken, k = {c.lower() for c in df.columns}, 0
+    while (found := f"_{name}{k or ''}").lower() in taken:
+        k += 1
+    return found

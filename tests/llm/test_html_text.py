@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 from noticeworks.llm import html_text as H
 
 SF = "/root/testdata/sf0.01"
@@ -41,6 +43,66 @@ def test_templates_go_and_copies_stay(spark):
     assert H.extract_text(df.limit(0)).collect() == []
 
 
+def test_templates_are_those_that_brute_force_counts(spark):
+    import random
+    from collections import defaultdict
+
+    rng, rows = random.Random(4), []
+    for host in range(6):
+        pool = [f"<section><h3>Box {k} of {host}</h3><p>Text of box {k}</p></section>" for k in range(8)]
+        for i in range((40, 40, 30, 25, 12, 5)[host]):
+            boxes = [x for k, x in enumerate(pool) if rng.random() < (0.9, 0.5, 0.3, 0.2, 0.1, 0.05, 0.02, 0)[k]]
+            own = f"<div><h1>Story {rng.randrange(60)}</h1><p>" + "words " * rng.randrange(1, 30) + f"</p>{rng.choice(pool)}</div>"
+            body = boxes + [own]
+            rng.shuffle(body)
+            rows.append((len(rows), f"http://h{host}.org/{i}", page("".join(body))))
+    parsed = [(f"h{u[8]}.org", H.Page(h)) for _, u, h in rows]
+
+    def often(pairs):  # (host, item, beside)
+        beside, all_ = defaultdict(set), defaultdict(set)
+        for host, item, what in pairs:
+            all_[host].add(what)
+            if item is not None:
+                beside[host, item].add(what)
+        return {k for k, v in beside.items() if len(v) >= 10 and len(v) >= 0.1 * len(all_[k[0]])}
+
+    texts = [tuple(p.blocks()) for _, p in parsed]
+    shared = often([(h, x, t) for (h, _), t in zip(parsed, texts) for x in (None, *t)])
+    contents = [max((x for x in t if (h, x) not in shared), key=len, default=None) for (h, _), t in zip(parsed, texts)]
+    want = often([(h, x, c) for (h, p), c in zip(parsed, contents) for x in (None, *{p.hashes[i] for i in p.candidates()})])
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+    found = {tuple(r) for r in H.site_templates(df, "html", F.regexp_extract("url", "://([^/]*)", 1), 10, 0.1).collect()}
+    assert found == want and len(want) > 10
+    by_count = {r["page_id"]: r["text"] for r in H.extract_text(df).collect()}
+    by_rule = {r["page_id"]: r["text"] for r in H.extract_text(df, by_templates=False).collect()}
+    assert all(by_count[i] == " ".join(p.blocks({x for g, x in want if g == h})) for i, (h, p) in enumerate(parsed))
+    assert sum(by_count[i] != by_rule[i] for i in by_rule) > 80 and not any("Box 0 of 0" in by_count[i] for i in range(40))
+
+
+def test_templates_decide_before_the_rules(spark):
+    # a menu that outweighs the text holds "the bulk" of the page until it is counted; the text's wrapper is named like a sidebar
+    menu = "<div>" + "".join(f"<p>Section {k} of this very large site</p>" for k in range(20)) + "</div>"
+    rows = [(i, f"http://a.org/{i}", page(f"{menu}<h1>No {i}</h1><div class=widget><p>Story {i} in few words</p></div>")) for i in range(20)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in H.extract_text(df).collect()}
+    assert all(got[i] == f"No {i} Story {i} in few words" for i in range(20))
+    assert "Story" not in H.extract_text(df, by_templates=False).first()["text"]
+
+
+def test_long_hostile_pages_take_time_in_proportion():
+    import time
+
+    for source in ("<b>" * 300_000 + "x", "<p>" + "<b>" * 300_000, "<p title='x\">" * 80_000, "<b " * 300_000, "<b \">\" " * 120_000, "<b>" * 100_000 + "</i>" * 150_000, "<script>" + "</script " * 120_000 + ">"):
+        began = time.process_time()
+        H.Page(source).blocks()
+        assert time.process_time() - began < 30
+
+
+def test_columns_with_working_names_stay(spark):
+    df = spark.createDataFrame([(1, "http://a.org/", page("<p>x</p>"), 1, 2, 3, 4, 5)], "page_id long, url string, html string, _host int, _html int, _templates int, _OF int, host int")
+    assert H.extract_text(df).collect() == [(1, "http://a.org/", 1, 2, 3, 4, 5, "x")]
+
+
 def test_query_takes_the_article_and_nothing_else(spark):
     import re
 
