@@ -70,28 +70,55 @@ def test_shards_are_near_equal_and_keep_copies_together(spark):
     assert sorted(map(tuple, sharding.op9_kd_shards(spark, SF).collect()), key=str) == sorted(map(tuple, out), key=str)
 
 
-def test_shards_split_a_group_only_if_it_is_heavy(spark):
-    rows = [(i, "hot text " * 50, "en", "s", "x") for i in range(600)] + [(1000 + i, f"text {i // 2} " * 50, "en", f"s{i % 7}", "x") for i in range(1200)]
+def shards_of_groups(out):
+    of, load = collections.defaultdict(set), collections.Counter()
+    for r in out:
+        of[r["text_crc32"], r["size"]].add(r["shard"])
+        load[r["shard"]] += r["size"]
+    return of, load
+
+
+def test_equal_texts_share_a_shard_in_the_query(spark):
+    of, _ = shards_of_groups(sharding.op9_kd_shards(spark, SF).collect())
+    assert all(len(s) == 1 for s in of.values())
+
+
+def test_shards_split_a_group_only_if_it_outweighs_one(spark, monkeypatch):
+    # a hot group of two shards, groups of a third and of a tenth of a shard, pairs; languages and sources differ within all of them
+    rows = [(i, "hot text " * 50, "en", f"s{i % 3}", "x") for i in range(600)] + [(1000 + i, f"text {i // 2} " * 50, "en", f"s{i % 7}", "x") for i in range(900)]
+    for k, n in ((0, 100), (1, 100), (2, 100), (3, 30), (4, 30)):
+        rows += [(3000 + 200 * k + i, f"group {k} " * 50, f"l{i % 5}", f"s{i % 11}", "x") for i in range(n)]
     df = spark.createDataFrame(rows, SCHEMA)
-    for keep in (True, False):
-        # without the source as a dimension, equal texts have equal keys
-        out = sharding.shard_by_kd_tree(df, 6, dim_cols=(), tolerance=0.01, keep_text=keep).collect()
+    for keep, bound in ((True, 200_000), (False, 0)):
+        # beyond the bound, groups are joined by shuffle
+        monkeypatch.setattr(sharding, "BROADCAST_GROUPS", bound)
+        out = sharding.shard_by_kd_tree(df, 6, tolerance=0.01, keep_text=keep).collect()
         check_shards(rows, out, 6)
-        of = collections.defaultdict(set)
-        load = collections.Counter()
-        for r in out:
-            of[r["text_crc32"]].add(r["shard"])
-            load[r["shard"]] += r["size"]
-        assert max(load.values()) < 1.05 * min(load.values())
-        assert len(of[zlib.crc32(("hot text " * 50).encode())]) > 1
-        assert sum(len(s) > 1 for s in of.values()) <= 6
+        of, load = shards_of_groups(out)
+        assert max(load.values()) < 1.06 * min(load.values())
+        hot = "hot text " * 50
+        assert [k for k, s in of.items() if len(s) > 1] == [(zlib.crc32(hot.encode()), len(hot) + 8)]
+
+
+def test_shards_are_cells_of_the_widest_dimension(spark):
+    # sizes only: shards are runs of sizes, cut where the bytes are
+    rows = [(i, f"{i} " + "x" * (10 + i * i % 700), "en", "s", "x") for i in range(2000)]
+    out = sharding.shard_by_kd_tree(spark.createDataFrame(rows, SCHEMA), 8, dim_cols=()).collect()
+    sizes = [[r["size"] for r in out if r["shard"] == k] for k in range(8)]
+    assert all(max(a) <= min(b) for a, b in zip(sizes, sizes[1:])) and max(map(sum, sizes)) < 1.02 * min(map(sum, sizes))
+    # equal sizes: the four languages are as wide as the corpus, and each becomes a shard, the heaviest first
+    rows = [(i, f"{i:06d}" + "x" * 50, "abcd"[i % 4], "s", "x") for i in range(1200)]
+    of = collections.defaultdict(set)
+    for r in sharding.shard_by_kd_tree(spark.createDataFrame(rows, SCHEMA), 4).collect():
+        of[r["lang"]].add(r["shard"])
+    assert sorted(min(s) for s in of.values()) == [0, 1, 2, 3] and all(len(s) == 1 for s in of.values())
 
 
 def test_shard_edges(spark):
     rows = [(None, None, None, None, "x"), (None, None, None, None, "x"), (1, "", "en", "s", "x"), (2, "y" * 100000, "en", "s", "x")]
-    df = spark.createDataFrame(rows, SCHEMA).withColumns({"node": F.lit("n"), "dims": F.lit("d"), "crc": F.lit("c"), "shard": F.lit("s")})
+    df = spark.createDataFrame(rows, SCHEMA).withColumns({"node": F.lit("n"), "dims": F.lit("d"), "crc": F.lit("c"), "shard": F.lit("s"), "id": F.lit(1), "row": F.lit(2), "_node": F.lit(3)})
     out = sharding.shard_by_kd_tree(df, 4).collect()
-    assert all((r["node"], r["dims"], r["crc"]) == ("n", "d", "c") and isinstance(r["shard"], int) for r in out)
+    assert all((r["node"], r["dims"], r["crc"], r["id"], r["row"], r["_node"]) == ("n", "d", "c", 1, 2, 3) and isinstance(r["shard"], int) for r in out)
     check_shards(rows, out, 4)
     assert sorted(r["size"] for r in out) == [8, 8, 8, 100008]
     assert sharding.shard_by_kd_tree(spark.createDataFrame([], SCHEMA), 4).collect() == []
