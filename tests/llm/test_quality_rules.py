@@ -1,7 +1,9 @@
 import collections
+import itertools
 import random
 import re
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from noticeworks.llm import quality_rules as Q
@@ -22,6 +24,32 @@ def brute(text):
     return len(w), sum(map(len, w)), sum(text.count(c) for c in "#*$%&|<>"), len(lines) - len(set(lines)), len(covered)
 
 
+def test_windows_whose_hashes_meet(spark, monkeypatch):
+    # the hash of a window is the length of its first word: different windows meet all the time
+    monkeypatch.setattr(Q.F, "xxhash64", lambda *c: F.length(c[0]).cast("long"))
+    rng = random.Random(6)
+    texts = [" ".join(rng.choice(["a", "b", "cc", "dd", "e"]) for _ in range(rng.randrange(60))) for _ in range(200)]
+    assert stats_of(spark, texts) == {i: brute(t) for i, t in enumerate(texts)}
+
+
+def test_estimates_against_every_half_of_small_groups(spark):
+    rng, rows, groups = np.random.default_rng(1), [], {}
+    for g in range(6):
+        x = rng.normal(size=(13, 4)) @ (rng.normal(size=(4, 4)) * 0.3) * [1, 0.6, 0.8, 0.9] + [2, 0.5, 0.6, 0.7]
+        if g % 2:
+            x[:5] += rng.normal(size=4) * 3
+        groups[f"g{g}"] = z = np.clip(np.round(np.abs(x) * Q.SCALE), 0, Q.TOP).astype(int)
+        rows += [(f"g{g}", *map(int, r)) for r in z]
+    df = spark.createDataFrame(rows, "g string, " + ", ".join(f"z_{a} long" for a in Q.DIMS))
+    found = {r["g"]: r["det"] for r in Q.robust_estimates(df).collect()}
+    floor = np.diag(np.square([Q.FLOOR[a] for a in Q.DIMS]))
+    det = lambda z: np.linalg.slogdet(Q.CONSISTENCY[0.5] * np.cov(z.T / Q.SCALE, bias=True) + floor)[1]
+    least = {g: min(det(z[list(c)]) for c in itertools.combinations(range(13), 7)) for g, z in groups.items()}
+    # never below the least of all 1,716 halves, that itself in half of the groups, and far below all rows' determinant
+    assert all(least[g] - 1e-6 <= found[g] <= least[g] + 0.6 < det(z) for g, z in groups.items())
+    assert sum(found[g] < least[g] + 1e-6 for g in groups) >= 3
+
+
 def stats_of(spark, texts):
     df = spark.createDataFrame([(i, t, "n") for i, t in enumerate(texts)], "doc_id long, text string, n_words string")
     cols = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -60,6 +88,11 @@ def test_edges(spark):
     assert [(r["n_words"], r["base_failed"], r["kept"]) for r in Q.quality_rules(df).collect()] == [(0, True, False)] * 2
     assert Q.quality_rules(df.limit(0)).collect() == []
     assert "text" not in Q.quality_rules(df, keep_text=False).columns
+    # columns named like working ones
+    names = ["row", "pair", "hash", "g", "e", "key", "_words", "_lines", "z_symbols", "m_symbols", "start", "ep"]
+    df = spark.createDataFrame([(1, "a b", "en", "s", *range(12))], "doc_id long, text string, lang string, source string, " + ", ".join(f"{n} int" for n in names))
+    got = Q.quality_rules(df).first()
+    assert [got[n] for n in names] == list(range(12)) and got["n_words"] == 2
 
 
 def words_of(rng, n):
