@@ -236,10 +236,12 @@ def repeated_pages(df: DataFrame, source: str, page: str, pos: str, key: Column,
 def page_novelty(df: DataFrame, source: str, page: str, pos: str, key: Column) -> DataFrame:
     """rows, new and duplicate counts of each page against the keys of earlier pages; blank keys are neither."""
     keyed = df.withColumn("_k", F.nullif(squish(key), F.lit("")))
-    w = Window.partitionBy(source, "_k").orderBy(page, pos)
-    ranked = keyed.withColumn("_n", F.row_number().over(w))
-    has = F.col("_k").isNotNull()
-    return ranked.groupBy(source, page).agg(F.count("*").alias("rows"), F.count_if(has & (F.col("_n") == 1)).alias("new_keys"), F.count_if(has & (F.col("_n") > 1)).alias("duplicate_keys"))
+    counts = keyed.groupBy(source, page).agg(F.count("*").alias("rows"), F.count("_k").alias("_keys"))
+    # where a key comes first; blank ones, which may be very many, stay out
+    first = keyed.where("_k is not null").groupBy(source, "_k").agg(F.min(F.col(page)).alias("_page")).groupBy(source, "_page").agg(F.count("*").alias("new_keys"))
+    both = counts.join(first.withColumnRenamed("_page", page), [source, page], "left")
+    new = F.coalesce("new_keys", F.lit(0))
+    return both.select(source, page, "rows", new.alias("new_keys"), (F.col("_keys") - new).alias("duplicate_keys"))
 
 
 def first_non_blank_key(*cols: Column | str) -> Column:

@@ -1,21 +1,41 @@
-"""Bronze: JSON snapshots laid out as <source>/<run date>/<run id>.json, read as rows of variants."""
+"""Bronze: JSON snapshots laid out as <source>/<run date>/<run id>.json, read as rows of variants.
+
+What land_bronze writes is read, too: a run there is a folder source=.../run_date=.../run_id=... of files with a record
+a line, so that no task writes a whole run. Its object name is that of the plain layout, and a record's place counts the
+files before its own."""
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
 def list_objects(spark: SparkSession, root: str) -> DataFrame:
     """(object_name, source, run_date, run_id, parts) of every .json file under root, from the listing alone."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json").load(root).select("path")
-    return object_columns(files.withColumn("object_name", _below(F.col("path"), root))).drop("path")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", FILES).load(root).select("path")
+    return object_columns(files.withColumn("object_name", _below(F.col("path"), root))).drop("path").distinct()
 
 
 def _below(path: Column, root: str) -> Column:
     """The path below root; schemes may be written differently, so the root's last folder names the cut."""
     tail = root.rstrip("/").rsplit("/", 1)[-1]
-    return F.url_decode(F.replace(F.substring_index(path, f"/{tail}/", -1), F.lit("+"), F.lit("%2B")))
+    below = F.url_decode(F.replace(F.substring_index(path, f"/{tail}/", -1), F.lit("+"), F.lit("%2B")))
+    return F.regexp_replace(below, LANDED, "$1/$2/$3.json")
+
+
+#: Names of files that are read, and the place of a file of a landed run.
+FILES = "{*.json,part-*.txt}"
+LANDED = r"^source=([^/]+)/run_date=([^/]+)/run_id=([^/]+)/part-[^/]*$"
+
+
+def whole_files(raw: DataFrame, root: str) -> DataFrame:
+    """Whole files as rows for parse_objects; before: the place of a landed file's first record."""
+    path = F.col("_metadata.file_path")
+    files = raw.select("value", path.alias("file_path"))
+    part = F.regexp_extract("file_path", r"/run_id=[^/]+/part-(\d+)-[^/]*$", 1)
+    landed = F.when(part != "", F.shiftleft(part.cast("long"), 32))
+    return files.withColumns({"object_name": _below(F.col("file_path"), root), "before": landed})
 
 
 def object_columns(files: DataFrame) -> DataFrame:
@@ -33,12 +53,19 @@ def parse_objects(files: DataFrame) -> DataFrame:
     """Rows (file_path, object_name, value) to one row for each record: pos and rec (variant). A single object
     counts as a list of one; a list element that isn't an object becomes {"value": element}; text that isn't
     JSON keeps one row with a null rec and malformed = true, for a gate to see."""
-    doc = files.withColumn("_doc", F.try_parse_json("value"))
-    # an element at a time, as JSON text: arrays by their elements, anything else as itself
+    if "before" not in files.columns:
+        files = files.withColumn("before", F.lit(None).cast("long"))
+    lines = F.col("before").isNotNull()
+    doc = files.withColumn("_doc", F.when(~lines, F.try_parse_json("value")))
+    # an element at a time, as JSON text: landed files by their lines, arrays by their elements, anything else as itself
     listed = F.from_json(F.col("value"), "array<string>")
     is_list = F.trim("value").startswith("[")
-    texts = F.when(F.col("_doc").isNull(), F.array(F.lit(None).cast("string"))).when(is_list, listed).otherwise(F.array("value"))
-    rows = doc.withColumn("malformed", F.col("_doc").isNull()).select(*[c for c in files.columns if c != "value"], "malformed", F.posexplode(texts).alias("pos", "_text"))
+    by_line = F.filter(F.split("value", "\n"), lambda x: F.trim(x) != "")
+    texts = F.when(lines, by_line).when(F.col("_doc").isNull(), F.array(F.lit(None).cast("string"))).when(is_list, listed).otherwise(F.array("value"))
+    kept = [c for c in files.columns if c not in ("value", "before")]
+    rows = doc.select(*kept, "before", (~lines & F.col("_doc").isNull()).alias("_bad"), F.posexplode(texts).alias("_at", "_text"))
+    rows = rows.withColumns({"malformed": F.col("_bad") | (F.col("before").isNotNull() & F.try_parse_json("_text").isNull()), "pos": F.coalesce("before", F.lit(0)) + F.col("_at")})
+    rows = rows.select(*kept, "malformed", "pos", "_text")
     is_object = F.ltrim("_text").startswith("{")
     plain = F.concat(F.lit('{"value":'), F.coalesce(F.when(F.try_parse_json("_text").isNotNull(), F.col("_text")), F.regexp_replace(F.to_json(F.struct(F.col("_text").alias("v"))), r'^\{"v":|\}$', ""), F.lit("null")), F.lit("}"))
     rec = F.when(~F.col("malformed"), F.when(is_object, F.try_parse_json("_text")).otherwise(F.try_parse_json(plain)))
@@ -47,9 +74,8 @@ def parse_objects(files: DataFrame) -> DataFrame:
 
 def read_bronze(spark: SparkSession, root: str, sources: list[str] | None = None) -> DataFrame:
     """source, run_date, run_id, object_name, file_path, pos, rec (variant) and malformed of every record of the known sources."""
-    raw = spark.read.option("wholetext", "true").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json").text(root)
-    files = raw.select("value", F.col("_metadata.file_path").alias("file_path")).withColumn("object_name", _below(F.col("file_path"), root))
-    known = object_columns(files).where("parts = 3").drop("parts")
+    raw = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", FILES).text(root, wholetext=True)
+    known = object_columns(whole_files(raw, root)).where("parts = 3").drop("parts")
     return parse_objects(known.where(F.col("source").isin(sources)) if sources else known)
 
 
@@ -98,10 +124,11 @@ def latest_object_per_source(files: DataFrame) -> DataFrame:
 
 
 def snapshot_hash(records: DataFrame) -> DataFrame:
-    """A hash of each source's records in order; keys within a record are sorted. Record hashes are what is gathered, not records."""
-    hashed = records.select("source", "pos", F.sha2(F.to_json("rec"), 256).alias("h"))
-    gathered = hashed.groupBy("source").agg(F.array_sort(F.collect_list(F.struct("pos", "h"))).alias("all"))
-    return gathered.select("source", F.sha2(F.array_join(F.transform("all", lambda x: x.h), ""), 256).alias("content_hash"))
+    """A hash of each source's records and their places; keys within a record are sorted. Row hashes are combined by sums
+    (two of 64 bits, and the number of rows), so that nothing is gathered."""
+    row = lambda seed: F.xxhash64(F.lit(seed), "pos", F.to_json("rec")).cast("decimal(38,0)")
+    sums = records.groupBy("source").agg(F.count("*").alias("n"), F.sum(row(1)).alias("a"), F.sum(row(2)).alias("b"))
+    return sums.select("source", F.sha2(F.concat_ws("|", "n", "a", "b"), 256).alias("content_hash"))
 
 
 def changed_since_latest(new: DataFrame, old: DataFrame) -> DataFrame:
@@ -111,16 +138,22 @@ def changed_since_latest(new: DataFrame, old: DataFrame) -> DataFrame:
 
 
 def land_bronze(records: DataFrame, root: str, run_ts: str) -> None:
-    """Appends one snapshot of each source (columns source and rec) as JSON, one folder for each source and date; empty sources write nothing."""
-    run_date = run_ts[:10]
-    stamped = records.select(F.col("source"), F.lit(run_date).alias("run_date"), F.lit(run_ts.replace(":", "-").replace(".", "-")).alias("run_id"), F.to_json("rec").alias("record"))
-    stamped.write.partitionBy("source", "run_date").mode("append").json(root)
+    """Adds one snapshot of each source (columns source and rec) for read_bronze: a folder for each source, date and run, with
+    a record a line; empty sources write nothing. The same run can't be landed twice for a source."""
+    run_id = run_ts.replace(":", "-").replace(".", "-")
+    spark = records.sparkSession
+    try:
+        old = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{root.rstrip('/')}/source=*/run_date={run_ts[:10]}/run_id={run_id}").select("path")
+    except AnalysisException:  # no such run yet
+        old = None
+    if old is not None and old.select(F.url_decode(F.regexp_extract("path", r"/source=([^/]+)/", 1)).alias("source")).join(records.select("source").distinct(), "source").limit(1).count():
+        raise ValueError(f"run {run_id} is there already")
+    stamped = records.select("source", F.lit(run_ts[:10]).alias("run_date"), F.lit(run_id).alias("run_id"), F.to_json("rec").alias("value"))
+    stamped.write.partitionBy("source", "run_date", "run_id").mode("append").option("maxRecordsPerFile", 100_000).option("compression", "none").format("text").save(root)
 
 
 def read_silver(spark: SparkSession, path: str, csv_path: str | None = None, schema: str | None = None) -> DataFrame:
     """The table, or its CSV copy where the table is absent."""
-    from pyspark.errors import AnalysisException
-
     try:
         return spark.read.parquet(path)
     except AnalysisException:

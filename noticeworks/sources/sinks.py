@@ -4,28 +4,46 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
-def write_table_overwrite(df: DataFrame, path: str, key: str | None = None) -> str:
-    """Writes a new version folder under path, reads it back and checks rows and key; returns the folder.
-    The old version stays untouched until a reader is pointed at the new one, so a table may be read and replaced."""
+def _observed(df: DataFrame) -> tuple[DataFrame, Observation]:
+    """df, and the number of its rows once it is written."""
+    seen = Observation()
+    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
+
+
+def _same(path: str, written: int, back: int) -> None:
+    if written != back:
+        raise ValueError(f"{path}: {written} rows written, {back} read back")
+
+
+def write_table_overwrite(df: DataFrame, path: str, key: str | None = None, partition: str | None = None) -> str:
+    """Writes a new version folder under path, reads it back and checks its rows against those written, and its key;
+    returns the folder. The old version stays untouched until a reader is pointed at the new one, so a table may be
+    read and replaced."""
     version = f"{path.rstrip('/')}/v-{uuid.uuid4().hex}"
-    df.write.mode("errorifexists").parquet(version)
+    rows, seen = _observed(df)
+    writer = rows.write.mode("errorifexists")
+    (writer.partitionBy(partition) if partition else writer).parquet(version)
     checks = [F.count("*").alias("rows"), *([F.count_distinct(key).alias("keys")] if key else [])]
-    back = df.sparkSession.read.parquet(version).agg(*checks).first()
+    back = df.sparkSession.read.schema(df.schema).parquet(version).agg(*checks).first()
+    _same(version, seen.get["rows"], back["rows"])
     if key and back["rows"] != back["keys"]:
         raise ValueError(f"{version}: {back['rows']} rows but {back['keys']} values of {key}")
     return version
 
 
 def write_csv_copy(df: DataFrame, path: str) -> int:
-    """A CSV copy: dates yyyy-MM-dd, timestamps ISO in UTC, nulls blank; the rows read back."""
-    writer = df.write.mode("overwrite").option("header", "true").option("dateFormat", "yyyy-MM-dd").option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSXXX")
+    """A CSV copy: dates yyyy-MM-dd, timestamps ISO in UTC, nulls blank; its rows are read back and checked. Returns their number."""
+    rows, seen = _observed(df)
+    writer = rows.write.mode("overwrite").option("header", "true").option("dateFormat", "yyyy-MM-dd").option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSXXX")
     writer.option("nullValue", "").option("emptyValue", "").option("escape", '"').csv(path)
     back = df.sparkSession.read.option("header", "true").option("multiLine", "true").option("escape", '"').csv(path)
-    return back.count()
+    found = back.count()
+    _same(path, seen.get["rows"], found)
+    return found
 
 
 def write_audit(reports: dict[str, DataFrame], root: str, run_date: str, run_id: str) -> None:

@@ -7,18 +7,50 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_LOCAL: dict[str, str] = {}  # application id -> its folder, of local sessions without a shared one
+_STAGED: dict[str, list[str]] = {}  # application id -> what it has staged and not dropped
+
 
 def shared_dir(spark: SparkSession) -> str:
-    """The session's spark.checkpoint.dir; a folder of our own only where none is set (local tests)."""
+    """The session's spark.checkpoint.dir. A local session without one gets a temporary folder of its own; on a
+    cluster, where that would be another folder on each machine, it is an error."""
     where = spark.conf.get("spark.checkpoint.dir", None)
-    if not where:
-        where = "file://" + tempfile.mkdtemp(prefix="noticeworks-")
-        spark.conf.set("spark.checkpoint.dir", where)
-    return where.rstrip("/")
+    if where:
+        return where.rstrip("/")
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    if context.applicationId not in _LOCAL:
+        _LOCAL[context.applicationId] = "file://" + tempfile.mkdtemp(prefix="noticeworks-")
+    return _LOCAL[context.applicationId]
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:
     """df as a Parquet table in the shared folder: it cuts the lineage, keeps plans small and survives the loss of executors."""
-    path = f"{shared_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    _STAGED.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def drop_staged(spark: SparkSession, keep: int = 0) -> int:
+    """Deletes what this application has staged beyond its first `keep` tables; returns their number. Call it when the
+    results that read them are written: a DataFrame that reads a dropped table can't be run again."""
+    mine = _STAGED.get(spark.sparkContext.applicationId, [])
+    gone = mine[keep:]
+    for path in gone:
+        _delete(spark, path)
+    del mine[keep:]
+    return len(gone)
+
+
+def staged_count(spark: SparkSession) -> int:
+    """How many tables there are now: drop_staged(spark, staged_count(spark)) later drops what came after."""
+    return len(_STAGED.get(spark.sparkContext.applicationId, []))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from noticeworks.operators import quality, upsert
 from noticeworks.plans import medallion
 from noticeworks.sources import bronze, sinks
-from noticeworks.streaming.incremental import VersionedTable, stream_bronze, stream_upsert
+from noticeworks.streaming.incremental import UpsertTable, stream_bronze, stream_upsert
 
 RUN = medallion.Run("r1", "2026-09-24")
 
@@ -27,7 +27,7 @@ def tree(tmp_path):
     put(root, "qa_source_03", "2026-09-01", "run1", [notice(1, "2026-09-01T00:00:00+00:00"), notice(2, "2026-09-01T00:00:00+00:00"), {**notice(3, "2026-09-01T00:00:00+00:00"), "Published Date": "gibberish"}])
     put(root, "qa_source_03", "2026-09-02", "run2", [notice(1, "2026-09-02T00:00:00+00:00"), notice(2, "2026-09-02T00:00:00+00:00", Title="Supply of software 2")])
     put(root, "qa_source_01", "2026-09-02", "run2", [{"رقم المناقصة": "9/2026", "موضوع المناقصة": "توريد برمجيات", "تاريخ الطرح": "1/9/2026", "تاريخ الإغلاق": "20/9/2026", "قيمة الوثائق (رق)": "1,000.50", "_currency": "QAR", "_extracted_at": "2026-09-02T00:00:00Z"}])
-    put(root, "ae_source_02", "2026-09-02", "run2", notice(7, "2026-09-02T00:00:00Z"))
+    put(root, "ae_source_02", "2026-09-02", "run2", json.dumps(notice(7, "2026-09-02T00:00:00Z"), indent=2))  # over many lines
     put(root, "ae_source_02", "2026-09-03", "run3", ["loose", 5])
     put(root, "ae_source_01", "2026-09-03", "run3", "{not json")
     put(root, "sa_source_02", "2026-09-03", "run3", [])
@@ -78,23 +78,93 @@ def test_gates_name_what_failed(spark):
 
 
 def test_stream_equals_batch(spark, tree, tmp_path):
-    target = VersionedTable(spark, str(tmp_path / "table"))
+    target = UpsertTable(spark, str(tmp_path / "table"), buckets=4)
 
     def shape(batch):
         return medallion.accepted(medallion.silver_rows(spark, batch, RUN))
 
-    def go():
-        stream_upsert(stream_bronze(spark, str(tree)), target, str(tmp_path / "checkpoint"), shape)
+    def go(checkpoint="checkpoint"):
+        stream_upsert(stream_bronze(spark, str(tree)), target, str(tmp_path / checkpoint), shape)
 
     go()
-    once = target.current()
+    once = target.newest()
     go()
-    assert target.current() == once  # no new files, no new version
+    assert target.newest() == once  # no new files, no new commit
     put(tree, "qa_source_03", "2026-09-05", "run5", [notice(1, "2026-08-01T00:00:00Z", Title="late and old"), notice(4, "2026-09-05T00:00:00Z")])
     go()
     batch = upsert.rebuild(shape(bronze.read_bronze(spark, str(tree))))
     cols = ["tender_id", "title", "scraped_at"]
-    assert sorted(map(tuple, target.read().select(*cols).collect())) == sorted(map(tuple, batch.select(*cols).collect()))
+    want = sorted(map(tuple, batch.select(*cols).collect()))
+    assert sorted(map(tuple, target.read().select(*cols).collect())) == want
+    # a new checkpoint counts its batches from 0 again: the table takes them as later commits
+    put(tree, "qa_source_03", "2026-09-06", "run6", [notice(4, "2026-09-06T00:00:00Z", Title="four again")])
+    go("another")
+    assert {r["title"] for r in target.read().where("source_tender_id = 'T-4'").collect()} == {"four again"}
+
+
+def test_commits_write_touched_parts_only(spark, tmp_path):
+    table = UpsertTable(spark, str(tmp_path / "t"), buckets=8)
+    schema = "tender_id string, scraped_at string, bronze_run_date string, v int"
+    row = lambda k, day, v: (k, day, day, v)
+    assert table.read() is None and table.commit(spark.createDataFrame([], schema), "tender_id") == 0
+    assert table.commit(spark.createDataFrame([row(f"k{i}", "2026-01-01", 0) for i in range(50)], schema), "tender_id") == 1
+    before = table.newest()
+    one = spark.createDataFrame([(*row("k7", "2026-01-02", 1), "x"), (*row("k8", "2025-01-01", 1), "x")], schema + ", extra string")
+    assert [table.commit(one, "tender_id") for _ in range(2)] == [2, 3]
+    after = table.newest()
+    assert 6 <= sum(before[b] == after[b] for b in before) < len(before)
+    got = {r["tender_id"]: (r["v"], r["extra"]) for r in table.read().collect()}
+    assert len(got) == 50 and got["k7"] == (1, "x") and got["k8"] == (0, None) and got["k9"] == (0, None)
+
+
+def test_landed_runs_are_read_again(spark, tree):
+    recs = spark.createDataFrame([("sa_source_01", f'{{"Item ID": "L-{i}", "n": {i}, "x": "a\\nb"}}') for i in range(40)] + [("bh source+1", '{"Item ID": "B"}')], "source string, j string")
+    records = recs.select("source", F.parse_json("j").alias("rec")).repartition(3)
+    bronze.land_bronze(records, str(tree), "2026-09-07T01:02:03.5")
+    rows = bronze.read_bronze(spark, str(tree)).where("run_date = '2026-09-07'")
+    got = rows.select("source", "run_id", "object_name", "pos", "malformed", F.to_json("rec").alias("j")).collect()
+    assert {(r["source"], r["run_id"], r["malformed"]) for r in got} == {("sa_source_01", "2026-09-07T01-02-03-5", False), ("bh source+1", "2026-09-07T01-02-03-5", False)}
+    assert {r["object_name"] for r in got if r["source"] == "sa_source_01"} == {"sa_source_01/2026-09-07/2026-09-07T01-02-03-5.json"}
+    assert {json.loads(r["j"])["n"] for r in got if r["source"] == "sa_source_01"} == set(range(40)) and len({(r["source"], r["pos"]) for r in got}) == 41
+    assert bronze.read_bronze(spark, str(tree), ["sa_source_01"]).count() == 40
+    files = bronze.list_objects(spark, str(tree)).where("run_date = '2026-09-07'")
+    assert files.count() == 2 and {r["rows"] for r in bronze.bronze_manifest(rows, files).collect()} == {40, 1}
+    with pytest.raises(ValueError):
+        bronze.land_bronze(records, str(tree), "2026-09-07T01:02:03.5")
+    bronze.land_bronze(records, str(tree), "2026-09-08T01:02:03.5")
+    same = bronze.changed_since_latest(bronze.read_bronze(spark, str(tree)).where("run_date = '2026-09-08'"), rows)
+    assert same.count() == 0
+
+
+def test_writes_are_checked_and_staged_tables_dropped(spark, tmp_path, monkeypatch):
+    from noticeworks import staging
+
+    df = spark.range(10).select(F.col("id").cast("string").alias("k"), F.lit("a\nb").alias("t"))
+    assert spark.read.parquet(sinks.write_table_overwrite(df, str(tmp_path / "t"), "k")).count() == 10
+    assert sinks.write_csv_copy(df, str(tmp_path / "c")) == 10
+    with pytest.raises(ValueError, match="2 values of k"):
+        sinks.write_table_overwrite(df.withColumn("k", F.expr("k % 2")), str(tmp_path / "t"), "k")
+    monkeypatch.setattr(sinks, "_observed", lambda df: (df, type("Seen", (), {"get": {"rows": 11}})))
+    for write in (lambda: sinks.write_table_overwrite(df, str(tmp_path / "t")), lambda: sinks.write_csv_copy(df, str(tmp_path / "c"))):
+        with pytest.raises(ValueError, match="11 rows written, 10 read back"):
+            write()
+    before = staging.staged_count(spark)
+    mine = staging.staged(df, "x")
+    assert mine.count() == 10 and staging.staged_count(spark) == before + 1 and staging.drop_staged(spark, before) == 1
+    with pytest.raises(Exception):
+        mine.count()
+
+
+def test_a_cluster_needs_a_shared_folder(monkeypatch):
+    from types import SimpleNamespace
+
+    from noticeworks import staging
+
+    session = lambda master, where: SimpleNamespace(conf=SimpleNamespace(get=lambda k, d: where), sparkContext=SimpleNamespace(master=master, applicationId="test"))
+    assert staging.shared_dir(session("spark://x:1", "hdfs:///c/")) == "hdfs:///c"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        staging.shared_dir(session("spark://x:1", None))
+    assert staging.shared_dir(session("local[2]", None)).startswith("file:///")
 
 
 def test_upsert_twice_is_once(spark):

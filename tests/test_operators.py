@@ -15,12 +15,14 @@ def one(spark, column, *values, schema="x string"):
 
 CASCADE = [
     ("ab", "", "", "Review", "bad_title", None),
+    ("Redesign of the web site", "", "", "Technology", "tech_title_regex", "web_work"),
+    ("Redesign of web pages and a brochure", "", "", "Technology", "tech_dominant", "web_work"),
     ("Supply of CCTV software", "", "", "Non-Tech", "nontech_override", "cctv"),
     ("Ultrasound reporting software", "", "", "Technology", "tech_dominant", "ultrasound reporting software"),
     ("Database and brochure", "", "", "Review", "title_conflict", "TECH=database | NONTECH=brochure"),
     ("Cleaning services for offices", "", "", "Non-Tech", "nontech_title_rule", "cleaning services"),
     ("Renewal of Oracle licenses", "", "", "Technology", "tech_title_rule", "oracle licenses"),
-    ("Develop a new website", "", "", "Technology", "tech_title_regex", "website_development"),
+    ("Renewals of subscriptions", "", "", "Technology", "tech_title_regex", "licence_term"),
     ("Purchase of stools", "", "om_source_01", "Technology", "source_it_category", "خدمات تقنية المعلومات"),
     ("Purchase of stools", "Software", "", "Review", "tech_context_review", "Technology evidence exists only in context: software"),
     ("Supply of network cabinets", "", "", "Review", "weak_tech_title_review", "Possible Technology signal: network"),
@@ -112,6 +114,9 @@ def test_pages(spark):
     df = spark.createDataFrame(rows, "s string, p int, i int, k string")
     out = {r["p"]: r["repeated"] for r in extract.repeated_pages(df, "s", "p", "i", F.col("k"), F.col("k")).collect()}
     assert out == {0: False, 1: False, 2: True, 3: False}
+    hot = df.unionByName(spark.createDataFrame([("s", p, 10 + i, None) for p in (0, 9) for i in range(50)], df.schema))
+    more = {r["p"]: (r["rows"], r["new_keys"], r["duplicate_keys"]) for r in extract.page_novelty(hot, "s", "p", "i", F.col("k")).collect()}
+    assert more == {0: (52, 2, 0), 1: (2, 1, 0), 2: (2, 0, 2), 3: (2, 1, 1), 9: (50, 0, 0)}
     new = {r["p"]: (r["rows"], r["new_keys"], r["duplicate_keys"]) for r in extract.page_novelty(df, "s", "p", "i", F.col("k")).collect()}
     assert new == {0: (2, 2, 0), 1: (2, 1, 0), 2: (2, 0, 2), 3: (2, 1, 1)}
 
@@ -126,6 +131,29 @@ def test_keys_and_look_alikes(spark):
     assert match.candidate_pairs(df, "id", "s", "g", "t", cap=3).count() == 0
 
 
+def test_prefixes_lose_no_similar_pair(spark):
+    rng = random.Random(8)
+    base = [[f"w{rng.randrange(40)}" for _ in range(rng.randrange(1, 12))] for _ in range(60)]
+    rows = []
+    for i in range(300):
+        words = set(rng.choice(base)) | ({f"w{rng.randrange(60)}"} if i % 2 else set())
+        rows.append((i, f"s{i % 3}", "q", sorted(words), date(2026, 9, 1)))
+    df = spark.createDataFrame(rows, "id int, s string, g string, t array<string>, c date")
+    for cap in (20, 400):
+        plain = df.select(F.col("id").alias("a"), F.col("t").alias("ta")), df.select(F.col("id").alias("b"), F.col("t").alias("tb"))
+        all_ = match.candidate_pairs(df, "id", "s", "g", "t", cap).join(plain[0], "a").join(plain[1], "b")
+        want = {(r["a"], r["b"]) for r in all_.where(match.jaccard(F.col("ta"), F.col("tb")) >= 0.82).collect()}
+        assert {(r["a"], r["b"]) for r in match.similar_pairs(df, "id", "s", "g", "t", "c", cap=cap).collect()} == want and want
+
+
+def test_first_duplicates_are_those_of_rank_one(spark):
+    rng = random.Random(9)
+    rows = [(i, rng.choice("abc"), rng.choice([None, "2026-01-01", "2026-01-02"]), f"d{rng.randrange(2)}", f"r{rng.randrange(2)}", "o", i) for i in range(60)]
+    df = spark.createDataFrame(rows, "i int, f string, scraped string, run_date string, run_id string, object_name string, pos int")
+    ranked = {r["i"]: r["duplicate_rank"] for r in identity.rank_exact_duplicates(df, "f", "scraped").collect()}
+    assert {r["i"]: r["duplicate_rank"] for r in identity.first_exact_duplicates(df, "f", "scraped").collect()} == {i: min(n, 2) for i, n in ranked.items()}
+
+
 def test_profile(spark):
     df = spark.createDataFrame([("s", "t", None, "2026-01-01T00:00:00Z", "f"), ("s", "t", None, "2026-01-01T00:00:00Z", "f"), ("s", " ", "x", "bad", "g")], "source string, title string, other string, ts string, path string")
     (r,) = profile.profile_4v(df, "source", "ts", "path", ["title"]).collect()
