@@ -14,12 +14,13 @@ from __future__ import annotations
 
 import functools
 import itertools
+from collections.abc import Callable
 from fractions import Fraction
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from noticeworks.llm.shared import words, written
@@ -94,6 +95,13 @@ def _settle(rows: pd.DataFrame, seed: int, last: bool) -> pd.DataFrame:
     return rows.assign(pi=pi)
 
 
+def _settler(seed: int, last: bool) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    def settle(rows: pd.DataFrame) -> pd.DataFrame:
+        return _settle(rows, seed, last)
+
+    return settle
+
+
 UNIT = "source_no int, h long, h2 long, size double, pi double, block int"
 
 
@@ -104,9 +112,8 @@ def cube_sample(units: DataFrame, seed: int = 1, block_rows: int = 20_000) -> Da
         per = now.groupBy("source_no").agg(F.ceil(F.count("*") / block_rows).cast("int").alias("blocks"))
         last = (per.agg(F.max("blocks")).first()[0] or 0) <= 1
         block = F.pmod(F.xxhash64("h", F.lit(round_)), F.col("blocks")).cast("int")
-        blocked = now.join(F.broadcast(per), "source_no").select("source_no", "h", "h2", "size", "pi", block.alias("block"))
-        settle = functools.partial(_settle, seed=seed + round_, last=last)
-        moved = blocked.groupBy("source_no", "block").applyInPandas(settle, UNIT)
+        blocked = now.join(_bounded(per), "source_no").select("source_no", "h", "h2", "size", "pi", block.alias("block"))
+        moved = blocked.groupBy("source_no", "block").applyInPandas(_settler(seed + round_, last), UNIT)
         if last:
             return functools.reduce(DataFrame.unionByName, [*done, moved])
         moved = written(moved, "cube")
@@ -118,44 +125,67 @@ def cube_sample(units: DataFrame, seed: int = 1, block_rows: int = 20_000) -> Da
 def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple = WEIGHTS, most: int = MOST, share: float = 1.0, seed: int = 1, block_rows: int = 20_000, keep_text: bool = True) -> DataFrame:
     """One row for each row of docs: its columns (without the text if keep_text is False), size (words),
     source_size, target and times (how often the mix takes the document: 0 to `most`); columns of these
-    names are replaced.
+    names are replaced, others stay, whatever their names.
 
     Sources are ordered by code point, null last; an empty string is a source of its own. A document
     without words (or with null text) is never taken. Rows of the same id, source and text are one unit:
-    all are taken equally often. An empty table gives no rows. The driver sees one row for each source.
+    all are taken equally often. An empty table gives no rows. There may be any number of sources.
     """
-    docs = docs.drop(*[c for c in ("size", "source_size", "target", "times") if c not in (id_col, text_col, source_col)])
-    own = [c for c in docs.columns if keep_text or c != text_col]
-    keys = {"_h": F.xxhash64(F.col(id_col), F.col(text_col), F.col(source_col), F.lit(seed)), "_h2": F.xxhash64(F.col(id_col), F.lit(seed))}
-    sized = docs.withColumns({"size": F.size(words(F.col(text_col))).cast("long"), **keys})
+    made = ("size", "source_size", "target", "times")
+    own = [c for c in docs.columns if c not in made and (keep_text or c != text_col)]
+    # the caller's columns travel in one column, so that none meets a working name
+    hashes = F.xxhash64(F.col(id_col), F.col(text_col), F.col(source_col), F.lit(seed)).alias("h"), F.xxhash64(F.col(id_col), F.lit(seed)).alias("h2")
+    sized = docs.select(F.struct(*own).alias("row"), F.size(words(F.col(text_col))).cast("long").alias("size"), F.col(source_col).alias("s"), *hashes)
     if not keep_text:
-        sized = written(sized.drop(text_col), "sizes")
-    units = written(sized.groupBy(F.col(source_col).alias("s"), "_h", "_h2").agg(F.sum("size").alias("size")), "units")
-    plan = F.broadcast(plan_sources(units, weights, most, share))
-    part = F.col("_ratio") - F.floor("_ratio")
-    planned = units.where("size > 0").join(plan, units["s"].eqNullSafe(plan["_source"])).withColumn("pi", part)
-    open_ = planned.where(part > EDGE).select(F.col("_no").alias("source_no"), F.col("_h").alias("h"), F.col("_h2").alias("h2"), F.col("size").cast("double").alias("size"), "pi")
+        sized = written(sized, "sizes")
+    units = written(sized.groupBy("s", "h", "h2").agg(F.sum("size").alias("size")), "units")
+    plan = _bounded(written(plan_sources(units, weights, most, share), "plan"))
+    part = F.col("ratio") - F.floor("ratio")
+    same = lambda df: df["s"].eqNullSafe(plan["source"])
+    planned = units.where("size > 0").join(plan, same(units)).withColumn("pi", part)
+    open_ = planned.where(part > EDGE).select(F.col("no").alias("source_no"), "h", "h2", F.col("size").cast("double").alias("size"), "pi")
     settled = cube_sample(open_, seed, block_rows)
-    extra = settled.where("pi > 0.5").select(F.col("source_no").alias("_no"), F.col("h").alias("_h"), F.col("h2").alias("_h2"), F.lit(1).alias("_extra"))
-    placed = sized.join(plan, sized[source_col].eqNullSafe(plan["_source"])).join(extra, ["_no", "_h", "_h2"], "left")
-    times = F.when(F.col("size") > 0, F.floor("_ratio") + F.coalesce("_extra", F.lit(0))).otherwise(0).cast("long")
-    return placed.withColumns({"source_size": F.col("_size"), "target": F.col("_target"), "times": times}).select(*own, "size", "source_size", "target", "times")
+    extra = settled.where("pi > 0.5").select(F.col("source_no").alias("no"), "h", "h2", F.lit(1).alias("extra"))
+    placed = sized.join(plan, same(sized)).join(extra, ["no", "h", "h2"], "left")
+    times = F.when(F.col("size") > 0, F.floor("ratio") + F.coalesce("extra", F.lit(0))).otherwise(0).cast("long")
+    return placed.select(*[F.col("row").getField(c).alias(c) for c in own], "size", F.col("n").alias("source_size"), "target", times.alias("times"))
 
 
-#: One row of about 100 bytes for each source is planned on the driver and broadcast.
-MAX_SOURCES = 100_000
+#: Tables of up to so many sources (about 100 bytes each) are broadcast; larger ones are joined by shuffle.
+BROADCAST_SOURCES = 100_000
+
+
+def _bounded(table: DataFrame) -> DataFrame:
+    return F.broadcast(table) if table.count() <= BROADCAST_SOURCES else table
 
 
 def plan_sources(units: DataFrame, weights: tuple, most: int, share: float) -> DataFrame:
-    """_source, _no, _size, _target and _ratio (target / size); one row for each source."""
-    per = units.groupBy("s").agg(F.sum("size").alias("n")).limit(MAX_SOURCES + 1).collect()
-    if len(per) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources")
-    per.sort(key=lambda r: (r["s"] is None, r["s"] or ""))
-    sizes = [r["n"] for r in per]
-    targets = water_fill(sizes, [weights[i % len(weights)] for i in range(len(per))], Fraction(share) * sum(sizes), most)
-    rows = [(r["s"], i, r["n"], float(t), float(t / r["n"]) if r["n"] else 0.0) for i, (r, t) in enumerate(zip(per, targets, strict=True))]
-    return units.sparkSession.createDataFrame(rows, f"_source {units.schema['s'].dataType.simpleString()}, _no int, _size long, _target double, _ratio double")
+    """source, no (its place by code point, null last), n (its size), target and ratio (target / size); one row for each source.
+
+    Targets are level * weight, at most `most` times the size: what water_fill() gives. The level is found by sums over
+    all sources: those above their limit are set to it and the rest is shared anew, until none is above."""
+    per = units.groupBy(F.col("s").alias("source")).agg(F.sum("size").alias("n"))
+    ordered = written(per.orderBy(F.col("source").isNull(), "source").withColumn("p", F.spark_partition_id()), "sources")
+    before = Window.orderBy("p").rowsBetween(Window.unboundedPreceding, -1)
+    counts = ordered.groupBy("p").count()  # a row for each partition of the sorted table
+    shifts = counts.select("p", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("shift"))
+    within = F.row_number().over(Window.partitionBy("p").orderBy(F.col("source").isNull(), "source"))
+    numbered = ordered.withColumn("i", within).join(F.broadcast(shifts), "p").withColumn("no", (F.col("shift") + F.col("i") - 1).cast("int"))
+    weight = F.get(F.array(*[F.lit(float(w)) for w in weights]), F.pmod("no", F.lit(len(weights))).cast("int"))
+    numbered = written(numbered.select("source", "no", "n", weight.alias("weight")), "sources")
+    all_ = numbered.agg(F.sum("n").alias("n"), F.sum("weight").alias("w")).first()
+    total, level, held = share * (all_["n"] or 0), 0.0, -1
+    capped = F.lit(False)
+    while all_["w"]:
+        over = numbered.where(capped).agg(F.count("*").alias("k"), F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("weight"), F.lit(0.0)).alias("w")).first()
+        if over["k"] == held:
+            break
+        held = over["k"]
+        level = (total - most * over["n"]) / (all_["w"] - over["w"]) if all_["w"] > over["w"] else float("inf")
+        capped = F.lit(level) * F.col("weight") > most * F.col("n")
+    target = F.least(F.lit(level) * F.col("weight"), (most * F.col("n")).cast("double"))
+    ratio = F.when(F.col("n") > 0, target / F.col("n")).otherwise(0.0)
+    return numbered.select("source", "no", "n", target.alias("target"), ratio.alias("ratio"))
 
 
 def op8_source_mix(spark, sf_dir):

@@ -14,13 +14,12 @@ from a shuffled join of the distinct keys, with the same result.
 from __future__ import annotations
 
 import math
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from noticeworks.llm.shared import ascii_lower, written
+from noticeworks.llm.shared import ascii_lower, unused, written
 
 RULES_SCHEMA = "host string, path string, verdict string"
 
@@ -34,7 +33,13 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
 
 
 def _bits(key: Column, level: int, hashes: int, size: int) -> Column:
-    return F.array(*[F.pmod(F.xxhash64(key, F.lit(level), F.lit(i)), F.lit(size)) for i in range(hashes)])
+    """Places of a key's bits. The level comes before the key, so that keys that meet in one level part in the next."""
+    own = F.concat(F.lit(f"{level}|"), key)
+    return F.array(*[F.pmod(F.xxhash64(own, F.lit(i)), F.lit(size)) for i in range(hashes)])
+
+
+#: Each level lets a small share of the other side's keys through; so many aren't reached with any sensible filter.
+MOST_LEVELS = 100
 
 
 class BloomLevel:
@@ -52,9 +57,9 @@ class BloomLevel:
 
     def lets_through(self, key: Column) -> Column:
         words = F.split(F.lit(self.words), ",").cast("array<bigint>")  # folded to one constant
-        hit = lambda b: F.get(words, (b / 64).cast("int")).bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("bigint"), (b % 64).cast("int"))) != 0
-        tests = [hit(F.pmod(F.xxhash64(key, F.lit(self.level), F.lit(i)), F.lit(self.size))) for i in range(self.hashes)]
-        return reduce(lambda a, b: a & b, tests)
+        hit = lambda b: F.get(words, F.shiftright(b, 6).cast("int")).bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("bigint"), (b % 64).cast("int"))) != 0
+        # a null key has null bits
+        return F.when(key.isNotNull(), F.forall(_bits(key, self.level, self.hashes, self.size), hit))
 
 
 class BloomCascade:
@@ -71,13 +76,14 @@ class BloomCascade:
         both = listed.withColumn("listed", F.lit(1)).unionByName(passed.withColumn("listed", F.lit(0)))
         marked = written(both.groupBy("key").agg(F.max("listed").alias("listed")), "cascade")
         sides = {1: marked.where("listed = 1").select("key"), 0: marked.where("listed = 0").select("key")}
-        while True:
+        while len(self.levels) < MOST_LEVELS:
             turn = len(self.levels) % 2  # after an odd level, the false positives are keys that aren't listed
             side = 0 if turn else 1
             sides[side] = sides[side] if len(self.levels) == 1 else sides[side].where(self.levels[-1].lets_through(F.col("key")))
             if not (n := sides[side].count()):
                 return
             self.levels.append(BloomLevel(sides[side], n, len(self.levels) + 1, bits_per_key))
+        raise RuntimeError(f"{MOST_LEVELS} levels leave mistakes at {bits_per_key} bits for each key")
 
     def contains(self, key: Column) -> Column:
         member = F.lit(len(self.levels) % 2 == 1)
@@ -115,17 +121,19 @@ def filter_urls(pages: DataFrame, rules: DataFrame, url_col: str = "url", defaul
     verdict = lambda k: F.when(cascades["block"].contains(k), F.lit("block")).when(cascades["allow"].contains(k), F.lit("allow"))
     hits = F.transform(keys, lambda k: F.struct(F.length(F.concat(k.h, k.p)).alias("n"), F.length(k.h).alias("nh"), F.concat(k.h, k.p).alias("rule"), verdict(F.concat(k.h, k.p)).alias("verdict")))
     best = F.array_max(F.filter(hits, lambda x: x.verdict.isNotNull()))
-    return seen.withColumn("_best", best).withColumns({"rule": F.col("_best.rule"), "verdict": F.coalesce("_best.verdict", F.lit(default))}).drop("_best")
+    b = unused(seen, "best")
+    return seen.withColumn(b, best).withColumns({"rule": F.col(f"{b}.rule"), "verdict": F.coalesce(f"{b}.verdict", F.lit(default))}).drop(b)
 
 
 def _by_join(seen: DataFrame, rules: DataFrame, keys: Column, default: str) -> DataFrame:
     """The way for lists beyond the filter's size bound: distinct (host, path) pairs are matched by a shuffled join."""
+    b = unused(seen, "best")
     pairs = seen.select("host", "path").distinct().withColumn("k", F.explode(keys))
     one = rules.groupBy(F.concat("host", "path").alias("rule")).agg(F.max("verdict").alias("v"))  # "block" is above "allow"
     fits = pairs.withColumn("rule", F.concat("k.h", "k.p")).join(one, "rule")
-    best = fits.groupBy("host", "path").agg(F.max(F.struct(F.length("rule").alias("n"), F.length("k.h").alias("nh"), "rule", "v")).alias("_b"))
+    best = fits.groupBy("host", "path").agg(F.max(F.struct(F.length("rule").alias("n"), F.length("k.h").alias("nh"), "rule", "v")).alias(b))
     out = seen.join(best, ["host", "path"], "left")
-    return out.withColumns({"rule": F.col("_b.rule"), "verdict": F.coalesce("_b.v", F.lit(default))}).select(*seen.columns, "rule", "verdict")
+    return out.withColumns({"rule": F.col(f"{b}.rule"), "verdict": F.coalesce(f"{b}.v", F.lit(default))}).select(*seen.columns, "rule", "verdict")
 
 
 #: The rules of the registered query.

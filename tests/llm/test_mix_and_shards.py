@@ -16,6 +16,24 @@ def test_water_fill():
     assert source_mix.water_fill([], [], 0) == [] and source_mix.water_fill([0, 4], [5, 2], 4) == [0, Fraction(4)]
 
 
+def test_plan_is_water_fill_for_any_number_of_sources(spark, monkeypatch):
+    import random
+
+    rng = random.Random(3)
+    monkeypatch.setattr(source_mix, "BROADCAST_SOURCES", 10)
+    for k in (1, 7, 400):
+        sizes = [rng.choice([1, 5, 50, 3000]) * rng.randrange(1, 9) for _ in range(k)]
+        names = [f"s{i:04d}" for i in range(k - 1)] + [None]
+        units = spark.createDataFrame(list(zip(names, sizes)), "s string, size long").repartition(5)
+        want = source_mix.water_fill(sizes, [(5, 2, 1)[i % 3] for i in range(k)], sum(sizes))
+        got = {r["no"]: r for r in source_mix.plan_sources(units, (5, 2, 1), 3, 1.0).collect()}
+        assert [got[i]["source"] for i in range(k)] == names
+        assert all(abs(got[i]["target"] - float(t)) < 1e-6 * float(t) + 1e-9 for i, t in enumerate(want))
+    docs = spark.createDataFrame([(i, "a b c " * (1 + i % 5), "en", f"s{i % 40}", "x") for i in range(400)], SCHEMA)
+    out = source_mix.mix_sources(docs).collect()
+    assert len(out) == 400 and abs(sum(r["size"] * r["times"] for r in out) - sum(r["size"] for r in out)) < 40 * 15
+
+
 def test_mix_meets_its_targets_and_agrees_with_itself(spark):
     one, two = (sorted(map(tuple, source_mix.op8_source_mix(spark, SF).collect())) for _ in range(2))
     assert one == two
@@ -39,9 +57,9 @@ def test_mix_in_several_rounds_stays_balanced(spark):
 
 def test_mix_edges(spark):
     rows = [(1, None, "en", None, "x"), (1, None, "en", None, "x"), (2, "", "en", "", "x"), (3, "a b c", "en", "s", "x"), (3, "a b c", "en", "s", "x"), (None, "d e", None, "s", "x"), (4, "w " * 20000, "en", "t", "x")]
-    df = spark.createDataFrame(rows, SCHEMA).withColumns({"ratio": F.lit("r"), "source_no": F.lit("n"), "pi": F.lit("p"), "target": F.lit("t")})
+    df = spark.createDataFrame(rows, SCHEMA).withColumns({"ratio": F.lit("r"), "source_no": F.lit("n"), "pi": F.lit("p"), "target": F.lit("t"), "h": F.lit(1), "row": F.lit(2), "_size": F.lit(3), "s": F.lit(4)})
     out = source_mix.mix_sources(df).collect()
-    assert all((r["ratio"], r["source_no"], r["pi"]) == ("r", "n", "p") and isinstance(r["target"], float) for r in out)
+    assert all((r["ratio"], r["source_no"], r["pi"], r["h"], r["row"], r["_size"], r["s"]) == ("r", "n", "p", 1, 2, 3, 4) and isinstance(r["target"], float) for r in out)
     assert len(out) == len(rows) and all(r["times"] == 0 for r in out if r["size"] == 0)
     same = {r["times"] for r in out if r["doc_id"] == 3}
     assert len(same) == 1

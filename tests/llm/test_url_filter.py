@@ -43,6 +43,15 @@ def test_many_keys_at_a_poor_filter_need_many_levels_and_stay_exact(spark):
     assert all(r["m"] == (r["k"] is not None and int(r["k"][1:]) < 200) for r in got)
 
 
+def test_listed_keys_that_hit_over_several_words(spark):
+    # a list of 2,000 rules, each third of which some page has
+    rules = [(f"h{i}.example", "/", "block") for i in range(2000)]
+    urls = [f"http://h{i}.example/p" for i in range(0, 4000, 3)]
+    assert ours(spark, urls, rules) == {i: brute(u, rules) for i, u in enumerate(urls)}
+    df = spark.createDataFrame([("http://com/en/", 1)], "url string, _best int")
+    assert U.filter_urls(df, spark.createDataFrame(RULES, U.RULES_SCHEMA)).first()["_best"] == 1
+
+
 def test_empty(spark):
     assert ours(spark, ["http://com/en/"], []) == {0: ("com", "/en/", None, "allow")}
     assert ours(spark, [], RULES) == {}
