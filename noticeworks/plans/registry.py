@@ -135,9 +135,16 @@ def _titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", "source", "lang", F.substring_index("text", "\n", 1).alias("title"))
 
 
-@query(f"with {_TITLES} select doc_id, {_KEY} as norm, regexp_replace({_KEY}, '[^\\p{{L}}\\p{{N}}]', '', 'g') as compact from titles")
+_WHOLE = "titles as (select doc_id, source, lang, text as title from documents)"
+
+
+def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id", "source", "lang", F.col("text").alias("title"))
+
+
+@query(f"with {_WHOLE} select doc_id, {_KEY} as norm, regexp_replace({_KEY}, '[^\\p{{L}}\\p{{N}}]', '', 'g') as compact from titles")
 def normalize_keys(spark, sf_dir):
-    return _titles(spark, sf_dir).select("doc_id", text.norm_key("title").alias("norm"), text.compact_key("title").alias("compact"))
+    return _texts(spark, sf_dir).select("doc_id", text.norm_key("title").alias("norm"), text.compact_key("title").alias("compact"))
 
 
 @query("select p_partkey, regexp_replace(regexp_replace(upper(p_brand || ' / ' || p_name), '[^A-Z0-9]+', '-', 'g'), '^-|-$', '', 'g') as token from part")
@@ -146,22 +153,23 @@ def display_tokens(spark, sf_dir):
 
 
 @query(f"""
-with {_TITLES}, odd as (select doc_id, case doc_id % 5 when 0 then ' N/A ' when 1 then '--' when 2 then 'Not   Available' else title end as t from titles)
-select doc_id, case when doc_id % 5 >= 3 and lower(trim(t)) not in ('', '-', '--', '---', 'n/a', 'na', 'none', 'null', 'nan') then trim(regexp_replace(t, '\\s+', ' ', 'g')) end as cleaned from odd
+with {_WHOLE}, odd as (select doc_id, case doc_id % 20 when 0 then ' N/A ' when 1 then '--' when 2 then 'Not   Available' else title end as t from titles)
+select doc_id, case when doc_id % 20 >= 3 and lower(trim(t)) not in ('', '-', '--', '---', 'n/a', 'na', 'none', 'null', 'nan') then trim(regexp_replace(t, '\\s+', ' ', 'g')) end as cleaned from odd
 """)
 def null_like_clean(spark, sf_dir):
-    odd = F.when(F.col("doc_id") % 5 == 0, " N/A ").when(F.col("doc_id") % 5 == 1, "--").when(F.col("doc_id") % 5 == 2, "Not   Available").otherwise(F.col("title"))
-    return _titles(spark, sf_dir).select("doc_id", text.clean_text(odd).alias("cleaned"))
+    k = F.col("doc_id") % 20
+    odd = F.when(k == 0, " N/A ").when(k == 1, "--").when(k == 2, "Not   Available").otherwise(F.col("title"))
+    return _texts(spark, sf_dir).select("doc_id", text.clean_text(odd).alias("cleaned"))
 
 
 _STOP = ", ".join(f"'{w}'" for w in text.STOP_WORDS)
 _TOKENS = f"list_sort(list_distinct(list_filter(regexp_extract_all({_KEY}, '[\\p{{L}}\\p{{M}}\\p{{N}}_]+'), lambda w: length(w) >= 3 and w not in ({_STOP}))))"
 
 
-@query(f"with {_TITLES} select doc_id, array_to_string({_TOKENS}, ' ') as tokens, cast(len({_TOKENS}) as integer) as n from titles")
+@query(f"with {_WHOLE} select doc_id, array_to_string({_TOKENS}, ' ') as tokens, cast(len({_TOKENS}) as integer) as n from titles")
 def title_tokens(spark, sf_dir):
     t = text.title_tokens("title")
-    return _titles(spark, sf_dir).select("doc_id", F.array_join(F.array_sort(t), " ").alias("tokens"), F.size(t).alias("n"))
+    return _texts(spark, sf_dir).select("doc_id", F.array_join(F.array_sort(t), " ").alias("tokens"), F.size(t).alias("n"))
 
 
 @query("""
@@ -224,10 +232,13 @@ def conversion_check(spark, sf_dir):
 
 @query("select o_orderkey, strftime(o_orderdate, '%Y-%m-%d') as day from orders")
 def date_multi_format(spark, sf_dir):
+    """Every format of each source, some doubled as scrapers do, and formats of other sources that only the fallback reads."""
     o = table(spark, sf_dir, "orders").withColumn("source", F.element_at(F.array(*[F.lit(s) for s in dates.SOURCE_FORMATS]), (F.col("o_orderkey") % len(dates.SOURCE_FORMATS)).cast("int") + 1))
-    shown = None
+    shown, k = None, F.col("o_custkey")
     for name, formats in dates.SOURCE_FORMATS.items():
-        x = F.date_format("o_orderdate", formats[0])
+        x = F.when(k % 10 == 9, F.date_format("o_orderdate", "d.M.yyyy")).when(k % 10 == 8, F.concat_ws(" ", F.date_format("o_orderdate", "yyyy-MM-dd"), F.date_format("o_orderdate", "yyyy-MM-dd")))
+        for i, f in enumerate(formats):
+            x = x.when(k % len(formats) == i, F.date_format("o_orderdate", f))
         shown = F.when(F.col("source") == name, x) if shown is None else shown.when(F.col("source") == name, x)
     return o.select("o_orderkey", day(dates.parse_source_date(F.col("source"), shown)).alias("day"))
 
@@ -274,8 +285,10 @@ def gates_report(spark, sf_dir):
 
 # ---------------------------------------------------------------- classification
 
-#: A small lexicon of words that the tables have.
+#: A small lexicon of words that the tables have, and rules of the query's own.
 _LEXICON = {"tech": ["the and", "of the", "software", "database", "website development"], "nontech": ["in the", "brochure", "ring"], "override": ["that the", "cctv"], "weak": ["with", "für", "dans", "network"]}
+_RULES = [("page_work", r"(?:make|paint)\w*", 60, "page"), ("tool_care", "oracle", 80, r"(?:help|care)\w*")]
+_TRUSTED = classify.TRUSTED_CATEGORY
 
 
 def _phrase_sql(name: str, col: str = "padded") -> str:
@@ -283,16 +296,17 @@ def _phrase_sql(name: str, col: str = "padded") -> str:
     return "case " + " ".join(f"when contains({col}, ' {p.replace('ü', 'u')} ') then '{p}'" for p in ordered) + " end"
 
 
+_norm_sql = lambda c: f"trim(regexp_replace(regexp_replace(strip_accents(replace(lower({c}), 'ß', 'ss')), '[-_/\\\\|(),:;.&+]+', ' ', 'g'), '\\s+', ' ', 'g'))"
+_pad_sql = lambda c: f"' ' || regexp_replace({c}, '[^\\p{{L}}\\p{{N}}_]+', ' ', 'g') || ' '"
 _NORMED = f"""
-with {_TITLES}, worded as (
-    select doc_id, source, lang, case doc_id % 9 when 0 then 'Develop a new website' when 1 then title || ' software' when 2 then 'ab' when 3 then 'Oracle support ' || title else title end as title from titles
-), normed as (
-    select *, trim(regexp_replace(regexp_replace(strip_accents(replace(lower(title), 'ß', 'ss')), '[-_/\\\\|(),:;.&+]+', ' ', 'g'), '\\s+', ' ', 'g')) as norm from worded
-), spaced as (select *, ' ' || regexp_replace(norm, '[^\\p{{L}}\\p{{N}}_]+', ' ', 'g') || ' ' as padded from normed),
-phrases as (select *, {_phrase_sql("override")} as override, {_phrase_sql("tech")} as tech, {_phrase_sql("nontech")} as nontech, {_phrase_sql("weak")} as weak,
-    case when regexp_matches(norm, '\\b(?:develop(?:ment|ing)?|design|maintenan\\w*|launch)\\b.{{0,60}}\\bwebsite\\b') then 'website_development'
-         when regexp_matches(norm, '\\boracle\\b.{{0,80}}\\b(?:licen[cs]\\w*|subscription|renewal|support)\\b') then 'vendor_license_support'
-         when regexp_matches(norm, '\\bsoftware\\b.{{0,60}}\\b(?:support|maintenance|upgrade|subscription|license|licenses)\\b') then 'software_support' end as rule from spaced),
+with titles as (select doc_id, lang, case when doc_id % 10 = 5 then 'om_source_01' else source end as source, split_part(text, chr(10), 1) as title, case when instr(text, chr(10)) > 0 then substr(text, instr(text, chr(10)) + 1) else '' end as context from documents),
+worded as (
+    select * replace (case doc_id % 9 when 0 then 'Maker of a new page' when 1 then title || ' software' when 2 then 'ab' when 3 then 'Oracle helpers ' || title when 4 then 'Plain chairs' else title end as title) from titles
+), normed as (select *, {_norm_sql("title")} as norm, {_norm_sql("context")} as ncontext from worded),
+spaced as (select *, {_pad_sql("norm")} as padded, {_pad_sql("ncontext")} as cpadded from normed),
+phrases as (select *, {_phrase_sql("override")} as override, {_phrase_sql("tech")} as tech, {_phrase_sql("nontech")} as nontech, {_phrase_sql("weak")} as weak, {_phrase_sql("tech", "cpadded")} as context_tech,
+    case when regexp_matches(norm, '\\b(?:make|paint)\\w*\\b.{{0,60}}\\bpage\\b') then 'page_work'
+         when regexp_matches(norm, '\\boracle\\b.{{0,80}}\\b(?:help|care)\\w*\\b') then 'tool_care' end as rule from spaced),
 judged as (select doc_id, source, lang, case when length(norm) <= 2 then ['Review', 'bad_title', 'Missing or unusably short title']
     when override is not null then ['Non-Tech', 'nontech_override', override]
     when coalesce(tech, rule) is not null and nontech is not null and (coalesce(tech in ('software', 'website development'), false) or rule is not null) then ['Technology', 'tech_dominant', coalesce(tech, rule)]
@@ -300,27 +314,49 @@ judged as (select doc_id, source, lang, case when length(norm) <= 2 then ['Revie
     when nontech is not null then ['Non-Tech', 'nontech_title_rule', nontech]
     when tech is not null then ['Technology', 'tech_title_rule', tech]
     when rule is not null then ['Technology', 'tech_title_regex', rule]
-    when doc_id % 4 = 0 then ['Review', 'tech_context_review', 'Technology evidence exists only in context: database']
+    when source = 'om_source_01' and doc_id % 4 < 2 then ['Technology', 'source_it_category', '{_TRUSTED}']
+    when context_tech is not null then ['Review', 'tech_context_review', 'Technology evidence exists only in context: ' || context_tech]
     when weak is not null then ['Review', 'weak_tech_title_review', 'Possible Technology signal: ' || weak]
     else ['Non-Tech', 'no_tech_evidence', 'No Technology evidence detected'] end as j from phrases)
 """
 
 
 def _classified(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.col("doc_id") % 9
-    title = F.when(k == 0, "Develop a new website").when(k == 1, F.concat("title", F.lit(" software"))).when(k == 2, "ab").when(k == 3, F.concat(F.lit("Oracle support "), "title")).otherwise(F.col("title"))
-    t = _titles(spark, sf_dir).withColumns({"title": title, "context": F.when(F.col("doc_id") % 4 == 0, "Supplies | Database").otherwise("Supplies")})
-    return classify.classify(spark, t, "source", "title", "context", lexicon=_LEXICON)
+    """Documents by their first line, with the rest of the text as context; a tenth are of the source whose category is trusted."""
+    d, k = table(spark, sf_dir, "documents"), F.col("doc_id") % 9
+    title = F.substring_index("text", "\n", 1)
+    worded = F.when(k == 0, "Maker of a new page").when(k == 1, F.concat(title, F.lit(" software"))).when(k == 2, "ab").when(k == 3, F.concat(F.lit("Oracle helpers "), title)).when(k == 4, "Plain chairs").otherwise(title)
+    at = F.instr("text", "\n")
+    t = d.select(
+        "doc_id", "lang", F.when(F.col("doc_id") % 10 == 5, "om_source_01").otherwise(F.col("source")).alias("source"), worded.alias("title"), F.when(at > 0, F.substr("text", at + 1)).otherwise("").alias("context"),
+        F.when(F.col("doc_id") % 4 < 2, f"a | {_TRUSTED} | b").alias("category"),
+    )
+    return classify.classify(spark, t, "source", "title", "context", "category", _LEXICON, _RULES)
 
 
-@query(_NORMED + "select doc_id, override, tech, nontech, weak from phrases where coalesce(override, tech, nontech, weak) is not null")
+@query(f"""with {_WHOLE}, normed as (select doc_id, {_norm_sql("title")} as norm from titles), spaced as (select doc_id, {_pad_sql("norm")} as padded from normed),
+phrases as (select doc_id, {_phrase_sql("override")} as override, {_phrase_sql("tech")} as tech, {_phrase_sql("nontech")} as nontech, {_phrase_sql("weak")} as weak from spaced)
+select doc_id, override, tech, nontech, weak from phrases where coalesce(override, tech, nontech, weak) is not null""")
 def lexicon_first_match(spark, sf_dir):
-    k = F.col("doc_id") % 9
-    title = F.when(k == 0, "Develop a new website").when(k == 1, F.concat("title", F.lit(" software"))).when(k == 2, "ab").when(k == 3, F.concat(F.lit("Oracle support "), "title")).otherwise(F.col("title"))
-    t = _titles(spark, sf_dir).select("doc_id", text.norm_match(title).alias("norm"))
+    t = _texts(spark, sf_dir).select("doc_id", text.norm_match("title").alias("norm"))
     return lexicon.first_phrases(t, "doc_id", "norm", lexicon.compile_phrases(spark, _LEXICON), ["override", "tech", "nontech", "weak"])
 
 
+#: Several hundred phrases: pairs of common words that texts may hold, by a rule.
+_WORDS = "the and of to in that for with are this from was on it be by an at or not".split()
+_MANY = [f"{a} {b}" for a in _WORDS for b in _WORDS if a != b]
+
+
+@query(f"""with {_WHOLE}, normed as (select doc_id, {_norm_sql("title")} as norm from titles), spaced as (select doc_id, {_pad_sql("norm")} as padded from normed),
+many(phrase) as (select unnest(string_split('{"|".join(_MANY)}', '|'))),
+hits as (select doc_id, phrase from spaced join many on contains(padded, ' ' || phrase || ' ')),
+lists as (select list(phrase order by length(phrase) desc, place) as p, doc_id from (select doc_id, phrase, list_position(string_split('{"|".join(_MANY)}', '|'), phrase) as place from hits) group by doc_id)
+select doc_id, p[1] as tech from lists""")
+def lexicon_of_hundreds(spark, sf_dir):
+    t = _texts(spark, sf_dir).select("doc_id", text.norm_match("title").alias("norm"))
+    return lexicon.first_phrases(t, "doc_id", "norm", lexicon.compile_phrases(spark, {"tech": _MANY}), ["tech"])
+
+
 @query(_NORMED + "select doc_id, j[1] as classification, j[2] as method, j[3] as reason from judged")
 def classify_cascade(spark, sf_dir):
     return _classified(spark, sf_dir).select("doc_id", "classification", "method", "reason")
@@ -343,6 +379,12 @@ def qa_sample(spark, sf_dir):
     return classify.qa_sample(_classified(spark, sf_dir), "source", ["doc_id"]).select("source", "doc_id", "classification", F.col("sample_no").cast("bigint").alias("sample_no"))
 
 
+@query(_NORMED + """, ranked as (select source, doc_id, row_number() over (partition by source order by doc_id) as sample_no from judged where source in ('om_source_01', 'web', 'news', 'forum'))
+select * from ranked where sample_no <= 5""")
+def qa_sample_of_sources(spark, sf_dir):
+    return classify.qa_sample_of_sources(_classified(spark, sf_dir), "source", ["doc_id"], ["om_source_01", "web", "news", "forum"]).select("source", "doc_id", F.col("sample_no").cast("bigint").alias("sample_no"))
+
+
 @query(_NORMED + """select round(100.0 * count(*) filter (j[1] = 'Technology') / count(*), 2) as technology, round(100.0 * count(*) filter (j[1] = 'Review') / count(*), 2) as review,
        round(100.0 * count(*) filter (j[1] = 'Non-Tech') / count(*), 2) as non_tech from judged""")
 def class_rates(spark, sf_dir):
@@ -504,12 +546,6 @@ def scope_keyword(spark, sf_dir):
 # ---------------------------------------------------------------- pages and records
 
 
-@query("select page_id, regexp_extract(html, '<title>([^<]*)</title>', 1) as title, len(regexp_extract_all(html, '<a href=')) as links from pages")
-def page_titles_and_links(spark, sf_dir):
-    p = table(spark, sf_dir, "pages")
-    return p.select("page_id", F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("title"), F.size(F.regexp_extract_all("html", F.lit("(<a href=)"), F.lit(1))).cast("bigint").alias("links"))
-
-
 @query("select page_id, case when contains(lower(html), 'forbidden') then 'forbidden' when contains(lower(html), 'ition') then 'ition' end as marker from pages")
 def block_pages(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", extract.block_page_marker("html", ["forbidden", "ition"]).alias("marker"))
@@ -572,14 +608,14 @@ def id_from_url(spark, sf_dir):
 
 
 @query("""
-with e as (select event_type as source, event_id // 40 as page, event_id as pos, user_id % 25 as k, user_id from events),
+with e as (select event_type as source, event_id // 40 as page, event_id as pos, user_id % 2 as k, user_id from events),
 r as (select *, row_number() over (partition by source, page order by pos) as n from e),
-p as (select source, page, string_agg(k || ':' || (k + 1), ',' order by n) as fp from r where n <= 1 group by all)
+p as (select source, page, string_agg(k || ':' || (k + 1), ',' order by n) as fp from r where n <= 5 group by all)
 select source, page, row_number() over (partition by source, fp order by page) > 1 as repeated from p
 """)
 def repeated_pages(spark, sf_dir):
-    e = table(spark, sf_dir, "events").select(F.col("event_type").alias("source"), F.expr("event_id div 40").alias("page"), F.col("event_id").alias("pos"), (F.col("user_id") % 25).alias("k"))
-    return extract.repeated_pages(e, "source", "page", "pos", F.col("k"), F.col("k") + 1, 1).select("source", "page", "repeated")
+    e = table(spark, sf_dir, "events").select(F.col("event_type").alias("source"), F.expr("event_id div 40").alias("page"), F.col("event_id").alias("pos"), (F.col("user_id") % 2).alias("k"))
+    return extract.repeated_pages(e, "source", "page", "pos", F.col("k"), F.col("k") + 1).select("source", "page", "repeated")
 
 
 @query("""
@@ -598,15 +634,15 @@ def stale_pages(spark, sf_dir):
 
 
 @query("""
-with c as (select n_nationkey as page, 0 as row, 0 as col, 'Name' as text from nation union all select n_nationkey, 0, 1, n_name from nation
-           union all select n_nationkey, 1, 0, 'Region: ' || n_regionkey from nation)
-select page, 'Name' as label, text as value from c where row = 0 and col = 1 union all select page, 'Region', substr(text, 9) from c where row = 1
+select o_orderkey as page, 'Status' as label, o_orderstatus as value from orders union all select o_orderkey, 'Priority', o_orderpriority from orders
+union all select o_orderkey, 'Customer', cast(o_custkey as varchar) from orders
 """)
 def cell_values(spark, sf_dir):
-    n = table(spark, sf_dir, "nation").withColumnRenamed("n_nationkey", "page")
-    cell = lambda r, c, t: n.select("page", F.lit(r).alias("row"), F.lit(c).alias("col"), t.alias("text"))
-    cells = cell(0, 0, F.lit("Name")).unionByName(cell(0, 1, F.col("n_name"))).unionByName(cell(1, 0, F.concat(F.lit("Region: "), "n_regionkey")))
-    return extract.cell_label_values(cells, ["Name", "Region"])
+    """The value in the next cell, in the label's own, and below it."""
+    o = table(spark, sf_dir, "orders").withColumnRenamed("o_orderkey", "page")
+    cell = lambda r, c, t: F.struct(F.lit(r).alias("row"), F.lit(c).alias("col"), t.cast("string").alias("text"))
+    cells = F.array(cell(0, 0, F.lit("Status")), cell(0, 1, F.col("o_orderstatus")), cell(1, 0, F.concat(F.lit("Priority: "), "o_orderpriority")), cell(2, 3, F.lit("Customer")), cell(3, 3, F.col("o_custkey")))
+    return extract.cell_label_values(o.select("page", F.inline(cells)), ["Status", "Priority", "Customer"])
 
 
 @query("select event_id, cast(json_extract_string(props, '$.k') as varchar) as id, event_type as title, 'https://example.invalid/tenders/' || json_extract_string(props, '$.k') as url from events")
