@@ -16,6 +16,7 @@ from noticeworks.functions import dates, money, text
 from noticeworks.operators import classify, extract, gold, identity, lexicon, mapping, match, profile, quality, upsert
 from noticeworks.plans import medallion
 from noticeworks.sources import bronze
+from noticeworks.staging import staged
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
@@ -379,10 +380,10 @@ def qa_sample(spark, sf_dir):
     return classify.qa_sample(_classified(spark, sf_dir), "source", ["doc_id"]).select("source", "doc_id", "classification", F.col("sample_no").cast("bigint").alias("sample_no"))
 
 
-@query(_NORMED + """, ranked as (select source, doc_id, row_number() over (partition by source order by doc_id) as sample_no from judged where source in ('om_source_01', 'web', 'news', 'forum'))
+@query(_NORMED + """, ranked as (select source, doc_id, row_number() over (partition by source order by doc_id) as sample_no from judged where source in ('om_source_01', 'src8', 'src9', 'src10'))
 select * from ranked where sample_no <= 5""")
 def qa_sample_of_sources(spark, sf_dir):
-    return classify.qa_sample_of_sources(_classified(spark, sf_dir), "source", ["doc_id"], ["om_source_01", "web", "news", "forum"]).select("source", "doc_id", F.col("sample_no").cast("bigint").alias("sample_no"))
+    return classify.qa_sample_of_sources(_classified(spark, sf_dir), "source", ["doc_id"], ["om_source_01", "src8", "src9", "src10"]).select("source", "doc_id", F.col("sample_no").cast("bigint").alias("sample_no"))
 
 
 @query(_NORMED + """select round(100.0 * count(*) filter (j[1] = 'Technology') / count(*), 2) as technology, round(100.0 * count(*) filter (j[1] = 'Review') / count(*), 2) as review,
@@ -735,6 +736,273 @@ def _as_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _priced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as bronze records of three sources, with money, Arabic field names, lacking fields and odd dates."""
+    o = table(spark, sf_dir, "orders")
+    k, third = F.col("o_orderkey"), F.col("o_orderkey") % 3
+    shown = lambda fmt: F.date_format("o_orderdate", fmt)
+    price = F.concat(F.format_number("o_totalprice", 2), F.lit(" only"))
+    title = F.concat(F.lit("Works  "), k)
+    common = [(F.col("o_custkey") % 7).alias("_page"), F.concat(shown("yyyy-MM-dd"), F.lit("T03:04:05+03:00")).alias("_extracted_at")]
+    raw = F.concat(F.lit("Tender Number | x | Entity Name | Dept "), "o_custkey", F.lit(" | End"))
+    kw = F.struct(
+        F.concat(F.lit("K-"), k).alias("Tender Number"), F.when(k % 17 != 0, title).alias("Title"), F.when(k % 5 != 0, F.concat(F.lit("Entity "), "o_custkey")).alias("Entity Name"), raw.alias("raw_text"),
+        F.when(k % 7 == 0, "no date").otherwise(shown("MMM d, yyyy")).alias("Open Date"), shown("MMMM d, yyyy").alias("Close Date"), price.alias("Document Price"), F.concat(F.lit("http://k/"), k).alias("Link"), *common,
+    )
+    qa = F.struct(
+        F.concat(F.lit("Q-"), k).alias("رقم المناقصة"), title.alias("موضوع المناقصة"), F.lit(" N/A ").alias("الجهة"), shown("d/M/yyyy").alias("تاريخ الطرح"), F.concat(F.dayofmonth("o_orderdate"), F.lit(" "), _arabic_month(F.month("o_orderdate")), F.lit(" "), F.year("o_orderdate")).alias("تاريخ الإغلاق"),
+        price.alias("قيمة الوثائق (رق)"), F.when(k % 2 == 0, "ريال قطري").otherwise("aed").alias("_currency"), *common,
+    )
+    sa = F.struct(F.concat(F.lit("S-"), k).alias("Item ID"), title.alias("Title"), F.lit("Ministry").alias("Agency"), shown("yyyy-MM-dd").alias("Published Date"), shown("yyyy-M-d").alias("Closing Date"), *common)
+    name = F.when(third == 0, "kw_source_01").when(third == 1, "qa_source_01").otherwise("sa_source_01")
+    rec = F.when(third == 0, F.to_json(kw)).when(third == 1, F.to_json(qa)).otherwise(F.to_json(sa))
+    path = F.concat_ws("/", name, shown("yyyy-MM-dd"), F.concat(F.lit("r"), F.col("o_custkey") % 4, F.lit(".json")))
+    return o.select(name.alias("source"), shown("yyyy-MM-dd").alias("run_date"), F.concat(F.lit("r"), F.col("o_custkey") % 4).alias("run_id"), path.alias("object_name"), path.alias("file_path"), k.alias("pos"), F.parse_json(rec).alias("rec"))
+
+
+def _arabic_month(month: Column) -> Column:
+    names = {v: k for k, v in dates.ARABIC_MONTHS.items()}
+    english = "January February March April May June July August September October November December".split()
+    return F.element_at(F.array(*[F.lit(names[m]) for m in english]), month)
+
+
+def _mapped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # written between its heavy steps, as the chain does
+    return quality.with_quality(staged(quality.clean(_standard(spark, sf_dir)), "cleaned"))
+
+
+def _standard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return staged(mapping.standardise(_priced(spark, sf_dir)).drop("rec"), "standardised")
+
+
+_MAPPED = """
+with o as (select *, o_orderkey % 3 as third, strftime(o_orderdate, '%Y-%m-%d') as d from orders),
+m as (
+    select o_orderkey, case third when 0 then 'kw_source_01' when 1 then 'qa_source_01' else 'sa_source_01' end as source,
+           case third when 0 then 'K-' when 1 then 'Q-' else 'S-' end || o_orderkey as tender_number,
+           case when third = 0 and o_orderkey % 17 = 0 then null else 'Works ' || o_orderkey end as title,
+           case third when 0 then case when o_orderkey % 5 = 0 then 'Dept ' else 'Entity ' end || o_custkey when 2 then 'Ministry' end as authority,
+           case when third = 0 and o_orderkey % 7 = 0 then null else d end as published, d as closing,
+           case third when 0 then 'Kuwait' when 1 then 'Qatar' else 'Saudi Arabia' end as country,
+           case when third = 0 then 'KWD' when third = 1 and o_orderkey % 2 = 0 then 'QAR' when third = 1 then 'AED' end as cur,
+           case when third < 2 then o_totalprice end as fee_original, case third when 0 then 'http://k/' || o_orderkey end as source_url, o_custkey % 7 as page, 'r' || (o_custkey % 4) as run_id, d
+    from o
+), priced as (
+    select m.*, round(cast(fee_original as decimal(20,6)) * cast(rate as decimal(10,5)), 2) as fee, rate
+    from m left join (values ('AED', 1.02916), ('QAR', 1.03020), ('KWD', 12.25170)) r(code, rate) on cur = code
+), flagged as (
+    select *, nullif(concat_ws('|', case when title is null then 'missing_title' end, case when published is null then 'published_date_parse_failed' end), '') as crit,
+           nullif(concat_ws('|', case when authority is null then 'missing_authority' end, case when source_url is null then 'missing_source_url' end), '') as warn from priced
+)
+"""
+
+
+@query(_MAPPED + """select o_orderkey, source, tender_number, title, authority, published as published_date, closing as closing_date, country, cur as currency_original, fee_original as document_fee_original,
+       cast(fee as double) as document_fee, case when fee is not null then 'SAR' end as currency, cast(rate as double) as fx_rate_to_sar, source_url, page as source_page, run_id as bronze_run_id, d as bronze_run_date,
+       strftime(cast(d as date) - interval 1 day, '%Y-%m-%d') || ' ' || '00:04:05' as scraped, crit as critical_quality_flags, warn as warning_quality_flags from flagged""".replace("strftime(cast(d as date) - interval 1 day, '%Y-%m-%d') || ' ' || '00:04:05'", "d || ' 00:04:05'"))
+def mapped_fields(spark, sf_dir):
+    """Every value that the chain maps, cleans, converts and flags."""
+    return _mapped(spark, sf_dir).select(
+        F.col("pos").alias("o_orderkey"), "source", "tender_number", "title", "authority", day("published_date").alias("published_date"), day("closing_date").alias("closing_date"), "country", "currency_original", "document_fee_original", "document_fee",
+        "currency", "fx_rate_to_sar", "source_url", "source_page", "bronze_run_id", "bronze_run_date", F.date_format("scraped_at", "yyyy-MM-dd HH:mm:ss").alias("scraped"), "critical_quality_flags", "warning_quality_flags",
+    )
+
+
+@query(_MAPPED + """select metric, cast(value as bigint) as value from (
+    select count(*) as rows, count(title) as with_title, count(tender_number) as with_number, count(d) as with_published, count(closing) as with_closing, count(fee) as with_fee, count(case when source <> 'qa_source_01' then authority else 'N/A' end) as with_authority,
+           count(source_url) as with_url, 0 as with_minimum, 0 as with_maximum, 0 as with_bond, count(rate) as with_rate, count(distinct source) as sources, count(distinct cur) as currencies from flagged)
+    unpivot (value for metric in (rows, with_title, with_number, with_published, with_closing, with_fee, with_authority, with_url, with_minimum, with_maximum, with_bond, with_rate, sources, currencies))""")
+def standardization_metrics(spark, sf_dir):
+    return mapping.standardization_report(_standard(spark, sf_dir))
+
+
+@query(_MAPPED + "select source, count(*) as rows, count(title) as with_title, count(tender_number) as with_number, count(*) as with_published, count(*) as with_closing, count(fee) as with_fee from flagged group by source")
+def standardization_by_source(spark, sf_dir):
+    return mapping.standardization_report(_standard(spark, sf_dir), "source")
+
+
+@query(_MAPPED + "select source, tender_number, coalesce(title, '') as title, authority, cast(fee as double) as document_fee, case when fee is not null then 'SAR' end as currency, source_url from flagged where source = 'kw_source_01'")
+def source_view(spark, sf_dir):
+    """The raw columns of one source; titles squished for the comparison."""
+    out = mapping.source_view(_standard(spark, sf_dir), "kw_source_01")
+    return out.withColumn("title", text.squish("title")).drop("published_date_raw", "closing_date_raw")
+
+
+@query(_MAPPED + """select metric, cast(value as bigint) as value from (
+    select count(*) as rows, count(*) filter (crit is null) as passed, count(crit) as rejected, count(warn) as warned, count(*) filter (published is null) as missing_published_date, count(*) filter (title is null) as missing_title,
+           count(*) filter (published is null) as published_date_parse_failed, count(*) filter (authority is null) as missing_authority, count(*) filter (source_url is null) as missing_source_url from flagged)
+    unpivot (value for metric in (rows, passed, rejected, warned, missing_published_date, missing_title, published_date_parse_failed, missing_authority, missing_source_url))
+    union all select unnest(['scraped_at_parse_failed', 'negative_monetary_value', 'tender_value_min_gt_max', 'money_missing_original_currency', 'money_missing_fx_rate', 'invalid_standard_currency', 'missing_tender_number', 'missing_closing_date', 'closing_date_parse_failed', 'closing_before_published']), 0""")
+def cleaning_metrics(spark, sf_dir):
+    return quality.cleaning_report(_mapped(spark, sf_dir))
+
+
+@query(_MAPPED + "select o_orderkey, crit is null as passes, crit is not null or warn is not null as has_issue from flagged")
+def quarantine_and_issues(spark, sf_dir):
+    rows = _mapped(spark, sf_dir)
+    on, aside = quality.quarantine(rows)
+    both = on.select(F.col("pos").alias("o_orderkey"), F.lit(True).alias("passes")).unionByName(aside.select(F.col("pos").alias("o_orderkey"), F.lit(False).alias("passes")))
+    issues = quality.issue_rows(rows).select(F.col("pos").alias("o_orderkey"), F.lit(True).alias("has_issue"))
+    return both.join(issues, "o_orderkey", "left").fillna(False, ["has_issue"])
+
+
+@query("select distinct 'src' || (o_custkey % 3) as source from orders where o_custkey % 3 <> 0")
+def unmapped_sources(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").select(F.concat(F.lit("src"), F.col("o_custkey") % 3).alias("source"))
+    return mapping.require_mapped(o, {"src0": {}})
+
+
+@query("select 'a' || o_orderkey as k, o_custkey as v, cast(null as varchar) as w from orders union all select 'c' || c_custkey, null, c_mktsegment from customer")
+def united_sources(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").select(F.concat(F.lit("a"), "o_orderkey").alias("k"), F.col("o_custkey").alias("v"))
+    c = table(spark, sf_dir, "customer").select(F.concat(F.lit("c"), "c_custkey").alias("k"), F.col("c_mktsegment").alias("w"))
+    return mapping.union_sources(o, c)
+
+
+# ---------------------------------------------------------------- records, one by one
+
+
+@query("""select o_orderkey, cast(o_custkey as varchar) as fee, strftime(o_orderdate, '%Y-%m-%d') as deadline, 'Works ' || o_custkey as subject, 'Pipes ' || o_orderstatus as before_date,
+       case when o_orderkey % 3 = 0 then 'External' end as kind, case when o_orderkey % 3 = 0 then 'Ministry ' || o_orderstatus end as authority, case when o_orderkey % 3 = 0 then 'Line ' || o_custkey end as link,
+       o_orderstatus as card, case when o_orderkey % 4 = 0 then 'c' || o_custkey when o_orderkey % 4 = 1 then 'o' || o_orderkey end as first_key from orders""")
+def record_fields(spark, sf_dir):
+    """Inline pairs, deadlines, number prefixes, titles before dates, rows split at a type, cards and first keys."""
+    o, k = table(spark, sf_dir, "orders"), F.col("o_orderkey")
+    d = F.date_format("o_orderdate", "yyyy-MM-dd")
+    page = F.concat(F.lit("Number\n7\nFee: "), "o_custkey", F.lit("\n"), F.when(k % 2 == 0, F.concat(F.lit("Closing Date: "), d)).otherwise(F.concat(F.lit("Deadline\n"), d)), F.lit("\nEnd"))
+    parts = F.when(k % 3 == 0, F.array(F.lit("1 Sep 2026"), F.concat(F.lit("Line "), "o_custkey"), F.lit("2 Sep 2026"), F.lit("External"), F.lit("3 Sep 2026"), F.concat(F.lit("Ministry "), "o_orderstatus"))).otherwise(F.array(F.lit("none")))
+    split = extract.split_row_at_type(parts, F.lit(" "))
+    lines = extract.lines_of(page)
+    card = F.concat(F.lit('<div><span class="l">State</span><b class="v">'), "o_orderstatus", F.lit("</b></div>"))
+    return o.select(
+        k, F.element_at(extract.inline_pairs(lines, ["Fee"]), F.lit("Fee")).alias("fee"), extract.deadline_value(lines).alias("deadline"),
+        extract.strip_number_prefix(F.concat(F.lit("N"), k, F.lit(" - Works "), "o_custkey"), F.concat(F.lit("N"), k)).alias("subject"),
+        extract.title_before_date(F.concat(F.lit("Pipes  "), "o_orderstatus", F.lit(" Qatar 1 Sep 2026 more"))).alias("before_date"),
+        split["type"].alias("kind"), split["authority"].alias("authority"), split["subject"].alias("link"), F.element_at(extract.card_fields(card, "l", "v"), F.lit("State")).alias("card"),
+        extract.first_non_blank_key(F.when(k % 4 == 0, F.concat(F.lit(" c"), "o_custkey")).otherwise(" "), F.when(k % 4 == 1, F.concat(F.lit("o"), k))).alias("first_key"),
+    )
+
+
+@query("select o_orderpriority, count(*) filter (o_orderkey % 3 <> 0 and o_custkey % 5 <> 0) as real_ones, count(*) filter (o_orderkey % 3 <> 0 or o_custkey % 5 <> 0) as identified from orders group by 1")
+def kept_records(spark, sf_dir):
+    """Ghosts (no opening date, or a label for a number) and records with neither id nor url go."""
+    o = table(spark, sf_dir, "orders")
+    opened, number = F.when(F.col("o_orderkey") % 3 != 0, F.lit("1 Sep 2026")), F.when(F.col("o_custkey") % 5 == 0, F.lit("Number")).otherwise("7")
+    real = extract.drop_ghost_records(o.withColumns({"number": number, "opened": opened}), "number", "opened", ["Number"]).groupBy("o_orderpriority").agg(F.count("*").alias("real_ones"))
+    known = o.withColumns({"id": F.when(F.col("o_orderkey") % 3 != 0, F.concat(F.lit("tender_"), "o_orderkey")).otherwise("tender_"), "url": F.when(F.col("o_custkey") % 5 != 0, "http://x").otherwise(" ")})
+    named = extract.require_identity(known, "id", "url").groupBy("o_orderpriority").agg(F.count("*").alias("identified"))
+    return real.join(named, "o_orderpriority")
+
+
+@query("""select o_orderkey, case when o_orderkey % 3 = 0 then null else cast(o_custkey as double) + 0.5 end as number, case o_orderkey % 3 when 0 then 'United Arab Emirates' when 1 then 'Kuwait' else 'Elsewhere' end as country,
+       case when o_orderkey % 4 < 3 then strftime(o_orderdate, '%Y-%m-%d') end as fallback, strftime(o_orderdate - interval 1 day, '%Y-%m-%d') as yesterday from orders""")
+def scalar_repairs(spark, sf_dir):
+    o, k = table(spark, sf_dir, "orders"), F.col("o_orderkey")
+    shown = F.when(k % 4 == 0, F.date_format("o_orderdate", "yyyy/M/d")).when(k % 4 == 1, F.date_format("o_orderdate", "d.M.yyyy")).when(k % 4 == 2, F.date_format("o_orderdate", "d-MMM-yyyy")).otherwise("soon")
+    country = F.when(k % 3 == 0, "UAE").when(k % 3 == 1, "kuwait").otherwise("Elsewhere")
+    number = F.when(k % 3 == 0, "n/k").otherwise(F.concat(F.lit("  "), "o_custkey", F.lit(".5 ")))
+    return o.select(k, money.safe_numeric(number).alias("number"), money.canonical_country(country).alias("country"), day(dates.date_fallback(shown)).alias("fallback"), day(dates.target_date(F.col("o_orderdate").cast("timestamp"))).alias("yesterday"))
+
+
+# ---------------------------------------------------------------- publishing, as a whole
+
+
+@query("""select event_id, user_id, cast(floor(value) as bigint) as whole, case event_type when 'view' then true when 'click' then true when 'error' then null else false end as flag, cast(null as varchar) as lacking from events""")
+def conformed_types(spark, sf_dir):
+    """Columns in the order and types of a schema; what can't be cast or isn't there is null."""
+    from pyspark.sql.types import StructType
+
+    e = table(spark, sf_dir, "events")
+    t = F.col("event_type")
+    odd = e.select("event_id", F.col("user_id").cast("string").alias("user_id"), F.floor("value").cast("string").alias("whole"), F.when(t == "view", " TRUE").when(t == "click", "yes").when(t != "error", "no").alias("flag"), "props")
+    return upsert.conform(odd, StructType.fromDDL("event_id bigint, user_id bigint, whole bigint, flag boolean, lacking string"))
+
+
+@query("with r as (select tid, event_id, row_number() over (partition by tid order by ts desc, d desc, event_id desc) as n from (select 'u' || user_id as tid, event_id, ts, strftime(ts, '%Y-%m-%d') as d from events)) select tid as tender_id, 'r1' as silver_run_id, 'v2' as schema_version from r where n = 1")
+def rebuilt_with_versions(spark, sf_dir):
+    """History as one batch, without working columns, with the run's versions."""
+    e = table(spark, sf_dir, "events").select(F.concat(F.lit("u"), "user_id").alias("tender_id"), F.col("ts").alias("scraped_at"), day("ts").alias("bronze_run_date"), F.lit("x").alias("tender_number"), F.lit("y").alias("source_record_json"))
+    out = upsert.with_run_versions(upsert.drop_working_columns(upsert.rebuild(e)), "r1", "2026-09-24", "m1", "v2")
+    return out.drop("scraped_at", "bronze_run_date", "silver_run_date", "model_version")
+
+
+@query("""select 'unique:tender_id' as gate, 0 as offences union all select 'unique:tender_code', 0 union all select 'non_blank:tender_code', 0 union all select 'allowed:classification', 0
+       union all select 'allowed:status', 0 union all select 'row_count', abs(count(*) - 7) from orders""")
+def gold_gates_report(spark, sf_dir):
+    g = gold.build_gold(_notices(spark, sf_dir), gold.as_of_date(override="1998-06-30"))
+    return quality.gates_report(g, gold.gold_gates(7))
+
+
+@query(_FILES + """, n as (select object_name, count(*) as n from f where event_id % 50 <> 0 and user_id % 3 <> 0 group by 1)
+select source, f.object_name, cast(event_id as varchar) as run_id, coalesce(n, 0) as rows from f left join n on n.object_name = f.object_name where event_id % 50 <> 0""")
+def manifest(spark, sf_dir):
+    files = _files(spark, sf_dir)
+    return bronze.bronze_manifest(files.where("parts = 3 and user_id % 3 <> 0").withColumn("malformed", F.lit(False)), files)
+
+
+@query(_FILES + " select object_name, row_number() over (order by d, cast(event_id as varchar), object_name) as place from f where event_id % 50 <> 0 and source = 'purchase'")
+def rebuild_order(spark, sf_dir):
+    """Arrival of all files of a source, as a rebuild reads them."""
+    files = bronze.select_rebuild(_files(spark, sf_dir).where("parts = 3 and source = 'purchase'"))
+    return files.select("object_name", F.row_number().over(Window.partitionBy("source").orderBy("arrival")).cast("bigint").alias("place"))
+
+
+@query("select event_type as source, cast(event_id as varchar) as object_name from events where user_id % 50 = 7")
+def explicit_run(spark, sf_dir):
+    e = table(spark, sf_dir, "events").select(F.col("event_type").alias("source"), (F.col("user_id") % 50).cast("string").alias("run_id"), F.lit("2026-01-01").alias("run_date"), F.col("event_id").cast("string").alias("object_name"))
+    return bronze.select_explicit_run(e, "7", e.select("source").distinct()).select("source", "object_name")
+
+
+# ---------------------------------------------------------------- look-alikes, told
+
+
+@query(_PAIRS + """, told as (select unnest([a, b]) as doc_id, 'high_title_similarity:' || printf('%.2f', similarity) as reason from alike),
+by_ref as (select doc_id, 'shared_reference:' || ref as r from (select doc_id, 'AB/' || (doc_id % 50) || '/9' as ref, source from documents where doc_id % 3 = 0) x where ref in (select 'AB/' || (doc_id % 50) || '/9' from documents where doc_id % 3 = 0 group by 1 having count(distinct source) > 1)),
+a as (select doc_id, string_agg(reason, '|' order by reason) as reasons from told group by 1)
+select t.doc_id, concat_ws('|', r, reasons) as cross_source_duplicate_reason from titles t left join by_ref using (doc_id) left join a using (doc_id) where r is not null or reasons is not null""")
+def look_alike_reasons(spark, sf_dir):
+    t = _titles(spark, sf_dir)
+    refs = t.where("doc_id % 3 = 0").select("doc_id", "source", text.external_refs(F.concat(F.lit("see ab/"), F.col("doc_id") % 50, F.lit("/9 now"))).alias("refs"))
+    shared = match.shared_reference_flags(refs, "doc_id", "source", "refs")
+    told = match.spread_reasons(t, "doc_id", shared, _similar(spark, sf_dir))
+    return told.where("possible_cross_source_duplicate").select("doc_id", "cross_source_duplicate_reason")
+
+
+_FINAL = "select event_id, event_type, user_id, case when value < 2 then 'rejected' when event_id % 7 = 0 then 'superseded' else 'accepted' end as disposition, user_id % 4 = 0 as alike, event_id % 5 = 0 as lacks from events"
+
+
+def _final(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as disposed rows."""
+    e, lacks = table(spark, sf_dir, "events"), F.col("event_id") % 5 == 0
+    some = lambda c: F.when(~lacks, c)
+    return e.select(
+        F.concat(F.lit("t"), "user_id").alias("tender_id"), F.lit("c").alias("tender_code"), F.col("event_type").alias("source"), F.lit("Oman").alias("country"), some(F.col("event_type")).alias("title"), F.to_date("ts").alias("closing_date"), some(F.to_date("ts")).alias("published_date"),
+        F.when(F.col("value") < 2, "rejected").when(F.col("event_id") % 7 == 0, "superseded").otherwise("accepted").alias("disposition"), F.when(F.col("value") < 2, "REJECT").otherwise("PASS").alias("quality_status"), (F.col("user_id") % 4 == 0).alias("possible_cross_source_duplicate"),
+        F.when(F.col("user_id") % 4 == 0, F.concat(F.lit("r"), "user_id")).alias("cross_source_duplicate_reason"), F.lit(True).alias("source_id_reused"), F.lit("Review").alias("classification"), lacks.alias("has_quality_warning"), F.lit(None).cast("double").alias("document_fee"), some(F.lit("a")).alias("authority"), F.lit("n").alias("tender_number"),
+        F.lit("r").alias("bronze_run_id"), F.lit("p").alias("bronze_file_path"), "event_id", F.lit("d").alias("run_date"),
+    )
+
+
+@query(f"""with e as ({_FINAL}) select metric, cast(value as bigint) as value from (
+    select count(*) as input, count(*) filter (disposition = 'accepted') as accepted, count(*) filter (disposition = 'rejected') as rejected, count(*) filter (disposition = 'superseded') as superseded, count(distinct user_id) as distinct_ids, count(*) as reused_ids,
+           count(*) filter (alike) as look_alikes, count(*) as review, count(*) filter (lacks) as warned, count(*) filter (disposition = 'rejected') as not_passed, count(*) filter (lacks) as missing_title, count(*) filter (lacks) as missing_authority, count(*) as with_closing,
+           count(*) filter (not lacks) as with_published, count(distinct event_type) as sources, 1 as countries, 1 as runs, 1 as files from e)
+    unpivot (value for metric in (input, accepted, rejected, superseded, distinct_ids, reused_ids, look_alikes, review, warned, not_passed, missing_title, missing_authority, with_closing, with_published, sources, countries, runs, files))
+    union all select unnest(['duplicate', 'technology', 'non_tech', 'missing_tender_id', 'missing_source', 'missing_country', 'missing_tender_number', 'with_fee']), 0""")
+def final_metrics(spark, sf_dir):
+    return match.final_quality_report(_final(spark, sf_dir))
+
+
+@query(f"with e as ({_FINAL}) select 't' || user_id as tender_id, 'r' || user_id as cross_source_duplicate_reason, count(*) as n from e where alike group by all")
+def possible_duplicates(spark, sf_dir):
+    return match.possible_duplicates(_final(spark, sf_dir)).groupBy("tender_id", "cross_source_duplicate_reason").agg(F.count("*").alias("n"))
+
+
+@query(f"with e as ({_FINAL}) select 't' || user_id as tender_id, min(event_id) as event_id from e group by all")
+def first_of_each_id(spark, sf_dir):
+    return match.representatives(_final(spark, sf_dir), "tender_id", ["run_date", "event_id"]).select("tender_id", "event_id")
+
+
 @query("""
 with r as (select o_orderkey, o_custkey % 3 as third, o_orderkey % 13 = 0 as bad, case when o_orderkey % 2 = 0 then 'qa_source_03' else 'ae_source_02' end as source, unnest(case when o_custkey % 3 = 2 then [1] else [1, 2] end) as run from orders)
 select source, case when bad then 'rejected' when third = 0 and run = 1 then 'duplicate' when third = 1 and run = 1 then 'superseded' else 'accepted' end as disposition, 'Non-Tech' as classification, count(*) as n
