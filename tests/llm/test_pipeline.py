@@ -68,3 +68,30 @@ def test_run_gives_the_last_stage(spark, stages):
 
     out = pipeline.run(spark, SF)
     assert out.count() == len(stages[-1]) and out.where(~F.col("round_trip")).count() == 0
+
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def test_mix_and_encode_stages_on_odd_rows(spark):
+    import corpus_pipeline as pipeline
+
+    rows = [(1, None, None, None, None), (1, "a b c", "en", "s", 5), (1, "a b c", "en", "s", 5), (2, "", "en", "s", 0), (None, "x " * 3000, None, None, None), (3, "é 🙂\n\n ", "en", "t", 4)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    mixed = pipeline.mix(spark, df, SF).collect()
+    taken = collections.Counter((r["doc_id"], r["text"]) for r in mixed)
+    assert all(r["text"] and r["text"].strip() for r in mixed) and set(taken) <= {(r[0], r[1]) for r in rows}
+    # the two equal rows are taken equally often
+    assert taken[1, "a b c"] % 2 == 0 and max(taken[None, "x " * 3000], taken[3, "é 🙂\n\n "]) <= 3
+    out = pipeline.encode(spark, df, SF).collect()
+    assert len(out) == len(rows) and all(r["round_trip"] for r in out)
+    assert sorted(r["n_tokens"] for r in out)[:2] == [0, 0] and all(len(r["ids"]) == 4 * r["n_tokens"] for r in out)
+
+
+def test_an_empty_table_and_one_of_junk_go_through(spark, tmp_path):
+    import corpus_pipeline as pipeline
+
+    for k, rows in enumerate([[], [(1, None, None, None, None), (2, "too short", "en", "s", 9)]]):
+        spark.createDataFrame(rows, SCHEMA).write.parquet(str(tmp_path / str(k) / "documents.parquet"))
+        out = pipeline.run(spark, str(tmp_path / str(k)))
+        assert out.columns == ["doc_id", "source", "n_tokens", "ids", "round_trip"] and out.count() == 0
