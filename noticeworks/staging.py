@@ -31,7 +31,9 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     _STAGED.setdefault(spark.sparkContext.applicationId, []).append(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._staged_at = path
+    return out
 
 
 def _delete(spark: SparkSession, path: str) -> None:
@@ -40,6 +42,13 @@ def _delete(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def discard(df: DataFrame) -> None:
+    """Deletes the table behind what staged() returned, once everything that reads it is itself staged."""
+    spark, path = df.sparkSession, df._staged_at
+    _delete(spark, path)
+    _STAGED[spark.sparkContext.applicationId].remove(path)
+
+
 def drop_staged(spark: SparkSession, keep: int = 0) -> int:
     """Deletes what this application has staged beyond its first `keep` tables; returns their number. Call it when the
     results that read them are written: a DataFrame that reads a dropped table can't be run again."""
