@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from noticeworks.llm.shared import written
+from noticeworks.llm.shared import discard, written
 
 
 def _star(edges: DataFrame, both_ways: bool) -> DataFrame:
@@ -32,7 +32,8 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     now = edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     now, mark = written(now, "edges"), None
     for _ in range(max_rounds):
-        now = written(_star(_star(now, True), False), "edges")
+        old, now = now, written(_star(_star(now, True), False), "edges")
+        discard(old)
         seen = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
         if seen == mark:
             return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())

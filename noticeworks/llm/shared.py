@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from noticeworks.staging import discard  # noqa: F401  deletes such a table
 from noticeworks.staging import staged as written  # noqa: F401  a table in the shared folder
 
 #: Fixed value: the white space of the word rule `[^\x20\x09-\x0D]+`.
