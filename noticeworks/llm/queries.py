@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from noticeworks.llm import bpe, html_text, license_scan, ngram_join, quality_rules, sharding, source_mix, token_counts, topk, url_filter
+from noticeworks.llm import bpe, html_text, license_scan, metric_join, ngram_join, periodic_runs, quality_rules, sharding, source_mix, token_counts, topk, url_filter
 
 
 def queries():
@@ -17,8 +17,10 @@ def queries():
         "op8_source_mix": source_mix.op8_source_mix,
         "op9_kd_shards": sharding.op9_kd_shards,
         "op10_ngram_jaccard_join": ngram_join.op10_ngram_jaccard_join,
+        "op12_metric_dedup": metric_join.op12_metric_dedup,
+        "op13_periodic_runs": periodic_runs.op13_periodic_runs,
     }
 
 
 def oracle_sql():
-    return {"op1_url_filter": url_filter.OP1_SQL, "op2_license_scan": license_scan.OP2_SQL, "op6_exact_topk": topk.OP6_SQL, "op10_ngram_jaccard_join": ngram_join.OP10_SQL}
+    return {"op1_url_filter": url_filter.OP1_SQL, "op2_license_scan": license_scan.OP2_SQL, "op6_exact_topk": topk.OP6_SQL, "op10_ngram_jaccard_join": ngram_join.OP10_SQL, "op12_metric_dedup": metric_join.OP12_SQL}
