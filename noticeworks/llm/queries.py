@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from noticeworks.llm import bpe, html_text, license_scan, metric_join, ngram_join, periodic_runs, quality_rules, sharding, source_mix, token_counts, topk, url_filter
+from noticeworks.llm import bpe, html_text, license_scan, metric_join, ngram_join, periodic_runs, quality_rules, sharding, source_mix, token_align, token_counts, topk, url_filter
 
 
 def queries():
@@ -17,6 +17,7 @@ def queries():
         "op8_source_mix": source_mix.op8_source_mix,
         "op9_kd_shards": sharding.op9_kd_shards,
         "op10_ngram_jaccard_join": ngram_join.op10_ngram_jaccard_join,
+        "op11_token_alignment": token_align.op11_token_alignment,
         "op12_metric_dedup": metric_join.op12_metric_dedup,
         "op13_periodic_runs": periodic_runs.op13_periodic_runs,
     }
