@@ -39,9 +39,11 @@ from noticeworks.llm.shared import bundled, others, unbundled, written
 from noticeworks.llm.token_counts import byte_of_char
 
 #: Pieces and links of pieces that a task remembers; pieces that are tokenized together.
-CACHE, CACHED_LINKS, TOGETHER = 200_000, 4_000_000, 20_000
+CACHE, CACHED_LINKS, TOGETHER = 100_000, 2_000_000, 5_000
+#: Bytes of text that are worked on together.
+SPAN = 1_000_000
 #: Documents (two bytes number them) of a chunk, links from which on it is closed, and documents of bitmaps unpacked together.
-CHUNK_DOCS, CHUNK_LINKS, UNPACKED = 1 << 16, 4_000_000, 2_000_000
+CHUNK_DOCS, CHUNK_LINKS, UNPACKED = 1 << 16, 2_000_000, 500_000
 #: The mark of a space in the pieces of B, and its pieces for single bytes.
 SPACE, BYTE = "▁", regex.compile(r"<0x([0-9A-F]{2})>")
 #: Where both tokenizers cut; the space begins the next piece.
@@ -250,7 +252,7 @@ def _aligned(docs: DataFrame, a_path: str, b_path: str, digest: bool, chunk_link
         shape = None
         for b in it:
             shape = shape or pa.schema([(n, kind or b.schema.field("row").type) for n, kind in FACTS] + POSTING)
-            for part, texts in (x for b in [b] for x in spans(b, "text")):
+            for part, texts in spans(b, "text", SPAN):
                 for at in range(0, len(texts), CHUNK_DOCS):
                     some = texts[at : at + CHUNK_DOCS]
                     if chunk.docs + len(some) > CHUNK_DOCS or chunk.links >= chunk_links:
