@@ -89,3 +89,32 @@ def profile_4v(df: DataFrame, by: str, ts: str, path: str, titles: list[str], co
         (rows - F.count("*")).alias("exact_duplicates"),
         F.sum(F.when(F.col("_untitled"), F.col("_n")).otherwise(0)).alias("missing_titles"),
     )
+
+
+def profile_records(records: DataFrame, by: str, ts_keys: list[str], titles: list[str], path: str, rec: str = "rec") -> DataFrame:
+    """profile_4v over records (variants), one row for each value of `by`: a source's columns are the keys that any of its records has,
+    and a record that lacks one misses that cell. Extraction times are of the first of ts_keys that a record has; titles those of
+    the first of `titles` that the source has (without any, every record misses its title).
+
+    Records are exploded to their keys once; what goes into the shuffle is a count for each source and key."""
+    value = lambda k: F.try_variant_get(rec, '$["' + k + '"]', "string")
+    at = F.coalesce(*[value(k).try_cast("timestamp") for k in ts_keys])
+    text = F.to_json(rec)  # keys are sorted
+    kinds = records.select(F.col(by).alias("s"), F.col(path).alias("path"), at.alias("at"), F.xxhash64(text).alias("h1"), F.xxhash64(F.lit(1), text).alias("h2"), text.alias("text"))
+    equal = kinds.groupBy("s", "h1", "h2").agg(F.count("*").alias("n"), F.min("at").alias("first"), F.max("at").alias("last"))
+    rows = equal.groupBy("s").agg(F.sum("n").alias("rows"), F.min("first").alias("first_extracted"), F.max("last").alias("last_extracted"), (F.sum("n") - F.count("*")).alias("exact_duplicates"))
+    files = kinds.groupBy("s", "path").agg(F.lit(1).alias("one")).groupBy("s").agg(F.count("path").alias("files"))
+    cells = kinds.select("s", F.explode(F.from_json("text", "map<string,string>")).alias("key", "value"))
+    present = cells.groupBy("s", "key").agg(F.count_if(~missing(F.col("value"))).alias("present"))
+    rank = F.array_position(F.array(*map(F.lit, titles)).cast("array<string>"), F.col("key"))
+    title = F.when(rank > 0, F.struct(rank.alias("rank"), F.col("present").alias("present")))
+    keys = present.groupBy("s").agg(F.count("*").alias("columns"), F.array_sort(F.collect_list("key")).alias("keys"), F.sum("present").alias("present"), F.min(title).alias("title"))  # a row for each key of the source
+    same = lambda a, b: F.col(f"{a}.s").eqNullSafe(F.col(f"{b}.s"))
+    out = rows.alias("r").join(files.alias("f"), same("r", "f"), "left").join(keys.alias("k"), same("r", "k"), "left")
+    columns = F.coalesce("columns", F.lit(0).cast("long"))
+    lacking = F.col("rows") * columns - F.coalesce("present", F.lit(0))
+    hours = F.round((F.unix_micros("last_extracted") - F.unix_micros("first_extracted")) / 3_600_000_000, 2)
+    return out.select(
+        F.col("r.s").alias(by), "rows", columns.alias("columns"), F.coalesce("keys", F.array().cast("array<string>")).alias("keys"), "first_extracted", "last_extracted", hours.alias("span_hours"), F.coalesce("files", F.lit(0)).alias("files"),
+        lacking.alias("missing_cells"), F.round(F.when(columns > 0, 100.0 * lacking / (F.col("rows") * columns)).otherwise(0.0), 2).alias("missing_percent"), "exact_duplicates", (F.col("rows") - F.coalesce("title.present", F.lit(0))).alias("missing_titles"),
+    )

@@ -7,7 +7,7 @@ files before its own."""
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -49,36 +49,57 @@ def object_columns(files: DataFrame) -> DataFrame:
     })
 
 
+#: JSON may repeat a key, and the last value stays. Spark reads this setting as rows are parsed, so it holds for the session.
+REPEATED_KEYS = "spark.sql.variant.allowDuplicateKeys"
+
+
 def parse_objects(files: DataFrame) -> DataFrame:
     """Rows (file_path, object_name, value) to one row for each record: pos and rec (variant). A single object
-    counts as a list of one; a list element that isn't an object becomes {"value": element}; text that isn't
-    JSON keeps one row with a null rec and malformed = true, for a gate to see."""
+    counts as a list of one; a list element that isn't an object becomes {"value": element}; a key that is repeated has its last
+    value. Lists are parsed element by element, so none needs to fit one variant. Text (of landed files: a line) that isn't JSON keeps one row with
+    a null rec and malformed = true, for a gate to see."""
     if "before" not in files.columns:
         files = files.withColumn("before", F.lit(None).cast("long"))
-    lines = F.col("before").isNotNull()
-    doc = files.withColumn("_doc", F.when(~lines, F.try_parse_json("value")))
-    # an element at a time, as JSON text: landed files by their lines, arrays by their elements, anything else as itself
-    listed = F.from_json(F.col("value"), "array<string>")
-    is_list = F.trim("value").startswith("[")
-    by_line = F.filter(F.split("value", "\n"), lambda x: F.trim(x) != "")
-    texts = F.when(lines, by_line).when(F.col("_doc").isNull(), F.array(F.lit(None).cast("string"))).when(is_list, listed).otherwise(F.array("value"))
+    text, lines = F.col("value"), F.col("before").isNotNull()
     kept = [c for c in files.columns if c not in ("value", "before")]
-    rows = doc.select(*kept, "before", (~lines & F.col("_doc").isNull()).alias("_bad"), F.posexplode(texts).alias("_at", "_text"))
-    rows = rows.withColumns({"malformed": F.col("_bad") | (F.col("before").isNotNull() & F.try_parse_json("_text").isNull()), "pos": F.coalesce("before", F.lit(0)) + F.col("_at")})
-    rows = rows.select(*kept, "malformed", "pos", "_text")
-    is_object = F.ltrim("_text").startswith("{")
-    plain = F.concat(F.lit('{"value":'), F.coalesce(F.when(F.try_parse_json("_text").isNotNull(), F.col("_text")), F.regexp_replace(F.to_json(F.struct(F.col("_text").alias("v"))), r'^\{"v":|\}$', ""), F.lit("null")), F.lit("}"))
-    rec = F.when(~F.col("malformed"), F.when(is_object, F.try_parse_json("_text")).otherwise(F.try_parse_json(plain)))
-    return rows.withColumn("rec", rec).drop("_text")
-
-
-def read_bronze(spark: SparkSession, root: str, sources: list[str] | None = None) -> DataFrame:
-    """source, run_date, run_id, object_name, file_path, pos, rec (variant) and malformed of every record of the known sources."""
-    raw = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", FILES).text(root, wholetext=True)
+    files.sparkSession.conf.set(REPEATED_KEYS, "true")
+    by_line = F.transform(F.filter(F.split(text, "\n"), lambda x: F.trim(x) != ""), F.try_parse_json)
+    is_list = F.regexp_like(text, F.lit(r"^\s*\["))
+    listed = F.coalesce(F.from_json(text, "array<variant>"), F.array(F.lit(None).cast("variant")))
+    elements = F.when(lines, by_line).when(is_list, listed).otherwise(F.array(F.try_parse_json(text)))
+    rows = files.select(*kept, "before", F.posexplode(elements).alias("at", "element"))
+    loose = F.try_parse_json(F.concat(F.lit('{"value":'), F.coalesce(F.to_json("element"), F.lit("null")), F.lit("}")))
+    is_object = F.schema_of_variant("element").startswith("OBJECT")
+    rec = F.when(F.col("element").isNull(), F.lit(None).cast("variant")).when(is_object, F.col("element")).otherwise(loose)
+    return rows.select(*kept, F.col("element").isNull().alias("malformed"), (F.coalesce("before", F.lit(0).cast("long")) + F.col("at")).alias("pos"), rec.alias("rec"))
+
+
+def read_bronze(spark: SparkSession, root: str, sources: list[str] | None = None, objects: DataFrame | None = None) -> DataFrame:
+    """source, run_date, run_id, object_name, file_path, pos, rec (variant) and malformed of every record of the known sources; of
+    these objects alone, if given: no other file is opened."""
+    reader = spark.read.option("pathGlobFilter", FILES)
+    if objects is None:
+        raw = reader.option("recursiveFileLookup", "true").text(root, wholetext=True)
+    else:
+        # a path for each object: the driver lists as many, as for any read
+        names = [r[0] for r in objects.select("object_name").distinct().collect()]
+        paths = [p for n in names for p in _places(spark, root.rstrip("/"), n)]
+        raw = reader.text(paths, wholetext=True) if paths else spark.createDataFrame([], "value string, _metadata struct<file_path: string>")
     known = object_columns(whole_files(raw, root)).where("parts = 3").drop("parts")
     return parse_objects(known.where(F.col("source").isin(sources)) if sources else known)
 
 
+def _places(spark: SparkSession, root: str, name: str) -> list[str]:
+    """Where an object is: the file of its name, or the folder of a landed run."""
+    source, run_date, run_id = name.removesuffix(".json").split("/")
+    jvm = spark.sparkContext._jvm
+    path = lambda p: jvm.org.apache.hadoop.fs.Path(p)
+    fs = path(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    escape = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    found = [f"{root}/{name}", f"{root}/source={escape(source)}/run_date={escape(run_date)}/run_id={escape(run_id)}"]
+    return [p for p in found if fs.exists(path(p))]
+
+
 def bronze_manifest(records: DataFrame, files: DataFrame) -> DataFrame:
     """Rows for each source, object and run; files without records count 0."""
     counts = records.where(~F.col("malformed")).groupBy("object_name").agg(F.count("*").alias("n"))
@@ -152,21 +173,5 @@ def land_bronze(records: DataFrame, root: str, run_ts: str) -> None:
     stamped.write.partitionBy("source", "run_date", "run_id").mode("append").option("maxRecordsPerFile", 100_000).option("compression", "none").format("text").save(root)
 
 
-def read_silver(spark: SparkSession, path: str, csv_path: str | None = None, schema: str | None = None) -> DataFrame:
-    """The table, or its CSV copy where the table is absent."""
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
-        if not csv_path:
-            raise
-        reader = spark.read.option("header", "true").option("nullValue", "").option("multiLine", "true").option("escape", '"')
-        return (reader.schema(schema) if schema else reader).csv(csv_path)
-
-
 def arrival_order() -> list[Column]:
     return [F.col(c) for c in ("run_date", "run_id", "object_name", "pos")]
-
-
-def first_by_arrival(df: DataFrame, *keys: str) -> DataFrame:
-    w = Window.partitionBy(*keys).orderBy(*arrival_order())
-    return df.withColumn("_first", F.row_number().over(w)).where("_first = 1").drop("_first")

@@ -1,12 +1,16 @@
-"""Sinks: versioned tables with read-back checks, CSV copies, audit reports, processed-file state."""
+"""Sinks and the tables' readers: tables with a current version, CSV copies, audit reports. Rows written are compared with rows read back."""
 
 from __future__ import annotations
 
-import uuid
+from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from noticeworks.operators.quality import Gate
+from noticeworks.sources.table import Table
+
 
 def _observed(df: DataFrame) -> tuple[DataFrame, Observation]:
     """df, and the number of its rows once it is written."""
@@ -14,25 +18,34 @@ def _observed(df: DataFrame) -> tuple[DataFrame, Observation]:
     return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
 
 
-def _same(path: str, written: int, back: int) -> None:
-    if written != back:
+def _same(path: str, written: int | None, back: int) -> None:
+    if (written or 0) != back:
         raise ValueError(f"{path}: {written} rows written, {back} read back")
 
 
-def write_table_overwrite(df: DataFrame, path: str, key: str | None = None, partition: str | None = None) -> str:
-    """Writes a new version folder under path, reads it back and checks its rows against those written, and its key;
-    returns the folder. The old version stays untouched until a reader is pointed at the new one, so a table may be
-    read and replaced."""
-    version = f"{path.rstrip('/')}/v-{uuid.uuid4().hex}"
-    rows, seen = _observed(df)
-    writer = rows.write.mode("errorifexists")
-    (writer.partitionBy(partition) if partition else writer).parquet(version)
-    checks = [F.count("*").alias("rows"), *([F.count_distinct(key).alias("keys")] if key else [])]
-    back = df.sparkSession.read.schema(df.schema).parquet(version).agg(*checks).first()
-    _same(version, seen.get["rows"], back["rows"])
-    if key and back["rows"] != back["keys"]:
-        raise ValueError(f"{version}: {back['rows']} rows but {back['keys']} values of {key}")
-    return version
+def write_table_overwrite(df: DataFrame, path: str, key: str | None = None, gates: Sequence[Gate] = ()) -> int:
+    """df becomes the table's current version, once its rows, its key and the gates are checked; returns the version. The table may
+    be read and replaced: readers keep the old version until the new one is committed, and a failure leaves it current."""
+    return Table(df.sparkSession, path, key).overwrite(df, gates)
+
+
+def read_silver(spark: SparkSession, path: str, csv_path: str | None = None, schema: str | None = None) -> DataFrame:
+    """The current version of a table, or the Parquet files of a plain folder; its CSV copy where there is neither."""
+    now = Table(spark, path).read()
+    if now is not None:
+        return now
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException:
+        if not csv_path:
+            raise
+        reader = spark.read.option("header", "true").option("nullValue", "").option("multiLine", "true").option("escape", '"')
+        return (reader.schema(schema) if schema else reader).csv(csv_path)
+
+
+def register_table(spark: SparkSession, name: str, path: str) -> None:
+    """The table by name: its current version, now and after each later commit."""
+    Table(spark, path).register(name)
 
 
 def write_csv_copy(df: DataFrame, path: str) -> int:
@@ -52,12 +65,6 @@ def write_audit(reports: dict[str, DataFrame], root: str, run_date: str, run_id:
         df.write.mode("errorifexists").parquet(f"{root.rstrip('/')}/{name}/run_date={run_date}/run_id={run_id}")
 
 
-def register_table(spark: SparkSession, name: str, path: str) -> None:
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING parquet LOCATION '{path}'")
-    spark.sql(f"REFRESH TABLE {name}")
-
-
-def advance_state(selected: DataFrame, state_path: str, dry_run: bool = False, explicit: bool = False) -> None:
-    """Adds the selected objects to the processed ones, after a verified write only; never in a dry or explicit run."""
-    if not (dry_run or explicit):
-        selected.select("object_name").distinct().write.mode("append").parquet(state_path)
+def read_audit(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """A report of all runs, with run_date and run_id."""
+    return spark.read.option("mergeSchema", "true").parquet(f"{root.rstrip('/')}/{name}")

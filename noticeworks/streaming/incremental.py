@@ -1,16 +1,14 @@
-"""The incremental path as a stream: new bronze files in micro-batches, upserted newest-wins into a table in parts."""
+"""The incremental path as a stream: new bronze files in micro-batches, upserted newest-wins into a table."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from noticeworks.operators.upsert import upsert
+from noticeworks.operators.quality import Gate
 from noticeworks.sources.bronze import FILES, object_columns, parse_objects, whole_files
-from noticeworks.sources.sinks import write_table_overwrite
+from noticeworks.sources.table import Table
 from noticeworks.staging import drop_staged, staged, staged_count
 
 
@@ -20,60 +18,17 @@ def stream_bronze(spark: SparkSession, root: str, files_per_batch: int = 1000) -
     return parse_objects(object_columns(whole_files(raw, root)).where("parts = 3").drop("parts"))
 
 
-class UpsertTable:
-    """A table in `buckets` parts by a hash of its key. A commit writes the parts that it touches as a new folder and
-    then adds their names to a list, so a reader sees all of a commit or nothing of it. Commits have their own
-    numbers, whatever stream or checkpoint they come from; one that is made twice (after a failure) gives the same
-    rows, as the newest-wins rule is deterministic. One writer at a time."""
-
-    LIST = "commit long, bucket int, folder string"
-
-    def __init__(self, spark: SparkSession, path: str, buckets: int = 64):
-        self.spark, self.path, self.buckets = spark, path.rstrip("/"), buckets
-
-    def commits(self) -> DataFrame | None:
-        try:
-            return self.spark.read.schema(self.LIST).json(f"{self.path}/commits")
-        except AnalysisException:
-            return None
-
-    def newest(self) -> dict[int, tuple[int, str]]:
-        """Commit and folder of each part: at most `buckets` rows."""
-        listed = self.commits()
-        if listed is None:
-            return {}
-        rows = listed.groupBy("bucket").agg(F.max(F.struct("commit", "folder")).alias("x")).select("bucket", "x.*").collect()
-        return {r["bucket"]: (r["commit"], r["folder"]) for r in rows}
-
-    def read(self, buckets: set[int] | None = None) -> DataFrame | None:
-        """The rows, or those of some parts; a column that a part lacks is null there."""
-        folders = [folder for b, (_, folder) in self.newest().items() if buckets is None or b in buckets]
-        return self.spark.read.option("mergeSchema", "true").parquet(*sorted(folders)) if folders else None
-
-    def commit(self, rows: DataFrame, key: str, **names: str) -> int:
-        """Upserts rows, newest wins; returns the commit's number. Parts that no row falls in aren't read or written."""
-        part = F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(self.buckets)).cast("int")
-        rows = staged(rows, "batch")
-        touched = {r[0] for r in rows.select(part).distinct().collect()}
-        newest = self.newest()
-        number = 1 + max((c for c, _ in newest.values()), default=0)
-        if not touched:
-            return number - 1
-        old = self.read(touched)
-        merged = upsert(rows.limit(0) if old is None else old, rows, key, **names).withColumn("bucket", part)
-        folder = write_table_overwrite(merged, f"{self.path}/parts", key, "bucket")
-        named = [(number, b, f"{folder}/bucket={b}") for b in sorted(touched)]
-        self.spark.createDataFrame(named, self.LIST).coalesce(1).write.mode("append").json(f"{self.path}/commits")
-        return number
-
-
-def stream_upsert(stream: DataFrame, target: UpsertTable, checkpoint: str, shape: Callable[[DataFrame], DataFrame], key: str = "tender_id", **names: str):
-    """Runs over all files there are: each micro-batch is shaped and upserted; the checkpoint moves on after the write.
-    What a batch has staged goes with it."""
+def stream_upsert(stream: DataFrame, target: Table, checkpoint: str, shape: Callable[[DataFrame], DataFrame], gates: Sequence[Gate] = ()):
+    """Runs over all files there are: each micro-batch is shaped and upserted, in one commit with the names of its objects;
+    the checkpoint moves on after it. A batch that comes again because the run ended in between, or by a new checkpoint, is known by
+    its objects and changes nothing. What a batch has staged goes with it."""
 
     def each(batch: DataFrame, batch_id: int) -> None:
         before = staged_count(batch.sparkSession)
-        target.commit(shape(batch), key, **names)
+        fresh = batch.join(target.processed(), "object_name", "left_anti")
+        objects = staged(fresh.select("object_name").distinct(), "objects")
+        if objects.limit(1).count():
+            target.upsert(staged(shape(fresh), "batch"), gates, objects)
         drop_staged(batch.sparkSession, before)
 
     query = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -3,10 +3,11 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from noticeworks.operators import quality, upsert
+from noticeworks.operators import profile, quality, upsert
 from noticeworks.plans import medallion
 from noticeworks.sources import bronze, sinks
-from noticeworks.streaming.incremental import UpsertTable, stream_bronze, stream_upsert
+from noticeworks.sources.table import Table
+from noticeworks.streaming.incremental import stream_bronze, stream_upsert
 
 RUN = medallion.Run("r1", "2026-09-24")
 
@@ -65,10 +66,10 @@ def test_silver_and_gold(spark, tree, tmp_path):
     assert by_id["9/2026"]["document_fee"] == 1030.72 and by_id["9/2026"]["currency"] == "SAR" and by_id["9/2026"]["tender_code"].startswith("QA1-9-2026-")
     gold = medallion.build_gold(silver, "2026-09-10")
     assert {r["status"] for r in gold.collect()} == {"Open"}
-    version = sinks.write_table_overwrite(silver, str(tmp_path / "silver"), "tender_id")
-    assert bronze.read_silver(spark, version).count() == 4
+    assert sinks.write_table_overwrite(silver, str(tmp_path / "silver"), "tender_id") == 1
+    assert sinks.read_silver(spark, str(tmp_path / "silver")).count() == 4
     assert sinks.write_csv_copy(gold, str(tmp_path / "gold.csv")) == 4
-    assert bronze.read_silver(spark, str(tmp_path / "none"), str(tmp_path / "gold.csv")).count() == 4
+    assert sinks.read_silver(spark, str(tmp_path / "none"), str(tmp_path / "gold.csv")).count() == 4
 
 
 def test_gates_name_what_failed(spark):
@@ -78,45 +79,30 @@ def test_gates_name_what_failed(spark):
 
 
 def test_stream_equals_batch(spark, tree, tmp_path):
-    target = UpsertTable(spark, str(tmp_path / "table"), buckets=4)
+    target = Table(spark, str(tmp_path / "table"))
 
     def shape(batch):
-        return medallion.accepted(medallion.silver_rows(spark, batch, RUN))
+        return medallion.accepted(medallion.silver_rows(spark, batch.where("not malformed"), RUN))
 
     def go(checkpoint="checkpoint"):
         stream_upsert(stream_bronze(spark, str(tree)), target, str(tmp_path / checkpoint), shape)
 
     go()
-    once = target.newest()
+    once = target.versions()
     go()
-    assert target.newest() == once  # no new files, no new commit
+    go("another")  # a new checkpoint sends every file again: the table knows them
+    assert target.versions() == once
     put(tree, "qa_source_03", "2026-09-05", "run5", [notice(1, "2026-08-01T00:00:00Z", Title="late and old"), notice(4, "2026-09-05T00:00:00Z")])
     go()
     batch = upsert.rebuild(shape(bronze.read_bronze(spark, str(tree))))
     cols = ["tender_id", "title", "scraped_at"]
     want = sorted(map(tuple, batch.select(*cols).collect()))
     assert sorted(map(tuple, target.read().select(*cols).collect())) == want
-    # a new checkpoint counts its batches from 0 again: the table takes them as later commits
     put(tree, "qa_source_03", "2026-09-06", "run6", [notice(4, "2026-09-06T00:00:00Z", Title="four again")])
     go("another")
     assert {r["title"] for r in target.read().where("source_tender_id = 'T-4'").collect()} == {"four again"}
 
 
-def test_commits_write_touched_parts_only(spark, tmp_path):
-    table = UpsertTable(spark, str(tmp_path / "t"), buckets=8)
-    schema = "tender_id string, scraped_at string, bronze_run_date string, v int"
-    row = lambda k, day, v: (k, day, day, v)
-    assert table.read() is None and table.commit(spark.createDataFrame([], schema), "tender_id") == 0
-    assert table.commit(spark.createDataFrame([row(f"k{i}", "2026-01-01", 0) for i in range(50)], schema), "tender_id") == 1
-    before = table.newest()
-    one = spark.createDataFrame([(*row("k7", "2026-01-02", 1), "x"), (*row("k8", "2025-01-01", 1), "x")], schema + ", extra string")
-    assert [table.commit(one, "tender_id") for _ in range(2)] == [2, 3]
-    after = table.newest()
-    assert 6 <= sum(before[b] == after[b] for b in before) < len(before)
-    got = {r["tender_id"]: (r["v"], r["extra"]) for r in table.read().collect()}
-    assert len(got) == 50 and got["k7"] == (1, "x") and got["k8"] == (0, None) and got["k9"] == (0, None)
-
-
 def test_landed_runs_are_read_again(spark, tree):
     recs = spark.createDataFrame([("sa_source_01", f'{{"Item ID": "L-{i}", "n": {i}, "x": "a\\nb"}}') for i in range(40)] + [("bh source+1", '{"Item ID": "B"}')], "source string, j string")
     records = recs.select("source", F.parse_json("j").alias("rec")).repartition(3)
@@ -140,14 +126,10 @@ def test_writes_are_checked_and_staged_tables_dropped(spark, tmp_path, monkeypat
     from noticeworks import staging
 
     df = spark.range(10).select(F.col("id").cast("string").alias("k"), F.lit("a\nb").alias("t"))
-    assert spark.read.parquet(sinks.write_table_overwrite(df, str(tmp_path / "t"), "k")).count() == 10
     assert sinks.write_csv_copy(df, str(tmp_path / "c")) == 10
-    with pytest.raises(ValueError, match="2 values of k"):
-        sinks.write_table_overwrite(df.withColumn("k", F.expr("k % 2")), str(tmp_path / "t"), "k")
     monkeypatch.setattr(sinks, "_observed", lambda df: (df, type("Seen", (), {"get": {"rows": 11}})))
-    for write in (lambda: sinks.write_table_overwrite(df, str(tmp_path / "t")), lambda: sinks.write_csv_copy(df, str(tmp_path / "c"))):
-        with pytest.raises(ValueError, match="11 rows written, 10 read back"):
-            write()
+    with pytest.raises(ValueError, match="11 rows written, 10 read back"):
+        sinks.write_csv_copy(df, str(tmp_path / "c"))
     before = staging.staged_count(spark)
     mine = staging.staged(df, "x")
     assert mine.count() == 10 and staging.staged_count(spark) == before + 1 and staging.drop_staged(spark, before) == 1
@@ -174,3 +156,26 @@ def test_upsert_twice_is_once(spark):
     assert sorted((r["tender_id"], r["v"], r["extra"]) for r in once.collect()) == [("a", 1, None), ("b", 2, "x"), ("c", 2, "x")]
     assert sorted(map(tuple, upsert.upsert(once, new).collect())) == sorted(map(tuple, once.collect()))
     assert upsert.upsert_stats(old, new).first().asDict() == {"inserted": 1, "matched": 2, "updated": 1, "kept_existing_newer": 1}
+
+
+def test_elements_are_judged_alone(spark, tmp_path):
+    put(tmp_path / "b", "s", "2026-09-01", "r1", '[{"a":1},{"a":1,"a":2},{"a":3},"loose",["x"],null,"{not an object",{"n":{"k":[1]}}]')
+    put(tmp_path / "b", "s", "2026-09-01", "r2", ' \n {"a":1,"a":5}')
+    put(tmp_path / "b", "s", "2026-09-01", "r3", '[{"a":1},')
+    put(tmp_path / "b", "s", "2026-09-01", "r4", " ")
+    rows = bronze.read_bronze(spark, str(tmp_path / "b")).select("run_id", "pos", "malformed", F.to_json("rec").alias("j")).collect()
+    one = [(r["pos"], r["j"]) for r in sorted(rows, key=lambda r: r["pos"]) if r["run_id"] == "r1"]
+    assert one == [(0, '{"a":1}'), (1, '{"a":2}'), (2, '{"a":3}'), (3, '{"value":"loose"}'), (4, '{"value":["x"]}'), (5, '{"value":null}'), (6, '{"value":"{not an object"}'), (7, '{"n":{"k":[1]}}')]
+    assert {(r["run_id"], r["malformed"], r["j"]) for r in rows if r["run_id"] != "r1"} == {("r2", False, '{"a":5}'), ("r3", True, None), ("r4", True, None)}
+
+
+def test_profile_of_records(spark):
+    rows = [("a", "f1", '{"Title":"x","n":1,"_extracted_at":"2026-01-01T00:00:00Z"}'), ("a", "f1", '{"n":1,"Title":"x","_extracted_at":"2026-01-01T00:00:00Z"}'), ("a", "f2", '{"Title":" ","m":null,"_extracted_at":"2026-01-01T06:30:00Z"}'), ("b", "f3", "{}"), (None, None, '{"v":{"k":1}}')]
+    records = spark.createDataFrame(rows, "source string, path string, j string").select("source", "path", F.parse_json("j").alias("rec"))
+    got = {r["source"]: r.asDict() for r in profile.profile_records(records, "source", ["_extracted_at"], ["Name", "Title"], "path").collect()}
+    pick = lambda s: tuple(got[s][c] for c in ("rows", "columns", "keys", "span_hours", "files", "missing_cells", "missing_percent", "exact_duplicates", "missing_titles"))
+    # of a's 12 cells: the third record misses its title, m and n, and the others m
+    assert pick("a") == (3, 4, ["Title", "_extracted_at", "m", "n"], 6.5, 2, 5, 41.67, 1, 1)
+    assert pick("b") == (1, 0, [], None, 1, 0, 0.0, 0, 1)
+    assert pick(None) == (1, 1, ["v"], None, 0, 0, 0.0, 0, 1)
+    assert profile.profile_records(records.limit(0), "source", ["_extracted_at"], ["Title"], "path").count() == 0
