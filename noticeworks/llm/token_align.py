@@ -4,7 +4,7 @@ Two tokenizers A and B cut the same bytes. An A token and a B token link where t
 of both end cut them into groups. How often two ids link in the corpus is the score of their links.
 
 1. Texts are cut where both tokenizers must: before a single space between two characters that are no white space.
-   The pieces between these cuts are aligned once and remembered by each task up to a bound: tokens, groups and links of a
+   The pieces between these cuts are aligned once and remembered by each Python worker up to a bound: tokens, groups and links of a
    text are those of its pieces in a row. New pieces of some megabytes of text go through the tokenizers together.
 2. A task numbers its documents and gathers them in chunks of bounded size. For a chunk it inverts the links: each id pair gets a
    bitmap of the chunk's documents that hold it, and one for each binary digit of the further links of the pair in a document
@@ -21,6 +21,7 @@ The highest counts of B ids are broadcast: a row for each id of its vocabulary.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import itertools
 import os
@@ -38,8 +39,8 @@ from noticeworks.llm.bpe import read_vocabulary, spans
 from noticeworks.llm.shared import bundled, others, unbundled, written
 from noticeworks.llm.token_counts import byte_of_char
 
-#: Pieces and links of pieces that a task remembers; pieces that are tokenized together.
-CACHE, CACHED_LINKS, TOGETHER = 100_000, 2_000_000, 5_000
+#: Pieces and links of pieces that a worker remembers; pieces that are tokenized together.
+CACHE, CACHED_LINKS, TOGETHER = 250_000, 4_000_000, 5_000
 #: Bytes of text that are worked on together.
 SPAN = 1_000_000
 #: Documents (two bytes number them) of a chunk, links from which on it is closed, and documents of bitmaps unpacked together.
@@ -153,7 +154,13 @@ class Pieces:
 
 
 def _at_white_space(part: str) -> bool:
-    return not part or part[0].isspace() or part[-1].isspace()
+    return not part or part.strip() != part
+
+
+@functools.lru_cache(1)
+def _pieces(a_path: str, b_path: str) -> Pieces:
+    """A Python worker's own, for all its tasks: the tokenizers are read once, and pieces met in one task are known in the next."""
+    return Pieces(Aligner(a_path, b_path))
 
 
 #: A posting row: the bitmap of one pair in one chunk; plane 0 holds the documents with a link, plane k those whose
@@ -236,7 +243,7 @@ def _aligned(docs: DataFrame, a_path: str, b_path: str, digest: bool, chunk_link
     """docs (row, text) as rows of two kinds: the documents with FACTS and their chunk, and the POSTING rows of their pairs."""
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = Pieces(Aligner(a_path, b_path))
+        pieces = _pieces(a_path, b_path)
         numbers = (TaskContext.get().partitionId() << 32 | k for k in itertools.count())
         chunk = Chunk(next(numbers))
 
