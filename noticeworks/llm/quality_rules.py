@@ -7,14 +7,14 @@ For each language and source a minimum-covariance-determinant estimate is made:
 starts, concentration steps (mean and covariance of the `share` of rows nearest by Mahalanobis distance)
 are repeated until the determinant gets no smaller, and the estimate of least determinant remains. The
 share is a half, and each distinct text of a group counts once, so that junk of up to nearly half of a group's texts, or one text copied however often, has no
-part in the estimate. A text whose squared distance from its group's estimate is above `cutoff` is rejected.
-Groups with under `min_group` distinct texts use their language's estimate, and languages with under that
-the estimate of all texts.
+part in the estimate. Every language and source has an estimate of its own, drawn towards that of its language by the weight of
+`prior` texts (and that of a language towards that of all): n distinct texts count n of n + prior, at any size. A text whose
+squared distance from its group's estimate is above `cutoff` is rejected.
 
 All of it is built-in functions. The statistics are row-wise, without a shuffle. The estimates come
 from groupBy sums with partial aggregation, so a group that holds a third of all rows costs no more
-than the others, and medians and distance quantiles come from exact percentiles over values cut into
-a bounded number of steps, so an aggregation buffer is bounded too. Values are fixed-point integers:
+than the others: equal vectors of a group are first counted together, and every step goes over those counts. Medians and
+distance quantiles come from exact percentiles over values cut into a bounded number of steps, so an aggregation buffer is bounded too. Values are fixed-point integers:
 sums don't depend on the order of rows, and reruns agree.
 """
 
@@ -25,13 +25,14 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from noticeworks.llm.shared import SPACES, unused, words, written
+from noticeworks.llm.shared import SPACES, others, unused, words, written
 
 #: Fixed value: the characters counted as symbols.
 SYMBOLS = "#*$%&|<>"
 DIMS = ("word_length", "symbols", "repeated_lines", "repeated_words")
-#: Standard deviations are at least these, so that a statistic that is 0 nearly everywhere rejects no small value. They were
-#: chosen so that at sf0.01 no document labelled good is rejected and at most one in twenty of those labelled bad is kept.
+#: Standard deviations are at least these, so that a statistic that is 0 nearly everywhere rejects no small value. They are
+#: tolerances of edited prose, whatever the corpus: words an eighth longer or shorter, a symbol in 400 characters, a fifth of the
+#: lines or an eighth of the words (of a half, the base limit) repeated. Pass others for other kinds of text.
 FLOOR = {"word_length": 0.12, "symbols": 0.05, "repeated_lines": 0.2, "repeated_words": 0.3}
 #: The base rule: more repeated words than this share fail.
 MOST_REPEATED = 0.5
@@ -157,16 +158,16 @@ def _small(df: DataFrame, label: str) -> DataFrame:
 def _starts(rows: DataFrame) -> DataFrame:
     """Four first estimates of each group: medians with the coordinates' median deviations alone, with the
     correlations of their hyperbolic tangents, with those of their spatial signs; and plain mean and covariance."""
-    mid = _small(rows.groupBy("g").agg(*[F.expr(f"percentile(z_{a}, 0.5)").alias(f"m_{a}") for a in DIMS]), "median")
-    away = rows.join(mid, "g").groupBy("g").agg(*[F.max(f"m_{a}").alias(f"m_{a}") for a in DIMS], *[F.expr(f"percentile(abs(z_{a} - m_{a}), 0.5)").alias(f"d_{a}") for a in DIMS])
+    mid = _small(rows.groupBy("g").agg(*[F.expr(f"percentile(z_{a}, 0.5, c)").alias(f"m_{a}") for a in DIMS]), "median")
+    away = rows.join(mid, "g").groupBy("g").agg(*[F.max(f"m_{a}").alias(f"m_{a}") for a in DIMS], *[F.expr(f"percentile(abs(z_{a} - m_{a}), 0.5, c)").alias(f"d_{a}") for a in DIMS])
     scales = _small(away.select("g", *[(F.col(f"m_{a}") / SCALE).alias(f"m_{a}") for a in DIMS], *[F.greatest(F.lit(FLOOR[a]), 1.4826 * F.col(f"d_{a}") / SCALE).alias(f"s_{a}") for a in DIMS]), "scales")
     scaled = rows.join(scales, "g").withColumns({f"y_{a}": (F.col(f"z_{a}") / SCALE - F.col(f"m_{a}")) / F.col(f"s_{a}") for a in DIMS})
     norm = F.sqrt(F.greatest(sum((F.col(f"y_{a}") * F.col(f"y_{a}") for a in DIMS), F.lit(0.0)), F.lit(1e-12)))
     # in fixed point, so that sums don't depend on the order of rows
     forms = {"tanh": lambda c: F.round(F.tanh(c) * 4096), "sign": lambda c: F.round(c / norm * 4096), "plain": lambda c: F.round(c * SCALE)}
     cut = {f"{k}_{a}": form(F.col(f"y_{a}")).cast("long") for k, form in forms.items() for a in DIMS}
-    sums = scaled.select("g", *[v.alias(k) for k, v in cut.items()]).groupBy("g").agg(
-        F.count("*").alias("n"), *[F.sum(f"plain_{a}").alias(f"t_{a}") for a in DIMS], *[F.sum(F.col(f"{k}_{a}") * F.col(f"{k}_{b}")).alias(f"{k}_{a}_{b}") for k in forms for a, b in _pairs()]
+    sums = scaled.select("g", "c", *[v.alias(k) for k, v in cut.items()]).groupBy("g").agg(
+        F.sum("c").alias("n"), *[F.sum(F.col("c") * F.col(f"plain_{a}")).alias(f"t_{a}") for a in DIMS], *[F.sum(F.col("c") * F.col(f"{k}_{a}") * F.col(f"{k}_{b}")).alias(f"{k}_{a}_{b}") for k in forms for a, b in _pairs()]
     )
     known = _small(sums, "sums")
     each = scales.join(known, "g").withColumn("start", F.explode(F.array(*map(F.lit, range(4)))))
@@ -187,10 +188,10 @@ def _starts(rows: DataFrame) -> DataFrame:
 def _step(rows: DataFrame, stats: DataFrame, share: float, consistency: float) -> DataFrame:
     """A concentration step: mean and covariance of the rows within the `share` quantile of the distance."""
     # distances in 1,024 steps of their logarithm: all rows of a step are in or out together
-    near = rows.join(stats, "g").withColumn("bin", F.least(F.lit(1023), F.floor(F.log1p(_distance()) * 64)).cast("int")).select(*KEYS, "bin", *[f"z_{a}" for a in DIMS])
-    limit = _small(near.groupBy(*KEYS).agg(F.ceil(F.expr(f"percentile(bin, {share})")).alias("limit")), "limit")
+    near = rows.join(stats, "g").withColumn("bin", F.least(F.lit(1023), F.floor(F.log1p(_distance()) * 64)).cast("int")).select(*KEYS, "bin", "c", *[f"z_{a}" for a in DIMS])
+    limit = _small(near.groupBy(*KEYS).agg(F.ceil(F.expr(f"percentile(bin, {share}, c)")).alias("limit")), "limit")
     core = near.join(limit, list(KEYS)).where("bin <= limit")
-    sums = core.groupBy(*KEYS).agg(F.count("*").alias("n"), *[F.sum(f"z_{a}").alias(f"s_{a}") for a in DIMS], *[F.sum(F.col(f"z_{a}") * F.col(f"z_{b}")).alias(f"p_{a}_{b}") for a, b in _pairs()])
+    sums = core.groupBy(*KEYS).agg(F.sum("c").alias("n"), *[F.sum(F.col("c") * F.col(f"z_{a}")).alias(f"s_{a}") for a in DIMS], *[F.sum(F.col("c") * F.col(f"z_{a}") * F.col(f"z_{b}")).alias(f"p_{a}_{b}") for a, b in _pairs()])
     mean = sums.withColumns({f"m_{a}": F.col(f"s_{a}") / F.col("n") / SCALE for a in DIMS})
     cov = {(a, b): consistency * (F.col(f"p_{a}_{b}") / F.col("n") / SCALE / SCALE - F.col(f"m_{a}") * F.col(f"m_{b}")) + (FLOOR[a] ** 2 if a == b else 0.0) for a, b in _pairs()}
     return _with_factor(mean, cov)
@@ -207,6 +208,8 @@ def robust_estimates(rows: DataFrame, share: float = 0.5, most_steps: int = 20)
 
     Each of four starts makes two concentration steps; the two of least determinant go on until no
     determinant gets smaller (or for `most_steps`), and the least of all remains."""
+    zs = [f"z_{a}" for a in DIMS]
+    rows = written(rows.groupBy("g", *zs).agg(F.count("*").alias("c")), "vectors")
     stats = _small(_starts(rows), "mcd")
     for _ in range(2):
         stats = _small(_step(rows, stats, share, CONSISTENCY[share]), "mcd")
@@ -224,7 +227,19 @@ def robust_estimates(rows: DataFrame, share: float = 0.5, most_steps: int = 20)
     return _small(_least(stats, 1).drop("start"), "mcd")
 
 
-def quality_rules(df: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source", min_group: int = 200, share: float = 0.5, most_steps: int = 20, cutoff: float = CUTOFF, keep_text: bool = True) -> DataFrame:
+def _drawn(est: DataFrame, sizes: DataFrame, to: DataFrame, prior: int) -> DataFrame:
+    """Estimates drawn towards others. est and to: g, m_* and l_*_*; sizes: g, parent (a g of `to`) and n."""
+    factor = lambda a, b: F.col(f"l_{a}_{b}")
+    up_to = lambda a: DIMS[: DIMS.index(a) + 1]
+    cov = {(a, b): sum((factor(a, k) * factor(b, k) for k in up_to(a)), F.lit(0.0)) for a, b in _pairs()}
+    parents = to.select(F.col("g").alias("parent"), *[F.col(f"m_{a}").alias(f"pm_{a}") for a in DIMS], *[v.alias(f"p_{a}_{b}") for (a, b), v in cov.items()])
+    both = est.join(_small(sizes, "sizes"), "g").join(_small(parents, "parents"), "parent").withColumn("own", F.col("n") / (F.col("n") + prior))
+    mixed = lambda x, y: F.col("own") * x + (1 - F.col("own")) * y
+    both = both.select("g", F.lit(0).alias("start"), *[mixed(F.col(f"m_{a}"), F.col(f"pm_{a}")).alias(f"m_{a}") for a in DIMS], *[mixed(v, F.col(f"p_{a}_{b}")).alias(f"c_{a}_{b}") for (a, b), v in cov.items()])
+    return _small(_with_factor(both, {k: F.col(f"c_{k[0]}_{k[1]}") for k in cov}).drop("start"), "drawn")
+
+
+def quality_rules(df: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source", prior: int = 20, share: float = 0.5, most_steps: int = 20, cutoff: float = CUTOFF, keep_text: bool = True) -> DataFrame:
     """df with the statistics, base_failed, distance (squared) and kept; columns of these names are
     replaced, others stay, whatever their names. keep_text=False leaves the text out.
 
@@ -233,7 +248,7 @@ def quality_rules(df: DataFrame, text_col: str = "text", lang_col: str = "lang",
     are groups of their own. Empty tables give no rows; equal rows get equal verdicts.
     """
     name = lambda *cols: F.concat_ws("|", *[F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("null")) for c in cols])
-    own = [c for c in df.columns if c not in MADE and (keep_text or c != text_col)]
+    own = others(df, *MADE, *([] if keep_text else [text_col]))
     # the caller's columns travel in one column, so that none meets a working name
     rows = df.select(F.struct(*own).alias("row"), F.col(text_col).alias("text"), name(lang_col).alias("lang"), name(lang_col, source_col).alias("pair"))
     stats = text_statistics(rows).withColumn("hash", F.xxhash64("text")).drop("text")
@@ -241,20 +256,25 @@ def quality_rules(df: DataFrame, text_col: str = "text", lang_col: str = "lang",
     # the statistics are the costly part: they are computed once
     stats = written(stats, "quality")
     zs = [f"z_{a}" for a in DIMS]
-    levels = stats.where(~F.col("base_failed")).select(F.explode(F.array(F.concat(F.lit("pair "), "pair"), F.concat(F.lit("lang "), "lang"), F.lit("all"))).alias("g"), "hash", *zs)
-    levels = written(levels.distinct().drop("hash"), "levels")
-    enough = _small(levels.groupBy("g").agg(F.count("*").alias("rows")).where((F.col("rows") >= min_group) | (F.col("g") == "all")).select("g"), "groups")
-    est = robust_estimates(levels.join(enough, "g"), share, most_steps)
+    good = stats.where(~F.col("base_failed"))
+    named = lambda level, key: F.concat(F.lit(f"{level} "), key)
+    levels = good.select(F.explode(F.array(F.struct(named("pair", F.col("pair")).alias("g"), named("lang", F.col("lang")).alias("parent")), F.struct(named("lang", F.col("lang")).alias("g"), F.lit("all").alias("parent")), F.struct(F.lit("all").alias("g"), F.lit(None).cast("string").alias("parent")))).alias("x"), "hash", *zs)
+    levels = written(levels.select("x.*", "hash", *zs).distinct().drop("hash"), "levels")
+    sizes = written(levels.groupBy("g", "parent").agg(F.count("*").alias("n")), "sizes")
+    est = robust_estimates(levels.select("g", *zs), share, most_steps)
+    of = lambda level: est.where(F.col("g").startswith(level))
+    all_ = of("all")
+    langs = _drawn(of("lang "), sizes.where("g like 'lang %'"), all_, prior)
+    pairs = _drawn(of("pair "), sizes.where("g like 'pair %'"), langs, prior)
+    est = _small(pairs.unionByName(langs).unionByName(all_.select(*pairs.columns)), "estimates")
     return _judged(stats, est, cutoff).select(*[F.col("row").getField(c).alias(c) for c in own], *MADE)
 
 
 def _judged(stats: DataFrame, est: DataFrame, cutoff: float) -> DataFrame:
-    """Each row by the estimate of the narrowest of its groups that has one."""
+    """Each row by the estimate of its language and source; a row that failed the base may lack one."""
     values = [c for c in est.columns if c != "g"]
-    for level, key in (("p", F.concat(F.lit("pair "), "pair")), ("l", F.concat(F.lit("lang "), "lang")), ("a", F.lit("all"))):
-        side = est.select(F.col("g").alias(f"g{level}"), F.struct(*values).alias(f"e{level}"))
-        stats = stats.withColumn("key", key).join(side, F.col("key") == F.col(f"g{level}"), "left").drop("key", f"g{level}")
-    stats = stats.withColumn("e", F.coalesce("ep", "el", "ea"))
+    side = est.select(F.col("g").alias("of"), F.struct(*values).alias("e"))
+    stats = stats.join(side, F.concat(F.lit("pair "), "pair") == F.col("of"), "left").drop("of")
     out = stats.withColumns({c: F.col(f"e.{c}") for c in values}).withColumn("distance", _distance())
     return out.withColumn("kept", ~F.col("base_failed") & (F.coalesce("distance", F.lit(0.0)) <= cutoff))
 

@@ -79,10 +79,22 @@ def test_outlier_is_rejected_whatever_its_group(spark):
     plain = [(i, " ".join(word() for _ in range(100)), rng.choice(["en", None]), rng.choice(["a", "b", None])) for i in range(300)]
     junk = [(1000 + i, " ".join(word() + "###" for _ in range(100)), lang, src) for i, (lang, src) in enumerate([("en", "a"), (None, None), ("xx", "zz")])]
     df = spark.createDataFrame(plain + junk, "doc_id long, text string, lang string, source string")
-    kept = {r["doc_id"]: r["kept"] for r in Q.quality_rules(df, min_group=50).collect()}
+    kept = {r["doc_id"]: r["kept"] for r in Q.quality_rules(df).collect()}
     assert all(kept[i] for i in range(300)) and not any(kept[1000 + i] for i in range(3))
 
 
+def test_a_source_s_own_estimate_counts_at_any_size(spark):
+    """Long words are normal in one source and odd in another of the same language, however few texts there are."""
+    rng = random.Random(7)
+    word = lambda n: "".join(rng.choice("abcdefghij") for _ in range(rng.randrange(n, n + 3)))
+    text = lambda n: " ".join(word(n) for _ in range(80))
+    rows = [(f"short {i}", text(4), "en", "short") for i in range(12)] + [(f"long {i}", text(13), "en", "long") for i in range(12)]
+    rows += [(f"other {i}", text(4), "en", f"s{i % 5}") for i in range(60)] + [("odd", text(13), "en", "short")]
+    df = spark.createDataFrame(rows, "doc_id string, text string, lang string, source string")
+    far = {r["doc_id"]: r["distance"] for r in Q.quality_rules(df).collect()}
+    assert max(far[f"long {i}"] for i in range(12)) < 0.7 * far["odd"] and max(far[f"short {i}"] for i in range(12)) < 2
+
+
 def test_edges(spark):
     df = spark.createDataFrame([(1, None, None, None, 5), (1, None, None, None, 5)], "doc_id long, text string, lang string, source string, kept int")
     assert [(r["n_words"], r["base_failed"], r["kept"]) for r in Q.quality_rules(df).collect()] == [(0, True, False)] * 2
