@@ -5,17 +5,16 @@ with probability t - floor(t). The extra copies are drawn by balanced sampling:
 inclusion probabilities moves through the null space of the constraints (total words and number of
 documents), each move settling a document as in or out, until only as many documents as constraints
 are left. Constraints add up, so blocks of a source's documents are settled side by side and only the
-few left of each block go on to the next round; the last handful of a source lands on the combination
-nearest to its remaining words. Blocks are of bounded size, so a source that holds a third of all rows
+few left of each block, and some that were held back, go on to the next round. The landing of a source decides what its last flight
+has left together with up to LANDING documents of all sizes: of all their combinations the one nearest to the source's words, and
+then to its documents. Blocks are of bounded size, so a source that holds a third of all rows
 is many blocks. Random moves come from a hash of the block and the seed: reruns agree.
 """
 
 from __future__ import annotations
 
 import functools
-import itertools
 from collections.abc import Callable
-from fractions import Fraction
 
 import numpy as np
 import pandas as pd
@@ -23,32 +22,15 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from noticeworks.llm.shared import words, written
+from noticeworks.llm.shared import others, words, written
 
 #: Weights of the sources by code point, null last; they repeat.
 WEIGHTS = (5, 2, 1)
 #: A source is taken at most so many times.
 MOST = 3
 EDGE = 1e-9
-
-
-def water_fill(sizes: list[int], weights: list[float], total: int, most: int = MOST) -> list[Fraction]:
-    """Targets that share `total` by weight but stop at `most` times the size, the excess reshared by weight."""
-    limits = [Fraction(most * s) for s in sizes]
-    targets, free, rest = [Fraction(0)] * len(sizes), set(range(len(sizes))), Fraction(total)
-    while free:
-        whole = sum(Fraction(weights[i]) for i in free)
-        share = {i: rest * Fraction(weights[i]) / whole for i in free}
-        over = [i for i in free if share[i] > limits[i]]
-        if not over:
-            for i in free:
-                targets[i] = share[i]
-            break
-        for i in over:
-            targets[i] = limits[i]
-            rest -= limits[i]
-            free.discard(i)
-    return targets
+#: Documents that a landing decides together (all combinations are tried), and how many of a block, of all sizes, are held back for it.
+LANDING, HELD_BACK = 16, 8
 
 
 def _flight(pi: np.ndarray, size: np.ndarray, rng: np.random.Generator) -> np.ndarray:
@@ -75,34 +57,54 @@ def _flight(pi: np.ndarray, size: np.ndarray, rng: np.random.Generator) -> np.nd
     return pi
 
 
-def _land(pi: np.ndarray, size: np.ndarray, owed: float) -> np.ndarray:
-    """In or out for the last few, nearest to the words owed; the first such combination."""
-    free = np.flatnonzero((pi > EDGE) & (pi < 1 - EDGE))
-    best = min(itertools.product((0, 1), repeat=len(free)), key=lambda x: abs(float(np.dot(x, size[free])) - owed))
+def _spread(size: np.ndarray, among: np.ndarray, n: int) -> np.ndarray:
+    """Up to n of the positions `among`, evenly through their sizes from the smallest on."""
+    ordered = among[np.argsort(size[among], kind="stable")]
+    return ordered[np.unique(np.linspace(0, len(ordered) - 1, min(n, len(ordered))).round().astype(int))] if len(ordered) else ordered
+
+
+def _land(pi: np.ndarray, size: np.ndarray, words: float, docs: float) -> np.ndarray:
+    """All settled, as near as may be to so many words (within a thousandth all are as near) and then to so many documents.
+    What is open and, up to LANDING in all, settled documents of all sizes are decided anew; the first best combination counts."""
+    open_ = np.flatnonzero((pi > EDGE) & (pi < 1 - EDGE))
+    settled = np.setdiff1d(np.arange(len(pi)), open_)
+    free = np.concatenate([open_, _spread(size, settled, max(0, LANDING - len(open_)))]).astype(int)
     out = np.round(pi)
-    out[free] = best
+    out[free] = 0
+    sums, counts = np.array([float(out @ size)]), np.array([out.sum()])
+    for i in free:
+        sums, counts = np.concatenate([sums, sums + size[i]]), np.concatenate([counts, counts + 1])
+    away = np.abs(sums - words)
+    best = np.lexsort((away, np.abs(counts - docs), np.floor(away / max(0.5, words / 1000))))[0]
+    out[free] = int(best) >> np.arange(len(free)) & 1
     return out
 
 
-def _settle(rows: pd.DataFrame, seed: int, last: bool) -> pd.DataFrame:
-    rows = rows.sort_values(["h", "h2"], kind="stable").reset_index(drop=True)
+def _settle(rows: pd.DataFrame, seed: int) -> pd.DataFrame:
+    """A block after its flight, large documents first; a source of one block lands."""
+    rows = rows.sort_values(["size", "h", "h2"], ascending=[False, True, True], kind="stable").reset_index(drop=True)
     rng = np.random.default_rng(xxhash.xxh3_64_intdigest(f"{seed} {rows['source_no'][0]} {rows['block'][0]} {len(rows)} {rows['h'][0]}".encode()))
-    size = rows["size"].to_numpy(float)
-    pi = _flight(rows["pi"].to_numpy(), size, rng)
-    if last:
-        free = (pi > EDGE) & (pi < 1 - EDGE)
-        pi = _land(pi, size, float(np.dot(pi[free], size[free])))
-    return rows.assign(pi=pi)
-
-
-def _settler(seed: int, last: bool) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    size, pi = rows["size"].to_numpy(float), rows["pi"].to_numpy()
+    if rows["blocks"][0] > 1:
+        back = _spread(size, np.arange(len(pi)), HELD_BACK)
+        moved = np.ones(len(pi), bool)
+        moved[back] = False
+        now = pi.copy()
+        now[moved] = _flight(pi[moved], size[moved], rng)
+        return rows.assign(pi=now)
+    now = _flight(pi, size, rng)
+    # more than a landing decides are only open where a flight could do nothing with them
+    return rows.assign(pi=_land(now, size, float(pi @ size), float(pi.sum())))
+
+
+def _settler(seed: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
     def settle(rows: pd.DataFrame) -> pd.DataFrame:
-        return _settle(rows, seed, last)
+        return _settle(rows, seed)
 
     return settle
 
 
-UNIT = "source_no int, h long, h2 long, size double, pi double, block int"
+UNIT = "source_no int, h long, h2 long, size double, pi double, block int, blocks int"
 
 
 def cube_sample(units: DataFrame, seed: int = 1, block_rows: int = 20_000) -> DataFrame:
@@ -112,12 +114,13 @@ def cube_sample(units: DataFrame, seed: int = 1, block_rows: int = 20_000) -> Da
         per = now.groupBy("source_no").agg(F.ceil(F.count("*") / block_rows).cast("int").alias("blocks"))
         last = (per.agg(F.max("blocks")).first()[0] or 0) <= 1
         block = F.pmod(F.xxhash64("h", F.lit(round_)), F.col("blocks")).cast("int")
-        blocked = now.join(_bounded(per), "source_no").select("source_no", "h", "h2", "size", "pi", block.alias("block"))
-        moved = blocked.groupBy("source_no", "block").applyInPandas(_settler(seed + round_, last), UNIT)
+        blocked = now.drop("block", "blocks").join(_bounded(per), "source_no").select("source_no", "h", "h2", "size", "pi", block.alias("block"), "blocks")
+        moved = blocked.groupBy("source_no", "block").applyInPandas(_settler(seed + round_), UNIT)
         if last:
             return functools.reduce(DataFrame.unionByName, [*done, moved])
         moved = written(moved, "cube")
-        open_ = (F.col("pi") > EDGE) & (F.col("pi") < 1 - EDGE)
+        # a source of one block has landed
+        open_ = (F.col("blocks") > 1) & (F.col("pi") > EDGE) & (F.col("pi") < 1 - EDGE)
         done.append(moved.where(~open_))
         now, round_ = moved.where(open_), round_ + 1
 
@@ -132,7 +135,7 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     all are taken equally often. An empty table gives no rows. There may be any number of sources.
     """
     made = ("size", "source_size", "target", "times")
-    own = [c for c in docs.columns if c not in made and (keep_text or c != text_col)]
+    own = others(docs, *made, *([] if keep_text else [text_col]))
     # the caller's columns travel in one column, so that none meets a working name
     hashes = F.xxhash64(F.col(id_col), F.col(text_col), F.col(source_col), F.lit(seed)).alias("h"), F.xxhash64(F.col(id_col), F.lit(seed)).alias("h2")
     sized = docs.select(F.struct(*own).alias("row"), F.size(words(F.col(text_col))).cast("long").alias("size"), F.col(source_col).alias("s"), *hashes)
@@ -162,7 +165,7 @@ def _bounded(table: DataFrame) -> DataFrame:
 def plan_sources(units: DataFrame, weights: tuple, most: int, share: float) -> DataFrame:
     """source, no (its place by code point, null last), n (its size), target and ratio (target / size); one row for each source.
 
-    Targets are level * weight, at most `most` times the size: what water_fill() gives. The level is found by sums over
+    Targets are level * weight, at most `most` times the size: what filling up by weight gives. The level is found by sums over
     all sources: those above their limit are set to it and the rest is shared anew, until none is above."""
     per = units.groupBy(F.col("s").alias("source")).agg(F.sum("size").alias("n"))
     ordered = written(per.orderBy(F.col("source").isNull(), "source").withColumn("p", F.spark_partition_id()), "sources")
