@@ -57,6 +57,17 @@ TEXTS = {
     "version-2.1": ["either version 2.1 of the License, or (at your option) any later version."],
     "version-3": ["either version 3 of the License, or (at your option) any later version."],
     "mpl-2": ["This Source Code Form is subject to the terms of the Mozilla Public License, v"],
+    # sentences of the licences themselves
+    "apache-2-text": ["\"License\" shall mean the terms and conditions for use, reproduction, and distribution as defined by Sections 1 through 9 of this document."],
+    "gpl-2-text": ["The licenses for most software are designed to take away your freedom to share and change it."],
+    "gpl-3-text": ["The GNU General Public License is a free, copyleft license for software and other kinds of works."],
+    "agpl-3-text": ["The GNU Affero General Public License is a free, copyleft license for software and other kinds of works, specifically designed to ensure cooperation with the community in the case of network server software."],
+    "lgpl-3-text": ["This version of the GNU Lesser General Public License incorporates the terms and conditions of version 3 of the GNU General Public License, supplemented by the additional permissions listed below."],
+    "mpl-2-text": ["\"Contributor\" means each individual or legal entity that creates, contributes to the creation of, or owns Covered Software."],
+    "unlicense-text": ["This is free and unencumbered software released into the public domain."],
+    # disclaimers, which several licences share
+    "mit-disclaimer": ["THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT."],
+    "bsd-disclaimer": [f"THIS SOFTWARE IS PROVIDED BY THE {who} \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED." for who in ("COPYRIGHT HOLDERS AND CONTRIBUTORS", "AUTHOR AND CONTRIBUTORS", "AUTHOR", "REGENTS AND CONTRIBUTORS")],
 }
 #: What grants under a version 3 of the GNU licences, in one sentence.
 GNU_3 = "This program is free software: you can redistribute it and/or modify it under the terms of the GNU {} as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."
@@ -76,6 +87,14 @@ NAMES = {
     "cc-0": ["CC0 1.0", "CC0 1.0 Universal"],
 }
 CC = {"cc-by-4": ("BY", "Attribution"), "cc-by-sa-4": ("BY-SA", "Attribution-ShareAlike"), "cc-by-nc-4": ("BY-NC", "Attribution-NonCommercial"), "cc-by-nd-4": ("BY-ND", "Attribution-NoDerivatives"), "cc-by-nc-sa-4": ("BY-NC-SA", "Attribution-NonCommercial-ShareAlike"), "cc-by-nc-nd-4": ("BY-NC-ND", "Attribution-NonCommercial-NoDerivatives")}
+#: Licences by their SPDX identifiers, and how short names stand in statements such as "This code is MIT licensed".
+SPDX = {
+    "mit-release": ["MIT"], "isc-release": ["ISC"], "apache-2": ["Apache-2.0"], "gpl-2": ["GPL-2.0", "GPL-2.0-only", "GPL-2.0-or-later"], "gpl-3": ["GPL-3.0", "GPL-3.0-only", "GPL-3.0-or-later"],
+    "lgpl-3": ["LGPL-3.0", "LGPL-3.0-only", "LGPL-3.0-or-later"], "agpl-3": ["AGPL-3.0", "AGPL-3.0-only", "AGPL-3.0-or-later"], "mpl-2": ["MPL-2.0"], "bsd-2-release": ["BSD-2-Clause"], "bsd-3-release": ["BSD-3-Clause"],
+    "cc-0": ["CC0-1.0"], "unlicense-text": ["Unlicense"],
+}
+SHORT = {"mit-release": "MIT", "isc-release": "ISC", "apache-2": "Apache 2.0", "gpl-2": "GPLv2", "gpl-3": "GPLv3", "lgpl-3": "LGPLv3", "agpl-3": "AGPLv3", "mpl-2": "MPL 2.0"}
+SUBJECTS = ["this code is", "this project is", "this software is", "this library is", "the code is"]
 BEGINNINGS = ["licensed under", "released under", "distributed under", "this work is licensed under", "this project is licensed under", "this software is released under"]
 #: Ordered rules; (licence, the identifiers in order).
 RULES = [
@@ -104,8 +123,17 @@ RULES = [
     ("CC-BY-NC-ND-4.0", ["cc-by-nc-nd-4"]),
     ("CC0-1.0", ["cc-0"]),
     ("MPL-2.0", ["mpl-2"]),
+    ("Apache-2.0", ["apache-2-text"]),
+    ("GPL-2.0", ["gpl-2-text"]),
+    ("GPL-3.0", ["gpl-3-text"]),
+    ("AGPL-3.0", ["agpl-3-text"]),
+    ("LGPL-3.0", ["lgpl-3-text"]),
+    ("MPL-2.0", ["mpl-2-text"]),
+    ("Unlicense", ["unlicense-text"]),
     ("Proprietary", ["reserved"]),
 ]
+#: Licences that are none beside another: "All rights reserved" stands in many open licences' copyright lines.
+ALONE = ("Proprietary",)
 #: A word of a sentence; a list mark before a line; a sentence's end; a line without a letter or digit; what separates sentences then.
 WORD, MARK, END, BLANK, CUT = "[a-z0-9]+(?:[.+-]+[a-z0-9]+)*", r"^[^A-Za-z0-9]*[0-9A-Za-z]{1,2}\)\s*", r"[.!?;]+(\s|$)", r"\n[^A-Za-z0-9\n\x01]*\n", "\x01"
 
@@ -121,7 +149,9 @@ def known_sentences() -> dict[str, str]:
     names = {k: list(v) for k, v in NAMES.items()}
     for k, (short, long) in CC.items():
         names[k] = [f"CC {short} 4.0", f"CC-{short}-4.0", *(f"{a} Creative Commons {long} 4.0 International{b}" for a in ("a", "the") for b in (" License", " Public License"))]
-    return out | {normal(f"{b} {n}"): k for k, found in names.items() for n in found for b in BEGINNINGS}
+    out |= {normal(f"{b} {n}"): k for k, found in names.items() for n in found for b in BEGINNINGS}
+    out |= {normal(f"SPDX-License-Identifier: {n}"): k for k, found in (SPDX | {k: [f"CC-{short}-4.0"] for k, (short, _) in CC.items()}).items() for n in found}
+    return out | {normal(f"{b} {n} licensed"): k for k, n in SHORT.items() for b in SUBJECTS}
 
 
 SENTENCES = known_sentences()
@@ -148,9 +178,9 @@ def known_ids(text: Column, known: dict[str, str]) -> Column:
 
 def scan_licenses(df: DataFrame, text_col: str = "text", sentences: dict[str, str] | None = None, rules: list[tuple[str, list[str]]] | None = None) -> DataFrame:
     """df with sentence_ids (array: the known sentences in order), licenses (array: one entry for each rule
-    matched, longest rules first, then in the order of `rules`, without repeats), license (the first, or
-    null) and n_licenses. Columns of these names are replaced, others stay. `sentences` are normalised as
-    normal() does. Null, empty and plain texts have empty arrays."""
+    matched, longest rules first, then in the order of `rules`, without repeats; those of ALONE only where there is no other), license
+    (the first, or null) and n_licenses. Columns of these names are replaced, others stay. `sentences` are normalised as
+    normal() does. Null, empty and plain texts have empty arrays; repeated rows are scanned alike; an empty table gives no rows."""
     known, rules = sentences or SENTENCES, rules or RULES
     sequence = F.concat(F.lit("|"), F.array_join("sentence_ids", "|"), F.lit("|"))
     ordered = sorted(rules, key=lambda r: -len(r[1]))
@@ -163,6 +193,8 @@ def scan_licenses(df: DataFrame, text_col: str = "text", sentences: dict[str, st
     covered = lambda k: [fits(r) for _, r in ordered[:k] if len(r) > len(ordered[k][1]) and set(ordered[k][1]) <= set(r)]
     one = [F.when(reduce(lambda a, b: a & ~b, covered(k), fits(rule)), F.lit(name)) for k, (name, rule) in enumerate(ordered)]
     out = df.withColumn("sentence_ids", known_ids(F.col(text_col), known)).withColumn("licenses", F.array_distinct(F.array_compact(F.array(*one))))
+    others = F.filter("licenses", lambda x: ~x.isin(*ALONE))
+    out = out.withColumn("licenses", F.when(F.size(others) > 0, others).otherwise(F.col("licenses")))
     return out.withColumns({"license": F.get("licenses", F.lit(0)), "n_licenses": F.size("licenses").cast("long")})
 
 
@@ -202,7 +234,7 @@ cut as (
 ), named as (
     select doc_id, ids, list_filter([{', '.join(_tests)}], lambda x: x is not null) as ls from seqs
 ), once as (
-    select doc_id, ids, list_filter(ls, lambda x, i: list_position(ls, x) = i) as ls from named
+    select doc_id, ids, list_filter(ls, lambda x, i: list_position(ls, x) = i and (x not in ({', '.join(f"'{x}'" for x in ALONE)}) or len(list_filter(ls, lambda y: y not in ({', '.join(f"'{x}'" for x in ALONE)}))) = 0)) as ls from named
 )
 select doc_id, ids as sentence_ids, array_to_string(ls, '|') as licenses, ls[1] as license, cast(len(ls) as bigint) as n_licenses from once
 """

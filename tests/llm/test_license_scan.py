@@ -74,7 +74,8 @@ def brute(text):
 
     hits = [(n, r) for n, r in sorted(L.RULES, key=lambda r: -len(r[1])) if follows(r)]
     kept = [n for n, r in hits if not any(len(q) > len(r) and set(r) <= set(q) for _, q in hits)]
-    return found, list(dict.fromkeys(kept))
+    kept = list(dict.fromkeys(kept))
+    return found, [n for n in kept if n != "Proprietary"] or kept
 
 
 def test_against_brute_force(spark):
@@ -91,6 +92,21 @@ def test_real_licence_texts_are_recognised(spark):
         assert r["license"] == r["name"] and r["n_licenses"] == 1, (r["doc_id"] % len(FORMS), r["name"], r["sentence_ids"])
 
 
+def test_files_as_they_are_found(spark):
+    """What people's files hold, written out here apart from the operator's tables."""
+    bsd = 'Copyright (c) 2019, Some Body\nAll rights reserved.\n\n' + BSD_2 + '\nTHIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES ARE DISCLAIMED.'
+    apache = '                                 Apache License\n                           Version 2.0, January 2004\n\n   TERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION\n\n   1. Definitions.\n\n      "License" shall mean the terms and conditions for use, reproduction,\n      and distribution as defined by Sections 1 through 9 of this document.\n'
+    gpl = "                    GNU GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007\n\n  The GNU General Public License is a free, copyleft license for\nsoftware and other kinds of works.\n"
+    want = [
+        (bsd, ["BSD-2-Clause"]), (apache, ["Apache-2.0"]), (gpl, ["GPL-3.0"]), ("// SPDX-License-Identifier: Apache-2.0\nint main;", ["Apache-2.0"]), ("# SPDX-License-Identifier: GPL-2.0-or-later", ["GPL-2.0"]),
+        ("Notes.\nThis code is MIT licensed.\nMore.", ["MIT"]), ("All rights reserved.", ["Proprietary"]), ("We reserve all rights to change this.", []), ("SPDX-License-Identifier: CC-BY-SA-4.0", ["CC-BY-SA-4.0"]),
+        ("This is free and unencumbered software released into the public domain.", ["Unlicense"]), (wrapped(apache, "// "), ["Apache-2.0"]),
+    ]
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(want)], "doc_id long, text string")
+    got = {r["doc_id"]: r["licenses"] for r in L.scan_licenses(df).collect()}
+    assert [got[i] for i in range(len(want))] == [names for _, names in want]
+
+
 def test_callers_table_and_working_names(spark):
     df = spark.createDataFrame([(1, "Use \"as\" is. x", 2)], "doc_id long, text string, known int")
     got = L.scan_licenses(df, sentences={"use as is": "it's \"so\""}, rules=[("Own", ["it's \"so\""])]).first()
