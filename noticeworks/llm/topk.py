@@ -32,7 +32,7 @@ def quantised(vector: Column, scale: int = 1024) -> Column:
 
 def _unit(queries: pd.DataFrame, candidates: pd.DataFrame, k: int) -> pd.DataFrame:
     """The k best of the candidates, and all that tie with the k-th, for each query."""
-    empty = pd.DataFrame({"query_id": [], "vec_id": [], "score": []}, dtype="int64")
+    empty = pd.DataFrame({"query_id": [], "q": [], "vec_id": [], "score": []}, dtype="int64")
     if not len(queries) or not len(candidates):
         return empty
     ids = candidates["id"].to_numpy(np.int64)
@@ -47,7 +47,7 @@ def _unit(queries: pd.DataFrame, candidates: pd.DataFrame, k: int) -> pd.DataFra
     starts = np.searchsorted(term, np.arange((term[-1] if len(term) else 0) + 2))
     most = np.bincount(doc, np.abs(weight), len(sizes)).max(initial=0)
     out = []
-    for q_id, q_row, q in zip(queries["id"], queries["row"], queries["v"], strict=True):
+    for q_id, mark, q_row, q in zip(queries["id"], queries["q"], queries["row"], queries["v"], strict=True):
         q = np.asarray(q)
         exact = most * np.abs(q).max(initial=0) < EXACT
         scores = np.zeros(len(ids), np.float64 if exact else object)
@@ -66,8 +66,8 @@ def _unit(queries: pd.DataFrame, candidates: pd.DataFrame, k: int) -> pd.DataFra
             if len(ties) > k:
                 ties = ties[np.argpartition(ids[ties], k - 1)[:k]]
             others = np.concatenate([sure, ties])
-        out.append((np.full(len(others), q_id), ids[others], scores[others]))
-    return pd.DataFrame({n: np.concatenate(c) for n, c in zip(("query_id", "vec_id", "score"), zip(*out, strict=True), strict=True)})
+        out.append((np.full(len(others), q_id), np.full(len(others), mark), ids[others], scores[others]))
+    return pd.DataFrame({n: np.concatenate(c) for n, c in zip(("query_id", "q", "vec_id", "score"), zip(*out, strict=True), strict=True)})
 
 
 def top_k(queries: DataFrame, candidates: DataFrame, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding", scale: int = 1024, query_block: int = 4096, candidate_block: int = 16384) -> DataFrame:
@@ -77,17 +77,18 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = 10, id_col: str =
     Rows with null ids, and vectors that are null or hold null or non-finite components, take no part.
     Vectors may differ in length: missing dimensions are 0. A query row is known among the candidates by its
     id and vector; repeated rows of one id are one another's self. Components and scores beyond a long are held
-    at its ends, and scores held there tie.
+    at its ends, and scores held there tie. Query rows of one id and vector are one query; of one id with other vectors, each has a list
+    of its own. Other columns are ignored; an empty table gives no rows.
     """
     slim = lambda df: df.select(F.col(id_col).cast("long").alias("id"), quantised(F.col(vector_col), scale).alias("v")).where("id is not null and v is not null").withColumn("row", F.col("id"))
-    qs, cs = slim(queries), slim(candidates)
+    qs, cs = slim(queries).distinct().withColumn("q", F.xxhash64("id", "v")), slim(candidates).withColumn("q", F.lit(0).cast("long"))
     n_q, n_c = qs.count(), cs.count()
     q_blocks, c_blocks = max(1, -(-n_q // query_block)), max(1, -(-n_c // candidate_block))
     block = lambda n, seed: F.pmod(F.xxhash64("id", "v", F.lit(seed)), F.lit(n)).cast("int")
     q_units = qs.withColumns({"qb": block(q_blocks, 1), "cb": F.explode(F.sequence(F.lit(0), F.lit(c_blocks - 1)))})
     c_units = cs.withColumns({"cb": block(c_blocks, 2), "qb": F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1)))})
-    lists = q_units.groupBy("qb", "cb").cogroup(c_units.groupBy("qb", "cb")).applyInPandas(lambda q, c: _unit(q, c, k), "query_id long, vec_id long, score long")
-    w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    lists = q_units.groupBy("qb", "cb").cogroup(c_units.groupBy("qb", "cb")).applyInPandas(lambda q, c: _unit(q, c, k), "query_id long, q long, vec_id long, score long")
+    w = Window.partitionBy("query_id", "q").orderBy(F.desc("score"), "vec_id")
     return lists.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 

@@ -99,15 +99,16 @@ def _candidates(host: Column, path: Column, shapes: list[tuple[int, int]]) -> Co
     return F.array_compact(F.array(*made)) if made else F.array().cast("array<struct<h:string,p:string>>")
 
 
-def filter_urls(pages: DataFrame, rules: DataFrame, url_col: str = "url", default: str = "allow", bits_per_key: int = 12, max_filter_bits: int = 1 << 28) -> DataFrame:
+def filter_urls(pages: DataFrame, rules: DataFrame, url_col: str = "url", default: str = "allow", bits_per_key: int = 12, max_filter_bits: int = 1 << 24) -> DataFrame:
     """`pages` with host, path, rule and verdict (columns of these names are replaced; all others stay).
 
     A rule (host, path, verdict) fits its host and all subdomains where the url's path starts with the
     rule's path. The longest rule string wins, then the longer host; a rule listed both as allow and as
     block blocks. A url that fits no listed rule gets `default`. Null rules and null urls fit nothing;
-    repeated rules count once; an empty list or table gives `default` or no rows.
+    repeated rules count once; rules with another verdict than allow or block, or none, fit nothing. An empty list or table gives
+    `default` or no rows. Lists beyond max_filter_bits are joined by shuffle instead, by the same rules.
     """
-    rules = rules.select(ascii_lower(F.col("host")).alias("host"), "path", "verdict").where("host is not null and path is not null")
+    rules = rules.select(ascii_lower(F.col("host")).alias("host"), "path", "verdict").where("host is not null and path is not null and verdict in ('allow', 'block')")
     shapes = [(r.labels, r.size) for r in rules.select(F.size(F.split("host", r"\.", -1)).alias("labels"), F.length("path").alias("size")).distinct().collect()]
     host, path = host_and_path(F.col(url_col))
     clear = pages.drop(*[c for c in pages.columns if c.lower() in ("host", "path", "rule", "verdict") and c != url_col])
