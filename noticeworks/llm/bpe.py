@@ -27,6 +27,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from noticeworks.llm.shared import bundled, others, unbundled
+
 #: Pre-tokens that a task remembers, and the longest of them in characters. Common ones come back at once after
 #: a fresh start, and most of the others are met only once, so more would save little.
 CACHE, CACHED_LENGTH = 200_000, 64
@@ -295,50 +297,51 @@ def read_vocabulary(path: str) -> bytes:
     return data
 
 
-def _mapped(df: DataFrame, keep: list[str], read: str, made: list[str], begin: Callable[[], Callable[[list], list[list[bytes]]]]) -> DataFrame:
-    """df's columns `keep` and the binary columns `made`, which the function that begin() gives each task makes from the values of column `read`."""
+def _mapped(df: DataFrame, read: str, made: list[str], begin: Callable[[], Callable[[list], list[list[bytes]]]], stays: bool = False) -> DataFrame:
+    """df without `read` (unless it is to stay) and with the binary columns `made`, which the function that begin() gives each task makes from the values of
+    column `read`. Columns named as a made one, in any case, are replaced; others stay, whatever their names."""
+    keep = others(df, *made, *([] if stays else [read]))
+    packed = df.select(bundled(df, keep), F.col(read).alias("read"))
+    places = [f"made{k}" for k in range(len(made))]
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = begin()  # a task's own: a worker that waits for the next task holds no memory
         for b in it:
-            for part, values in spans(b, read):
-                arrays = [pa.array(x, pa.binary()) for x in work(values)]
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), *arrays], names=[*keep, *made])
+            for part, values in spans(b, "read"):
+                yield pa.RecordBatch.from_arrays([part.column(0), *[pa.array(x, pa.binary()) for x in work(values)]], names=["row", *places])
 
-    schema = df.select(*keep).withColumns({c: F.lit(b"") for c in made}).schema
-    return df.select(*dict.fromkeys([*keep, read])).mapInArrow(batches, schema)
+    out = packed.mapInArrow(batches, packed.select("row", *[F.lit(b"").alias(c) for c in places]).schema)
+    return out.select(*unbundled(keep), *[F.col(c).alias(name) for c, name in zip(places, made, strict=True)])
 
 
 def encode(df: DataFrame, path: str, pattern: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
     """All columns of df but text_col, with the token ids of the text as packed little-endian unsigned
-    32-bit integers in ids_col (a column of that name is replaced). Null and empty texts have no ids."""
+    32-bit integers in ids_col (a column of that name, in any case, is replaced). Null and empty texts have no ids; repeated rows
+    are encoded alike; an empty table gives no rows."""
     tables = df.sparkSession.sparkContext.broadcast(Tables.of(parse_ranks(read_vocabulary(path))))
-    keep = [c for c in df.columns if c not in (text_col, ids_col)]
 
     def begin():
         encoder = Encoder(tables.value, pattern)
         return lambda texts: [encoder.batch(texts)]
 
-    return _mapped(df, keep, text_col, [ids_col], begin)
+    return _mapped(df, text_col, [ids_col], begin)
 
 
 def decode(df: DataFrame, path: str, ids_col: str = "ids", decoded_col: str = "decoded") -> DataFrame:
     """All columns of df, with the bytes of the packed ids in decoded_col (replaced if it is there).
     Null ids decode to no bytes; an id that the vocabulary lacks is an error."""
     data = df.sparkSession.sparkContext.broadcast(read_vocabulary(path))
-    keep = [c for c in df.columns if c != decoded_col]
 
     def begin():
         decoder = Decoder(parse_ranks(data.value))
         return lambda ids: [list(map(decoder.decode, ids))]
 
-    return _mapped(df, keep, ids_col, [decoded_col], begin)
+    return _mapped(df, ids_col, [decoded_col], begin, stays=True)
 
 
 def round_trip(df: DataFrame, path: str, pattern: str, text_col: str = "text", ids_col: str = "ids", decoded_col: str = "decoded") -> DataFrame:
     """encode() and then decode() of what it gave, in one pass over the texts."""
     tables = df.sparkSession.sparkContext.broadcast(Tables.of(parse_ranks(read_vocabulary(path))))
-    keep = [c for c in df.columns if c not in (text_col, ids_col, decoded_col)]
 
     def begin():
         encoder, decoder = Encoder(tables.value, pattern), Decoder(tables.value.ranks)
@@ -349,7 +352,7 @@ def round_trip(df: DataFrame, path: str, pattern: str, text_col: str = "text", i
 
         return work
 
-    return _mapped(df, keep, text_col, [ids_col, decoded_col], begin)
+    return _mapped(df, text_col, [ids_col, decoded_col], begin)
 
 
 def op4_bpe_round_trip(spark, sf_dir):

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from noticeworks.llm.bpe import spans
-from noticeworks.llm.shared import ascii_lower, unused, written
+from noticeworks.llm.shared import ascii_lower, bundled, others, unbundled, unused, written
 
 #: Element names by their part in a page.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -250,9 +250,9 @@ class Page:
             within.append(within[self.parents[i]] or i in bounds)
         return [a and not b for a, b in zip(within, out, strict=True)]
 
-    def blocks(self, templates: frozenset[int] | set[int] = frozenset()) -> list[str]:
-        """The blocks of main text: character references decoded, white space runs one space."""
-        kept, out, part = self.kept(templates), [], []
+    def blocks(self, templates: frozenset[int] | set[int] | None = frozenset()) -> list[str]:
+        """The blocks of main text: character references decoded, white space runs one space. templates None: all blocks, by no rule."""
+        kept, out, part = [True] * len(self.tags) if templates is None else self.kept(templates), [], []
         for element, text in [*self.runs, (0, None)]:
             if text is None:
                 if part:
@@ -275,7 +275,7 @@ def signatures(pages: DataFrame, html_col: str, host: Column) -> DataFrame:
             texts, blocks, found = [], [], []
             for source in sources:
                 page = Page(source or "")
-                own = page.blocks()
+                own = page.blocks(None)  # no word list has a say in what is counted
                 texts.append(digest("\n".join(own)))
                 blocks.append([digest(x) for x in dict.fromkeys(sorted(own, key=len, reverse=True))])
                 found.append(sorted({page.hashes[i] for i in page.candidates()}))
@@ -326,9 +326,8 @@ def extract_text(pages: DataFrame, html_col: str = "html", url_col: str = "url",
     is cut from long pages. Other columns stay, whatever their names. An empty table gives no rows.
     """
     host = ascii_lower(F.regexp_extract(F.coalesce(F.col(url_col), F.lit("")), r"^[^:/?#]*://([^/?#]*)", 1))
-    keep = [c for c in pages.columns if c not in (html_col, text_col)]
-    source, key, known = (unused(pages, x) for x in ("html", "host", "templates"))
-    ready = pages.select(*keep, F.col(html_col).alias(source), host.alias(key))
+    keep, source, key, known = others(pages, html_col, text_col), "html", "host", "templates"
+    ready = pages.select(bundled(pages, keep), F.col(html_col).alias(source), host.alias(key))
     if by_templates:
         templates = site_templates(pages, html_col, host, min_contents, min_share)
         ready = _with_host_array(ready, key, templates, "subtree", known)
@@ -338,9 +337,10 @@ def extract_text(pages: DataFrame, html_col: str = "html", url_col: str = "url",
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, sources in (x for b in it for x in spans(b, source)):
             texts = [" ".join(Page(page or "").blocks(set(found or ()))) for page, found in zip(sources, part.column(known).to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), pa.array(texts, pa.string())], names=[*keep, text_col])
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(texts, pa.string())], names=["row", "text"])
 
-    return ready.select(*keep, source, known).mapInArrow(run, pages.select(*keep).withColumn(text_col, F.lit("")).schema)
+    out = ready.select("row", source, known).mapInArrow(run, ready.select("row", F.lit("").alias("text")).schema)
+    return out.select(*unbundled(keep), F.col("text").alias(text_col))
 
 
 def op7_html_extraction(spark, sf_dir):

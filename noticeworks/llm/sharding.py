@@ -24,7 +24,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
-from noticeworks.llm.shared import written
+from noticeworks.llm.shared import others, written
 
 #: Bits of the key: coordinate, CRC-32, id hash; and of one histogram.
 DIM_BITS, CRC_BITS, ID_BITS, STEP_BITS = 16, 32, 15, 16
@@ -169,7 +169,7 @@ def shard_by_kd_tree(docs: DataFrame, shards: int = 24, id_col: str = "doc_id",
     text = F.coalesce(F.col(text_col), F.lit(""))
     name = lambda c: F.pmod(F.xxhash64(F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("null"))), F.lit(1 << DIM_BITS)).cast("int")
     made = ("size", "text_crc32", "shard", "slot")
-    own = [c for c in docs.columns if c not in made and (keep_text or c != text_col)]
+    own = others(docs, *made, *([] if keep_text else [text_col]))
     # the caller's columns travel in one column, so that none meets a working name
     meta = docs.select(
         F.struct(*own).alias("row"), F.col(id_col).alias("id"), (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("crc"),

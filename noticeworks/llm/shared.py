@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from noticeworks import naming
+from noticeworks.naming import bundled, others, unbundled  # noqa: F401  columns whose names may clash
 from noticeworks.staging import discard  # noqa: F401  deletes such a table
 from noticeworks.staging import staged as written  # noqa: F401  a table in the shared folder
 
@@ -22,24 +24,6 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def others(df: DataFrame, *made: str) -> list[str]:
-    """df's columns whose names differ from all of `made` in more than case (Spark's names know no case)."""
-    taken = {c.lower() for c in made}
-    return [c for c in df.columns if c.lower() not in taken]
-
-
-def bundled(df: DataFrame, columns: list[str]) -> Column:
-    """The columns as one, named row, so that none meets a working name; unbundled() gives them back."""
-    return F.struct(*[F.col(f"`{c}`") for c in columns], F.lit(0).alias("")).alias("row")
-
-
-def unbundled(columns: list[str]) -> list[Column]:
-    return [F.col("row").getField(c).alias(c) for c in columns]
-
-
 def unused(df: DataFrame, name: str) -> str:
-    """A name for a working column that df doesn't have (Spark's names know no case)."""
-    taken, k = {c.lower() for c in df.columns}, 0
-    while (found := f"_{name}{k or ''}").lower() in taken:
-        k += 1
-    return found
+    """A name for a working column that df doesn't have."""
+    return naming.unused(df, name)[0]

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from noticeworks.llm.bpe import CACHE, CACHED_LENGTH, Merger, Pairs, chunks, read_vocabulary, spans
+from noticeworks.llm.shared import bundled, others, unbundled
 
 #: Fixed value: the pattern of the byte-level pre-tokenizer.
 BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -104,9 +105,10 @@ class Counter:
 
 
 def count_tokens(df: DataFrame, path: str, text_col: str = "text", count_col: str = "n_tokens") -> DataFrame:
-    """df with the number of tokens of each text in count_col (a column of that name is replaced).
-    Null and empty texts have none. Special strings inside texts count as one token each."""
-    keep = [c for c in df.columns if c != count_col]
+    """df with the number of tokens of each text in count_col (a column of that name, in any case, is replaced; others stay,
+    whatever their names). Null and empty texts have none. Special strings inside texts count as one token each. Repeated rows are
+    counted alike; an empty table gives no rows."""
+    df, own = df.select(bundled(df, keep := others(df, count_col)), F.col(text_col).alias("text")), ["row", "n"]
     merges = Merges(read_vocabulary(path))
     tables = df.sparkSession.sparkContext.broadcast((merges.byte_ids, merges.pairs, merges.made, merges.specials, merges.whole()))
 
@@ -114,10 +116,10 @@ def count_tokens(df: DataFrame, path: str, text_col: str = "text", count_col: st
         *three, specials, whole = tables.value
         counter = Counter(Merger(*three), specials, whole)
         for b in it:
-            for part, texts in spans(b, text_col):
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), pa.array(counter.batch(texts), pa.int64())], names=[*keep, count_col])
+            for part, texts in spans(b, "text"):
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(counter.batch(texts), pa.int64())], names=own)
 
-    return df.select(*keep).mapInArrow(batches, df.select(*keep).withColumn(count_col, F.lit(0).cast("long")).schema)
+    return df.mapInArrow(batches, df.select("row", F.lit(0).cast("long").alias("n")).schema).select(*unbundled(keep), F.col("n").alias(count_col))
 
 
 def op3_token_counts(spark, sf_dir, limit: int = 1024):
