@@ -58,6 +58,11 @@ def squish(c: Column | str) -> Column:
     return F.trim(F.regexp_replace(text_of(c), r"(?U)\s+", " "))
 
 
+#: What separates words of a phrase, and what a reference to an outside document looks like.
+SEPARATORS = r"[_\-/\\|(),:;.&+]+"
+REFERENCE = r"(?U)(\b[A-Z0-9]+(?:[\-/][A-Z0-9]+){2,}\b)"
+
+
 def fold_arabic(c: Column) -> Column:
     return F.translate(c, ARABIC_FROM, ARABIC_TO)
 
@@ -67,7 +72,7 @@ def norm_match(c: Column | str) -> Column:
     between digit and Latin letter, punctuation to spaces."""
     x = fold_arabic(_beyond_ascii(text_of(c), _nfkd_fold, F.lower))
     x = F.regexp_replace(x, r"(?U)(?<=\d)(?=[A-Za-z])", " ")
-    return squish(F.regexp_replace(x, r"[_\-/\\|(),:;.&+]+", " "))
+    return squish(F.regexp_replace(x, SEPARATORS, " "))
 
 
 def norm_key(c: Column | str) -> Column:
@@ -125,7 +130,7 @@ def title_tokens(c: Column | str) -> Column:
 def external_refs(c: Column | str) -> Column:
     """Distinct references: three or more alphanumeric segments joined by `-` or `/`, with a digit."""
     x = F.upper(_beyond_ascii(text_of(c), _nfkc, lambda v: v))
-    found = F.regexp_extract_all(x, F.lit(r"(?U)(\b[A-Z0-9]+(?:[\-/][A-Z0-9]+){2,}\b)"), F.lit(1))
+    found = F.regexp_extract_all(x, F.lit(REFERENCE), F.lit(1))
     return F.array_distinct(F.filter(found, lambda w: w.rlike("[0-9]")))
 
 

@@ -16,12 +16,12 @@ def one(spark, column, *values, schema="x string"):
 CASCADE = [
     ("ab", "", "", "Review", "bad_title", None),
     ("Redesign of the web site", "", "", "Technology", "tech_title_regex", "web_work"),
-    ("Redesign of web pages and a brochure", "", "", "Technology", "tech_dominant", "web_work"),
-    ("Supply of CCTV software", "", "", "Non-Tech", "nontech_override", "cctv"),
-    ("Ultrasound reporting software", "", "", "Technology", "tech_dominant", "ultrasound reporting software"),
-    ("Database and brochure", "", "", "Review", "title_conflict", "TECH=database | NONTECH=brochure"),
-    ("Cleaning services for offices", "", "", "Non-Tech", "nontech_title_rule", "cleaning services"),
-    ("Renewal of Oracle licenses", "", "", "Technology", "tech_title_rule", "oracle licenses"),
+    ("Redesign of web pages and uniforms", "", "", "Technology", "tech_dominant", "web_work"),
+    ("Smoke detectors with software", "", "", "Non-Tech", "nontech_override", "smoke detectors"),
+    ("Software for catering", "", "", "Technology", "tech_dominant", "software"),
+    ("Databases and uniforms", "", "", "Review", "title_conflict", "TECH=databases | NONTECH=uniforms"),
+    ("Cleaning services for offices", "", "", "Non-Tech", "nontech_title_rule", "cleaning"),
+    ("Renewal of a data warehouse", "", "", "Technology", "tech_title_rule", "data warehouse"),
     ("Renewals of subscriptions", "", "", "Technology", "tech_title_regex", "licence_term"),
     ("Purchase of stools", "", "om_source_01", "Technology", "source_it_category", "خدمات تقنية المعلومات"),
     ("Purchase of stools", "Software", "", "Review", "tech_context_review", "Technology evidence exists only in context: software"),
