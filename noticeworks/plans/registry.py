@@ -2,7 +2,8 @@
 
 The driver tables stand in for notices: documents for texts by source (the first line is the title),
 orders for dated and priced notices, events for snapshots and for a log of files, pages for captured
-pages, conversations for lines. Every query runs over its whole tables.
+pages, conversations for lines. Every query runs over its whole tables. Matching of titles is about titles: its queries
+take the first line of each document as its title, as short as a notice's.
 """
 
 from __future__ import annotations
@@ -940,10 +941,10 @@ def manifest(spark, sf_dir):
     return bronze.bronze_manifest(files.where("parts = 3 and user_id % 3 <> 0").withColumn("malformed", F.lit(False)), files)
 
 
-@query(_FILES + " select object_name, row_number() over (order by d, cast(event_id as varchar), object_name) as place from f where event_id % 50 <> 0 and source = 'purchase'")
+@query(_FILES + " select object_name, row_number() over (partition by source order by d, cast(event_id as varchar), object_name) as place from f where event_id % 50 <> 0")
 def rebuild_order(spark, sf_dir):
-    """Arrival of all files of a source, as a rebuild reads them."""
-    files = bronze.select_rebuild(_files(spark, sf_dir).where("parts = 3 and source = 'purchase'"))
+    """Arrival of all files of each source, as a rebuild reads them."""
+    files = bronze.select_rebuild(_files(spark, sf_dir).where("parts = 3"))
     return files.select("object_name", F.row_number().over(Window.partitionBy("source").orderBy("arrival")).cast("bigint").alias("place"))
 
 
@@ -1003,6 +1004,76 @@ def first_of_each_id(spark, sf_dir):
     return match.representatives(_final(spark, sf_dir), "tender_id", ["run_date", "event_id"]).select("tender_id", "event_id")
 
 
+@query("""
+with r as (
+    select case o_orderkey % 3 when 0 then 'kw_source_01' when 1 then 'qa_source_01' else 'sa_source_01' end as source, strftime(o_orderdate, '%Y-%m-%d') as d, o_custkey % 4 as run,
+           o_orderkey % 3 = 0 and o_orderkey % 17 = 0 as untitled, o_orderkey % 3 = 0 and o_orderkey % 5 = 0 as without_entity from orders
+), s as (
+    select source, count(*) as rows, date_diff('day', cast(min(d) as date), cast(max(d) as date)) * 24.0 as hours, count(distinct d || run) as files, count(*) filter (untitled) as untitled, count(*) filter (without_entity) as without from r group by source
+), k as (
+    select *, case source when 'kw_source_01' then 'Close Date|Document Price|Entity Name|Link|Open Date|Tender Number|Title|_extracted_at|_page|raw_text' when 'qa_source_01' then '_currency|_extracted_at|_page|الجهة|تاريخ الإغلاق|تاريخ الطرح|رقم المناقصة|قيمة الوثائق (رق)|موضوع المناقصة' else 'Agency|Closing Date|Item ID|Published Date|Title|_extracted_at|_page' end as keys from s
+)
+select source, rows, cast(len(string_split(keys, '|')) as bigint) as columns, keys, cast(hours as double) as span_hours, files, untitled + without as missing_cells,
+       round(100.0 * (untitled + without) / (rows * len(string_split(keys, '|'))), 2) as missing_percent, 0 as exact_duplicates, untitled as missing_titles from k
+""")
+def profile_of_records(spark, sf_dir):
+    """The 4V profile over records: each source's own keys, and keys that a record lacks."""
+    out = profile.profile_records(_priced(spark, sf_dir), "source", ["_extracted_at"], mapping.TITLE_FIELDS, "object_name")
+    return out.drop("first_extracted", "last_extracted").withColumn("keys", F.array_join("keys", "|"))
+
+
+@query(_MAPPED + """select source, count(*) as rows, count(*) filter (crit is null) as passed, count(crit) as rejected, count(warn) as warned, count(*) filter (published is null) as missing_published_date, count(*) filter (title is null) as missing_title,
+       count(*) filter (published is null) as published_date_parse_failed, count(*) filter (authority is null) as missing_authority, count(*) filter (source_url is null) as missing_source_url, 0 as scraped_at_parse_failed, 0 as negative_monetary_value,
+       0 as tender_value_min_gt_max, 0 as money_missing_original_currency, 0 as money_missing_fx_rate, 0 as invalid_standard_currency, 0 as missing_tender_number, 0 as missing_closing_date, 0 as closing_date_parse_failed, 0 as closing_before_published from flagged group by source""")
+def cleaning_by_source(spark, sf_dir):
+    return quality.cleaning_report(_mapped(spark, sf_dir), "source")
+
+
+#: Rows in which every predicate of quality is true now and then: (column, when it is set, its value).
+@query("""
+with e as (select event_id as k, event_id % 2 = 0 as a, event_id % 3 = 0 as b, event_id % 5 = 0 as c, event_id % 7 = 0 as f, event_id % 11 = 0 as g, event_id % 13 = 0 as h from events)
+select k, nullif(concat_ws('|', case when a then 'missing_title' end, case when b then 'published_date_parse_failed' end, case when c then 'scraped_at_parse_failed' end, case when f then 'negative_monetary_value' end, case when g then 'tender_value_min_gt_max' end,
+           case when h then 'money_missing_original_currency' end, case when h or f and g then 'money_missing_fx_rate' end, case when h and a then 'invalid_standard_currency' end), '') as critical,
+       nullif(concat_ws('|', case when b and c then 'missing_tender_number' end, case when a and c then 'missing_authority' end, case when f then 'missing_closing_date' end, case when g then 'missing_source_url' end, case when f and a then 'closing_date_parse_failed' end,
+           case when not f and not b and c then 'closing_before_published' end), '') as warning from e
+""")
+def every_quality_flag(spark, sf_dir):
+    k = F.col("event_id")
+    a, b, c, f, g, h = (k % n == 0 for n in (2, 3, 5, 7, 11, 13))
+    text_if = lambda good, value: F.when(good, F.lit(value))
+    rows = table(spark, sf_dir, "events").select(
+        k.alias("k"), text_if(~a, "title").alias("title"), F.lit("2026-01-05").alias("published_date_raw"), F.when(~b, F.lit("2026-01-05").cast("date")).alias("published_date"), F.lit("x").alias("scraped_at_raw"), F.when(~c, F.lit("2026-01-05").cast("timestamp")).alias("scraped_at"),
+        F.when(f, F.lit(-1.0)).otherwise(1.0).alias("document_fee"), F.when(f, F.lit(-1.0)).otherwise(1.0).alias("document_fee_original"), F.when(g, F.lit(9.0)).otherwise(1.0).alias("tender_value_min_original"), F.lit(2.0).alias("tender_value_max_original"), F.when(g, F.lit(9.0)).otherwise(1.0).alias("tender_value_min_sar"), F.lit(2.0).alias("tender_value_max_sar"),
+        F.lit(None).cast("double").alias("temporary_bond_original"), F.lit(None).cast("double").alias("temporary_bond_sar"), text_if(~h, "SAR").alias("currency_original"), F.when(~(h | (f & g)), F.lit(1.0)).alias("fx_rate_to_sar"), text_if(~(h & a), "SAR").alias("currency"),
+        text_if(~(b & c), "n").alias("tender_number"), text_if(~(a & c), "x").alias("authority"), text_if(~g, "u").alias("source_url"), text_if(~(f & ~a), "2026-01-01").alias("closing_date_raw"),
+        F.when(~f, F.when(c, F.lit("2026-01-01").cast("date")).otherwise(F.lit("2026-02-01").cast("date"))).alias("closing_date"),
+    )
+    return quality.with_quality(rows).select("k", F.col("critical_quality_flags").alias("critical"), F.col("warning_quality_flags").alias("warning"))
+
+
+@query("""select o_orderkey, case when o_orderkey % 5 = 0 then 'Second ' || o_custkey else 'First ' || o_orderkey end as title,
+       concat_ws(' | ', o_orderstatus, case when o_orderkey % 4 <> 0 then 'true' end, 'k' || o_custkey, cast(o_orderkey as varchar), trim(o_orderpriority)) as context from orders""")
+def nested_context(spark, sf_dir):
+    """Leaf texts of nested records, joined; the first title that isn't blank."""
+    o, k = table(spark, sf_dir, "orders"), F.col("o_orderkey")
+    first = F.when(k % 5 == 0, F.when(k % 2 == 0, F.lit("  "))).otherwise(F.concat(F.lit(" First "), k, F.lit(" ")))
+    lists = F.array(F.struct(F.array(F.col("o_orderstatus"), F.lit(" ")).alias("inner"), F.when(k % 4 != 0, F.lit(True)).alias("on")))
+    deep = F.struct(F.struct(F.concat(F.lit("k"), "o_custkey").alias("a"), k.alias("b")).alias("x"))
+    rec = F.parse_json(F.to_json(F.struct(first.alias("Title"), F.concat(F.lit("Second "), "o_custkey").alias("Other"), lists.alias("list"), deep.alias("deep"), F.col("o_orderpriority").alias("plain"))))
+    get = lambda f: F.try_variant_get("rec", f"$.{f}", "string")
+    leaves = lambda f: text.leaf_texts(F.try_variant_get("rec", f"$.{f}", "variant"))
+    return o.select("o_orderkey", rec.alias("rec")).select("o_orderkey", text.first_text(get("Title"), get("Other")).alias("title"), text.context_text([leaves(f) for f in ("list", "absent", "deep", "plain")]).alias("context"))
+
+
+@query(f"""with e as ({_FINAL}) select 'r9' as run_id, count(*) as rows, count(distinct event_type) as sources, 1 as countries, 1 as bronze_runs, 'd' as first_run_date, 'd' as last_run_date,
+    count(*) filter (lacks) as warned, count(*) filter (alike) as look_alikes, 0 as technology, count(*) as review, 0 as non_tech, 0 as with_fee, 'm1' as model_version, '2' as schema_version from e where disposition = 'accepted'""")
+def run_summary_row(spark, sf_dir):
+    """What a run says of the rows that it publishes."""
+    rows = _final(spark, sf_dir).where("disposition = 'accepted'")
+    published = upsert.with_run_versions(rows.withColumns({"bronze_run_date": F.col("run_date"), "scraped_at": F.lit(None).cast("timestamp")}), "r9", "2026-09-24", "m1", "2")
+    return upsert.run_summary(published, "r9").drop("first_scraped", "last_scraped")
+
+
 @query("""
 with r as (select o_orderkey, o_custkey % 3 as third, o_orderkey % 13 = 0 as bad, case when o_orderkey % 2 = 0 then 'qa_source_03' else 'ae_source_02' end as source, unnest(case when o_custkey % 3 = 2 then [1] else [1, 2] end) as run from orders)
 select source, case when bad then 'rejected' when third = 0 and run = 1 then 'duplicate' when third = 1 and run = 1 then 'superseded' else 'accepted' end as disposition, 'Non-Tech' as classification, count(*) as n
