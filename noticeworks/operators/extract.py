@@ -9,9 +9,16 @@ from pyspark.sql import functions as F
 
 from noticeworks.functions.dates import english_months
 from noticeworks.functions.text import squish, standard_scalar, text_of
-
-#: A number, a title, a type, a status and three datetimes, white space between.
-RECORD_PATTERN = r"(\d{4,}[-/]\w+)\s+(.{1,500}?)\s+(RFQ|RFP|RFI|Auction)\s+(Active|Closed|Amended|Pending)\s+(\d{1,2}-\w{3}-\d{4} \d{1,2}:\d{2} [AP]M)\s+(\d{1,2}-\w{3}-\d{4} \d{1,2}:\d{2} [AP]M)\s+(\d{1,2}-\w{3}-\d{4} \d{1,2}:\d{2} [AP]M)"
+from noticeworks.naming import others, unused
+
+#: Kinds of negotiations; numbers such as XY-RFQ-1409; times such as 13-Sep-2026 9:10 AM; labels of a deadline, in
+#: English and in Arabic with each spelling of its first letter.
+KINDS = "RFQ|RFP|RFI|ITT|EOI|RFX"
+NUMBER = rf"[A-Z][A-Z\d]*-(?:{KINDS})-[A-Z\d][A-Z\d,./-]*"
+TIME = r"\d{1,2}-[A-Z]{3}-\d{4} \d{1,2}:\d{2} [AP]M"
+DEADLINE = r"(?i)^(?:(?:bid|tender)?\s*(?:closing|deadline|dead\s*line|close)\s*(?:date|time)?|[اأإآ]خر\s*موعد\s*للعطاء)\s*:?\s*"
+#: A row of a page whose white space is squished: number, title, kind, status and three times.
+RECORD_PATTERN = "(?i)" + " ".join([f"({NUMBER})", "(.*?)", f"({KINDS})", "([A-Z][A-Z ]{0,30}?)", *[f"({TIME})"] * 3])
 RECORD_FIELDS = ["number", "title", "type", "status", "posted", "opened", "closes"]
 #: Marks of pages that block a reader.
 BLOCK_MARKERS = ["captcha", "access denied", "forbidden", "request rejected", "verify you are human", "unusual traffic"]
@@ -25,8 +32,9 @@ def _all(c: Column, pattern: str, group: int = 0) -> Column:
 def records_from_text(df: DataFrame, text_col: str, pattern: str = RECORD_PATTERN, fields: list[str] | None = None) -> DataFrame:
     """A row for each match of a pattern with a group for each field, with its place pos on the page. The text is scanned once."""
     fields = fields or RECORD_FIELDS
-    hits = df.withColumn("_hits", _all(squish(text_col), pattern)).select(*[c for c in df.columns if c != text_col], F.posexplode("_hits").alias("pos", "_hit"))
-    return hits.withColumns({f: squish(F.regexp_extract("_hit", pattern, i + 1)) for i, f in enumerate(fields)}).drop("_hit")
+    (hit,) = unused(df, "hit")
+    hits = df.select(*others(df, text_col, "pos", *fields), F.posexplode(_all(squish(text_col), pattern)).alias("pos", hit))
+    return hits.withColumns({f: squish(F.regexp_extract(hit, pattern, i + 1)) for i, f in enumerate(fields)}).drop(hit)
 
 
 def valid_number(c: Column, pattern: str) -> Column:
@@ -39,7 +47,8 @@ def valid_record(df: DataFrame, number: str, title: str, pattern: str, longest:
 
 def first_per_page_key(df: DataFrame, page: str, key: str, pos: str = "pos") -> DataFrame:
     w = Window.partitionBy(page, key).orderBy(pos)
-    return df.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
+    (n,) = unused(df, "n")
+    return df.withColumn(n, F.row_number().over(w)).where(F.col(n) == 1).drop(n)
 
 
 def lines_of(c: Column | str) -> Column:
@@ -75,7 +84,7 @@ def with_inline_fallback(pairs: Column, inline: Column, needed: list[str]) -> Co
     return F.when(empty, filled).otherwise(pairs)
 
 
-def deadline_value(lines: Column, label: str = r"(?i)^(?:bid|tender)?\s*(?:closing|deadline|dead\s*line|close)\s*(?:date|time)?\s*:?\s*") -> Column:
+def deadline_value(lines: Column, label: str = DEADLINE) -> Column:
     """What stands behind a deadline label, or on the next line."""
     flags = F.transform(lines, lambda s: s.rlike(label))
     at = F.array_position(flags, True)

@@ -863,6 +863,30 @@ def united_sources(spark, sf_dir):
 # ---------------------------------------------------------------- records, one by one
 
 
+@query("""
+with o as (select o_orderkey as k, o_custkey as c, strftime(o_orderdate, '%d-%b-%Y') as d from orders)
+select k, cast(0 as integer) as pos, 'AB-RFQ-' || k as number, 'Works ' || c as title, 'RFQ' as type, 'Active' as status, d || ' 9:10 AM' as posted, d || ' 10:00 AM' as opened, d || ' 1:30 PM' as closes from o
+union all select k, 1, 'C2-ITT-' || c || '/A', 'Pipes RFP ' || k, 'ITT', 'Under Review', d || ' 9:10 AM', d || ' 9:10 AM', d || ' 11:59 PM' from o where k % 3 = 0
+""")
+def default_records(spark, sf_dir):
+    """Records of the source's own shape, two on some pages, with line feeds and words between."""
+    o, k, c, d = table(spark, sf_dir, "orders"), F.col("o_orderkey"), F.col("o_custkey"), F.date_format("o_orderdate", "dd-MMM-yyyy")
+    row = lambda *parts: F.concat_ws("\n ", *[F.lit(p) if isinstance(p, str) else p for p in parts])
+    at = lambda t: F.concat(d, F.lit(f" {t}"))
+    one = row("Negotiations", F.concat(F.lit("AB-RFQ-"), k), F.concat(F.lit("Works  "), c), "RFQ", "Active", at("9:10 AM"), at("10:00 AM"), at("1:30 PM"))
+    two = row("more", F.concat(F.lit("C2-ITT-"), c, F.lit("/A")), F.concat(F.lit("Pipes RFP "), k), "ITT", "Under Review", at("9:10 AM"), at("9:10 AM"), at("11:59 PM"), "end")
+    return extract.records_from_text(o.select(k.alias("k"), F.when(k % 3 == 0, F.concat_ws("\n", one, two)).otherwise(one).alias("text")), "text")
+
+
+@query("select o_orderkey, strftime(o_orderdate, '%d/%m/%Y') as deadline from orders where o_orderkey % 5 > 0 union all select o_orderkey, null from orders where o_orderkey % 5 = 0")
+def arabic_deadlines(spark, sf_dir):
+    """Deadlines behind each spelling of the label, on its line or on the next."""
+    o, k = table(spark, sf_dir, "orders"), F.col("o_orderkey")
+    letter = F.element_at(F.array(*[F.lit(x) for x in "xاأإآ"]), (k % 5 + 1).cast("int"))
+    page = F.concat(F.lit("رقم\n1\n"), letter, F.lit("خر موعد للعطاء"), F.when(k % 2 == 0, " : ").otherwise("\n"), F.date_format("o_orderdate", "dd/MM/yyyy"), F.lit("\nend"))
+    return o.select(k, extract.deadline_value(extract.lines_of(page)).alias("deadline"))
+
+
 @query("""select o_orderkey, cast(o_custkey as varchar) as fee, strftime(o_orderdate, '%Y-%m-%d') as deadline, 'Works ' || o_custkey as subject, 'Pipes ' || o_orderstatus as before_date,
        case when o_orderkey % 3 = 0 then 'External' end as kind, case when o_orderkey % 3 = 0 then 'Ministry ' || o_orderstatus end as authority, case when o_orderkey % 3 = 0 then 'Line ' || o_custkey end as link,
        o_orderstatus as card, case when o_orderkey % 4 = 0 then 'c' || o_custkey when o_orderkey % 4 = 1 then 'o' || o_orderkey end as first_key from orders""")

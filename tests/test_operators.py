@@ -70,9 +70,9 @@ def test_phrases_against_patterns(spark):
 
 
 def test_records_and_labels(spark):
-    text = "4722/2026   Supply of pipes RFQ Active 01-Sep-2026 9:10 AM 02-Sep-2026 9:10 AM 13-Sep-2026 9:10 AM  4723/2026 Other RFP Closed 01-Sep-2026 9:10 AM 02-Sep-2026 9:10 AM 14-Sep-2026 9:10 AM"
+    text = "Menu XY-RFQ-1409   Supply of pipes\nRFQ Active 01-Sep-2026 9:10 AM 02-Sep-2026 9:10 AM 13-Sep-2026 9:10 AM  wxyz-itt-23.77/A Other ITT Under Review 01-Sep-2026 9:10 AM 02-Sep-2026 9:10 AM 14-sep-2026 9:10 pm"
     out = extract.records_from_text(spark.createDataFrame([(1, text)], "page int, text string"), "text").orderBy("pos").collect()
-    assert [(r["number"], r["title"], r["type"], r["status"]) for r in out] == [("4722/2026", "Supply of pipes", "RFQ", "Active"), ("4723/2026", "Other", "RFP", "Closed")]
+    assert [(r["number"], r["title"], r["type"], r["status"]) for r in out] == [("XY-RFQ-1409", "Supply of pipes", "RFQ", "Active"), ("wxyz-itt-23.77/A", "Other", "ITT", "Under Review")] and out[1]["closes"] == "14-sep-2026 9:10 pm"
     lines = extract.lines_of(F.col("x"))
     page = "Number\nT-1\nTitle\nStatus\nOpen\nDeadline: 5 Sep\nPrice: 10:30"
     assert one(spark, extract.label_value_pairs(lines, ["Number", "Title", "Status"]), page) == [{"Number": "T-1", "Title": "", "Status": "Open"}]
@@ -80,6 +80,7 @@ def test_records_and_labels(spark):
     merged = extract.with_inline_fallback(extract.label_value_pairs(lines, ["Number", "Title"]), extract.inline_pairs(lines, ["Number", "Title"]), ["Number", "Title"])
     assert one(spark, merged, "Title: A b\nNumber: 7", "Number\n7\nTitle\nA") == [{"Title": "A b", "Number": "7"}, {"Number": "7", "Title": "A"}]
     assert one(spark, extract.deadline_value(lines), page, "x\nClosing date\n7 Sep 2026", "none") == ["5 Sep", "7 Sep 2026", None]
+    assert one(spark, extract.deadline_value(lines), *[f"x\n{a}خر موعد للعطاء{rest}" for a, rest in zip("اأإآ", [": 5/9/2026", "\n6/9/2026", " 7/9/2026", ":\n8/9/2026"])]) == ["5/9/2026", "6/9/2026", "7/9/2026", "8/9/2026"]
 
 
 def test_dates_and_rows(spark):
