@@ -42,6 +42,8 @@ CUTOFF = 23.51
 SCALE, TOP = 256, 32 * 256
 #: Makes the covariance of the nearest share of normal rows that of all, for 4 dimensions.
 CONSISTENCY = {0.5: 2.109, 0.75: 1.486, 1.0: 1.0}
+#: An estimate has settled once a step takes less than this off the logarithm of its determinant.
+SETTLED = 1e-3
 #: Tables of up to so many groups (about 150 bytes each) are broadcast.
 BROADCAST_GROUPS = 100_000
 
@@ -214,16 +216,20 @@ def robust_estimates(rows: DataFrame, share: float = 0.5, most_steps: int = 20)
     for _ in range(2):
         stats = _small(_step(rows, stats, share, CONSISTENCY[share]), "mcd")
     stats = _small(_least(stats, 2), "mcd")
+    done = None
     for _ in range(most_steps):
         then = _step(rows, stats, share, CONSISTENCY[share])
         old = stats.select(*KEYS, F.col("det").alias("before"))
         # all rows of a distance step go together, so a determinant may rise: the smaller one stays
         then = _small(then.join(old, list(KEYS)), "mcd")
-        better = F.col("det") < F.col("before") - 1e-9
-        moved = then.where(better).drop("before")
-        if not moved.limit(1).count():
+        better = F.col("det") < F.col("before") - SETTLED
+        stay = stats.join(then.where(~better).select(*KEYS), list(KEYS), "semi")
+        done = _small(stay if done is None else done.unionByName(stay), "mcd")
+        # only estimates that still move go on
+        stats = _small(then.where(better).drop("before"), "mcd")
+        if not stats.limit(1).count():
             break
-        stats = _small(moved.unionByName(stats.join(then.where(~better).select(*KEYS), list(KEYS), "semi")), "mcd")
+    stats = stats if done is None else done.unionByName(stats)
     return _small(_least(stats, 1).drop("start"), "mcd")
 
 
