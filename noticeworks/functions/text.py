@@ -12,6 +12,7 @@ from pyspark.sql.types import StringType
 
 #: Arabic letters folded for matching; the last is dropped.
 ARABIC_FROM, ARABIC_TO = "أإآىؤئةـ", "ااايويه"
+_ARABIC = {ord(x): ARABIC_TO[i : i + 1] for i, x in enumerate(ARABIC_FROM)}
 #: Words that stand for no value, case-folded.
 NULL_LIKE = ["", "-", "--", "---", "n/a", "na", "none", "null", "nan", "not available", "not applicable"]
 #: Words that carry no meaning in titles.
@@ -24,13 +25,17 @@ def text_of(c: Column | str) -> Column:
 
 
 @F.pandas_udf(StringType())
-def _nfkd_fold(s: pd.Series) -> pd.Series:
-    def one(x):
-        if x is None:
-            return None
-        return "".join(ch for ch in unicodedata.normalize("NFKD", x) if not unicodedata.combining(ch) and unicodedata.category(ch) != "Cf").casefold()
+def _changes(s: pd.Series) -> pd.Series:
+    """Of the characters of each text those that folding changes: the character and what it becomes, parted by U+0000."""
+    known: dict[str, str] = {}
 
-    return s.map(one, na_action="ignore")
+    def one(ch):
+        if ch not in known:
+            kept = (x for x in unicodedata.normalize("NFKD", ch) if not unicodedata.combining(x) and unicodedata.category(x) != "Cf")
+            known[ch] = "".join(kept).casefold().translate(_ARABIC)
+        return known[ch]
+
+    return s.map(lambda x: "\0".join(ch + one(ch) for ch in x if one(ch) != ch), na_action="ignore")
 
 
 @F.pandas_udf(StringType())
@@ -67,12 +72,19 @@ def fold_arabic(c: Column) -> Column:
     return F.translate(c, ARABIC_FROM, ARABIC_TO)
 
 
+def _folded(c: Column) -> Column:
+    """NFKD without marks and format characters, case folding and Arabic folding. Each is a matter of single characters, so Python sees
+    only the distinct ones of texts that go beyond ASCII, and no batch of whole texts is held there."""
+    odd = F.regexp_extract_all(F.when(c.rlike(r"[^\x00-\x7F]"), c), F.lit(r"[A-Z]|[^\x00-\x7F]"), F.lit(0))
+    pairs = F.split(_changes(F.array_join(F.array_distinct(odd), "")), "\0")
+    return F.coalesce(F.aggregate(pairs, c, lambda x, p: F.replace(x, F.substring(p, 1, 1), F.substr(p, F.lit(2)))), F.lower(c))
+
+
 def norm_match(c: Column | str) -> Column:
     """For phrase matching: NFKD without marks and format characters, Arabic folding, case folding, a space
     between digit and Latin letter, punctuation to spaces."""
-    x = fold_arabic(_beyond_ascii(text_of(c), _nfkd_fold, F.lower))
-    x = F.regexp_replace(x, r"(?U)(?<=\d)(?=[A-Za-z])", " ")
-    return squish(F.regexp_replace(x, SEPARATORS, " "))
+    x = F.regexp_replace(_folded(text_of(c)), r"(?U)(\d)(?=[A-Za-z])", "$1 ")
+    return F.trim(F.regexp_replace(x, r"(?U)[\s" + SEPARATORS[1:], " "))
 
 
 def norm_key(c: Column | str) -> Column:

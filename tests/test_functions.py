@@ -56,3 +56,19 @@ def test_status(spark):
     assert run(spark, lambda c: gold.open_closed(c.cast("date"), as_of), "2026-09-25", "2026-09-24", None) == ["Open", "Closed", "Open"]
     assert run(spark, lambda c: gold.open_closed(c.cast("date"), as_of, "Unknown"), None) == ["Unknown"]
     assert run(spark, upsert.clean_source_status, "Open", "Amended", None, "Draft", "(Blanks)") == ["active", "amended", "unknown", "draft", "unknown"]
+
+
+def test_folding_shows_python_single_characters(spark):
+    """Whole texts never go to Python, and every character folds as its decomposition does."""
+    import unicodedata
+
+    def fold(x):
+        kept = "".join(ch for ch in unicodedata.normalize("NFKD", x) if not unicodedata.combining(ch) and unicodedata.category(ch) != "Cf").casefold()
+        return kept.translate({ord(a): text.ARABIC_TO[i : i + 1] for i, a in enumerate(text.ARABIC_FROM)})
+
+    chars = [chr(c) for c in range(0x80, 0x30000) if not 0xD800 <= c < 0xE000]
+    texts = ["A" + "b".join(chars[i : i + 512]) for i in range(0, len(chars), 512)]
+    df = spark.createDataFrame([(x,) for x in texts], "t string").repartition(1)
+    assert [r[0] for r in df.select(text._folded(F.col("t"))).collect()] == [fold(r["t"]) for r in df.collect()]
+    plan = df.select(text.norm_match("t"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "_changes(array_join(array_distinct(" in plan
