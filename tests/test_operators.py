@@ -167,3 +167,13 @@ def test_title_column(missing):
         columns = ["b", "a"]
 
     assert profile.title_column(Frame, [*missing, "a", "b"]) == "a"
+
+
+def test_phrases_are_found_by_one_pattern(spark):
+    """Overlapping phrases, phrases that begin others, prefixed ones, ones with signs; no word is looked up among all phrases."""
+    phrases = lexicon.compile_phrases(spark, {"tech": ["data", "data base", "base of sets", "c#", "س ص", "بالس"], "weak": ["of", "data base of"]})
+    df = spark.createDataFrame([(1, "data base of sets"), (2, "database"), (3, "x c# y"), (4, "a-c#-b"), (5, "x data-base"), (6, "وبالس ص"), (7, "data"), (8, "")], "id int, norm string")
+    out = lexicon.first_phrases(df, "id", "norm", phrases, ["tech", "weak"])
+    assert {r["id"]: (r["tech"], r["weak"]) for r in out.collect()} == {1: ("base of sets", "data base of"), 3: ("c#", None), 5: ("data base", None), 6: ("بالس", None), 7: ("data", None)}
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_extract_all" in plan and "slice(" not in plan
