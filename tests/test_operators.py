@@ -177,3 +177,10 @@ def test_phrases_are_found_by_one_pattern(spark):
     assert {r["id"]: (r["tech"], r["weak"]) for r in out.collect()} == {1: ("base of sets", "data base of"), 3: ("c#", None), 5: ("data base", None), 6: ("بالس", None), 7: ("data", None)}
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert "regexp_extract_all" in plan and "slice(" not in plan
+
+
+def test_similarity_is_printed_by_its_exact_value(spark):
+    shares = sorted({a / b for b in range(1, 201) for a in range(b + 1)})
+    df = spark.createDataFrame([(x,) for x in shares], "x double")
+    assert [r[0] for r in df.select(match.two_places(F.col("x"))).collect()] == [f"{x:.2f}" for x in shares]
+    assert [r[0] for r in df.where("x in (0.975, 0.925, 0.875)").select(match.two_places(F.col("x"))).collect()] == ["0.88", "0.93", "0.97"]
