@@ -72,3 +72,18 @@ def test_folding_shows_python_single_characters(spark):
     assert [r[0] for r in df.select(text._folded(F.col("t"))).collect()] == [fold(r["t"]) for r in df.collect()]
     plan = df.select(text.norm_match("t"))._jdf.queryExecution().optimizedPlan().toString()
     assert "_changes(array_join(array_distinct(" in plan
+
+
+def test_texts_without_net_dates_are_never_cast(spark):
+    """A failed cast is an exception for each row."""
+    assert run(spark, lambda c: dates.dotnet_date(c).cast("string"), "5 Jan 2026", "/Date(x)/", "/Date(0)/", None) == [None, None, "1970-01-01 03:00:00", None]
+    plan = spark.range(1).select(dates.dotnet_date(F.col("id").cast("string")))._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert "contains(" in plan
+
+
+def test_orders_of_the_chain_are_dealt_to_all_cores(spark):
+    from noticeworks.plans import registry
+
+    for f in (registry._priced, registry._as_bronze):
+        plan = f(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+        assert "Repartition " in plan
