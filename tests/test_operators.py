@@ -147,6 +147,30 @@ def test_prefixes_lose_no_similar_pair(spark):
         assert {(r["a"], r["b"]) for r in match.similar_pairs(df, "id", "s", "g", "t", "c", cap=cap).collect()} == want and want
 
 
+def test_candidates_are_bounded_before_their_tokens_are_read(spark):
+    """Long titles that share one rare token aren't candidates; similar ones with a word more or less and close dates are."""
+    base = [[f"x{i}_{j}" for j in range(60)] for i in range(20)]
+    rows = [(2 * i + k, f"s{k}", "q", [*x[k:], "odd"], date(2026, 9, 1 + (i % 3 == 0 and 20 * k))) for i, x in enumerate(base) for k in (0, 1)]
+    df = spark.createDataFrame(rows, "id int, s string, g string, t array<string>, c date")
+    near = {(2 * i, 2 * i + 1) for i in range(20) if i % 3}
+    for closing, want in (("c", near), (None, {(2 * i, 2 * i + 1) for i in range(20)})):
+        assert {tuple(r) for r in match.candidate_pairs(df, "id", "s", "g", "t", threshold=0.82, closing=closing).collect()} == want
+    assert {(r["a"], r["b"]) for r in match.similar_pairs(df, "id", "s", "g", "t", "c").collect()} == near
+    # few tokens and hardly any in common: each shares its first token with many others
+    short = spark.createDataFrame([(i, f"s{i % 2}", "q", ["a", f"b{i}", f"c{i}"], None) for i in range(100)], "id int, s string, g string, t array<string>, c date")
+    assert match.candidate_pairs(short, "id", "s", "g", "t", threshold=0.3, closing="c").count() == 0
+
+
+def test_sketches_differ_in_no_more_bits_than_sets(spark):
+    rng = random.Random(3)
+    rows = [([f"w{rng.randrange(n)}" for _ in range(m)], [f"w{rng.randrange(n)}" for _ in range(m)]) for n, m in ((5, 3), (40, 30), (3000, 900)) for _ in range(40)]
+    df = spark.createDataFrame([(sorted(set(a)), sorted(set(b))) for a, b in rows], "a array<string>, b array<string>")
+    bits = sum((F.bit_count(x.bitwiseXOR(y)) for x, y in zip(match._sketch(F.col("a"), 4), match._sketch(F.col("b"), 4))), F.lit(0))
+    apart = F.size(F.array_except("a", "b")) + F.size(F.array_except("b", "a"))
+    got = [tuple(r) for r in df.select(bits, apart).collect()]
+    assert all(b <= d for b, d in got) and sum(b > 0 for b, _ in got) > 70
+
+
 def test_first_duplicates_are_those_of_rank_one(spark):
     rng = random.Random(9)
     rows = [(i, rng.choice("abc"), rng.choice([None, "2026-01-01", "2026-01-02"]), f"d{rng.randrange(2)}", f"r{rng.randrange(2)}", "o", i) for i in range(60)]
