@@ -87,3 +87,28 @@ def test_orders_of_the_chain_are_dealt_to_all_cores(spark):
     for f in (registry._priced, registry._as_bronze):
         plan = f(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
         assert "Repartition " in plan
+
+
+def test_long_and_short_months_are_read_by_their_formats_alone(spark):
+    from noticeworks.functions import dates
+
+    texts = ["May 5, 2026", "MAY 5, 2026", "Mar 5, 2026", "march 5, 2026", "September 5, 2026", "Sep 5, 2026", "Marc 5, 2026", "5 August 2026", "5-Aug-2026", "5-August-2026", "مارس 5, 2026"]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(texts)], "i int, x string").orderBy("i")
+    formats = ["MMMM d, yyyy", "MMM d, yyyy", "d MMM yyyy", "d MMMM yyyy", "d-MMM-yyyy"]
+    tried = F.coalesce(*[F.try_to_timestamp("x", F.lit(f)) for f in formats])
+    got = [tuple(map(str, r)) for r in df.select(dates.try_formats(F.col("x"), formats), tried).collect()]
+    assert [a for a, _ in got] == [b for _, b in got] and sum(a != "None" for a, _ in got) == 8
+    plan = df.select(dates.try_formats(F.col("x"), formats))._jdf.queryExecution().analyzed().toString()
+    assert plan.count("RLIKE") >= len(formats)  # readings that can't succeed aren't tried
+
+
+def test_reports_of_cleaning_write_only_what_they_read(spark, tmp_path):
+    from noticeworks.operators import mapping, quality
+
+    rows = [("kw_source_01", f'{{"Tender Number": "K-{i}", "Title": " T {i} ", "Open Date": "Mar {1 + i % 28}, 2026", "Close Date": "{d}", "Link": null, "Document Price": "5"}}') for i, d in enumerate(["no date", "مارس 3, 2026", "May 3, 2026", "March 3, 2026"] * 3)]
+    recs = spark.createDataFrame(rows, "source string, r string").select("source", F.lit("2026-01-01").alias("run_date"), F.lit("r").alias("run_id"), F.lit("p").alias("file_path"), F.lit("o").alias("object_name"), F.parse_json("r").alias("rec"))
+    whole = mapping.standardise(recs).drop("rec")
+    report = lambda d: {r["metric"]: r["value"] for r in quality.cleaning_report(quality.with_quality(d)).collect()}
+    full = report(quality.clean(whole))
+    assert report(quality.clean(whole.select(*quality.CLEANED_FROM)).select(*quality.FLAGGED_FROM)) == full
+    assert (full["rows"], full["closing_date_parse_failed"], full["missing_source_url"], full["missing_published_date"]) == (12, 3, 12, 0)
