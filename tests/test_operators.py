@@ -161,6 +161,32 @@ def test_candidates_are_bounded_before_their_tokens_are_read(spark):
     assert match.candidate_pairs(short, "id", "s", "g", "t", threshold=0.3, closing="c").count() == 0
 
 
+def test_copies_are_compared_once_and_reasons_count_every_partner(spark):
+    """Each text comes often, from many sources and dates, with and without date: the work on sets doesn't grow with the copies."""
+    words = [f"w{i}" for i in range(8)]
+    sets = [words, words[:7], words[::-1], words[:4], ["z"], []]
+    rows = [(i, (None, "s0", "s1", "s2")[i % 4] if i % 9 else None, "q" if i % 11 else None, sets[i % 6], None if i % 5 == 0 else date(2026, 9, 1 + i % 17)) for i in range(300)]
+    seen = []
+    for n in (150, 300):
+        df = spark.createDataFrame(rows[:n], "id int, s string, g string, t array<string>, c date")
+        _, classes = match._classes(df, "id", "s", "g", "t", "c", 400)
+        seen.append((classes.count(), match._similar_classes(classes, 0.82, 400, 7, True).count()))
+    assert seen[0] == seen[1]
+
+    def alike(a, b):
+        near = a[4] is None and b[4] is None or a[4] and b[4] and abs((a[4] - b[4]).days) <= 7
+        both = len({*a[3]} & {*b[3]}) / (len({*a[3]} | {*b[3]}) or 1)
+        return both if a[1] and b[1] and a[1] != b[1] and a[2] and b[2] and near and both >= 0.82 else None
+
+    want = {(a[0], b[0]): x for a in rows for b in rows if a[0] < b[0] and (x := alike(a, b))}
+    pairs = match.similar_pairs(df, "id", "s", "g", "t", "c").collect()
+    assert {(r["a"], r["b"]): r["similarity"] for r in pairs} == want and len(pairs) == len(want) > 1000
+    told = {i: "|".join(sorted(f"high_title_similarity:{x:.2f}" for ab, x in want.items() if i in ab)) for i in {i for ab in want for i in ab}}
+    assert {r["id"]: r["reasons"] for r in match.similarity_reasons(df, "id", "s", "g", "t", "c").collect()} == told
+    # a class of more titles than the cap has no token of so few
+    assert match.similarity_reasons(df, "id", "s", "g", "t", "c", cap=40).count() == 0
+
+
 def test_sketches_differ_in_no_more_bits_than_sets(spark):
     rng = random.Random(3)
     rows = [([f"w{rng.randrange(n)}" for _ in range(m)], [f"w{rng.randrange(n)}" for _ in range(m)]) for n, m in ((5, 3), (40, 30), (3000, 900)) for _ in range(40)]
