@@ -112,3 +112,45 @@ def test_reports_of_cleaning_write_only_what_they_read(spark, tmp_path):
     full = report(quality.clean(whole))
     assert report(quality.clean(whole.select(*quality.CLEANED_FROM)).select(*quality.FLAGGED_FROM)) == full
     assert (full["rows"], full["closing_date_parse_failed"], full["missing_source_url"], full["missing_published_date"]) == (12, 3, 12, 0)
+
+
+def test_mapping_does_not_grow_with_its_sources(spark):
+    """A record is taken apart once, so that what Spark compiles for it stays as long; names with marks, nested values and nulls as before."""
+    from noticeworks.operators import mapping
+
+    recs = ['{"A. q\'s": " x ", "B": {"z": 1, "a": [2]}, "C": null}', '{"B": 3.50, "A": ""}', '["A"]', '"A"', None]
+    df = spark.createDataFrame([(s, r) for r in recs for s in ("s0", "s1", "other", None)], "source string, r string").withColumn("rec", F.try_parse_json("r"))
+    two = {"s0": {"title": ["A. q's"], "authority": ["B"], "tender_number": ["C", "B"]}, "s1": {"title": ["A"], "tender_number": ["B"]}}
+    many = {**two, **{f"t{i}": two["s0"] for i in range(40)}}
+    plans = [mapping.map_columns(df, mapping=m)._jdf.queryExecution().optimizedPlan().toString().count("try_variant_get") for m in (two, many)]
+    assert plans[0] == plans[1]
+    found = mapping.map_columns(df, mapping=many)
+    for t in ("title", "authority", "tender_number"):
+        want = F.lit(None).cast("string")
+        for s, fields in two.items():
+            if t in fields:
+                want = F.when(F.col("source") == s, F.coalesce(*[mapping.field(F.col("rec"), f) for f in fields[t]])).otherwise(want)
+        assert found.where(~F.col(t).eqNullSafe(want)).count() == 0
+    assert found.where("title is not null").count() == 1 and found.where("tender_number is not null").count() == 4
+
+
+def test_dates_are_cleaned_and_read_as_one_by_one(spark):
+    from noticeworks.operators import quality
+
+    texts = ["2026-01-05 2026-01-05", "2026-01-05  2026-01-05 2026-01-05", "2026-01-05 2026-01-05 2026-01-05 2026-01-05", " 5\t Jan 2026 ", "5 يناير 2026", "5\u00a0يناير  2026", "n/a", " ", None, "5/1/2026 3:04:05 3:04:05 PM", "2026-01-05 03:04 03:04", "May 5, 2026", "/Date(1767571200000)/", "5 1 2026", "no date"]
+    rows = [(s, t, t) for t in texts for s in [*dates.SOURCE_FORMATS, None]]
+    df = spark.createDataFrame(rows, "source string, published_date_raw string, was string").withColumns({c: F.lit(None).cast("string") for c in quality.CLEANED_FROM if c not in ("source", "published_date_raw")})
+    repaired = dates.repair_date_text(F.col("was"))
+    bad = quality.clean(df).where(~F.col("published_date_raw").eqNullSafe(repaired) | ~F.col("published_date").eqNullSafe(dates.to_business_date(dates.parse_source_date(F.col("source"), repaired))))
+    assert [tuple(r) for r in bad.select("source", "was", "published_date_raw").collect()] == [] and quality.clean(df).where("published_date is not null").count() > 60
+
+
+def test_staged_steps_run_in_methods_that_the_jvm_compiles(spark, monkeypatch):
+    from pyspark.sql import DataFrameWriter
+
+    from noticeworks import staging
+
+    key, seen, write = staging.LONGEST_METHOD[0], [], DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, *a, **b: (seen.append(spark.conf.get(key)), write(self, *a, **b))[1])
+    before = spark.conf.get(key)
+    assert staging.staged(spark.range(3), "x").count() == 3 and seen == ["8000"] and spark.conf.get(key) == before
