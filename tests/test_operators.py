@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from noticeworks.operators import classify, extract, identity, lexicon, match, profile
+from noticeworks.plans import registry
 
 
 def one(spark, column, *values, schema="x string"):
@@ -187,6 +188,31 @@ def test_copies_are_compared_once_and_reasons_count_every_partner(spark):
     assert match.similarity_reasons(df, "id", "s", "g", "t", "c", cap=40).count() == 0
 
 
+def common_titles(n=450, seed=5):
+    """Every token is in more than 400 titles: many titles of one set, and others that differ by a token."""
+    rng = random.Random(seed)
+    sets = [[f"w{i}" for i in range(12)], [f"w{i}" for i in range(13)], [f"w{i}" for i in range(1, 13)], [f"w{i}" for i in range(3, 13)]]
+    rows = [(i, f"s{i % 3}", "q", sets[0 if i % 3 == 2 else rng.randrange(4)], None if i % 7 == 0 else date(2026, 9, 1 + rng.randrange(28))) for i in range(2 * n)]
+    near = lambda a, b: a[4] is None and b[4] is None or a[4] and b[4] and abs((a[4] - b[4]).days) <= 7
+    share = {(i, j): len({*x} & {*y}) / len({*x} | {*y}) for i, x in enumerate(sets) for j, y in enumerate(sets)}
+    which = [sets.index(r[3]) for r in rows]
+    want = {(a[0], b[0]): x for a in rows for b in rows if a[0] < b[0] and a[1] != b[1] and (x := share[which[a[0]], which[b[0]]]) >= 0.82 and near(a, b)}
+    return rows, want
+
+
+SCHEMA = "id int, s string, g string, t array<string>, c date"
+
+
+def test_pairs_of_common_tokens_are_whole(spark):
+    """No bound of titles for a token, in the query and in its SQL; any number of blocks gives each pair once."""
+    rows, want = common_titles()
+    df = spark.createDataFrame(rows, SCHEMA)
+    for block in (500, 70):
+        pairs = match.similar_pairs(df, "id", "s", "g", "t", "c", block=block).collect()
+        assert {(r["a"], r["b"]): r["similarity"] for r in pairs} == want and len(pairs) == len(want) > 50_000
+    assert "between 2 and" not in registry.oracle_sql()["title_similarity_pairs"]
+
+
 def test_sketches_differ_in_no_more_bits_than_sets(spark):
     rng = random.Random(3)
     rows = [([f"w{rng.randrange(n)}" for _ in range(m)], [f"w{rng.randrange(n)}" for _ in range(m)]) for n, m in ((5, 3), (40, 30), (3000, 900)) for _ in range(40)]
