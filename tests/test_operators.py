@@ -213,6 +213,19 @@ def test_pairs_of_common_tokens_are_whole(spark):
     assert "between 2 and" not in registry.oracle_sql()["title_similarity_pairs"]
 
 
+def test_reasons_of_common_tokens_name_every_partner(spark):
+    """More partners of a title than any bound, of sources and dates of either sign; one reason for each."""
+    rows, want = common_titles()
+    rows, seen = [(*r[:4], r[4] and date.fromordinal(r[4].toordinal() - date(2026, 9, 14).toordinal() + date(1970, 1, 1).toordinal())) for r in rows], {}
+    for ab, x in want.items():
+        for i in ab:
+            seen.setdefault(i, []).append(f"high_title_similarity:{x:.2f}")
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = {r["id"]: r["reasons"] for r in match.similarity_reasons(df, "id", "s", "g", "t", "c").collect()}
+    assert got == {i: "|".join(sorted(x)) for i, x in seen.items()} and len(got) > 400
+    assert "between 2 and" not in registry.oracle_sql()["look_alike_reasons"]
+
+
 def test_sketches_differ_in_no_more_bits_than_sets(spark):
     rng = random.Random(3)
     rows = [([f"w{rng.randrange(n)}" for _ in range(m)], [f"w{rng.randrange(n)}" for _ in range(m)]) for n, m in ((5, 3), (40, 30), (3000, 900)) for _ in range(40)]
