@@ -226,6 +226,15 @@ def test_reasons_of_common_tokens_name_every_partner(spark):
     assert "between 2 and" not in registry.oracle_sql()["look_alike_reasons"]
 
 
+def test_flags_of_common_titles(spark, tmp_path):
+    """The query itself, on documents whose titles are all of tokens that over 400 others have."""
+    docs = [(i, "north gate water pump works\nbody", "en", f"src{i % 2}") for i in range(500)] + [(500, "north gate\nbody", "en", "src0")]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r["doc_id"]: r["possible_cross_source_duplicate"] for r in registry.queries()["similarity_flags"](spark, str(tmp_path)).collect()}
+    assert got == {i: i < 500 for i in range(501)}
+    assert "between 2 and" not in registry.oracle_sql()["similarity_flags"]
+
+
 def test_sketches_differ_in_no_more_bits_than_sets(spark):
     rng = random.Random(3)
     rows = [([f"w{rng.randrange(n)}" for _ in range(m)], [f"w{rng.randrange(n)}" for _ in range(m)]) for n, m in ((5, 3), (40, 30), (3000, 900)) for _ in range(40)]
